@@ -57,3 +57,31 @@ BEHAVIOUR_CTE = """behaviour AS (
 SQL: dict[str, str] = {}
 
 SQL["a1_behaviour_by_plate"] = with_telemetry("SELECT * FROM behaviour", BEHAVIOUR_CTE)
+
+TRAVEL_CTE = """travel AS (
+  SELECT *, (epoch(Time)::BIGINT
+             - epoch(lag(Time) OVER (PARTITION BY driverID ORDER BY Time, event_id))::BIGINT)
+            AS dt_seconds
+  FROM telemetry
+)"""
+
+SQL["a3_driver_summary"] = with_telemetry("""
+SELECT driverID,
+  CAST(sum(isRapidlySpeedup) AS BIGINT) AS total_rapid_accelerations,
+  CAST(sum(isRapidlySlowdown) AS BIGINT) AS total_rapid_decelerations,
+  CAST(sum(isNeutralSlide) AS BIGINT) AS total_neutral_slide,
+  sum(neutralSlideTime) AS total_neutral_slide_duration,
+  CAST(sum(isOverspeed) AS BIGINT) AS total_overspeed,
+  sum(overspeedTime) AS total_overspeed_duration,
+  CAST(sum(isFatigueDriving) AS BIGINT) AS total_fatigue_driving,
+  CAST(sum(isHthrottleStop) AS BIGINT) AS total_hthrottle_stop,
+  CAST(sum(isOilLeak) AS BIGINT) AS total_oil_leak,
+  avg(Speed) AS average_speed,
+  CAST(sum(Speed * dt_seconds) AS BIGINT) / 3600.0::DOUBLE AS total_distance
+FROM travel GROUP BY driverID""", TRAVEL_CTE)
+
+SQL["w1_record_travel"] = with_telemetry("""
+SELECT driverID, event_id, strftime(Time, '%Y-%m-%d %H:%M:%S') AS Time, Speed,
+  dt_seconds / 3600.0::DOUBLE AS time_difference,
+  Speed * (dt_seconds / 3600.0::DOUBLE) AS distance
+FROM travel""", TRAVEL_CTE)

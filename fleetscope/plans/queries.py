@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetscope.operators import behaviour as B
+from fleetscope.operators import trips as T
 from fleetscope.sources.telemetry import load_telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +29,13 @@ def register(name: str):
 @register("a1_behaviour_by_plate")
 def q_a1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.behaviour_by_plate(load_telemetry(spark, sf_dir))
+
+
+@register("a3_driver_summary")
+def q_a3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.driver_summary(load_telemetry(spark, sf_dir))
+
+
+@register("w1_record_travel")
+def q_w1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.format_travel(T.record_travel(load_telemetry(spark, sf_dir)))
