@@ -85,3 +85,62 @@ SELECT driverID, event_id, strftime(Time, '%Y-%m-%d %H:%M:%S') AS Time, Speed,
   dt_seconds / 3600.0::DOUBLE AS time_difference,
   Speed * (dt_seconds / 3600.0::DOUBLE) AS distance
 FROM travel""", TRAVEL_CTE)
+
+FMT = "'%Y-%m-%d %H:%M:%S'"
+SLICE_WHERE = ("Time >= TIMESTAMP '2017-01-01 08:00:05' "
+               "AND Time < TIMESTAMP '2017-01-01 08:00:35'")
+SLICE_CTE = f"""slice AS (
+  SELECT *, coalesce(isOverspeed, 0) AS ov FROM telemetry WHERE {SLICE_WHERE}
+)"""
+RECORDS_CTE = f"""records AS (
+  SELECT strftime(Time, {FMT}) AS Time, CAST(Speed AS FLOAT) AS Speed,
+         ov AS isOverspeed, carPlateNumber AS car_plate_number
+  FROM slice
+)"""
+A2_CTE = """a2 AS (
+  SELECT carPlateNumber, avg(Speed) AS avg_speed,
+         CAST(sum(ov) AS BIGINT) AS overspeed_count, count(*) AS n_records
+  FROM slice GROUP BY carPlateNumber
+)"""
+
+SQL["a2_speed_slice"] = with_telemetry("SELECT * FROM a2", SLICE_CTE, A2_CTE)
+SQL["p9_slice_records"] = with_telemetry("SELECT * FROM records", SLICE_CTE, RECORDS_CTE)
+SQL["p8_nested_records"] = with_telemetry(
+    "SELECT car_plate_number, Time, Speed, isOverspeed FROM records", SLICE_CTE, RECORDS_CTE)
+SQL["a8_plate_speed"] = with_telemetry("""
+SELECT car_plate_number, sum(Speed) / count(*) AS speed, count(*) AS count
+FROM records GROUP BY car_plate_number""", SLICE_CTE, RECORDS_CTE)
+SQL["f4_overspeed_warnings"] = with_telemetry("""
+SELECT carPlateNumber AS car_plate_number, overspeed_count FROM a2 WHERE overspeed_count > 0""",
+                                              SLICE_CTE, A2_CTE)
+SQL["a9_warning_counter"] = with_telemetry("""
+SELECT carPlateNumber AS car_plate_number, count(*) AS overspeed_count,
+  CAST(max(CASE WHEN rn = 1 THEN Speed END) AS FLOAT) AS speed,
+  printf('Warning: Driver %s is speeding (%d times) (%d km/h)', carPlateNumber, count(*),
+         max(CASE WHEN rn = 1 THEN Speed END)) AS message
+FROM (SELECT *, row_number() OVER (PARTITION BY carPlateNumber ORDER BY Time, event_id) AS rn
+      FROM slice WHERE ov = 1)
+GROUP BY carPlateNumber""", SLICE_CTE)
+SQL["a4_earliest_of_date"] = with_telemetry(f"""
+SELECT strftime(min(Time), {FMT}) AS timestamp FROM telemetry
+WHERE Time >= TIMESTAMP '2017-01-03 00:00:00' AND Time < TIMESTAMP '2017-01-04 00:00:00'""")
+SQL["f2_earliest_of_month"] = with_telemetry(f"""
+SELECT strftime(min(Time), {FMT}) AS timestamp FROM telemetry
+WHERE starts_with(strftime(Time, {FMT}), '2017-01')""")
+SQL["t1_speed_by_window"] = with_telemetry(f"""
+SELECT strftime(b, {FMT}) AS window_start, strftime(b + INTERVAL 30 SECOND, {FMT}) AS window_end,
+  carPlateNumber, avg(Speed) AS avg_speed, count(*) AS n_records,
+  CAST(sum(coalesce(isOverspeed, 0)) AS BIGINT) AS overspeed_count
+FROM (SELECT *, time_bucket(INTERVAL 30 SECOND, Time, TIMESTAMP '2017-01-01 08:00:05') AS b
+      FROM telemetry)
+GROUP BY b, carPlateNumber""")
+SQL["t4_replay_slices"] = with_telemetry(f"""
+SELECT strftime(d, '%Y-%m-%d') AS date, slice_no,
+  strftime(anchor + to_seconds(slice_no * 30), {FMT}) AS slice_start,
+  carPlateNumber, avg(Speed) AS avg_speed, count(*) AS n_records,
+  CAST(sum(coalesce(isOverspeed, 0)) AS BIGINT) AS overspeed_count
+FROM (SELECT t.*, a.d, a.anchor,
+        (CAST(epoch(t.Time) AS BIGINT) - CAST(epoch(a.anchor) AS BIGINT)) // 30 AS slice_no
+      FROM telemetry t JOIN (SELECT CAST(Time AS DATE) AS d, min(Time) AS anchor
+                             FROM telemetry GROUP BY 1) a ON CAST(t.Time AS DATE) = a.d)
+GROUP BY d, anchor, slice_no, carPlateNumber""")

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetscope.operators import behaviour as B
+from fleetscope.operators import slices as S
 from fleetscope.operators import trips as T
 from fleetscope.sources.telemetry import load_telemetry
 
@@ -39,3 +40,66 @@ def q_a3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("w1_record_travel")
 def q_w1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.format_travel(T.record_travel(load_telemetry(spark, sf_dir)))
+
+
+# Live-board parameters: the reference's default start and 30-second slice;
+# a date of the data span for the earliest-record lookups.
+BOARD_START = "2017-01-01 08:00:05"
+BOARD_SECONDS = 30
+BOARD_DATE = "2017-01-03"
+BOARD_MONTH = "2017-01"
+
+
+@register("a2_speed_slice")
+def q_a2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.speed_slice(load_telemetry(spark, sf_dir), BOARD_START, BOARD_SECONDS)
+
+
+@register("p9_slice_records")
+def q_p9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.slice_records(load_telemetry(spark, sf_dir), BOARD_START, BOARD_SECONDS)
+
+
+@register("p8_nested_records")
+def q_p8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nested = S.with_records(load_telemetry(spark, sf_dir), BOARD_START, BOARD_SECONDS)
+    flat = S.flatten_records(nested)
+    return flat.select("car_plate_number", S.format_time("Time").alias("Time"), "Speed",
+                       "isOverspeed")
+
+
+@register("a8_plate_speed")
+def q_a8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.plate_speed(S.slice_records(load_telemetry(spark, sf_dir), BOARD_START,
+                                         BOARD_SECONDS))
+
+
+@register("f4_overspeed_warnings")
+def q_f4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.overspeed_warnings(S.speed_slice(load_telemetry(spark, sf_dir), BOARD_START,
+                                              BOARD_SECONDS))
+
+
+@register("a9_warning_counter")
+def q_a9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.warning_counter(load_telemetry(spark, sf_dir), BOARD_START, BOARD_SECONDS)
+
+
+@register("a4_earliest_of_date")
+def q_a4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.earliest_of_date(load_telemetry(spark, sf_dir), BOARD_DATE)
+
+
+@register("f2_earliest_of_month")
+def q_f2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.earliest_of_date(load_telemetry(spark, sf_dir), BOARD_MONTH)
+
+
+@register("t1_speed_by_window")
+def q_t1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.speed_by_window(load_telemetry(spark, sf_dir), BOARD_SECONDS, 5)
+
+
+@register("t4_replay_slices")
+def q_t4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.replay_slices(load_telemetry(spark, sf_dir), BOARD_SECONDS)
