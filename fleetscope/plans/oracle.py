@@ -65,7 +65,7 @@ TRAVEL_CTE = """travel AS (
   FROM telemetry
 )"""
 
-SQL["a3_driver_summary"] = with_telemetry("""
+SUMMARY_CTE = """summary AS (
 SELECT driverID,
   CAST(sum(isRapidlySpeedup) AS BIGINT) AS total_rapid_accelerations,
   CAST(sum(isRapidlySlowdown) AS BIGINT) AS total_rapid_decelerations,
@@ -78,7 +78,11 @@ SELECT driverID,
   CAST(sum(isOilLeak) AS BIGINT) AS total_oil_leak,
   avg(Speed) AS average_speed,
   CAST(sum(Speed * dt_seconds) AS BIGINT) / 3600.0::DOUBLE AS total_distance
-FROM travel GROUP BY driverID""", TRAVEL_CTE)
+FROM travel GROUP BY driverID
+)"""
+
+SQL["a3_driver_summary"] = with_telemetry("SELECT * FROM summary", TRAVEL_CTE, SUMMARY_CTE)
+
 
 SQL["w1_record_travel"] = with_telemetry("""
 SELECT driverID, event_id, strftime(Time, '%Y-%m-%d %H:%M:%S') AS Time, Speed,
@@ -144,3 +148,76 @@ FROM (SELECT t.*, a.d, a.anchor,
       FROM telemetry t JOIN (SELECT CAST(Time AS DATE) AS d, min(Time) AS anchor
                              FROM telemetry GROUP BY 1) a ON CAST(t.Time AS DATE) = a.d)
 GROUP BY d, anchor, slice_no, carPlateNumber""")
+
+MEASURE_NAMES = [
+    "total_rapid_accelerations", "total_rapid_decelerations", "total_neutral_slide",
+    "total_neutral_slide_duration", "total_overspeed", "total_overspeed_duration",
+    "total_fatigue_driving", "total_hthrottle_stop", "total_oil_leak", "average_speed",
+    "total_distance",
+]
+
+
+def _text(col: str) -> str:
+    return f"lower(CAST({col} AS VARCHAR))"
+
+
+_SEARCH = " OR ".join(f"contains({_text(c)}, '1')" for c in
+                      ["carPlateNumber", "overspeed_count", "fatigue_driving_count",
+                       "overspeed_time", "neutral_slide_time"])
+
+SQL["f3_search_page"] = with_telemetry(f"""
+SELECT * FROM behaviour WHERE {_SEARCH}
+ORDER BY carPlateNumber LIMIT 25 OFFSET 25""", BEHAVIOUR_CTE)
+SQL["a10_search_totals"] = with_telemetry(f"""
+SELECT count(*) AS recordsTotal, count(*) FILTER (WHERE {_SEARCH}) AS recordsFiltered
+FROM behaviour""", BEHAVIOUR_CTE)
+
+_SUM = (TRAVEL_CTE, SUMMARY_CTE)
+SQL["s9_driver_summary_table"] = with_telemetry("SELECT * FROM summary", *_SUM)
+SQL["a12_overspeed_bars"] = with_telemetry(
+    "SELECT driverID, avg(total_overspeed_duration) AS total_overspeed_duration "
+    "FROM summary GROUP BY driverID", *_SUM)
+
+SQL["a5_summary_stats"] = with_telemetry("\nUNION ALL\n".join(
+    f"SELECT '{m}' AS measure, {i} AS measure_idx, round(avg({m}), 6) AS mean, "
+    f"round(median({m}), 6) AS median, round(stddev_samp({m}), 6) AS std FROM summary"
+    for i, m in enumerate(MEASURE_NAMES)), *_SUM)
+
+
+def _corr_pairs() -> str:
+    parts = []
+    for i, a in enumerate(MEASURE_NAMES):
+        for j, b in enumerate(MEASURE_NAMES):
+            x, y = (a, b) if i <= j else (b, a)
+            cond = f"{x} IS NOT NULL AND {y} IS NOT NULL"
+            parts.append(
+                f"SELECT '{a}' AS row_measure, '{b}' AS col_measure, {i} AS row_idx, "
+                f"{j} AS col_idx, CASE WHEN stddev_samp({x}) FILTER (WHERE {cond}) > 0 "
+                f"AND stddev_samp({y}) FILTER (WHERE {cond}) > 0 "
+                f"THEN round(greatest(least(corr({y}, {x}), 1.0), -1.0), 6) END AS corr "
+                f"FROM summary")
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["a6_correlation_matrix"] = with_telemetry(_corr_pairs(), *_SUM)
+
+BOX_CTE = """box AS (
+  SELECT quantile_cont(total_rapid_accelerations, 0.25) AS q1,
+         quantile_cont(total_rapid_accelerations, 0.5) AS q2,
+         quantile_cont(total_rapid_accelerations, 0.75) AS q3
+  FROM summary
+)"""
+SQL["a11_boxplot_accelerations"] = with_telemetry("""
+SELECT round(q1, 6) AS q1, round(q2, 6) AS median, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr,
+  round(min(CASE WHEN x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1) THEN x END), 6)
+    AS whisker_low,
+  round(max(CASE WHEN x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1) THEN x END), 6)
+    AS whisker_high,
+  count(*) FILTER (WHERE x IS NOT NULL AND NOT (x >= q1 - 1.5 * (q3 - q1)
+                                                AND x <= q3 + 1.5 * (q3 - q1))) AS n_outliers
+FROM (SELECT CAST(total_rapid_accelerations AS DOUBLE) AS x FROM summary), box
+GROUP BY q1, q2, q3""", *_SUM, BOX_CTE)
+SQL["a11_boxplot_outliers"] = with_telemetry("""
+SELECT driverID, total_rapid_accelerations FROM summary, box
+WHERE total_rapid_accelerations < q1 - 1.5 * (q3 - q1)
+   OR total_rapid_accelerations > q3 + 1.5 * (q3 - q1)""", *_SUM, BOX_CTE)

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fleetscope.operators import behaviour as B
 from fleetscope.operators import slices as S
+from fleetscope.operators import stats as ST
 from fleetscope.operators import trips as T
+from fleetscope.operators.sequence import materialize
 from fleetscope.sources.telemetry import load_telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +105,55 @@ def q_t1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("t4_replay_slices")
 def q_t4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.replay_slices(load_telemetry(spark, sf_dir), BOARD_SECONDS)
+
+
+# Behaviour-table service parameters: a number term, second page of 25 rows.
+SEARCH_TERM = "1"
+PAGE_START = 25
+PAGE_LENGTH = 25
+
+
+@register("f3_search_page")
+def q_f3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = B.behaviour_by_plate(load_telemetry(spark, sf_dir))
+    return B.page(B.search(table, SEARCH_TERM), PAGE_START, PAGE_LENGTH, ["carPlateNumber"])
+
+
+@register("a10_search_totals")
+def q_a10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.search_totals(B.behaviour_by_plate(load_telemetry(spark, sf_dir)), SEARCH_TERM)
+
+
+def driver_summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-driver summary, materialised once for the analysis steps."""
+    return materialize(T.driver_summary(load_telemetry(spark, sf_dir)), "driver-summary")
+
+
+@register("s9_driver_summary_table")
+def q_s9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return driver_summary_table(spark, sf_dir)
+
+
+@register("a5_summary_stats")
+def q_a5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ST.summary_stats(driver_summary_table(spark, sf_dir))
+
+
+@register("a6_correlation_matrix")
+def q_a6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ST.correlation_matrix(driver_summary_table(spark, sf_dir))
+
+
+@register("a11_boxplot_accelerations")
+def q_a11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ST.boxplot_stats(driver_summary_table(spark, sf_dir))
+
+
+@register("a11_boxplot_outliers")
+def q_a11o(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ST.boxplot_outliers(driver_summary_table(spark, sf_dir))
+
+
+@register("a12_overspeed_bars")
+def q_a12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ST.bar_values(driver_summary_table(spark, sf_dir))
