@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetscope.functions.expr import epoch_seconds
-from fleetscope.session import scratch_path
+from fleetscope.sources.sinks import materialize  # noqa: F401  (re-exported)
 
 TS = "_ts"
 PREV_TS = "_prev_ts"
@@ -43,13 +43,6 @@ PID = "_pid"
 PART, HEAD_ROW, TAIL_ROW = 0, 1, 2
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return int(num_partitions)

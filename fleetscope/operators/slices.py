@@ -184,7 +184,7 @@ def replay_slices(telemetry: DataFrame, seconds: int = SLICE_SECONDS,
     The anchors (one row per date) are materialised, counted, and broadcast
     only when that count is small; otherwise joined by shuffle.
     """
-    from fleetscope.operators.sequence import materialize
+    from fleetscope.sources.sinks import materialize
 
     if anchors is None:
         anchors = materialize(date_anchors(telemetry), "date-anchors")
@@ -202,3 +202,13 @@ def replay_slices(telemetry: DataFrame, seconds: int = SLICE_SECONDS,
                       F.col("slice_no").cast(T.LongType()).alias("slice_no"),
                       format_time(start).alias("slice_start"),
                       "carPlateNumber", "avg_speed", "n_records", "overspeed_count")
+
+
+def overspeed_alerts(telemetry: DataFrame, seconds: int = SLICE_SECONDS,
+                     offset_seconds: int = 5) -> DataFrame:
+    """T3 batch form: per fixed window and plate, the warnings (F4) of the
+    window: plates with at least one overspeed record."""
+    win = speed_by_window(telemetry, seconds, offset_seconds)
+    return win.filter(F.col("overspeed_count") > 0).select(
+        "window_start", "window_end", F.col("carPlateNumber").alias("car_plate_number"),
+        "overspeed_count", "avg_speed")

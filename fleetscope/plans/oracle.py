@@ -221,3 +221,29 @@ SQL["a11_boxplot_outliers"] = with_telemetry("""
 SELECT driverID, total_rapid_accelerations FROM summary, box
 WHERE total_rapid_accelerations < q1 - 1.5 * (q3 - q1)
    OR total_rapid_accelerations > q3 + 1.5 * (q3 - q1)""", *_SUM, BOX_CTE)
+
+_FIELDS = ("driverID, carPlateNumber, Latitude, Longitude, Speed, Direction, siteName, Time, "
+           "isRapidlySpeedup, isRapidlySlowdown, isNeutralSlide, isNeutralSlideFinished, "
+           "neutralSlideTime, isOverspeed, isOverspeedFinished, overspeedTime, "
+           "isFatigueDriving, isHthrottleStop, isOilLeak")
+WINDOWS_CTE = f"""windows AS (
+  SELECT strftime(b, {FMT}) AS window_start, strftime(b + INTERVAL 30 SECOND, {FMT}) AS window_end,
+    carPlateNumber, avg(Speed) AS avg_speed, count(*) AS n_records,
+    CAST(sum(coalesce(isOverspeed, 0)) AS BIGINT) AS overspeed_count
+  FROM (SELECT *, time_bucket(INTERVAL 30 SECOND, Time, TIMESTAMP '2017-01-01 08:00:05') AS b
+        FROM telemetry)
+  GROUP BY b, carPlateNumber
+)"""
+_ALERTS = ("SELECT window_start, window_end, carPlateNumber AS car_plate_number, "
+           "overspeed_count, avg_speed FROM windows WHERE overspeed_count > 0")
+
+SQL["t3_overspeed_alerts"] = with_telemetry(_ALERTS, WINDOWS_CTE)
+SQL["s7_alert_json"] = with_telemetry(_ALERTS, WINDOWS_CTE)
+SQL["s1_raw_csv_round_trip"] = with_telemetry(f"SELECT {_FIELDS} FROM telemetry")
+SQL["u1_union_files"] = with_telemetry(f"SELECT {_FIELDS} FROM telemetry")
+SQL["s4_behaviour_from_rows"] = SQL["a1_behaviour_by_plate"]
+SQL["s5_partitioned_table"] = SQL["a2_speed_slice"]
+SQL["s6_matrix_round_trip"] = SQL["a6_correlation_matrix"]
+SQL["l2_preview"] = with_telemetry(f"""
+SELECT event_id, driverID, carPlateNumber, strftime(Time, {FMT}) AS Time, Speed
+FROM telemetry ORDER BY Time, event_id LIMIT 3""")

@@ -10,12 +10,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetscope.operators import behaviour as B
 from fleetscope.operators import slices as S
 from fleetscope.operators import stats as ST
 from fleetscope.operators import trips as T
-from fleetscope.operators.sequence import materialize
+from fleetscope.sources.sinks import materialize
+from fleetscope.schema import FIELD_NAMES, MEASURES
+from fleetscope.session import scratch_path
+from fleetscope.sources import files as FL
 from fleetscope.sources.telemetry import load_telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,3 +161,85 @@ def q_a11o(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("a12_overspeed_bars")
 def q_a12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.bar_values(driver_summary_table(spark, sf_dir))
+
+
+@register("t3_overspeed_alerts")
+def q_t3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.overspeed_alerts(load_telemetry(spark, sf_dir), BOARD_SECONDS, 5)
+
+
+def _raw_source_files(spark: SparkSession, sf_dir: str) -> str:
+    """Raw telemetry files (headerless, plates uncleaned), one folder per source."""
+    raw = load_telemetry(spark, sf_dir, clean=False)
+    path = scratch_path(spark, "raw-telemetry")
+    FL.write_raw_csv(raw.withColumn("source", F.substring("driverID", -1, 1)), path,
+                     partition_by="source")
+    return path
+
+
+def _cleaned_csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    """datasort: S1 scan -> P2 clean -> S5 header CSV, one output per input file."""
+    raw = FL.with_source_file(FL.read_raw_csv(spark, _raw_source_files(spark, sf_dir)))
+    out = scratch_path(spark, "clean-telemetry")
+    FL.write_clean_csv(FL.clean_records(raw), out, source_col="source_file")
+    return out
+
+
+@register("s1_raw_csv_round_trip")
+def q_s1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FL.read_clean_csv(spark, _cleaned_csv_folder(spark, sf_dir)).select(*FIELD_NAMES)
+
+
+@register("s4_behaviour_from_rows")
+def q_s4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = FL.read_rows_text(spark, _cleaned_csv_folder(spark, sf_dir))
+    return B.behaviour_by_plate(FL.text_measures(rows))
+
+
+@register("s5_partitioned_table")
+def q_s5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "telemetry-table")
+    FL.write_telemetry_table(load_telemetry(spark, sf_dir), path)
+    table = spark.read.parquet(path)
+    return S.speed_slice(table, BOARD_START, BOARD_SECONDS)
+
+
+@register("s6_matrix_round_trip")
+def q_s6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "correlation-matrix")
+    FL.write_matrix_text(ST.correlation_matrix(driver_summary_table(spark, sf_dir)), path)
+    return FL.read_matrix_text(spark, path, MEASURES)
+
+
+@register("s7_alert_json")
+def q_s7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alerts = S.overspeed_alerts(load_telemetry(spark, sf_dir), BOARD_SECONDS, 5)
+    path = scratch_path(spark, "alerts-json")
+    FL.write_json_lines(FL.to_json_lines(alerts), path)
+    return spark.read.schema(alerts.schema).json(path)
+
+
+@register("l2_preview")
+def q_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tel = load_telemetry(spark, sf_dir)
+    first = FL.preview(tel, 3, ["Time", "event_id"])
+    return first.select("event_id", "driverID", "carPlateNumber",
+                        S.format_time("Time").alias("Time"), "Speed")
+
+
+@register("u1_union_files")
+def q_u1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _cleaned_csv_folder(spark, sf_dir)
+    frames = [FL.read_clean_csv(spark, f"{folder}/source_file={name}")
+              for name in _source_names(spark, folder)]
+    return FL.union_frames(frames).select(*FIELD_NAMES)
+
+
+def _source_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the per-source folders of a cleaned CSV folder (file listing)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(conf)
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith("source_file="))
