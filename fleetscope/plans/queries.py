@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.operators import behaviour as B
+from fleetscope.operators import iforest as IF
+from fleetscope.operators import ml as ML
 from fleetscope.operators import slices as S
 from fleetscope.operators import stats as ST
 from fleetscope.operators import trips as T
@@ -243,3 +245,39 @@ def _source_names(spark: SparkSession, folder: str) -> list[str]:
     fs = p.getFileSystem(conf)
     names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
     return sorted(n.split("=", 1)[1] for n in names if n.startswith("source_file="))
+
+
+@register("m1_driver_clusters")
+def q_m1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ML.driver_clusters(driver_summary_table(spark, sf_dir))
+
+
+@register("m2_cluster_sizes")
+def q_m2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ST.value_counts(ML.driver_clusters(driver_summary_table(spark, sf_dir)), "cluster")
+
+
+@register("m3_train_test_split")
+def q_m3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = ML.split_flag(driver_summary_table(spark, sf_dir))
+    return split.groupBy("is_test").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("m4_regression_coefficients")
+def q_m4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ML.regression_coefficients(driver_summary_table(spark, sf_dir))
+
+
+@register("m5_regression_score")
+def q_m5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ML.regression_score(driver_summary_table(spark, sf_dir))
+
+
+@register("m6_driver_anomalies")
+def q_m6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return IF.driver_anomalies(driver_summary_table(spark, sf_dir))
+
+
+@register("m7_anomaly_counts")
+def q_m7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ST.value_counts(IF.driver_anomalies(driver_summary_table(spark, sf_dir)), "anomaly")
