@@ -247,3 +247,9 @@ SQL["s6_matrix_round_trip"] = SQL["a6_correlation_matrix"]
 SQL["l2_preview"] = with_telemetry(f"""
 SELECT event_id, driverID, carPlateNumber, strftime(Time, {FMT}) AS Time, Speed
 FROM telemetry ORDER BY Time, event_id LIMIT 3""")
+
+SQL["t1_stream_speed_windows"] = with_telemetry("SELECT * FROM windows", WINDOWS_CTE)
+SQL["t3_stream_alerts"] = SQL["t3_overspeed_alerts"]
+SQL["t6_stream_totals"] = SQL["a1_behaviour_by_plate"]
+SQL["t5_stream_distance"] = SQL["w1_record_travel"]
+SQL["t7_stream_ingest"] = SQL["s1_raw_csv_round_trip"]

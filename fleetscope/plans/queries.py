@@ -23,6 +23,7 @@ from fleetscope.schema import FIELD_NAMES, MEASURES
 from fleetscope.session import scratch_path
 from fleetscope.sources import files as FL
 from fleetscope.sources.telemetry import load_telemetry
+from fleetscope.streaming import board as SB
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -281,3 +282,58 @@ def q_m6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("m7_anomaly_counts")
 def q_m7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.value_counts(IF.driver_anomalies(driver_summary_table(spark, sf_dir)), "anomaly")
+
+
+# ----------------------------------------------------------------- stream replays
+# Each stream query replays the scale factor's telemetry through a file source
+# with one bounded availableNow run and returns what the sink holds.
+
+
+def _replay_source(spark: SparkSession, sf_dir: str) -> tuple[str, object]:
+    tel = load_telemetry(spark, sf_dir)
+    path = scratch_path(spark, "replay-source")
+    tel.write.mode("overwrite").parquet(path)
+    return path, tel.schema
+
+
+def _replay(spark: SparkSession, sf_dir: str, build, keys: list[str]) -> DataFrame:
+    path, schema = _replay_source(spark, sf_dir)
+    stream = SB.telemetry_stream(spark, path, schema)
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    SB.run_update_sink(build(stream), sink, ckpt)
+    return SB.read_latest(spark, sink, keys)
+
+
+@register("t1_stream_speed_windows")
+def q_t1s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _replay(spark, sf_dir, SB.speed_windows,
+                   ["window_start", "window_end", "carPlateNumber"])
+
+
+@register("t3_stream_alerts")
+def q_t3s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _replay(spark, sf_dir, SB.overspeed_alerts,
+                   ["window_start", "window_end", "car_plate_number"])
+
+
+@register("t6_stream_totals")
+def q_t6s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _replay(spark, sf_dir, SB.running_totals, ["carPlateNumber"])
+
+
+@register("t5_stream_distance")
+def q_t5s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, schema = _replay_source(spark, sf_dir)
+    stream = SB.telemetry_stream(spark, path, schema)
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    SB.run_append_sink(SB.record_distance(stream), sink, ckpt)
+    out = spark.read.schema(SB.TRAVEL_SCHEMA).parquet(sink)
+    return out.filter(~F.col("late")).drop("late")
+
+
+@register("t7_stream_ingest")
+def q_t7s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _raw_source_files(spark, sf_dir)
+    table, ckpt = scratch_path(spark, "ingest-table"), scratch_path(spark, "ingest-ckpt")
+    SB.ingest_raw(spark, f"{raw}/*", table, ckpt)
+    return spark.read.parquet(table).select(*FIELD_NAMES)
