@@ -79,8 +79,10 @@ def correlation_matrix(summary: DataFrame, columns: list[str] | None = None) ->
         F.element_at(names, F.col("i") + 1).alias("row_measure"),
         F.element_at(names, F.col("j") + 1).alias("col_measure"),
         F.col("i").alias("row_idx"), F.col("j").alias("col_idx"),
-        F.round(F.least(F.greatest(F.col("corr"), F.lit(-1.0)), F.lit(1.0)),
-                DECIMALS).alias("corr"))
+        # Clamp rounding noise into [-1, 1]; greatest/least would turn null into a bound.
+        F.when(F.col("corr").isNotNull(),
+               F.round(F.least(F.greatest(F.col("corr"), F.lit(-1.0)), F.lit(1.0)), DECIMALS))
+        .alias("corr"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -194,6 +194,7 @@ def _corr_pairs() -> str:
                 f"SELECT '{a}' AS row_measure, '{b}' AS col_measure, {i} AS row_idx, "
                 f"{j} AS col_idx, CASE WHEN stddev_samp({x}) FILTER (WHERE {cond}) > 0 "
                 f"AND stddev_samp({y}) FILTER (WHERE {cond}) > 0 "
+                f"AND corr({y}, {x}) IS NOT NULL "
                 f"THEN round(greatest(least(corr({y}, {x}), 1.0), -1.0), 6) END AS corr "
                 f"FROM summary")
     return "\nUNION ALL\n".join(parts)

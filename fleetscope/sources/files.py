@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from fleetscope.functions.expr import clean_plate, text_blank_to_zero
 from fleetscope.schema import FIELD_NAMES, TELEMETRY, TIME_FORMAT
 
-CORRUPT = "_corrupt_record"
 # Python's csv module quotes with '"' and doubles quotes inside a field.
 CSV_OPTIONS = {"encoding": "UTF-8", "quote": '"', "escape": '"',
                "timestampNTZFormat": TIME_FORMAT, "timestampFormat": TIME_FORMAT}
@@ -41,18 +40,23 @@ def read_clean_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_rows_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """S4 + P4: header CSVs read row-wise as text cells, ragged rows kept.
 
-    Adds ``n_fields``: the number of fields the line really has (a quote-aware
-    count of the raw line for rows that do not have exactly 19 fields).
+    Each line is read whole (quoting off, a separator that never occurs), so
+    the reader still skips every file's header line; the cells are then
+    parsed with ``from_csv`` and ``n_fields`` counts the fields the line
+    really has (commas outside quoted sections). The corrupt-record column
+    cannot be used for this: with CSV column pruning, short rows are not
+    flagged.
     """
-    schema = T.StructType(TEXT_TELEMETRY.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    raw = (spark.read.schema(schema).options(**CSV_OPTIONS)
-           .option("header", True).option("enforceSchema", True)
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-           .option("pathGlobFilter", "*.csv").csv(path))
-    unquoted = F.regexp_replace(F.col(CORRUPT), '"([^"]|"")*"', "")
-    n = F.when(F.col(CORRUPT).isNull(), F.lit(len(FIELD_NAMES))) \
-        .otherwise(F.size(F.split(unquoted, ",", -1)))
-    return raw.select(*FIELD_NAMES, n.alias("n_fields"))
+    lines = (spark.read.schema("line string").option("header", True)
+             .option("sep", "\u0001").option("quote", "").option("encoding", "UTF-8")
+             .option("pathGlobFilter", "*.csv").csv(path))
+    lines = lines.filter(F.col("line").isNotNull() & (F.col("line") != ""))
+    cells = F.from_csv(F.col("line"), TEXT_TELEMETRY.simpleString(),
+                       {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    unquoted = F.regexp_replace(F.col("line"), '"([^"]|"")*"', "")
+    n = F.size(F.split(unquoted, ",", -1))
+    parsed = lines.select(cells.alias("c"), n.alias("n_fields"))
+    return parsed.select(*[F.col(f"c.{f}").alias(f) for f in FIELD_NAMES], "n_fields")
 
 
 def text_measures(rows: DataFrame) -> DataFrame:
