@@ -66,6 +66,12 @@ def _same_key(k: pd.Series) -> pd.Series:
     return same.fillna(False).astype(bool)
 
 
+def _key_column(values) -> pd.Series:
+    """Key values as an object column with None for missing (an all-null group
+    would otherwise come back as a float NaN index Arrow cannot type)."""
+    return pd.Series([None if pd.isna(v) else v for v in values], dtype=object)
+
+
 def _keys_equal(a, b) -> bool:
     if pd.isna(a) and pd.isna(b):
         return True
@@ -181,7 +187,7 @@ def step_weighted_sum(df: DataFrame, key: str, time: str, tiebreak: str, weight:
             prev = ts.shift(1).where(same)
             if carry is None:
                 first = pdf.iloc[0]
-                yield pd.DataFrame({"_kind": [HEAD_ROW], PID: [pid], key: [first[key]],
+                yield pd.DataFrame({"_kind": [HEAD_ROW], PID: [pid], key: _key_column([first[key]]),
                                     "_value": pd.array([None], dtype="Int64"),
                                     TS: pd.array([first[TS]], dtype="Int64"),
                                     "_w": pd.array([first["_w"]], dtype="Int64")})
@@ -190,14 +196,14 @@ def step_weighted_sum(df: DataFrame, key: str, time: str, tiebreak: str, weight:
             step = pdf["_w"].astype("Float64") * (ts - prev)
             grouped = (pd.DataFrame({key: k.astype(object), "_s": step})
                        .groupby(key, sort=False, dropna=False)["_s"].sum(min_count=1))
-            yield pd.DataFrame({"_kind": PART, PID: pid, key: grouped.index.to_list(),
+            yield pd.DataFrame({"_kind": PART, PID: pid, key: _key_column(grouped.index),
                                 "_value": grouped.round().astype("Int64").array,
                                 TS: pd.array([None] * len(grouped), dtype="Int64"),
                                 "_w": pd.array([None] * len(grouped), dtype="Int64")})
             carry = (k.iloc[-1], pdf[TS].iloc[-1])
             last = (pid, k.iloc[-1], pdf[TS].iloc[-1])
         if last is not None:
-            yield pd.DataFrame({"_kind": [TAIL_ROW], PID: [last[0]], key: [last[1]],
+            yield pd.DataFrame({"_kind": [TAIL_ROW], PID: [last[0]], key: _key_column([last[1]]),
                                 "_value": pd.array([None], dtype="Int64"),
                                 TS: pd.array([last[2]], dtype="Int64"),
                                 "_w": pd.array([None], dtype="Int64")})
