@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetscope.schema import MEASURES
+from fleetscope.session import ship_package
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType(), False),
@@ -77,6 +78,7 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple
 def fit_forest(features: DataFrame, columns: list[str], key: str = "driverID",
                n_trees: int = 100, max_samples: int = 256, seed: int = 0) -> DataFrame:
     """Grow ``n_trees`` isolation trees; returns the nodes (bounded table)."""
+    ship_package(features.sparkSession)
     n = features.count()
     m = max(1, min(max_samples, n))
     rate = min(1.0, 1.5 * m / max(n, 1))
@@ -124,6 +126,7 @@ def anomaly_scores(features: DataFrame, nodes: DataFrame, columns: list[str],
                    n_trees: int, max_samples: int) -> DataFrame:
     """Anomaly score in (0, 1] per row; higher is more isolated."""
     spark = features.sparkSession
+    ship_package(spark)
     # Bounded by n_trees x (2 * max_samples - 1) rows, whatever the data size.
     forest = _forest_arrays(nodes.toPandas(), n_trees)
     bc = spark.sparkContext.broadcast(forest)

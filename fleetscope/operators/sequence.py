@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetscope.session import ship_package
 from fleetscope.functions.expr import epoch_seconds
 from fleetscope.sources.sinks import materialize  # noqa: F401  (re-exported)
 
@@ -103,6 +104,7 @@ def with_previous_time(df: DataFrame, key: str, time: str, tiebreak: str,
     """W1 per record: adds ``_ts`` (whole seconds of ``time``) and ``_prev_ts``
     (whole seconds of the previous record of the same key in (time, tiebreak)
     order; null for a key's first record)."""
+    ship_package(df.sparkSession)
     n = _num_partitions(df, num_partitions)
     prepared = df.withColumn(TS, epoch_seconds(time))
     sorted_df = _range_sorted(prepared, key, tiebreak, n)
@@ -160,6 +162,7 @@ def step_weighted_sum(df: DataFrame, key: str, time: str, tiebreak: str, weight:
     weight and a time difference (as ``sum`` over nulls). Only per-partition
     partial sums and the partition edges are materialised, never the records.
     """
+    ship_package(df.sparkSession)
     n = _num_partitions(df, num_partitions)
     prepared = df.select(key, tiebreak, F.col(weight).cast("long").alias("_w"),
                          epoch_seconds(time).alias(TS))

@@ -76,3 +76,33 @@ def local_path(path: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``fleetscope`` importable in Python workers (what ``--py-files`` does).
+
+    Python UDFs (``mapInPandas``, ``applyInPandas``, pandas UDFs) refer to
+    functions of this package by module path. The package is zipped once on
+    the driver and handed to ``addPyFile``; Spark serves it to every executor.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out_dir = tempfile.mkdtemp(prefix="fleetscope-pyfiles-")
+    zpath = os.path.join(out_dir, "fleetscope.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)

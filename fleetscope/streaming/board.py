@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from fleetscope.session import ship_package
 from fleetscope.functions.expr import epoch_seconds, format_time
 from fleetscope.operators.behaviour import behaviour_by_plate
 from fleetscope.schema import FIELD_NAMES, TELEMETRY
@@ -142,6 +143,7 @@ def record_distance(stream: DataFrame) -> DataFrame:
     A driver's rows of one micro-batch form one group, so a group is bounded
     by the trigger size; state is two numbers per driver.
     """
+    ship_package(stream.sparkSession)
     rows = stream.select("driverID", "event_id", format_time("Time").alias("Time"), "Speed",
                          epoch_seconds("Time").alias("_ts"))
     return rows.groupBy("driverID").applyInPandasWithState(
