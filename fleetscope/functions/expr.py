@@ -18,9 +18,6 @@ from fleetscope.schema import TIME_FORMAT
 # Fixed value: characters kept in a number plate (everything else is removed).
 PLATE_STRIP_PATTERN = "[^a-zA-Z0-9]"
 
-_EPOCH = "1970-01-01 00:00:00"
-
-
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -51,15 +48,15 @@ def text_blank_to_zero(c: str | Column, dtype: str = "int") -> Column:
 
 
 def epoch_seconds(c: str | Column) -> Column:
-    """Whole seconds since the epoch of a zone-less timestamp.
+    """Whole seconds since the epoch (floored) of a zone-less timestamp, read
+    as UTC wall clock; for a zone-aware timestamp, of the instant.
 
-    ``CAST(timestamp_ntz AS BIGINT)`` is not allowed, and the zone-aware cast
-    would depend on the session time zone; truncating to the second and taking
-    the difference to the epoch works for both timestamp kinds.
+    ``CAST(timestamp_ntz AS BIGINT)`` is not allowed, and ``timestamp_diff``
+    routes zone-less values through the session time zone (a wall-clock time
+    inside a daylight-saving gap moves by an hour); ``unix_timestamp`` on a
+    zone-less value does not.
     """
-    ts = _c(c).cast(T.TimestampNTZType())
-    return F.timestamp_diff("SECOND", F.lit(_EPOCH).cast(T.TimestampNTZType()),
-                            F.date_trunc("second", ts))
+    return F.unix_timestamp(_c(c))
 
 
 def seconds_between(start: str | Column, end: str | Column) -> Column:

@@ -38,7 +38,17 @@ def time_range(telemetry: DataFrame, start: str | datetime | None,
     """
     lo = resolve_start(start)
     hi = F.timestamp_add("SECOND", F.lit(int(seconds)), lo)
-    return telemetry.filter((F.col("Time") >= lo) & (F.col("Time") < hi))
+    return _prune_dates(telemetry.filter((F.col("Time") >= lo) & (F.col("Time") < hi)), lo, hi)
+
+
+def _prune_dates(df: DataFrame, lo, hi) -> DataFrame:
+    """On a table partitioned by ``event_date`` (= to_date(Time)), restate a
+    ``[lo, hi)`` time range on the partition column so whole folders are
+    skipped; Catalyst cannot derive it from the ``Time`` predicate."""
+    if "event_date" not in df.columns:
+        return df
+    d = F.col("event_date")
+    return df.filter((d >= F.to_date(lo)) & (d <= F.to_date(hi)))
 
 
 def fill_overspeed(telemetry: DataFrame) -> DataFrame:
@@ -139,7 +149,7 @@ def date_filter(telemetry: DataFrame, date_text: str | None) -> DataFrame:
         return telemetry.filter(format_time("Time").startswith(date_text))
     lo = parse_time_literal(day)
     hi = F.timestamp_add("DAY", F.lit(1), lo)
-    return telemetry.filter((F.col("Time") >= lo) & (F.col("Time") < hi))
+    return _prune_dates(telemetry.filter((F.col("Time") >= lo) & (F.col("Time") < hi)), lo, hi)
 
 
 def earliest_of_date(telemetry: DataFrame, date_text: str | None) -> DataFrame:

@@ -68,8 +68,11 @@ def driver_summary(telemetry: DataFrame, tiebreak: str = "event_id",
         F.avg("Speed").alias("average_speed"),
     )
     dist = driver_distance(telemetry, tiebreak, num_partitions)
-    # Both sides are per-driver aggregates hash-partitioned on driverID.
-    return sums.join(dist, on="driverID", how="left").select("driverID", *MEASURES)
+    # Both sides are per-driver aggregates; null-safe so a null driver keeps
+    # its distance, as the null group of a window would.
+    dist = dist.withColumnRenamed("driverID", "_d")
+    joined = sums.join(dist, sums["driverID"].eqNullSafe(dist["_d"]), "left")
+    return joined.select("driverID", *MEASURES)
 
 
 def format_travel(travel: DataFrame) -> DataFrame:

@@ -37,8 +37,8 @@ def events_to_telemetry(events: DataFrame, clean: bool = True) -> DataFrame:
     """
     ntz = T.TimestampNTZType()
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    slot = F.floor(F.timestamp_diff("SECOND", F.lit(EVENTS_EPOCH).cast(ntz),
-                                    F.col("ts").cast(ntz)) / FOLD_SECONDS)
+    since = F.unix_timestamp(F.col("ts").cast(ntz)) - F.unix_timestamp(F.lit(EVENTS_EPOCH).cast(ntz))
+    slot = F.floor(since / FOLD_SECONDS)
     base = events.select("event_id", "user_id", "event_type", "value",
                          k.alias("k"), slot.cast("bigint").alias("el"))
 

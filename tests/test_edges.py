@@ -178,3 +178,16 @@ def test_nested_records_sorted_and_named(spark):
     assert r["overspeed_count"] == 1 and r["avg_speed"] == 65.0
     warn = rows(S.warning_counter(df))
     assert warn[0]["message"] == "Warning: Driver AZ1 is speeding (1 times) (90 km/h)"
+
+
+def test_epoch_seconds_ignore_session_zone(spark):
+    from fleetscope.functions.expr import epoch_seconds
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2017-03-12 02:30:00' AS gap, "
+                       "TIMESTAMP_NTZ'2017-07-01 00:00:00.9' AS summer")
+        r = df.select(epoch_seconds("gap").alias("g"), epoch_seconds("summer").alias("s")).first()
+        assert (r["g"], r["s"]) == (1489285800, 1498867200)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -58,3 +58,12 @@ def test_hot_key_spreads_over_partitions(skewed):
     parts = (_range_sorted(prepared, "driverID", "event_id", 16)
              .filter(F.col("driverID") == "HOT").select("_pid").distinct().count())
     assert parts >= 4
+
+
+def test_summary_keeps_null_driver_distance(skewed):
+    got = TR.driver_summary(skewed).filter(F.col("driverID").isNull()).first()
+    w = Window.partitionBy("driverID").orderBy(F.col("Time").asc_nulls_first(), "event_id")
+    ref = (skewed.filter(F.col("driverID").isNull())
+           .withColumn("dt", F.timestamp_diff("SECOND", F.lag("Time").over(w), F.col("Time")))
+           .agg((F.sum(F.col("Speed") * F.col("dt")) / 3600.0).alias("d")).first()["d"])
+    assert got is not None and got["total_distance"] == ref
