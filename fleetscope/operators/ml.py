@@ -7,6 +7,8 @@ Q11), because the estimators reject missing values.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -27,7 +29,8 @@ def assemble(summary: DataFrame, columns: list[str] = MEASURES, key: str = "driv
 
 
 def driver_clusters(summary: DataFrame, k: int = 3, n_init: int = 10, seed: int = 0,
-                    max_iter: int = 300, key: str = "driverID") -> DataFrame:
+                    max_iter: int = 300, key: str = "driverID",
+                    parallelism: int = 4) -> DataFrame:
     """M1: k-means on the eleven unscaled measures; the best of ``n_init``
     seeded runs (lowest within-cluster sum of squares) labels each driver.
 
@@ -35,14 +38,16 @@ def driver_clusters(summary: DataFrame, k: int = 3, n_init: int = 10, seed: int
     their centre (lexicographic over the measures).
     """
     data = assemble(summary, key=key).persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
-    for i in range(n_init):
+
+    def fit(i: int):
         model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features",
                        predictionCol="raw_cluster").fit(data)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, model)
-    model = best[1]
+        return model.summary.trainingCost, i, model
+
+    # The restarts are independent jobs; Spark schedules them concurrently.
+    with ThreadPoolExecutor(max_workers=max(1, min(n_init, parallelism))) as pool:
+        fits = list(pool.map(fit, range(n_init)))
+    model = min(fits, key=lambda f: (f[0], f[1]))[2]
     order = sorted(range(len(model.clusterCenters())),
                    key=lambda c: tuple(model.clusterCenters()[c]))
     relabel = F.create_map(*[x for new, old in enumerate(order) for x in (F.lit(old), F.lit(new))])

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetscope.operators.quantiles import column_quantiles, exact_quantiles
 from fleetscope.schema import MEASURES
 
 # Fixed-point rendering, 6 decimals, as the published matrix.
@@ -35,14 +36,26 @@ def to_long(df: DataFrame, columns: list[str], name: str = "measure",
 
 def summary_stats(summary: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """A5: mean, exact median and sample standard deviation of each numeric
-    column, nulls skipped; one row per measure."""
+    column, nulls skipped; one row per measure.
+
+    Mean and deviation are one partial aggregate over the unpivoted table; the
+    medians come from the bounded-memory selection in ``operators.quantiles``
+    (a few passes, only bucket counts reach the driver) and are joined back
+    as a literal table of at most one row per measure.
+    """
     cols = columns or numeric_columns(summary)
     long = to_long(summary, cols)
-    return long.groupBy("measure", "measure_idx").agg(
+    moments = long.groupBy("measure", "measure_idx").agg(
         F.round(F.avg("value"), DECIMALS).alias("mean"),
-        F.round(F.median("value"), DECIMALS).alias("median"),
         F.round(F.stddev_samp("value"), DECIMALS).alias("std"),
     )
+    med = exact_quantiles(long, "measure", "value", [0.5])
+    spark = summary.sparkSession
+    medians = spark.createDataFrame([(c, med.get((c, 0.5))) for c in cols],
+                                    "measure string, median double")
+    joined = moments.join(F.broadcast(medians), "measure", "left")
+    return joined.select("measure", "measure_idx", "mean",
+                         F.round("median", DECIMALS).alias("median"), "std")
 
 
 def correlation_matrix(summary: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -91,10 +104,9 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def quartiles(df: DataFrame, column: str) -> tuple[float | None, float | None, float | None]:
-    """Exact linear-interpolation quartiles of one column (three scalars)."""
-    row = df.agg(F.percentile(F.col(column).cast("double"),
-                              F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).first()
-    q = row["q"] if row and row["q"] else [None, None, None]
+    """Exact linear-interpolation quartiles of one column (three scalars),
+    by bounded-memory selection rather than one all-values buffer."""
+    q = column_quantiles(df, column, [0.25, 0.5, 0.75])
     return q[0], q[1], q[2]
 
 
