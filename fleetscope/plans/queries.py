@@ -337,3 +337,29 @@ def q_t7s(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, ckpt = scratch_path(spark, "ingest-table"), scratch_path(spark, "ingest-ckpt")
     SB.ingest_raw(spark, f"{raw}/*", table, ckpt)
     return spark.read.parquet(table).select(*FIELD_NAMES)
+
+
+@register("t4_stream_replay_cursor")
+def q_t4s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 as a stream: dates arrive in time order, one date's files per trigger."""
+    tel = load_telemetry(spark, sf_dir)
+    src = scratch_path(spark, "replay-by-date")
+    SB.write_replay_by_date(tel, src)
+    stream = SB.telemetry_stream(spark, src, tel.schema, max_files_per_trigger=1)
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    SB.run_update_sink(SB.speed_windows(stream), sink, ckpt)
+    return SB.read_latest(spark, sink, ["window_start", "window_end", "carPlateNumber"])
+
+
+@register("t2_watermark_late_rows")
+def q_t2s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates arrive newest first; rows behind the watermark are dropped.
+    Returns the windows kept and, per run, the dropped-row count."""
+    tel = load_telemetry(spark, sf_dir)
+    src = scratch_path(spark, "replay-late")
+    SB.write_replay_by_date(tel, src, newest_first=True)
+    stream = SB.telemetry_stream(spark, src, tel.schema, max_files_per_trigger=1)
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    q = SB.run_update_sink(SB.speed_windows(stream, delay="1 minute"), sink, ckpt)
+    kept = SB.read_latest(spark, sink, ["window_start", "window_end", "carPlateNumber"])
+    return kept.withColumn("dropped_rows_in_run", F.lit(SB.dropped_by_watermark(q)))

@@ -224,3 +224,22 @@ def ingest_raw(spark: SparkSession, raw_dir: str, table: str, checkpoint: str,
     """Clean new raw files (P2) into a parquet table; restart-safe."""
     cleaned = clean_records(raw_csv_stream(spark, raw_dir, max_files_per_trigger))
     return run_append_sink(cleaned.select(*FIELD_NAMES), table, checkpoint)
+
+
+def write_replay_by_date(telemetry: DataFrame, path: str, newest_first: bool = False) -> int:
+    """Replay source for T4: the records of each date appended as their own
+    files, in date order (or newest first, to exercise late data), so a file
+    stream with ``maxFilesPerTrigger`` advances through time like the board's
+    cursor. One distributed write per date; the number of dates is bounded by
+    the replayed span. Returns the number of dates."""
+    dates = sorted(r[0] for r in telemetry.select(F.to_date("Time").alias("d"))
+                   .filter(F.col("d").isNotNull()).distinct().collect())
+    for d in (reversed(dates) if newest_first else dates):
+        telemetry.filter(F.to_date("Time") == F.lit(d)).write.mode("append").parquet(path)
+    return len(dates)
+
+
+def dropped_by_watermark(query) -> int:
+    """Rows the watermark dropped, summed over the query's progress reports."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in p.get("stateOperators", []))
