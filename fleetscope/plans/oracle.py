@@ -255,3 +255,4 @@ SQL["t6_stream_totals"] = SQL["a1_behaviour_by_plate"]
 SQL["t5_stream_distance"] = SQL["w1_record_travel"]
 SQL["t7_stream_ingest"] = SQL["s1_raw_csv_round_trip"]
 SQL["t4_stream_replay_cursor"] = SQL["t1_stream_speed_windows"]
+SQL["t5_stream_distance_batches"] = SQL["w1_record_travel"]
