@@ -13,7 +13,7 @@ a plate's records of one slice in one row, which the slice length bounds.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -134,21 +134,36 @@ def warning_counter(telemetry: DataFrame, start: str | datetime | None = None,
                       F.col("speed").cast("float").alias("speed"), msg.alias("message"))
 
 
+def _prefix_range(prefix: str) -> tuple[datetime, datetime] | None:
+    """The time range a ``yyyy``, ``yyyy-MM`` or ``yyyy-MM-dd`` prefix selects."""
+    for fmt, step in (("%Y-%m-%d", "day"), ("%Y-%m", "month"), ("%Y", "year")):
+        try:
+            lo = datetime.strptime(prefix, fmt)
+        except ValueError:
+            continue
+        if step == "day":
+            return lo, lo + timedelta(days=1)
+        if step == "month":
+            return lo, (lo.replace(year=lo.year + 1, month=1) if lo.month == 12
+                        else lo.replace(month=lo.month + 1))
+        return lo, lo.replace(year=lo.year + 1)
+    return None
+
+
 def date_filter(telemetry: DataFrame, date_text: str | None) -> DataFrame:
     """rows whose time text starts with ``date_text``.
 
-    A full ``yyyy-MM-dd`` becomes the pushable range ``[d, d + 1 day)``; a
-    shorter prefix (a month, a year) is a text prefix test. An empty or
-    missing date selects nothing (F6).
+    A whole day, month or year prefix becomes the pushable range
+    ``[start, next)`` (restated on ``event_date`` for partition pruning); any
+    other prefix is a text prefix test. An empty or missing date selects
+    nothing (F6).
     """
     if not date_text:
         return telemetry.filter(F.lit(False))
-    try:
-        day = datetime.strptime(date_text, "%Y-%m-%d")
-    except ValueError:
+    rng = _prefix_range(date_text)
+    if rng is None:
         return telemetry.filter(format_time("Time").startswith(date_text))
-    lo = parse_time_literal(day)
-    hi = F.timestamp_add("DAY", F.lit(1), lo)
+    lo, hi = parse_time_literal(rng[0]), parse_time_literal(rng[1])
     return _prune_dates(telemetry.filter((F.col("Time") >= lo) & (F.col("Time") < hi)), lo, hi)
 
 

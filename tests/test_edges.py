@@ -191,3 +191,17 @@ def test_epoch_seconds_ignore_session_zone(spark):
         assert (r["g"], r["s"]) == (1489285800, 1498867200)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_date_prefixes_become_ranges(spark):
+    df = frame(spark, [record(1, time="2016-12-31 23:59:59"), record(2, time="2017-01-01 00:00:00"),
+                       record(3, time="2017-12-31 23:59:59"), record(4, time="2018-01-01 00:00:00")])
+    def ids(p):
+        return sorted(r[0] for r in S.date_filter(df, p).select("event_id").collect())
+    assert ids("2017") == [2, 3]
+    assert ids("2017-12") == [3]
+    assert ids("2016-12-31") == [1]
+    assert ids("2017-01-01 00") == [2]   # other prefixes: text test
+    plan = S.date_filter(df.select("event_id", "Time"), "2017-12")._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    assert "2017-12-01" in plan and "StartsWith" not in plan
