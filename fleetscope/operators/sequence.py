@@ -44,19 +44,23 @@ PID = "_pid"
 PART, HEAD_ROW, TAIL_ROW = 0, 1, 2
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+def _num_partitions(df: DataFrame, num_partitions: int | None) -> int | None:
+    return int(num_partitions) if num_partitions else None
 
 
-def _range_sorted(df: DataFrame, key: str, tiebreak: str, n: int) -> DataFrame:
-    """Range-partition and sort on (key, seconds, tiebreak); tag the partition id."""
+def _range_sorted(df: DataFrame, key: str, tiebreak: str, n: int | None) -> DataFrame:
+    """Range-partition and sort on (key, seconds, tiebreak); tag the partition id.
+
+    Without an explicit ``n`` the session's shuffle partition count is used and
+    AQE may coalesce neighbouring ranges to its target size. Coalesced
+    partitions cover contiguous ranges in order, so partition ids still follow
+    the sort order, which is all the stitching needs.
+    """
     order = [F.col(key).asc_nulls_first(), F.col(TS).asc_nulls_first(),
              F.col(tiebreak).asc_nulls_first()]
-    return (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn(PID, F.spark_partition_id()))
+    parted = df.repartitionByRange(n, *order) if n else df.repartitionByRange(*order)
+    return (parted.sortWithinPartitions(*order)
+                  .withColumn(PID, F.spark_partition_id()))
 
 
 def _same_key(k: pd.Series) -> pd.Series:
