@@ -205,3 +205,24 @@ def test_date_prefixes_become_ranges(spark):
     plan = S.date_filter(df.select("event_id", "Time"), "2017-12")._jdf.queryExecution() \
         .optimizedPlan().toString()
     assert "2017-12-01" in plan and "StartsWith" not in plan
+
+
+def test_time_range_prunes_date_partitions(spark, tmp_dir):
+    df = frame(spark, [record(1, time="2017-01-01 08:00:10"), record(2, time="2017-01-02 08:00:10")])
+    FL.write_telemetry_table(df, tmp_dir + "/t")
+    table = spark.read.parquet(tmp_dir + "/t")
+    q = S.time_range(table, "2017-01-01 08:00:05", 30)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert "PushedFilters: [IsNotNull(Time), GreaterThanOrEqual(Time" in plan
+    assert [r["event_id"] for r in q.collect()] == [1]
+
+
+def test_lookup_broadcast_only_below_count(spark):
+    from fleetscope.operators.joins import join_lookup
+    facts = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    hinted = join_lookup(facts, small, "k")._jdf.queryExecution().logical().toString()
+    unhinted = join_lookup(facts, small, "k", max_rows=5)._jdf.queryExecution().logical() \
+        .toString()
+    assert "broadcast" in hinted.lower() and "broadcast" not in unhinted.lower()
