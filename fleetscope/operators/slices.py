@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from fleetscope.functions.expr import format_time, parse_time_literal, same_day, seconds_between
 from fleetscope.operators.joins import join_lookup
-from fleetscope.schema import DEFAULT_START, SLICE_SECONDS
+from fleetscope.schema import DEFAULT_START, SLICE_SECONDS, WARNING_FORMAT
 
 
 def resolve_start(start: str | datetime | None, default: str = DEFAULT_START):
@@ -128,7 +128,7 @@ def warning_counter(telemetry: DataFrame, start: str | datetime | None = None,
         F.count(F.lit(1)).alias("overspeed_count"),
         F.min_by(F.col("Speed"), order).alias("speed"),
     )
-    msg = F.format_string("Warning: Driver %s is speeding (%d times) (%d km/h)",
+    msg = F.format_string(WARNING_FORMAT,
                           F.col("carPlateNumber"), F.col("overspeed_count"), F.col("speed"))
     return agg.select(F.col("carPlateNumber").alias("car_plate_number"), "overspeed_count",
                       F.col("speed").cast("float").alias("speed"), msg.alias("message"))

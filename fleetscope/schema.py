@@ -72,6 +72,9 @@ REGRESSION_FEATURES = [
 ]
 REGRESSION_LABEL = "average_speed"
 
+# Fixed value: the board's overspeed warning text (plate, count, speed in km/h).
+WARNING_FORMAT = "Warning: Driver %s is speeding (%d times) (%d km/h)"
+
 # Default replay start and slice length of the live board.
 DEFAULT_START = "2017-01-01 08:00:05"
 SLICE_SECONDS = 30
