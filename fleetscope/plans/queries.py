@@ -341,39 +341,38 @@ def q_t7s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("t4_stream_replay_cursor")
 def q_t4s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4 as a stream: dates arrive in time order, one date's files per trigger."""
+    """T4 as a stream: the cursor advances one date per micro-batch."""
     tel = load_telemetry(spark, sf_dir)
     src = scratch_path(spark, "replay-by-date")
-    SB.write_replay_by_date(tel, src)
-    stream = SB.telemetry_stream(spark, src, tel.schema, max_files_per_trigger=1)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    SB.run_update_sink(SB.speed_windows(stream), sink, ckpt)
+    SB.replay_dates(tel, src, lambda: SB.run_update_sink(
+        SB.speed_windows(SB.telemetry_stream(spark, src, tel.schema)), sink, ckpt))
     return SB.read_latest(spark, sink, ["window_start", "window_end", "carPlateNumber"])
 
 
 @register("t2_watermark_late_rows")
 def q_t2s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates arrive newest first; rows behind the watermark are dropped.
-    Returns the windows kept and, per run, the dropped-row count."""
+    Returns the windows kept and the number of rows the watermark dropped."""
     tel = load_telemetry(spark, sf_dir)
     src = scratch_path(spark, "replay-late")
-    SB.write_replay_by_date(tel, src, newest_first=True)
-    stream = SB.telemetry_stream(spark, src, tel.schema, max_files_per_trigger=1)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    q = SB.run_update_sink(SB.speed_windows(stream, delay="1 minute"), sink, ckpt)
+    runs = SB.replay_dates(tel, src, lambda: SB.run_update_sink(
+        SB.speed_windows(SB.telemetry_stream(spark, src, tel.schema), delay="1 minute"),
+        sink, ckpt), newest_first=True)
     kept = SB.read_latest(spark, sink, ["window_start", "window_end", "carPlateNumber"])
-    return kept.withColumn("dropped_rows_in_run", F.lit(SB.dropped_by_watermark(q)))
+    return kept.withColumn("dropped_rows_in_run", F.lit(SB.dropped_by_watermark(runs)))
 
 
 @register("t5_stream_distance_batches")
 def q_t5b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5, skew-safe form: dates arrive in order, one date per trigger; each
-    micro-batch runs the range-partitioned predecessor scan."""
+    """T5, skew-safe form: one date per micro-batch; each micro-batch runs the
+    range-partitioned predecessor scan seeded with the per-driver state."""
     tel = load_telemetry(spark, sf_dir)
     src = scratch_path(spark, "replay-by-date")
-    SB.write_replay_by_date(tel, src)
-    stream = SB.telemetry_stream(spark, src, tel.schema, max_files_per_trigger=1)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    SB.run_distance_batches(stream, sink, ckpt, scratch_path(spark, "stream-state"))
+    state = scratch_path(spark, "stream-state")
+    SB.replay_dates(tel, src, lambda: SB.run_distance_batches(
+        SB.telemetry_stream(spark, src, tel.schema), sink, ckpt, state))
     out = spark.read.schema(SB.TRAVEL_SCHEMA).parquet(sink)
     return out.filter(~F.col("late")).drop("late", "batch")

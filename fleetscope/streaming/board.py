@@ -226,23 +226,31 @@ def ingest_raw(spark: SparkSession, raw_dir: str, table: str, checkpoint: str,
     return run_append_sink(cleaned.select(*FIELD_NAMES), table, checkpoint)
 
 
-def write_replay_by_date(telemetry: DataFrame, path: str, newest_first: bool = False) -> int:
-    """Replay source for T4: the records of each date appended as their own
-    files, in date order (or newest first, to exercise late data), so a file
-    stream with ``maxFilesPerTrigger`` advances through time like the board's
-    cursor. One distributed write per date; the number of dates is bounded by
-    the replayed span. Returns the number of dates."""
+def replay_dates(telemetry: DataFrame, path: str, run_once, newest_first: bool = False) -> list:
+    """T4 replay cursor: append one date's records to the source folder, then
+    drain it with ``run_once()`` (an ``availableNow`` run restarting from the
+    same checkpoint), date after date. Each date is one micro-batch however
+    many files it has, and the stream restarts from its checkpoint at every
+    step. ``newest_first`` replays backwards to exercise late data.
+
+    One distributed write and one short streaming run per date; the number of
+    dates is bounded by the replayed span. Returns what each run returned.
+    """
     dates = sorted(r[0] for r in telemetry.select(F.to_date("Time").alias("d"))
                    .filter(F.col("d").isNotNull()).distinct().collect())
+    results = []
     for d in (reversed(dates) if newest_first else dates):
         telemetry.filter(F.to_date("Time") == F.lit(d)).write.mode("append").parquet(path)
-    return len(dates)
+        results.append(run_once())
+    return results
 
 
-def dropped_by_watermark(query) -> int:
-    """Rows the watermark dropped, summed over the query's progress reports."""
+def dropped_by_watermark(queries) -> int:
+    """Rows the watermark dropped, summed over the progress reports of one
+    query or of several runs of it."""
+    qs = queries if isinstance(queries, (list, tuple)) else [queries]
     return sum(op.get("numRowsDroppedByWatermark", 0)
-               for p in query.recentProgress for op in p.get("stateOperators", []))
+               for q in qs for p in q.recentProgress for op in p.get("stateOperators", []))
 
 
 # ------------------------------------------------ T5, skew-safe micro-batch form

@@ -97,20 +97,21 @@ def test_distance_batches_skew_safe_and_late(spark, tmp_dir):
     tel = load_telemetry(spark, SF_SMALL)
     hot = tel.withColumn("driverID", F.when(F.col("event_id") % 3 == 0, F.lit("HOT"))
                          .otherwise(F.col("driverID")))
-    src = f"{tmp_dir}/src"
-    SB.write_replay_by_date(hot, src)
-    stream = SB.telemetry_stream(spark, src, hot.schema, max_files_per_trigger=1)
-    SB.run_distance_batches(stream, f"{tmp_dir}/out", f"{tmp_dir}/ck", f"{tmp_dir}/st")
-    got = spark.read.schema(SB.TRAVEL_SCHEMA).parquet(f"{tmp_dir}/out")
+
+    def replay(tag, newest_first):
+        src = f"{tmp_dir}/src{tag}"
+        SB.replay_dates(hot, src, lambda: SB.run_distance_batches(
+            SB.telemetry_stream(spark, src, hot.schema), f"{tmp_dir}/out{tag}",
+            f"{tmp_dir}/ck{tag}", f"{tmp_dir}/st{tag}"), newest_first=newest_first)
+        return spark.read.schema(SB.TRAVEL_SCHEMA).parquet(f"{tmp_dir}/out{tag}")
+
+    got = replay("a", False)
     assert got.filter("late").count() == 0
     want = TR.format_travel(TR.record_travel(hot))
     assert canon(got.drop("late", "batch").toPandas()) == canon(want.toPandas())
+    assert got.select("batch").distinct().count() >= 10
     # Newest date first: all older dates are late for drivers already seen.
-    src2 = f"{tmp_dir}/src2"
-    SB.write_replay_by_date(hot, src2, newest_first=True)
-    stream = SB.telemetry_stream(spark, src2, hot.schema, max_files_per_trigger=1)
-    SB.run_distance_batches(stream, f"{tmp_dir}/out2", f"{tmp_dir}/ck2", f"{tmp_dir}/st2")
-    got2 = spark.read.schema(SB.TRAVEL_SCHEMA).parquet(f"{tmp_dir}/out2")
+    got2 = replay("b", True)
     assert got2.count() == hot.count()
     assert got2.filter("late").count() > 0
     assert got2.filter("late AND distance IS NOT NULL").count() == 0
