@@ -28,9 +28,19 @@ def with_tiebreak(telemetry: DataFrame, tiebreak: str = "event_id") -> tuple[Dat
 
 
 def record_travel(telemetry: DataFrame, tiebreak: str = "event_id",
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None,
+                  keep: list[str] | None = None) -> DataFrame:
     """W1 + P7: per record, hours since the driver's previous record and the
-    distance ``Speed x hours`` (both null for a driver's first record)."""
+    distance ``Speed x hours`` (both null for a driver's first record).
+
+    ``keep`` names the columns to carry along (default: all). The scan is
+    opaque to column pruning, so naming only what is needed keeps the other
+    columns out of the Python workers and out of the materialised table.
+    """
+    if keep is not None:
+        needed = list(dict.fromkeys(["driverID", "Time", "Speed"] + keep +
+                                    ([tiebreak] if tiebreak in telemetry.columns else [])))
+        telemetry = telemetry.select(*needed)
     df, tb = with_tiebreak(telemetry, tiebreak)
     seq = with_previous_time(df, "driverID", "Time", tb, num_partitions)
     hours = (F.col(TS) - F.col(PREV_TS)) / F.lit(3600.0)
