@@ -7,6 +7,8 @@ semantics directly, independent of the Spark implementation.
 
 from __future__ import annotations
 
+from fleetscope.schema import FIELD_NAMES, MEASURES
+
 TELEMETRY_CTE = """
 ev AS (
   SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k,
@@ -149,12 +151,7 @@ FROM (SELECT t.*, a.d, a.anchor,
                              FROM telemetry GROUP BY 1) a ON CAST(t.Time AS DATE) = a.d)
 GROUP BY d, anchor, slice_no, carPlateNumber""")
 
-MEASURE_NAMES = [
-    "total_rapid_accelerations", "total_rapid_decelerations", "total_neutral_slide",
-    "total_neutral_slide_duration", "total_overspeed", "total_overspeed_duration",
-    "total_fatigue_driving", "total_hthrottle_stop", "total_oil_leak", "average_speed",
-    "total_distance",
-]
+MEASURE_NAMES = MEASURES
 
 
 def _text(col: str) -> str:
@@ -223,10 +220,7 @@ SELECT driverID, total_rapid_accelerations FROM summary, box
 WHERE total_rapid_accelerations < q1 - 1.5 * (q3 - q1)
    OR total_rapid_accelerations > q3 + 1.5 * (q3 - q1)""", *_SUM, BOX_CTE)
 
-_FIELDS = ("driverID, carPlateNumber, Latitude, Longitude, Speed, Direction, siteName, Time, "
-           "isRapidlySpeedup, isRapidlySlowdown, isNeutralSlide, isNeutralSlideFinished, "
-           "neutralSlideTime, isOverspeed, isOverspeedFinished, overspeedTime, "
-           "isFatigueDriving, isHthrottleStop, isOilLeak")
+_FIELDS = ", ".join(FIELD_NAMES)
 WINDOWS_CTE = f"""windows AS (
   SELECT strftime(b, {FMT}) AS window_start, strftime(b + INTERVAL 30 SECOND, {FMT}) AS window_end,
     carPlateNumber, avg(Speed) AS avg_speed, count(*) AS n_records,
