@@ -48,7 +48,8 @@ def _prune_dates(df: DataFrame, lo, hi) -> DataFrame:
     if "event_date" not in df.columns:
         return df
     d = F.col("event_date")
-    return df.filter((d >= F.to_date(lo)) & (d <= F.to_date(hi)))
+    last = F.to_date(F.timestamp_add("MICROSECOND", F.lit(-1), hi))  # ``hi`` is exclusive
+    return df.filter((d >= F.to_date(lo)) & (d <= last))
 
 
 def fill_overspeed(telemetry: DataFrame) -> DataFrame:
