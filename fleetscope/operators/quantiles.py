@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1024
 MAX_PASSES = 64
+# Groups per call: the per-target ranges are broadcast and the bucket counts
+# collected, so both must stay small whatever the data size.
+MAX_GROUPS = 1000
+MAX_HISTOGRAM_ROWS = 200_000
 
 
 def exact_quantiles(long: DataFrame, key: str, value: str, probs: list[float],
@@ -27,14 +31,20 @@ def exact_quantiles(long: DataFrame, key: str, value: str, probs: list[float],
     """``{(key_value, p): quantile}`` of ``value`` within each ``key`` group.
 
     ``long`` holds ``(key, value)`` rows; nulls and NaN are ignored. A group
-    without values gives None.
+    without values gives None. Meant for few groups (at most ``MAX_GROUPS``):
+    the collected bucket counts stay below ``MAX_HISTOGRAM_ROWS`` per pass.
     """
     spark = long.sparkSession
     data = long.select(F.col(key).alias("k"), F.col(value).cast("double").alias("v")) \
         .filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    stats = {r["k"]: (r["n"], r["lo"], r["hi"]) for r in
-             data.groupBy("k").agg(F.count("v").alias("n"), F.min("v").alias("lo"),
-                                   F.max("v").alias("hi")).collect()}
+    per_group = data.groupBy("k").agg(F.count("v").alias("n"), F.min("v").alias("lo"),
+                                      F.max("v").alias("hi"))
+    head = per_group.limit(MAX_GROUPS + 1).collect()
+    if len(head) > MAX_GROUPS:
+        raise ValueError(f"exact_quantiles is for at most {MAX_GROUPS} groups")
+    stats = {r["k"]: (r["n"], r["lo"], r["hi"]) for r in head}
+    n_targets = max(1, len(stats) * 2 * len(probs))
+    buckets = max(16, min(buckets, MAX_HISTOGRAM_ROWS // n_targets))
     # targets: (group, rank) -> [lo, hi, rank offset below lo, found value]
     targets: dict[tuple, list] = {}
     for k, (n, lo, hi) in stats.items():
