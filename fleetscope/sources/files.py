@@ -64,7 +64,10 @@ def text_measures(rows: DataFrame) -> DataFrame:
 
     Blank is zero. A row without field 16 (16 fields or fewer) has all four
     measures zero even when some of them are present; the plate still counts.
+    Rows without a plate field at all (fewer than 2 fields) are left out; see
+    ``rejected_rows``.
     """
+    rows = rows.filter(F.col("n_fields") >= 2)
     short = F.col("n_fields") <= 16
     m = {
         "isOverspeedFinished": text_blank_to_zero("isOverspeedFinished", "int"),
@@ -73,12 +76,18 @@ def text_measures(rows: DataFrame) -> DataFrame:
         "neutralSlideTime": text_blank_to_zero("neutralSlideTime", "double"),
     }
     zero = {"int": F.lit(0), "double": F.lit(0.0)}
+    # A present but empty plate cell is the plate '' (the CSV reader gives null).
     return rows.select(
-        "carPlateNumber",
+        F.coalesce(F.col("carPlateNumber"), F.lit("")).alias("carPlateNumber"),
         *[F.when(short, zero["int" if k.startswith("is") else "double"]).otherwise(v).alias(k)
           for k, v in m.items()])
 
 
+def rejected_rows(rows: DataFrame) -> DataFrame:
+    """Rows too short to carry a plate (fewer than 2 fields)."""
+    return rows.filter(F.col("n_fields") < 2)
+
+
 def clean_records(df: DataFrame) -> DataFrame:
     """P2 applied to field 1 only; every other cell unchanged."""
     return df.withColumn("carPlateNumber", clean_plate("carPlateNumber"))

@@ -13,6 +13,7 @@ from fleetscope.operators import trips as TR
 from fleetscope.sources import files as FL
 from tests.fixtures import frame, record
 from tests.helpers import rows
+from tests.helpers import rows as rows_of
 
 
 def test_plate_cleaning_collapses_and_keeps_null(spark):
@@ -226,3 +227,24 @@ def test_lookup_broadcast_only_below_count(spark):
     unhinted = join_lookup(facts, small, "k", max_rows=5)._jdf.queryExecution().logical() \
         .toString()
     assert "broadcast" in hinted.lower() and "broadcast" not in unhinted.lower()
+
+
+def test_plateless_rows_rejected_and_empty_plate_kept(spark, tmp_dir):
+    header = ",".join(FL.FIELD_NAMES)
+    _write(tmp_dir, "a.csv", "\n".join([
+        header,
+        "d,,1,2,50,0,s,2017-01-01 08:00:05,,,,,1.5,1,1,2.0,1,,",
+        "lonely",
+        "d,P1,1,2,50,0,s,2017-01-01 08:00:05,,,,,,,,,,,",
+    ]) + "\n")
+    rows = FL.read_rows_text(spark, tmp_dir)
+    assert [r["n_fields"] for r in FL.rejected_rows(rows).collect()] == [1]
+    out = {r["carPlateNumber"]: r for r in rows_of(B.behaviour_by_plate(FL.text_measures(rows)))}
+    assert set(out) == {"", "P1"}
+    assert out[""]["overspeed_time"] == 2.0
+
+
+def test_empty_folder_reads_as_empty(spark, tmp_dir):
+    os.makedirs(tmp_dir + "/empty", exist_ok=True)
+    _write(tmp_dir + "/empty", "notes.txt", "x\n")
+    assert FL.read_clean_csv(spark, tmp_dir + "/empty").count() == 0
