@@ -313,8 +313,13 @@ def q_t1s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("t3_stream_alerts")
 def q_t3s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _replay(spark, sf_dir, SB.overspeed_alerts,
-                   ["window_start", "window_end", "car_plate_number"])
+    """T3 + S7: alerts leave the stream as JSON lines through foreachBatch."""
+    path, schema = _replay_source(spark, sf_dir)
+    alerts = SB.overspeed_alerts(SB.telemetry_stream(spark, path, schema))
+    sink, ckpt = scratch_path(spark, "alerts-json"), scratch_path(spark, "stream-ckpt")
+    SB.run_update_sink(alerts, sink, ckpt, fmt="json")
+    return SB.read_latest(spark, sink, ["window_start", "window_end", "car_plate_number"],
+                          json_schema=alerts.schema)
 
 
 @register("t6_stream_totals")

@@ -154,13 +154,19 @@ def record_distance(stream: DataFrame) -> DataFrame:
 
 
 def run_update_sink(stream: DataFrame, sink: str, checkpoint: str,
-                    available_now: bool = True, processing_time: str | None = None):
+                    available_now: bool = True, processing_time: str | None = None,
+                    fmt: str = "parquet"):
     """Run an update-mode query into ``sink`` through idempotent per-batch
     writes. ``available_now`` drains what exists and stops (replay);
-    ``processing_time`` (e.g. "30 seconds") keeps a live query running."""
+    ``processing_time`` (e.g. "30 seconds") keeps a live query running.
+    ``fmt="json"`` writes each updated row as one JSON object (S7)."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        out = f"{sink}/batch={batch_id}"
+        if fmt == "json":
+            alerts_to_json(batch).write.mode("overwrite").text(out)
+        else:
+            batch.write.mode("overwrite").parquet(out)
 
     writer = (stream.writeStream.outputMode("update").foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint))
@@ -172,9 +178,15 @@ def run_update_sink(stream: DataFrame, sink: str, checkpoint: str,
     return query
 
 
-def read_latest(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
-    """Newest version of each key across the per-batch outputs."""
-    df = spark.read.parquet(sink)
+def read_latest(spark: SparkSession, sink: str, keys: list[str],
+                json_schema: T.StructType | None = None) -> DataFrame:
+    """Newest version of each key across the per-batch outputs (parquet, or
+    JSON lines parsed with ``json_schema``)."""
+    if json_schema is not None:
+        df = spark.read.schema(T.StructType(json_schema.fields + [
+            T.StructField("batch", T.LongType(), True)])).json(sink)
+    else:
+        df = spark.read.parquet(sink)
     values = [c for c in df.columns if c not in keys and c != "batch"]
     latest = df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch")).alias("v"))
     return latest.select(*keys, *[F.col(f"v.{c}").alias(c) for c in values])
