@@ -19,8 +19,11 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "fleetscope") -> SparkSession:
-    """A local[n] session configured like the tests and the bench expect."""
+                  app_name: str = "fleetscope", event_log_dir: str | None = None) -> SparkSession:
+    """A local[n] session configured like the tests and the bench expect.
+
+    ``event_log_dir`` turns on Spark's event log there (stage and task times
+    for offline reading; no UI or server is started)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -34,6 +37,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
     )
+    if event_log_dir:
+        os.makedirs(event_log_dir, exist_ok=True)
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
