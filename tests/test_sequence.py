@@ -88,3 +88,22 @@ def test_session_partitions_with_aqe_coalescing(spark, skewed):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_carry_across_arrow_batches(spark, skewed):
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        got = with_previous_time(skewed, "driverID", "Time", "event_id", 3)
+        got = got.select("event_id", (F.col("_ts") - F.col(PREV_TS)).alias("dt"))
+        bad = got.join(_reference(skewed), "event_id").filter(~F.col("dt").eqNullSafe(F.col("ref")))
+        assert bad.count() == 0
+        w = Window.partitionBy("driverID").orderBy(F.col("Time").asc_nulls_first(), "event_id")
+        ref = (skewed.withColumn("dt", F.timestamp_diff("SECOND", F.lag("Time").over(w), F.col("Time")))
+               .groupBy("driverID").agg((F.sum(F.col("Speed") * F.col("dt")) / 3600.0).alias("ref")))
+        dist = TR.driver_distance(skewed, num_partitions=3)
+        bad = dist.join(ref, dist["driverID"].eqNullSafe(ref["driverID"]), "full") \
+            .filter(~F.col("total_distance").eqNullSafe(F.col("ref")))
+        assert bad.count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
