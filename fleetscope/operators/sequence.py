@@ -215,7 +215,9 @@ def step_weighted_sum(df: DataFrame, key: str, time: str, tiebreak: str, weight:
                                 TS: pd.array([last[2]], dtype="Int64"),
                                 "_w": pd.array([None], dtype="Int64")})
 
-    out = materialize(sorted_df.mapInPandas(scan, out_schema), "seq-steps")
+    # The step table is small (partial sums and two edge rows per partition):
+    # let AQE pack it into a few files instead of one per range partition.
+    out = materialize(sorted_df.mapInPandas(scan, out_schema).hint("rebalance"), "seq-steps")
     parts = out.filter(F.col("_kind") == PART).select(key, "_value")
     edges = out.filter(F.col("_kind") != PART).select(PID, "_kind", key, TS, "_w")
     fixes = _stitch(edges, key).select(
