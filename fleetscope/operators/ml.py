@@ -48,6 +48,7 @@ def driver_clusters(summary: DataFrame, k: int = 3, n_init: int = 10, seed: int
     with ThreadPoolExecutor(max_workers=max(1, min(n_init, parallelism))) as pool:
         fits = list(pool.map(fit, range(n_init)))
     model = min(fits, key=lambda f: (f[0], f[1]))[2]
+    data.unpersist()  # labels below are recomputed from the (materialised) summary
     order = sorted(range(len(model.clusterCenters())),
                    key=lambda c: tuple(model.clusterCenters()[c]))
     relabel = F.create_map(*[x for new, old in enumerate(order) for x in (F.lit(old), F.lit(new))])
@@ -81,6 +82,7 @@ def regression_coefficients(summary: DataFrame, test_fraction: float = 0.2,
                             seed: int = 0) -> DataFrame:
     """M4 output: one row per feature (plus the intercept)."""
     model, data = fit_speed_regression(summary, test_fraction, seed)
+    data.unpersist()
     spark = data.sparkSession
     rows = [(f, float(c)) for f, c in zip(REGRESSION_FEATURES, model.coefficients.toArray())]
     rows.append(("intercept", float(model.intercept)))
