@@ -183,6 +183,11 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").text(path)
 
 
+def schema_text(df: DataFrame) -> str:
+    """The schema tree ``printSchema`` shows (metadata only, no job)."""
+    return df.schema.treeString()
+
+
 def preview(df: DataFrame, n: int = 3, order: list[str] | None = None) -> DataFrame:
     """The first ``n`` rows in a stated order (a top-k, not a sort)."""
     return df.orderBy(*(order or df.columns)).limit(n)

@@ -248,3 +248,9 @@ def test_empty_folder_reads_as_empty(spark, tmp_dir):
     os.makedirs(tmp_dir + "/empty", exist_ok=True)
     _write(tmp_dir + "/empty", "notes.txt", "x\n")
     assert FL.read_clean_csv(spark, tmp_dir + "/empty").count() == 0
+
+
+def test_schema_text_lists_fields(spark):
+    df = frame(spark, [record(1)])
+    text = FL.schema_text(df)
+    assert text.startswith("root") and "|-- Time: timestamp_ntz" in text
