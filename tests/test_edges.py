@@ -3,8 +3,6 @@ range edges, empty dates, constant columns, search terms, matrix text."""
 
 import os
 
-from pyspark.sql import functions as F
-
 from fleetscope.functions.expr import clean_plate
 from fleetscope.operators import behaviour as B
 from fleetscope.operators import slices as S
@@ -13,7 +11,6 @@ from fleetscope.operators import trips as TR
 from fleetscope.sources import files as FL
 from tests.fixtures import frame, record
 from tests.helpers import rows
-from tests.helpers import rows as rows_of
 
 
 def test_plate_cleaning_collapses_and_keeps_null(spark):
@@ -237,9 +234,9 @@ def test_plateless_rows_rejected_and_empty_plate_kept(spark, tmp_dir):
         "lonely",
         "d,P1,1,2,50,0,s,2017-01-01 08:00:05,,,,,,,,,,,",
     ]) + "\n")
-    rows = FL.read_rows_text(spark, tmp_dir)
-    assert [r["n_fields"] for r in FL.rejected_rows(rows).collect()] == [1]
-    out = {r["carPlateNumber"]: r for r in rows_of(B.behaviour_by_plate(FL.text_measures(rows)))}
+    read = FL.read_rows_text(spark, tmp_dir)
+    assert [r["n_fields"] for r in FL.rejected_rows(read).collect()] == [1]
+    out = {r["carPlateNumber"]: r for r in rows(B.behaviour_by_plate(FL.text_measures(read)))}
     assert set(out) == {"", "P1"}
     assert out[""]["overspeed_time"] == 2.0
 
