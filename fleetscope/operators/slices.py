@@ -163,7 +163,8 @@ def date_filter(telemetry: DataFrame, date_text: str | None) -> DataFrame:
         return telemetry.filter(F.lit(False))
     rng = _prefix_range(date_text)
     if rng is None:
-        return telemetry.filter(format_time("Time").startswith(date_text))
+        # Time's own text (fractional seconds included when present).
+        return telemetry.filter(F.col("Time").cast("string").startswith(date_text))
     lo, hi = parse_time_literal(rng[0]), parse_time_literal(rng[1])
     return _prune_dates(telemetry.filter((F.col("Time") >= lo) & (F.col("Time") < hi)), lo, hi)
 
