@@ -21,3 +21,23 @@ def test_clean_then_analyze(spark, tmp_dir):
         assert os.path.isdir(f"{tmp_dir}/out/{name}"), name
     assert spark.read.parquet(f"{tmp_dir}/out/correlation_matrix").count() == 121
     assert spark.read.parquet(f"{tmp_dir}/out/driver_summary").count() == 15
+
+
+def test_ingest_job_is_restartable(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    raw = load_telemetry(spark, SF_SMALL, clean=False)
+    FL.write_raw_csv(raw.filter(F.col("event_id") < 300), f"{tmp_dir}/raw/a")
+    cli.ingest(spark, f"{tmp_dir}/raw/*", f"{tmp_dir}/table", f"{tmp_dir}/ckpt")
+    FL.write_raw_csv(raw.filter(F.col("event_id") >= 300), f"{tmp_dir}/raw/b")
+    cli.ingest(spark, f"{tmp_dir}/raw/*", f"{tmp_dir}/table", f"{tmp_dir}/ckpt")
+    cli.ingest(spark, f"{tmp_dir}/raw/*", f"{tmp_dir}/table", f"{tmp_dir}/ckpt")
+    assert spark.read.parquet(f"{tmp_dir}/table").count() == raw.count()
+
+
+def test_main_parses_commands(spark, tmp_dir, monkeypatch):
+    calls = []
+    monkeypatch.setattr(cli, "_session", lambda args: spark)
+    monkeypatch.setattr(cli, "clean", lambda s, raw, out: calls.append(("clean", raw, out)))
+    cli.main(["clean", "in", "out"])
+    assert calls == [("clean", "in", "out")]
