@@ -239,3 +239,28 @@ def overspeed_alerts(telemetry: DataFrame, seconds: int = SLICE_SECONDS,
     return win.filter(F.col("overspeed_count") > 0).select(
         "window_start", "window_end", F.col("carPlateNumber").alias("car_plate_number"),
         "overspeed_count", "avg_speed")
+
+
+def chart_payload(telemetry: DataFrame, start: str | datetime | None = None,
+                  seconds: int = SLICE_SECONDS, tiebreak: str = "event_id") -> DataFrame:
+    """S7 + P8 + P14: the board's per-plate chart message as one JSON object
+    per plate: ``car_plate_number``, ``avg_speed``, ``overspeed_count`` and
+    ``records`` of ``{Time text, speed, isOverspeed}`` in time order."""
+    nested = with_records(telemetry, start, seconds, tiebreak)
+    records = F.transform("records", lambda r: F.struct(
+        format_time(r["Time"]).alias("Time"), r["Speed"].alias("speed"),
+        r["isOverspeed"].alias("isOverspeed")))
+    return nested.select(F.to_json(F.struct(
+        F.col("carPlateNumber").alias("car_plate_number"), F.col("avg_speed"),
+        F.col("overspeed_count"), records.alias("records"))).alias("value"))
+
+
+CHART_SCHEMA = T.StructType([
+    T.StructField("car_plate_number", T.StringType()),
+    T.StructField("avg_speed", T.DoubleType()),
+    T.StructField("overspeed_count", T.LongType()),
+    T.StructField("records", T.ArrayType(T.StructType([
+        T.StructField("Time", T.StringType()),
+        T.StructField("speed", T.FloatType()),
+        T.StructField("isOverspeed", T.IntegerType())]))),
+])

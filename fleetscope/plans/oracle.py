@@ -250,3 +250,9 @@ SQL["t5_stream_distance"] = SQL["w1_record_travel"]
 SQL["t7_stream_ingest"] = SQL["s1_raw_csv_round_trip"]
 SQL["t4_stream_replay_cursor"] = SQL["t1_stream_speed_windows"]
 SQL["t5_stream_distance_batches"] = SQL["w1_record_travel"]
+
+SQL["s7_chart_payload"] = with_telemetry("""
+SELECT a2.carPlateNumber AS car_plate_number, a2.avg_speed, a2.overspeed_count,
+       r.Time, r.Speed AS speed, r.isOverspeed
+FROM a2 JOIN records r ON r.car_plate_number = a2.carPlateNumber""",
+                                         SLICE_CTE, A2_CTE, RECORDS_CTE)

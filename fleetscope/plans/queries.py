@@ -382,3 +382,14 @@ def q_t5b(spark: SparkSession, sf_dir: str) -> DataFrame:
         SB.telemetry_stream(spark, src, tel.schema), sink, ckpt, state))
     out = spark.read.schema(SB.TRAVEL_SCHEMA).parquet(sink)
     return out.filter(~F.col("late")).drop("late", "batch")
+
+
+@register("s7_chart_payload")
+def q_s7c(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chart message written as JSON lines, read back and flattened."""
+    payload = S.chart_payload(load_telemetry(spark, sf_dir), BOARD_START, BOARD_SECONDS)
+    path = scratch_path(spark, "chart-json")
+    FL.write_json_lines(payload, path)
+    back = spark.read.schema(S.CHART_SCHEMA).json(path)
+    return back.select("car_plate_number", "avg_speed", "overspeed_count",
+                       F.inline("records"))
