@@ -66,16 +66,17 @@ def correlation_matrix(summary: DataFrame, columns: list[str] | None = None) ->
     A zero-variance column gives null instead of a division error.
     """
     cols = columns or [c for c in MEASURES if c in summary.columns]
+    # One generated expression (a single parse) instead of hundreds of
+    # column-builder calls: the pair array is the same either way.
     pairs = []
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):
             b = cols[j]
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            pairs.append(F.struct(
-                F.lit(i).alias("i"), F.lit(j).alias("j"),
-                F.when(both, F.col(a).cast("double")).alias("x"),
-                F.when(both, F.col(b).cast("double")).alias("y")))
-    long = summary.select(F.inline(F.array(*pairs)))
+            both = f"`{a}` IS NOT NULL AND `{b}` IS NOT NULL"
+            pairs.append(f"named_struct('i', {i}, 'j', {j}, "
+                         f"'x', CASE WHEN {both} THEN CAST(`{a}` AS DOUBLE) END, "
+                         f"'y', CASE WHEN {both} THEN CAST(`{b}` AS DOUBLE) END)")
+    long = summary.selectExpr(f"inline(array({', '.join(pairs)}))")
     agg = long.groupBy("i", "j").agg(
         F.covar_samp("x", "y").alias("cov"),
         F.stddev_samp("x").alias("sx"),
