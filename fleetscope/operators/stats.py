@@ -28,10 +28,10 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def to_long(df: DataFrame, columns: list[str], name: str = "measure",
             value: str = "value") -> DataFrame:
     """Unpivot ``columns`` to ``(measure, measure_idx, value)`` rows."""
-    pairs = F.array(*[F.struct(F.lit(c).alias(name), F.lit(i).alias(f"{name}_idx"),
-                               F.col(c).cast("double").alias(value))
-                      for i, c in enumerate(columns)])
-    return df.select(F.inline(pairs))
+    structs = ", ".join(
+        f"named_struct('{name}', '{c}', '{name}_idx', {i}, '{value}', CAST(`{c}` AS DOUBLE))"
+        for i, c in enumerate(columns))
+    return df.selectExpr(f"inline(array({structs}))")
 
 
 def summary_stats(summary: DataFrame, columns: list[str] | None = None) -> DataFrame:
