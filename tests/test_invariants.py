@@ -156,3 +156,30 @@ def test_earliest_per_date_small(spark):
     pdf = tel.select("Time").toPandas()
     want = pdf[pdf["Time"].dt.strftime("%Y-%m-%d") == "2017-01-01"]["Time"].min()
     assert e == want.strftime("%Y-%m-%d %H:%M:%S")
+
+
+def test_kmeans_cost_close_to_numpy_lloyd(summary):
+    from fleetscope.operators.ml import assemble
+
+    pdf = summary.toPandas()[MEASURES].astype(float).fillna(0.0)
+    x = pdf.to_numpy()
+
+    def lloyd(seed):
+        rng = np.random.default_rng(seed)
+        c = x[rng.choice(len(x), 3, replace=False)]
+        for _ in range(300):
+            lab = ((x[:, None, :] - c[None]) ** 2).sum(-1).argmin(1)
+            new = np.array([x[lab == j].mean(0) if (lab == j).any() else c[j] for j in range(3)])
+            if np.allclose(new, c):
+                break
+            c = new
+        return ((x - c[lab]) ** 2).sum()
+
+    best_numpy = min(lloyd(s) for s in range(10))
+    labels = ML.driver_clusters(summary).toPandas()
+    feats = assemble(summary).select("driverID", *MEASURES).toPandas()
+    merged = feats.merge(labels, on="driverID")
+    centres = merged.groupby("cluster")[MEASURES].mean()
+    ours = sum(((merged[merged["cluster"] == j][MEASURES] - centres.loc[j]) ** 2).to_numpy().sum()
+               for j in centres.index)
+    assert ours <= best_numpy * 1.05
