@@ -118,7 +118,7 @@ def _chain(segments: DataFrame) -> DataFrame:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """All true records under ``path``: file, offset, record_type, record_id, refers_to, uri,
+    """All true records under ``path``: file, record_type, record_id, refers_to, uri,
     payload_digest (as the header states it), block (bytes) and payload (bytes after the HTTP head)."""
     segments = _segments(spark, path)
     order = Window.partitionBy("file").orderBy("block", "row")
@@ -135,10 +135,16 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     named = named.withColumn("record", F.last(F.when(F.col("begins"), F.col("offset")), True).over(order)).filter("record is not null")
     # after a break in the chain, what follows the last record belongs to nothing
     ends = named.withColumn("end", F.last(F.when(F.col("begins"), F.col("succ")), True).over(order)).filter(F.col("offset") < F.col("end"))
-    parts = segments.select("file", "block", "row", "value").join(ends.select("file", "block", "row", "record", "k", "begins", "end", "offset", "size"), ["file", "block", "row"])
-    whole = parts.filter(F.col("offset") + n + F.col("size") >= F.col("end")).filter("begins").select("file", "record", "value")
-    torn = (parts.join(whole.select("file", "record"), ["file", "record"], "left_anti").groupBy("file", "record")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "value"))), lambda x: x.value), VERSION_LINE).alias("value")))
+    # nearly every segment is one whole record, so the text moves only where a payload was torn:
+    # the exceptions are a small table of places, broadcast only where its size on disk allows
+    ends = ends.withColumn("whole", F.coalesce(F.col("begins") & (F.col("offset") + n + F.col("size") >= F.col("end")), F.lit(False)))
+    kept = held(ends.select("file", "block", "row", "record", "k", "whole"), "warc-kept")
+    texts = segments.select("file", "block", "row", "value")
+    odd = held(placed.select("file", "block", "row").join(kept.filter("whole"), ["file", "block", "row"], "left_anti"), "warc-odd")
+    whole = texts.join(odd, ["file", "block", "row"], "left_anti").select("file", "value")
+    torn = (texts.join(held(kept.filter("not whole"), "warc-torn"), ["file", "block", "row"]).groupBy("file", "record")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "value"))), lambda x: x.value), VERSION_LINE).alias("value"))
+            .drop("record"))
     # records are whole only if their bytes are there up to the end that the header states
     rec = whole.unionByName(torn)
     rec = rec.withColumn("header", F.substring_index("value", RECORD_END, 1))
@@ -149,7 +155,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     rec = rec.filter(F.octet_length("block") == F.col("length"))
     text = F.col("block").cast("string")
     head = F.octet_length(F.substring_index(text, RECORD_END, 1)) + len(RECORD_END)
-    return rec.select("file", F.col("record").alias("offset"), field("WARC-Type").alias("record_type"),
+    return rec.select("file", field("WARC-Type").alias("record_type"),
                       field("WARC-Record-ID").alias("record_id"), field("WARC-Refers-To").alias("refers_to"),
                       field("WARC-Target-URI").alias("uri"), field("WARC-Payload-Digest").alias("payload_digest"), "block",
                       F.when(F.col("length") > 0, F.substring(F.col("block"), head + 1, F.col("length"))).otherwise(F.lit(b"")).alias("payload"))
