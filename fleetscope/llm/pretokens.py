@@ -130,8 +130,23 @@ _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 SHORT = 16
 
 
-def distinct(data: np.ndarray, p: Pieces) -> tuple[list[bytes], np.ndarray]:
-    """The distinct tokens of a chunk, and for each token the index of its own.
+def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``values[s:s + n]`` of all (s, n), one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.arange(total, dtype=np.int64)
+    at += np.repeat(starts - (ends - sizes), sizes)
+    return values[at]
+
+
+def texts_of(data: np.ndarray, p: Pieces, which: np.ndarray) -> list[bytes]:
+    """The bytes of the given tokens."""
+    raw = data.tobytes()
+    return [raw[s:e] for s, e in zip(p.start[which].tolist(), p.end[which].tolist(), strict=True)]
+
+
+def distinct(data: np.ndarray, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """One token index for each distinct token of a chunk, and for each token the number of its own.
 
     Tokens up to 16 bytes are compared as two whole words of 64 bits, longer
     ones (and those with a NUL) as Python bytes: no two tokens are ever taken
@@ -155,14 +170,14 @@ def distinct(data: np.ndarray, p: Pieces) -> tuple[list[bytes], np.ndarray]:
     rep = at[one]
     same = (lo[rep[inv]] == lo[at]) & (hi[rep[inv]] == hi[at])
     code[at] = inv
-    found = [data[s:e].tobytes() for s, e in zip(p.start[rep].tolist(), p.end[rep].tolist(), strict=True)]
     rest = np.concatenate([np.flatnonzero(~short), at[~same]])
     if len(rest):
         known: dict[bytes, int] = {}
-        for i, s, e in zip(rest.tolist(), p.start[rest].tolist(), p.end[rest].tolist(), strict=True):
-            t = data[s:e].tobytes()
+        more = []
+        for i, t in zip(rest.tolist(), texts_of(data, p, rest), strict=True):
             if t not in known:
-                known[t] = len(found)
-                found.append(t)
+                known[t] = len(rep) + len(more)
+                more.append(i)
             code[i] = known[t]
-    return found, code
+        rep = np.concatenate([rep, np.array(more, np.int64)])
+    return rep, code

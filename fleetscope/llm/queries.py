@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import encode_decode
 from .common import ship_package, table
 from .mixing import mix
+from .tokencount import token_counts
 from .warc import warc_round_trip
 
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizer files lie; they are never part of this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -29,11 +40,22 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("uri")
 
 
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 @query
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                         outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
 SQL["op1_warc"] = """
 SELECT page_id, strlen(p) AS payload_bytes,
        translate(upper(concat(to_base(('0x' || substr(h, 1, 10))::BIGINT, 32, 8), to_base(('0x' || substr(h, 11, 10))::BIGINT, 32, 8),
