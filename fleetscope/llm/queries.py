@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encode_decode
 from .common import ship_package, table
+from .linededup import line_report
 from .mixing import mix
 from .tokencount import token_counts
 from .warc import warc_round_trip
@@ -56,6 +57,33 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                          outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
+# Words in order of rarity; lines that reach 0.8 share one of their first n - ceil(0.8 n) + 1.
+SQL["op8_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(l))) AS line, unnest(l) AS t FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)),
+sets AS (
+  SELECT doc_id, line, list_distinct(list_filter(regexp_split_to_array(lower(t), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS ws FROM lines),
+used AS (SELECT doc_id, line, len(ws) AS n, unnest(ws) AS w FROM sets WHERE len(ws) > 0),
+freq AS (SELECT w, count(*) AS f FROM used GROUP BY w),
+ranked AS (SELECT doc_id, line, n, used.w, row_number() OVER (PARTITION BY doc_id, line ORDER BY f, used.w) AS k FROM used JOIN freq ON used.w = freq.w),
+prefix AS (SELECT * FROM ranked WHERE k <= n - ceil(n * 80 / 100.0) + 1),
+pairs AS (
+  SELECT DISTINCT a.doc_id AS d1, a.line AS l1, b.doc_id AS d2, b.line AS l2 FROM prefix a JOIN prefix b ON a.w = b.w
+  WHERE (a.doc_id, a.line) < (b.doc_id, b.line) AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+matched AS (
+  SELECT DISTINCT d2 AS doc_id, l2 AS line FROM pairs JOIN sets x ON x.doc_id = d1 AND x.line = l1 JOIN sets y ON y.doc_id = d2 AND y.line = l2
+  WHERE 100 * len(list_intersect(x.ws, y.ws)) >= 80 * (len(x.ws) + len(y.ws) - len(list_intersect(x.ws, y.ws)))),
+per AS (SELECT doc_id, count(*) AS n_removed, string_agg(line, ',' ORDER BY line) AS removed FROM matched GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
+FROM documents d LEFT JOIN per ON d.doc_id = per.doc_id
+"""
+
+
 SQL["op1_warc"] = """
 SELECT page_id, strlen(p) AS payload_bytes,
        translate(upper(concat(to_base(('0x' || substr(h, 1, 10))::BIGINT, 32, 8), to_base(('0x' || substr(h, 11, 10))::BIGINT, 32, 8),
