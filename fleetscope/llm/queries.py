@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encode_decode
 from .common import ship_package, table
+from .jaccard import jaccard_components
 from .linededup import line_report
 from .mixing import mix
 from .tokencount import token_counts
@@ -84,6 +85,29 @@ FROM documents d LEFT JOIN per ON d.doc_id = per.doc_id
 """
 
 
+@query
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+SQL["op9_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, s FROM (
+  SELECT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+                             WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id
+  JOIN size m ON m.doc_id = a.doc_id JOIN size n ON n.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, m.n, n.n HAVING 100 * count(*) >= 90 * (m.n + n.n - count(*))),
+reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT l.x, reach.r FROM reach JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) l ON l.y = reach.doc_id)
+SELECT d.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(r) AS component_id
+FROM documents d JOIN reach ON reach.doc_id = d.doc_id LEFT JOIN size ON size.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 SQL["op1_warc"] = """
 SELECT page_id, strlen(p) AS payload_bytes,
        translate(upper(concat(to_base(('0x' || substr(h, 1, 10))::BIGINT, 32, 8), to_base(('0x' || substr(h, 11, 10))::BIGINT, 32, 8),
