@@ -15,6 +15,7 @@ from .linededup import line_report
 from .mixing import mix
 from .tokencount import token_counts
 from .topk import top_k
+from .toxicity import toxicity
 from .warc import warc_round_trip
 
 
@@ -74,6 +75,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
