@@ -11,6 +11,7 @@ from .ann import nearest
 from .bpe import encode_decode
 from .common import ship_package, table
 from .jaccard import jaccard_components
+from .licenses import scan_licenses
 from .linededup import line_report
 from .mixing import mix
 from .tokencount import token_counts
@@ -80,6 +81,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
