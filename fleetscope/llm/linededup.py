@@ -34,31 +34,38 @@ from pyspark.sql import functions as F
 from .common import SPACE_PATTERN, held
 
 PERCENT = 80
-BUCKETS = 1 << 16
-HOT = 256
+BUCKET_BITS = 18
+HOT = 64
 LEADERS = 4
 MIN_LONG = -(1 << 63)
 #: Line numbers of a repeated doc_id's k-th row begin at k times this.
 ROW_STEP = 1 << 40
 
 
+def tokens(text: Column) -> Column:
+    """Lower-case words of a line, and empty strings between blanks in a row.
+
+    Splitting at one blank needs no regular expression; other white space, which is rare, is made a blank first."""
+    plain = F.when(text.rlike(r"[\x09-\x0D]"), F.regexp_replace(text, SPACE_PATTERN, " ")).otherwise(text)
+    return F.split(F.lower(plain), " ")
+
+
 def words(text: Column) -> Column:
     """Distinct lower-case words of a line."""
-    return F.array_distinct(F.filter(F.split(F.lower(text), SPACE_PATTERN), lambda w: w != ""))
+    return F.array_remove(F.array_distinct(tokens(text)), "")
 
 
 def _bucket(h: Column) -> Column:
-    return F.shiftrightunsigned(h, 48)
+    return F.shiftrightunsigned(h, 64 - BUCKET_BITS).cast("int")
 
 
-def word_levels(docs: DataFrame, text: str) -> bytes:
-    """One byte per bucket: 4 times the binary logarithm of its words' occurrences."""
-    h = _bucket(F.xxhash64("w")).cast("int")
-    counts = docs.select(F.explode(F.split(F.lower(F.col(text)), SPACE_PATTERN)).alias("w")).groupBy(h.alias("b")).count()
-    out = bytearray(BUCKETS)
-    for r in counts.select("b", F.least(F.lit(127), F.floor(4 * F.log2(F.col("count") + 1))).alias("level")).collect():  # BUCKETS rows at most
+def word_levels(docs: DataFrame, text: str) -> Column:
+    """Level of every bucket, an array: 4 times the binary logarithm of its words' occurrences."""
+    counts = docs.select(F.explode(tokens(F.col(text))).alias("w")).groupBy(_bucket(F.xxhash64("w")).alias("b")).count()
+    out = [0] * (1 << BUCKET_BITS)
+    for r in counts.select("b", F.least(F.lit(127), F.floor(4 * F.log2(F.col("count") + 1))).alias("level")).collect():  # one row per bucket at most
         out[r["b"]] = r["level"]
-    return bytes(out)
+    return F.expr("cast(split('" + ",".join(map(str, out)) + "', ',') as array<int>)")
 
 
 def _least_shared(n: Column, percent: int) -> Column:
@@ -96,7 +103,20 @@ def _earlier(a: str, b: str) -> Column:
     return (F.col(f"{a}.doc_id") < F.col(f"{b}.doc_id")) | ((F.col(f"{a}.doc_id") == F.col(f"{b}.doc_id")) & (F.col(f"{a}.line") < F.col(f"{b}.line")))
 
 
-def _pairs(joined: DataFrame) -> DataFrame:
+def _index_prefix(n: Column, percent: int) -> Column:
+    """Of a set of n words and one that is not smaller, a shared word is among the first so many of the former."""
+    return n - F.floor((2 * percent * n + 99 + percent) / (100 + percent)) + 1
+
+
+def _apart(a: str, b: str) -> Column:
+    return (F.col(f"{a}.doc_id") != F.col(f"{b}.doc_id")) | (F.col(f"{a}.line") != F.col(f"{b}.line"))
+
+
+def _pairs(joined: DataFrame, either: bool = False) -> DataFrame:
+    """Places of the earlier and the later line; ``either``: the sides x and y come in any order."""
+    if either:
+        x, y = F.struct("x.doc_id", "x.line"), F.struct("y.doc_id", "y.line")
+        joined = joined.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
     return joined.select(F.col("x.doc_id").alias("d1"), F.col("x.line").alias("l1"), F.col("y.doc_id").alias("d2"), F.col("y.line").alias("l2"))
 
 
@@ -120,10 +140,10 @@ def _verified(pairs: DataFrame, numbered: DataFrame, percent: int) -> DataFrame:
 def removed_lines(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """((doc_id, line) of every removed line, the numbered documents)."""
     numbered = _numbered(docs, doc_id, text)
-    levels = F.lit(word_levels(docs, text))
-    level = lambda h: F.ascii(F.substring(levels, (_bucket(h) + 1).cast("int"), F.lit(1)).cast("string"))
-    rank = lambda h: F.shiftleft(level(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-    hashes = F.transform(words(F.col("line_text")), lambda w: F.xxhash64(w))
+    levels = word_levels(docs, text)
+    rank = lambda h: F.shiftleft(F.get(levels, _bucket(h)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    # words are told apart by their hash from here to the verification
+    hashes = F.array_remove(F.array_distinct(F.transform(tokens(F.col("line_text")), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
     keyed = _lines(numbered).select("doc_id", "line", F.sort_array(F.transform(hashes, rank)).alias("keys"))
     n = F.size("keys")
     head = n - _least_shared(n, percent) + 1
@@ -140,7 +160,9 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id
         "doc_id", "line", "n", "sig", F.posexplode("prefix").alias("at", "w"))
     hot = held(postings.groupBy("w").count().filter(F.col("count") > HOT).select("w"), "lines-hot")
     cold = postings.join(hot, "w", "left_anti")
-    pairs = _pairs(cold.alias("x").join(cold.alias("y").hint("shuffle_hash"), (F.col("x.w") == F.col("y.w")) & _earlier("x", "y") & _passes("x", "y", percent)))
+    # of two sets the smaller one shares a word among still fewer: only those are built into the hash table
+    pairs = _pairs(cold.alias("y").join(cold.filter(F.col("at") < _index_prefix(F.col("n"), percent)).alias("x").hint("shuffle_hash"),
+                                        (F.col("x.w") == F.col("y.w")) & (F.col("x.n") <= F.col("y.n")) & _apart("x", "y") & _passes("x", "y", percent)), True)
     if hot.isEmpty():
         matched = _verified(pairs, numbered, percent)
     else:
