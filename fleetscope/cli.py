@@ -39,10 +39,10 @@ def _read_input(spark: SparkSession, path: str, fmt: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, raw: str, out: str) -> None:
-    raw_df = files.with_source_file(files.read_raw_csv(spark, raw))
-    cleaned = files.clean_records(raw_df)
-    files.write_clean_csv(cleaned, f"{out}/csv", source_col="source_file")
-    files.write_telemetry_table(cleaned.drop("source_file"), f"{out}/table")
+    cells = files.clean_cells(files.read_cells(spark, raw))
+    files.write_cells(cells, f"{out}/csv")
+    files.write_telemetry_table(files.typed_records(cells), f"{out}/table")
+    files.rejected_cells(cells).write.mode("overwrite").parquet(f"{out}/rejects")
 
 
 def analyze(spark: SparkSession, src: str, out: str, fmt: str = "csv", seed: int = 0) -> None:

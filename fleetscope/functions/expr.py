@@ -90,14 +90,19 @@ def same_day(a: str | Column, b: str | Column) -> Column:
 def text_of(c: str | Column, dtype: T.DataType) -> Column:
     """How a cell prints as text, lower-cased.
 
-    Whole doubles print as ``<integer>.0`` (Spark would switch to ``1.0E7``
-    notation at ten million); other values use Spark's own rendering.
+    Doubles between 1e-4 and 1e16 print in plain decimals, whole ones as
+    ``<integer>.0`` (Spark would switch to an exponent below 1e-3 and from 1e7 on);
+    other values use Spark's own rendering.
     """
     col = _c(c)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        whole = (col == F.floor(col)) & (F.abs(col) < F.lit(1e15))
+        size = F.abs(col)
+        whole = (col == F.floor(col)) & (size < F.lit(1e16))
+        plain = (size >= F.lit(1e-4)) & (size < F.lit(1e16))
+        # the shortest digits as Spark prints them, without the exponent
+        decimal = F.regexp_replace(col.cast("string").try_cast("decimal(38,21)").cast("string"), "0+$", "")
         rendered = F.when(whole, F.concat(col.cast("bigint").cast("string"), F.lit(".0"))) \
-            .otherwise(col.cast("string"))
+            .when(plain, decimal).otherwise(col.cast("string"))
         return F.lower(rendered)
     return F.lower(col.cast("string"))
 

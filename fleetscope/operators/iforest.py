@@ -4,7 +4,7 @@ Spark ML has no isolation forest, so it is built from Spark pieces:
 
 1. Sample: every row takes part in tree ``t`` when a seeded hash of
    ``(key, t)`` falls below a rate chosen so a tree sees about 1.5 x
-   ``max_samples`` candidates; per tree the ``max_samples`` smallest hashes
+   ``max_samples`` candidates (doubled until every tree has enough); per tree the ``max_samples`` smallest hashes
    are kept (sampling without replacement, independent per tree). Only the
    selected (tree, row) pairs are ever produced.
 2. Grow: ``groupBy("tree").applyInPandas`` builds each tree from its sample
@@ -14,7 +14,7 @@ Spark ML has no isolation forest, so it is built from Spark pieces:
    bound independent of the data size) is broadcast to a vectorised pandas
    UDF computing ``2 ** (-E[h(x)] / c(max_samples))`` per row.
 4. Label: -1 above the ``1 - contamination`` quantile of the score, else 1;
-   the quantile comes from a bounded-memory sketch.
+   the quantile is exact.
 """
 
 from __future__ import annotations
@@ -27,8 +27,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetscope.operators.quantiles import column_quantiles
 from fleetscope.schema import MEASURES
 from fleetscope.session import ship_package
+from fleetscope.sources.sinks import materialize
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType(), False),
@@ -81,11 +83,16 @@ def fit_forest(features: DataFrame, columns: list[str], key: str = "driverID",
     ship_package(features.sparkSession)
     n = features.count()
     m = max(1, min(max_samples, n))
-    rate = min(1.0, 1.5 * m / max(n, 1))
     scale = float(2 ** 63)
     u = lambda t: (F.abs(F.xxhash64(F.col(key), F.lit(seed), t).cast("double")) / F.lit(scale))
-    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: u(t) < F.lit(rate))
-    picked = features.select(key, *columns, F.explode(trees).alias("tree"))
+    rate = min(1.0, 1.5 * m / max(n, 1))
+    while True:
+        trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t, r=rate: u(t) < F.lit(r))
+        picked = features.select(key, *columns, F.explode(trees).alias("tree"))
+        sizes = [r["count"] for r in picked.groupBy("tree").count().collect()]  # one row per tree
+        if rate >= 1.0 or n == 0 or (len(sizes) == n_trees and min(sizes) >= m):
+            break
+        rate = min(1.0, 2 * rate)  # some tree has too few candidates
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(u(F.col("tree")), key))
     sample = picked.withColumn("_r", rank).filter(F.col("_r") <= m).drop("_r")
     max_depth = int(math.ceil(math.log2(max(m, 2))))
@@ -165,11 +172,11 @@ def driver_anomalies(summary: DataFrame, columns: list[str] = MEASURES, key: str
                      seed: int = 0) -> DataFrame:
     """M6: ``(driverID, score, anomaly)`` with anomaly -1 for about the
     ``contamination`` share of most isolated rows and 1 otherwise."""
-    features = summary.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
-                                     for c in columns])
+    features = materialize(summary.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
+                                     for c in columns]), "anomaly-features")
     nodes = fit_forest(features, columns, key, n_trees, max_samples, seed)
-    scored = anomaly_scores(features, nodes, columns, n_trees, max_samples)
-    q = scored.agg(F.percentile_approx("score", 1.0 - contamination, 100_000).alias("q")).first()["q"]
+    scored = materialize(anomaly_scores(features, nodes, columns, n_trees, max_samples).select(key, "score"), "anomaly-scores")
+    q = column_quantiles(scored, "score", [1.0 - contamination])[0]
     label = F.when(F.col("score") > F.lit(q), F.lit(-1)).otherwise(F.lit(1)) if q is not None \
         else F.lit(1)
     return scored.select(key, "score", label.cast("int").alias("anomaly"))

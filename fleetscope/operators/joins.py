@@ -1,20 +1,14 @@
-"""Joining a derived lookup table back onto the facts, broadcast only when proven small."""
+"""Joining a derived lookup table back onto the facts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Rows above which a lookup table is shuffle-joined instead of broadcast.
-BROADCAST_MAX_ROWS = 100_000
 
+def join_lookup(facts: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join ``lookup`` (materialised, so its size on disk is known) onto ``facts``.
 
-def join_lookup(facts: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "inner",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join ``lookup`` (already materialised, so counting it is cheap) onto
-    ``facts``. It is broadcast only when its row count is at most ``max_rows``;
-    otherwise both sides are shuffled on the key (and AQE may still pick a
-    broadcast at run time from the measured size)."""
-    n = lookup.count()
-    side = F.broadcast(lookup) if n <= max_rows else lookup
-    return facts.join(side, on=on, how=how)
+    No hint and no row count: Spark broadcasts the lookup only where its size is
+    below ``spark.sql.autoBroadcastJoinThreshold``, and else shuffles both sides,
+    splitting hot keys (AQE skew join)."""
+    return facts.join(lookup, on=on, how=how)

@@ -1,103 +1,59 @@
-"""Exact quantiles with bounded memory (used by A5 medians and A11 quartiles).
+"""Exact quantiles in one sort (used by A5 medians, A11 quartiles, M6's threshold).
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. Here each quantile is found by narrowing a value range:
-a pass counts the rows of every (group, target rank) in ``buckets`` equal
-slices of its current range (a hash aggregate whose output is at most
-groups x targets x buckets rows, whatever the data size), and the slice
-holding the target rank becomes the next range, bounded by the slice's own
-minimum and maximum. A range holding a single distinct value is exact. Only
-those bucket counts reach the driver. Results use linear interpolation
-between the two closest ranks, like ``percentile`` and numpy's default.
+aggregation buffer. Here equal values are counted first, the distinct ones are
+range-partitioned by (group, value) over many tasks, and their running counts are
+sums within a range plus the totals of the ranges before it. The rows that hold
+the wanted ranks are then a filter: no passes, no caps on groups or values, and
+any double (infinities, denormals) has its place. Results use linear
+interpolation between the two closest ranks, like ``percentile`` and numpy.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
-MAX_PASSES = 64
-# Groups per call: the per-target ranges are broadcast and the bucket counts
-# collected, so both must stay small whatever the data size.
-MAX_GROUPS = 1000
-MAX_HISTOGRAM_ROWS = 200_000
+from fleetscope.sources.sinks import materialize
 
 
-def exact_quantiles(long: DataFrame, key: str, value: str, probs: list[float],
-                    buckets: int = BUCKETS) -> dict:
-    """``{(key_value, p): quantile}`` of ``value`` within each ``key`` group.
+def quantile_table(long: DataFrame, key: str, value: str, probs: list[float]) -> DataFrame:
+    """``(k, p, quantile)``: one row per group with values and per probability.
 
-    ``long`` holds ``(key, value)`` rows; nulls and NaN are ignored. A group
-    without values gives None. Meant for few groups (at most ``MAX_GROUPS``):
-    the collected bucket counts stay below ``MAX_HISTOGRAM_ROWS`` per pass.
-    """
-    spark = long.sparkSession
+    ``long`` holds ``(key, value)`` rows; nulls and NaN are ignored."""
     data = long.select(F.col(key).alias("k"), F.col(value).cast("double").alias("v")) \
         .filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    per_group = data.groupBy("k").agg(F.count("v").alias("n"), F.min("v").alias("lo"),
-                                      F.max("v").alias("hi"))
-    head = per_group.limit(MAX_GROUPS + 1).collect()
-    if len(head) > MAX_GROUPS:
-        raise ValueError(f"exact_quantiles is for at most {MAX_GROUPS} groups")
-    stats = {r["k"]: (r["n"], r["lo"], r["hi"]) for r in head}
-    n_targets = max(1, len(stats) * 2 * len(probs))
-    buckets = max(16, min(buckets, MAX_HISTOGRAM_ROWS // n_targets))
-    # targets: (group, rank) -> [lo, hi, rank offset below lo, found value]
-    targets: dict[tuple, list] = {}
-    for k, (n, lo, hi) in stats.items():
-        for p in probs:
-            pos = (n - 1) * p
-            for r in {math.floor(pos), math.ceil(pos)}:
-                targets[(k, r)] = [lo, hi, 0, lo if lo == hi else None]
-    for _ in range(MAX_PASSES):
-        active = {t: s for t, s in targets.items() if s[3] is None}
-        if not active:
-            break
-        rows = [(i, t[0], s[0], s[1]) for i, (t, s) in enumerate(active.items())]
-        ids = list(active)
-        ranges = spark.createDataFrame(rows, f"tid int, k {data.schema['k'].dataType.simpleString()}, "
-                                             "lo double, hi double")
-        width = (F.col("hi") - F.col("lo")) / F.lit(float(buckets))
-        bucket = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(buckets - 1))
-        # ``ranges`` has one row per unresolved (group, rank): at most groups x 2 x probs.
-        hist = (data.join(F.broadcast(ranges), "k")
-                .filter((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-                .groupBy("tid", bucket.alias("b"))
-                .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
-                .collect())
-        per: dict[int, list] = {}
-        for r in hist:
-            per.setdefault(r["tid"], []).append((r["b"], r["c"], r["mn"], r["mx"]))
-        for tid, t in enumerate(ids):
-            s = targets[t]
-            below = s[2]
-            for _b, c, mn, mx in sorted(per.get(tid, [])):
-                if t[1] < below + c:
-                    s[0], s[1], s[2] = mn, mx, below
-                    if mn == mx:
-                        s[3] = mn
-                    break
-                below += c
-    out = {}
-    for k, (n, _lo, _hi) in stats.items():
-        for p in probs:
-            pos = (n - 1) * p
-            lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            a, b = targets[(k, lo_r)][3], targets[(k, hi_r)][3]
-            if a is None or b is None:
-                out[(k, p)] = None
-            elif lo_r == hi_r:
-                out[(k, p)] = a
-            else:
-                out[(k, p)] = (hi_r - pos) * a + (pos - lo_r) * b
-    return out
+    counted = data.groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
+    # written once: range borders are sampled per execution, and all consumers need the same
+    ranged = materialize(counted.repartitionByRange("k", "v").withColumn("part", F.spark_partition_id()), "quantile-values")
+    parts = ranged.groupBy("k", "part").agg(F.sum("c").alias("rows"))
+    before = Window.partitionBy("k").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col("k").alias("_k"), F.col("part").alias("_part"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"),
+                         F.sum("rows").over(Window.partitionBy("k")).alias("n"))
+    inside = Window.partitionBy("k", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = ranged.withColumn("_to", F.sum("c").over(inside))
+    ranked = ranked.join(parts, ranked["k"].eqNullSafe(parts["_k"]) & (ranked["part"] == parts["_part"]))
+    last = F.col("start") + F.col("_to") - 1
+    ranked = ranked.select("k", "v", "n", (last - F.col("c") + 1).alias("lo"), last.alias("hi"))
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("p")) for p in probs])
+    asked = ranked.select("k", "v", "lo", "hi", F.explode(wanted).alias("w"), "n").withColumn("pos", (F.col("n") - 1) * F.col("w.p"))
+    holds = lambda r: (F.col("lo") <= r) & (r <= F.col("hi"))
+    low, high = F.floor("pos"), F.ceil("pos")
+    hit = asked.filter(holds(low) | holds(high))
+    per = hit.groupBy("k", F.col("w.p").alias("p")).agg(F.max(F.when(holds(low), F.col("v"))).alias("a"), F.max(F.when(holds(high), F.col("v"))).alias("b"),
+                                                        F.first("pos").alias("pos"))
+    mixed = (F.ceil("pos") - F.col("pos")) * F.col("a") + (F.col("pos") - F.floor("pos")) * F.col("b")
+    return per.select("k", "p", F.when(F.col("a") == F.col("b"), F.col("a")).when(F.floor("pos") == F.col("pos"), F.col("a"))
+                      .otherwise(mixed).alias("quantile"))
+
+
+def exact_quantiles(long: DataFrame, key: str, value: str, probs: list[float]) -> dict:
+    """``{(key_value, p): quantile}`` on the driver: one entry per group and probability."""
+    return {(r["k"], r["p"]): r["quantile"] for r in quantile_table(long, key, value, probs).collect()}
 
 
 def column_quantiles(df: DataFrame, column: str, probs: list[float]) -> list:
     """Exact quantiles of one column, in the order of ``probs``."""
     long = df.select(F.lit(0).alias("k"), F.col(column).alias("v"))
     res = exact_quantiles(long, "k", "v", probs)
-    return [res.get((0, p)) for p in probs]
+    return [res.get((0, float(p))) for p in probs]

@@ -1,225 +1,78 @@
 """Predecessor of each record in time order per key, skew-safe.
 
-``lag(Time).over(Window.partitionBy(key).orderBy(Time))`` hash-partitions on
-the key, so every record of one key lands in one task. If one driver holds a
-third of all rows, one task holds a third of the data. Here:
-
-1. The rows are range-partitioned on ``(key, seconds, tiebreak)``. Range
-   boundaries are sampled over the whole composite key, so a hot key is cut
-   into many partitions along time, and partitions are balanced by rows.
-2. Each partition is sorted and scanned once in Arrow batches
-   (``mapInPandas``): a row's predecessor is the previous row when the key
-   is equal; the last row of a batch is carried into the next batch.
-3. Only the first row of each partition cannot see its predecessor: it is
-   the last row of the nearest earlier non-empty partition when the keys are
-   equal. Heads and tails are at most two rows per partition, so they are
-   stitched with a window over that small table and applied with a broadcast
-   join whose size is bounded by the partition count, not by the data.
-
-Intermediate results are written as a table under the shared checkpoint
-folder, which both cuts lineage and pins one range partitioning for the two
-consumers (range boundaries are sampled per execution).
+``lag(Time).over(Window.partitionBy(key).orderBy(Time))`` puts every record of
+one key into one task. Here the window runs per ``(key, time bucket)``: a key
+that holds a third of all rows is cut along time into as many tasks as it has
+buckets. Only the first record of a bucket has its predecessor elsewhere: it is
+the last record of the key's previous bucket that holds any. First records and
+bucket totals are one row per ``(key, bucket)``, bounded by the time span, so the
+window over them per key is small.
+
+Everything stays in the JVM (windows and hash aggregates), the facts are scanned
+and shuffled once, and the bucket width is an argument, not a size-based choice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from fleetscope.session import ship_package
 from fleetscope.functions.expr import epoch_seconds
-from fleetscope.sources.sinks import materialize  # noqa: F401  (re-exported)
 
 TS = "_ts"
 PREV_TS = "_prev_ts"
-HEAD = "_head"
-TAIL = "_tail"
-PID = "_pid"
-
-# Row kinds of the summary-mode output.
-PART, HEAD_ROW, TAIL_ROW = 0, 1, 2
-
-
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int | None:
-    return int(num_partitions) if num_partitions else None
-
-
-def _range_sorted(df: DataFrame, key: str, tiebreak: str, n: int | None) -> DataFrame:
-    """Range-partition and sort on (key, seconds, tiebreak); tag the partition id.
-
-    Without an explicit ``n`` the session's shuffle partition count is used and
-    AQE may coalesce neighbouring ranges to its target size. Coalesced
-    partitions cover contiguous ranges in order, so partition ids still follow
-    the sort order, which is all the stitching needs.
-    """
-    order = [F.col(key).asc_nulls_first(), F.col(TS).asc_nulls_first(),
-             F.col(tiebreak).asc_nulls_first()]
-    parted = df.repartitionByRange(n, *order) if n else df.repartitionByRange(*order)
-    return (parted.sortWithinPartitions(*order)
-                  .withColumn(PID, F.spark_partition_id()))
-
-
-def _same_key(k: pd.Series) -> pd.Series:
-    """True where a row's key equals the previous row's key (nulls equal nulls)."""
-    prev = k.shift(1)
-    same = (k == prev) | (k.isna() & prev.isna())
-    same.iloc[0] = False
-    return same.fillna(False).astype(bool)
-
-
-def _key_column(values) -> pd.Series:
-    """Key values as an object column with None for missing (an all-null group
-    would otherwise come back as a float NaN index Arrow cannot type)."""
-    return pd.Series([None if pd.isna(v) else v for v in values], dtype=object)
-
+BUCKET = "_bucket"
+FIRST = "_first"
+#: Default bucket width.
+DAY = 86_400
 
-def _keys_equal(a, b) -> bool:
-    if pd.isna(a) and pd.isna(b):
-        return True
-    if pd.isna(a) or pd.isna(b):
-        return False
-    return a == b
 
+def _in_buckets(df: DataFrame, key: str, time: str, tiebreak: str, bucket_seconds: int) -> DataFrame:
+    """Adds whole seconds, bucket, the predecessor's seconds within the bucket,
+    and whether the row is its bucket's first. Null times sort first, as a bucket of their own."""
+    rows = df.withColumn(TS, epoch_seconds(time)).withColumn(BUCKET, F.floor(F.col(TS) / F.lit(int(bucket_seconds))))
+    w = Window.partitionBy(key, BUCKET).orderBy(F.col(TS).asc_nulls_first(), F.col(tiebreak).asc_nulls_first())
+    # a marker instead of row_number() = 1, so that Catalyst does not turn the filter
+    # into a limit of its own below the shuffle that all consumers share
+    return rows.withColumn(PREV_TS, F.lag(TS).over(w)).withColumn(FIRST, F.lag(F.lit(1)).over(w).isNull())
 
-def _stitch(edges: DataFrame, key: str) -> DataFrame:
-    """Per partition head: the seconds of its predecessor in an earlier partition.
 
-    ``edges`` has at most one head and one tail row per partition, so this
-    window without a partition key runs over at most 2 x partitions rows.
-    """
-    w = Window.orderBy(F.col(PID), F.col("_kind"))
-    lagged = edges.select(
-        PID, "_kind", key, TS, *[c for c in edges.columns if c not in (PID, "_kind", key, TS)],
-        F.lag("_kind").over(w).alias("_p_kind"),
-        F.lag(key).over(w).alias("_p_key"),
-        F.lag(TS).over(w).alias("_p_ts"),
-    )
-    same = (F.col("_p_kind") == TAIL_ROW) & F.col("_p_key").eqNullSafe(F.col(key))
-    return lagged.filter(F.col("_kind") == HEAD_ROW).withColumn(
-        "_fix_prev_ts", F.when(same, F.col("_p_ts")))
+def _previous_bucket(key: str, value: Column) -> Column:
+    return F.lag(value).over(Window.partitionBy(key).orderBy(F.col(BUCKET).asc_nulls_first()))
 
 
-def with_previous_time(df: DataFrame, key: str, time: str, tiebreak: str,
-                       num_partitions: int | None = None) -> DataFrame:
+def with_previous_time(df: DataFrame, key: str, time: str, tiebreak: str, bucket_seconds: int = DAY) -> DataFrame:
     """W1 per record: adds ``_ts`` (whole seconds of ``time``) and ``_prev_ts``
     (whole seconds of the previous record of the same key in (time, tiebreak)
     order; null for a key's first record)."""
-    ship_package(df.sparkSession)
-    n = _num_partitions(df, num_partitions)
-    prepared = df.withColumn(TS, epoch_seconds(time))
-    sorted_df = _range_sorted(prepared, key, tiebreak, n)
-    out_schema = T.StructType(sorted_df.schema.fields + [
-        T.StructField(PREV_TS, T.LongType(), True),
-        T.StructField(HEAD, T.BooleanType(), False),
-        T.StructField(TAIL, T.BooleanType(), False),
-    ])
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry = None  # (key, seconds) of the previous row in this partition
-        held = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            k = pdf[key]
-            same = _same_key(k)
-            prev = pdf[TS].shift(1).where(same).astype("Float64")
-            head = pd.Series(False, index=pdf.index)
-            if carry is None:
-                head.iloc[0] = True
-            elif _keys_equal(carry[0], k.iloc[0]):
-                prev.iloc[0] = carry[1]
-            carry = (k.iloc[-1], pdf[TS].iloc[-1])
-            out = pdf.assign(**{PREV_TS: prev.round().astype("Int64"), HEAD: head,
-                                TAIL: False})
-            if held is not None:
-                yield held
-            held = out
-        if held is not None:
-            held.iloc[-1, held.columns.get_loc(TAIL)] = True
-            yield held
-
-    scanned = materialize(sorted_df.mapInPandas(scan, out_schema), "seq-records")
-    edges = scanned.filter(F.col(HEAD) | F.col(TAIL)).select(
-        PID, key, TS, HEAD, TAIL)
-    # A one-row partition is both head and tail: emit it once per role.
-    edges = (edges.filter(HEAD).select(PID, key, TS, F.lit(HEAD_ROW).alias("_kind"))
-             .unionByName(edges.filter(TAIL).select(PID, key, TS,
-                                                    F.lit(TAIL_ROW).alias("_kind"))))
-    fix = _stitch(edges, key).select(PID, "_fix_prev_ts")
-    # ``fix`` has at most one row per range partition: broadcast size is bounded.
-    joined = scanned.join(F.broadcast(fix), on=PID, how="left")
-    prev = F.when(F.col(HEAD), F.col("_fix_prev_ts")).otherwise(F.col(PREV_TS))
-    keep = [c for c in prepared.columns]
-    return joined.select(*keep, prev.alias(PREV_TS))
-
-
-def step_weighted_sum(df: DataFrame, key: str, time: str, tiebreak: str, weight: str,
-                      num_partitions: int | None = None) -> DataFrame:
-    """Per key: ``sum(weight_i * (seconds_i - seconds_{i-1}))`` over records in
-    (time, tiebreak) order, the first record of a key contributing nothing.
-
-    Returns ``(key, value bigint)``; ``value`` is null when no step has both a
-    weight and a time difference (as ``sum`` over nulls). Only per-partition
-    partial sums and the partition edges are materialised, never the records.
-    """
-    ship_package(df.sparkSession)
-    n = _num_partitions(df, num_partitions)
-    prepared = df.select(key, tiebreak, F.col(weight).cast("long").alias("_w"),
-                         epoch_seconds(time).alias(TS))
-    sorted_df = _range_sorted(prepared, key, tiebreak, n)
-    key_type = df.schema[key].dataType
-    out_schema = T.StructType([
-        T.StructField("_kind", T.IntegerType(), False),
-        T.StructField(PID, T.IntegerType(), False),
-        T.StructField(key, key_type, True),
-        T.StructField("_value", T.LongType(), True),
-        T.StructField(TS, T.LongType(), True),
-        T.StructField("_w", T.LongType(), True),
-    ])
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry = None
-        last = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf[PID].iloc[0])
-            k = pdf[key]
-            same = _same_key(k)
-            ts = pdf[TS].astype("Float64")
-            prev = ts.shift(1).where(same)
-            if carry is None:
-                first = pdf.iloc[0]
-                yield pd.DataFrame({"_kind": [HEAD_ROW], PID: [pid], key: _key_column([first[key]]),
-                                    "_value": pd.array([None], dtype="Int64"),
-                                    TS: pd.array([first[TS]], dtype="Int64"),
-                                    "_w": pd.array([first["_w"]], dtype="Int64")})
-            elif _keys_equal(carry[0], k.iloc[0]):
-                prev.iloc[0] = carry[1]
-            step = pdf["_w"].astype("Float64") * (ts - prev)
-            grouped = (pd.DataFrame({key: k.astype(object), "_s": step})
-                       .groupby(key, sort=False, dropna=False)["_s"].sum(min_count=1))
-            yield pd.DataFrame({"_kind": PART, PID: pid, key: _key_column(grouped.index),
-                                "_value": grouped.round().astype("Int64").array,
-                                TS: pd.array([None] * len(grouped), dtype="Int64"),
-                                "_w": pd.array([None] * len(grouped), dtype="Int64")})
-            carry = (k.iloc[-1], pdf[TS].iloc[-1])
-            last = (pid, k.iloc[-1], pdf[TS].iloc[-1])
-        if last is not None:
-            yield pd.DataFrame({"_kind": [TAIL_ROW], PID: [last[0]], key: _key_column([last[1]]),
-                                "_value": pd.array([None], dtype="Int64"),
-                                TS: pd.array([last[2]], dtype="Int64"),
-                                "_w": pd.array([None], dtype="Int64")})
-
-    # The step table is small (partial sums and two edge rows per partition):
-    # let AQE pack it into a few files instead of one per range partition.
-    out = materialize(sorted_df.mapInPandas(scan, out_schema).hint("rebalance"), "seq-steps")
-    parts = out.filter(F.col("_kind") == PART).select(key, "_value")
-    edges = out.filter(F.col("_kind") != PART).select(PID, "_kind", key, TS, "_w")
-    fixes = _stitch(edges, key).select(
-        key, (F.col("_w") * (F.col(TS) - F.col("_fix_prev_ts"))).alias("_value"))
-    return parts.unionByName(fixes).groupBy(key).agg(F.sum("_value").alias("value"))
+    rows = _in_buckets(df, key, time, tiebreak, bucket_seconds)
+    every = Window.partitionBy(key, BUCKET)
+    rows = rows.withColumn("_last", F.max(TS).over(every))
+    firsts = rows.filter(FIRST).withColumn(PREV_TS, _previous_bucket(key, F.col("_last")))
+    return rows.filter(~F.col(FIRST)).unionByName(firsts).drop(BUCKET, FIRST, "_last")
+
+
+def bucket_totals(df: DataFrame, key: str, time: str, tiebreak: str, weight: str, totals: dict[str, Column],
+                  bucket_seconds: int = DAY) -> DataFrame:
+    """One row per ``(key, bucket)``: the aggregates ``totals`` and ``_steps``, the
+    sum of ``weight_i * (seconds_i - seconds_{i-1})`` over the bucket's records,
+    the first one's step reaching into the previous bucket."""
+    rows = _in_buckets(df, key, time, tiebreak, bucket_seconds)
+    step = F.col(weight) * (F.col(TS) - F.col(PREV_TS))
+    per = rows.groupBy(key, BUCKET).agg(
+        *[c.alias(n) for n, c in totals.items()],
+        F.sum(step).alias("_inner"), F.max(TS).alias("_last"),
+        F.max(F.when(F.col(FIRST), F.col(TS))).alias("_first_ts"),
+        F.max(F.when(F.col(FIRST), F.col(weight))).alias("_first_weight"))
+    per = per.withColumn("_edge", F.col("_first_weight") * (F.col("_first_ts") - _previous_bucket(key, F.col("_last"))))
+    both = F.coalesce("_inner", F.lit(0)) + F.coalesce("_edge", F.lit(0))
+    steps = F.when(F.col("_inner").isNotNull() | F.col("_edge").isNotNull(), both)
+    return per.select(key, *totals, steps.alias("_steps"))
+
+
+def step_weighted_sum(df: DataFrame, key: str, time: str, tiebreak: str, weight: str, bucket_seconds: int = DAY) -> DataFrame:
+    """Per key ``(key, value)``: ``sum(weight_i * (seconds_i - seconds_{i-1}))``, the
+    first record of a key contributing nothing; null when no step has both a
+    weight and a time difference (as ``sum`` over nulls)."""
+    return (bucket_totals(df, key, time, tiebreak, weight, {}, bucket_seconds)
+            .groupBy(key).agg(F.sum("_steps").alias("value")))

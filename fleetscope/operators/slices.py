@@ -13,6 +13,7 @@ a plate's records of one slice in one row, which the slice length bounds.
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -129,26 +130,32 @@ def warning_counter(telemetry: DataFrame, start: str | datetime | None = None,
         F.count(F.lit(1)).alias("overspeed_count"),
         F.min_by(F.col("Speed"), order).alias("speed"),
     )
-    msg = F.format_string(WARNING_FORMAT,
-                          F.col("carPlateNumber"), F.col("overspeed_count"), F.col("speed"))
+    whole = F.col("speed") == F.floor("speed")
+    shown = F.when(whole, F.col("speed").cast("bigint").cast("string")).otherwise(F.col("speed").cast("string"))
+    msg = F.format_string(WARNING_FORMAT, F.col("carPlateNumber"), F.col("overspeed_count"), shown)
     return agg.select(F.col("carPlateNumber").alias("car_plate_number"), "overspeed_count",
                       F.col("speed").cast("float").alias("speed"), msg.alias("message"))
 
 
+_WHOLE_PREFIX = re.compile(r"(\d{4})(?:-(\d{2})(?:-(\d{2}))?)?")
+
+
 def _prefix_range(prefix: str) -> tuple[datetime, datetime] | None:
-    """The time range a ``yyyy``, ``yyyy-MM`` or ``yyyy-MM-dd`` prefix selects."""
-    for fmt, step in (("%Y-%m-%d", "day"), ("%Y-%m", "month"), ("%Y", "year")):
-        try:
-            lo = datetime.strptime(prefix, fmt)
-        except ValueError:
-            continue
-        if step == "day":
+    """The time range a whole ``yyyy``, ``yyyy-MM`` or ``yyyy-MM-dd`` prefix selects;
+    None for any other text, an impossible date, or one without a next bound."""
+    m = _WHOLE_PREFIX.fullmatch(prefix)
+    if not m:
+        return None
+    year, month, day = (None if g is None else int(g) for g in m.groups())
+    try:
+        lo = datetime(year, month or 1, day or 1)
+        if day:
             return lo, lo + timedelta(days=1)
-        if step == "month":
-            return lo, (lo.replace(year=lo.year + 1, month=1) if lo.month == 12
-                        else lo.replace(month=lo.month + 1))
-        return lo, lo.replace(year=lo.year + 1)
-    return None
+        if month:
+            return lo, datetime(year + month // 12, month % 12 + 1, 1)
+        return lo, datetime(year + 1, 1, 1)
+    except (ValueError, OverflowError):
+        return None
 
 
 def date_filter(telemetry: DataFrame, date_text: str | None) -> DataFrame:
@@ -208,8 +215,8 @@ def replay_slices(telemetry: DataFrame, seconds: int = SLICE_SECONDS,
 
     Each date is anchored at its own earliest record and cut into
     ``seconds``-long slices: ``slice_no = floor((Time - anchor) / seconds)``.
-    The anchors (one row per date) are materialised, counted, and broadcast
-    only when that count is small; otherwise joined by shuffle.
+    The anchors (one row per date) are materialised, so Spark picks the join by
+    their size.
     """
     from fleetscope.sources.sinks import materialize
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetscope.operators.quantiles import column_quantiles, exact_quantiles
+from fleetscope.operators.quantiles import column_quantiles, quantile_table
 from fleetscope.schema import MEASURES
 
 # Fixed-point rendering, 6 decimals, as the published matrix.
@@ -39,9 +39,7 @@ def summary_stats(summary: DataFrame, columns: list[str] | None = None) -> DataF
     column, nulls skipped; one row per measure.
 
     Mean and deviation are one partial aggregate over the unpivoted table; the
-    medians come from the bounded-memory selection in ``operators.quantiles``
-    (a few passes, only bucket counts reach the driver) and are joined back
-    as a literal table of at most one row per measure.
+    medians come from ``operators.quantiles`` and are joined back, one row per measure.
     """
     cols = columns or numeric_columns(summary)
     long = to_long(summary, cols)
@@ -49,11 +47,8 @@ def summary_stats(summary: DataFrame, columns: list[str] | None = None) -> DataF
         F.round(F.avg("value"), DECIMALS).alias("mean"),
         F.round(F.stddev_samp("value"), DECIMALS).alias("std"),
     )
-    med = exact_quantiles(long, "measure", "value", [0.5])
-    spark = summary.sparkSession
-    medians = spark.createDataFrame([(c, med.get((c, 0.5))) for c in cols],
-                                    "measure string, median double")
-    joined = moments.join(F.broadcast(medians), "measure", "left")
+    medians = quantile_table(long, "measure", "value", [0.5]).select(F.col("k").alias("measure"), F.col("quantile").alias("median"))
+    joined = moments.join(medians, "measure", "left")
     return joined.select("measure", "measure_idx", "mean",
                          F.round("median", DECIMALS).alias("median"), "std")
 

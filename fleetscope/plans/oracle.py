@@ -234,10 +234,30 @@ _ALERTS = ("SELECT window_start, window_end, carPlateNumber AS car_plate_number,
 
 SQL["t3_overspeed_alerts"] = with_telemetry(_ALERTS, WINDOWS_CTE)
 SQL["s7_alert_json"] = with_telemetry(_ALERTS, WINDOWS_CTE)
-SQL["s1_raw_csv_round_trip"] = with_telemetry(f"SELECT {_FIELDS} FROM telemetry")
+# Cells of the messy raw files, as text; the plate cleaned.
+MESSY_CTE = """messy AS (
+  SELECT *, event_id % 11 = 0 AS short, event_id % 11 <> 0 AND event_id % 13 = 0 AS long,
+    CASE WHEN event_id % 7 = 0 THEN strftime(Time, '%Y/%-m/%-d %-H:%M:%S') ELSE strftime(Time, '%Y-%m-%d %H:%M:%S') END AS time_text,
+    Speed::VARCHAR || CASE WHEN event_id % 2 = 0 THEN '.50' ELSE '' END AS speed_text,
+    siteName || CASE WHEN event_id % 17 = 0 THEN chr(10) || 'north, "old" wing' ELSE '' END AS site_text
+  FROM telemetry
+)"""
+_CELLS = ["driverID", "carPlateNumber", "Latitude::VARCHAR", "Longitude::VARCHAR", "speed_text", "Direction::VARCHAR", "site_text", "time_text",
+          *[f"coalesce({n}::VARCHAR, '')" for n in FIELD_NAMES[8:]]]
+SQL["s1_raw_csv_round_trip"] = with_telemetry(f"""
+SELECT array_to_string(cells, '|') AS record, len(cells) AS n_fields FROM (
+  SELECT CASE WHEN short THEN all_cells[1:12] WHEN long THEN list_append(all_cells, 'extra') ELSE all_cells END AS cells
+  FROM (SELECT *, [{", ".join(_CELLS)}] AS all_cells FROM messy))""", MESSY_CTE)
+SQL["s1_rejected_cells"] = with_telemetry("""
+SELECT 7 AS field, time_text AS text FROM messy WHERE event_id % 7 = 0 UNION ALL SELECT 19, 'extra' FROM messy WHERE long""", MESSY_CTE)
+SQL["s5_outputs"] = with_telemetry("SELECT right(driverID, 1) AS source, count(*) AS n_rows, TRUE AS one_each FROM telemetry GROUP BY 1")
+SQL["t7_stream_ingest"] = with_telemetry(f"""
+SELECT driverID, carPlateNumber, Latitude, Longitude, speed_text::DOUBLE AS Speed, Direction, site_text AS siteName,
+  CASE WHEN event_id % 7 <> 0 THEN Time END AS Time, {", ".join(FIELD_NAMES[8:12])},
+  {", ".join(f"CASE WHEN NOT short THEN {n} END AS {n}" for n in FIELD_NAMES[12:])} FROM messy""", MESSY_CTE)
 SQL["u1_union_files"] = with_telemetry(f"SELECT {_FIELDS} FROM telemetry")
 SQL["s4_behaviour_from_rows"] = SQL["a1_behaviour_by_plate"]
-SQL["s5_partitioned_table"] = SQL["a2_speed_slice"]
+SQL["s5_partitioned_table"] = with_telemetry(f"SELECT {_FIELDS} FROM telemetry")
 SQL["s6_matrix_round_trip"] = SQL["a6_correlation_matrix"]
 SQL["l2_preview"] = with_telemetry(f"""
 SELECT event_id, driverID, carPlateNumber, strftime(Time, {FMT}) AS Time, Speed
@@ -247,7 +267,16 @@ SQL["t1_stream_speed_windows"] = with_telemetry("SELECT * FROM windows", WINDOWS
 SQL["t3_stream_alerts"] = SQL["t3_overspeed_alerts"]
 SQL["t6_stream_totals"] = SQL["a1_behaviour_by_plate"]
 SQL["t5_stream_distance"] = SQL["w1_record_travel"]
-SQL["t7_stream_ingest"] = SQL["s1_raw_csv_round_trip"]
+SQL["t2_watermark_late_rows"] = with_telemetry("""
+SELECT w.*, (SELECT count(*) FROM telemetry) - (SELECT sum(n_records) FROM kept) AS dropped_rows FROM kept w""", WINDOWS_CTE, """kept AS (
+  SELECT * FROM windows WHERE window_start >= (SELECT strftime(max(Time), '%Y-%m-%d') FROM telemetry))""")
+SQL["f2_prefix_partial_day"] = with_telemetry("""
+SELECT strftime(min(Time), '%Y-%m-%d %H:%M:%S') AS timestamp FROM telemetry WHERE starts_with(strftime(Time, '%Y-%m-%d %H:%M:%S'), '2017-01-1')""")
+SQL["f2_prefix_partial_month"] = SQL["f2_prefix_partial_day"].replace("2017-01-1", "2017-1")
+SQL["a3_fractional_speed"] = with_telemetry("""
+SELECT driverID, round(avg(v), 6) AS average_speed, round(sum(v * dt) / 3600.0, 2) AS total_distance, round(sum(v * (dt / 3600.0)), 2) AS record_distance
+FROM (SELECT driverID, least(e.value, 160.0::DOUBLE) AS v, epoch(Time)::BIGINT - epoch(lag(Time) OVER (PARTITION BY driverID ORDER BY Time, t.event_id))::BIGINT AS dt
+      FROM telemetry t JOIN events e ON e.event_id = t.event_id) GROUP BY driverID""")
 SQL["t4_stream_replay_cursor"] = SQL["t1_stream_speed_windows"]
 SQL["t5_stream_distance_batches"] = SQL["w1_record_travel"]
 

@@ -105,6 +105,26 @@ def q_f2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.earliest_of_date(load_telemetry(spark, sf_dir), BOARD_MONTH)
 
 
+@register("f2_prefix_partial_day")
+def q_f2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.earliest_of_date(load_telemetry(spark, sf_dir), "2017-01-1")
+
+
+@register("f2_prefix_partial_month")
+def q_f2m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.earliest_of_date(load_telemetry(spark, sf_dir), "2017-1")
+
+
+@register("a3_fractional_speed")
+def q_a3f(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Speeds with their fractions: each driver's total distance, and the sum of its records' distances."""
+    speeds = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.least("value", F.lit(160.0)).alias("Speed"))
+    tel = load_telemetry(spark, sf_dir).drop("Speed").join(speeds, "event_id")
+    total = T.driver_summary(tel).select("driverID", F.round("average_speed", 6).alias("average_speed"), F.round("total_distance", 2).alias("total_distance"))
+    each = T.record_travel(tel, keep=["driverID", "event_id"]).groupBy("driverID").agg(F.round(F.sum("distance"), 2).alias("record_distance"))
+    return total.join(each, "driverID")
+
+
 @register("t1_speed_by_window")
 def q_t1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.speed_by_window(load_telemetry(spark, sf_dir), BOARD_SECONDS, 5)
@@ -181,22 +201,60 @@ def _raw_source_files(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _cleaned_csv_folder(spark: SparkSession, sf_dir: str) -> str:
-    """datasort: S1 scan -> P2 clean -> S5 header CSV, one output per input file."""
-    raw = FL.with_source_file(FL.read_raw_csv(spark, _raw_source_files(spark, sf_dir)))
+def _messy_source_files(spark: SparkSession, sf_dir: str) -> str:
+    """Raw files as they come: fractional speeds, times in another format, quoted cells
+    with commas and line breaks, records too short and too long, and files of equal
+    name in different folders (one per source)."""
+    raw = load_telemetry(spark, sf_dir, clean=False)
+    e = F.col("event_id")
+    cells = {n: F.coalesce(F.col(n).cast("string"), F.lit("")) for n in FIELD_NAMES}
+    cells["Time"] = S.format_time("Time")
+    cells["Speed"] = F.when(e % 2 == 0, F.concat(cells["Speed"], F.lit(".50"))).otherwise(cells["Speed"])
+    cells["Time"] = F.when(e % 7 == 0, F.date_format("Time", "yyyy/M/d H:mm:ss")).otherwise(cells["Time"])
+    cells["siteName"] = F.when(e % 17 == 0, F.concat(F.lit('"'), cells["siteName"], F.lit('\nnorth, ""old"" wing"'))).otherwise(cells["siteName"])
+    every = F.array(*[cells[n] for n in FIELD_NAMES])
+    ragged = F.when(e % 11 == 0, F.slice(every, 1, 12)).when(e % 13 == 0, F.concat(every, F.array(F.lit("extra")))).otherwise(every)
+    path = scratch_path(spark, "messy-telemetry")
+    (raw.select(F.substring("driverID", -1, 1).alias("source"), F.array_join(ragged, ",").alias("value"))
+     .write.partitionBy("source").text(path))
+    return path
+
+
+def _cleaned_folder(spark: SparkSession, raw: str) -> str:
+    """S1 scan -> P2 clean -> S5 outputs, one per input file."""
     out = scratch_path(spark, "clean-telemetry")
-    FL.write_clean_csv(FL.clean_records(raw), out, source_col="source_file")
+    FL.write_cells(FL.clean_cells(FL.read_cells(spark, raw)), out)
     return out
 
 
 @register("s1_raw_csv_round_trip")
 def q_s1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FL.read_clean_csv(spark, _cleaned_csv_folder(spark, sf_dir)).select(*FIELD_NAMES)
+    """The cells of every cleaned record as text, in order."""
+    clean = FL.read_clean_cells(spark, _cleaned_folder(spark, _messy_source_files(spark, sf_dir)))
+    return clean.select(F.array_join(F.transform("cells", FL.cell_text), "|").alias("record"), F.size("cells").cast("long").alias("n_fields"))
+
+
+@register("s5_outputs")
+def q_s5o(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source folder, its records and whether every input has an output of its own."""
+    raw = _messy_source_files(spark, sf_dir)
+    source = F.regexp_extract("input", r"source(?:=|%3D|%253D)(\d)", 1).alias("source")
+    inputs = FL.read_cells(spark, raw).groupBy(source).agg(F.countDistinct("input").alias("n_inputs"))
+    outputs = FL.read_clean_cells(spark, _cleaned_folder(spark, raw)).groupBy(source).agg(
+        F.countDistinct("input").alias("n_outputs"), F.count(F.lit(1)).alias("n_rows"))
+    return inputs.join(outputs, "source", "full").select("source", "n_rows", (F.col("n_inputs") == F.col("n_outputs")).alias("one_each"))
+
+
+@register("s1_rejected_cells")
+def q_s1r(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the typed table cannot hold: cells that do not parse, and extra ones."""
+    cells = FL.read_cells(spark, _messy_source_files(spark, sf_dir))
+    return FL.rejected_cells(cells).select(F.col("field").cast("long").alias("field"), "text")
 
 
 @register("s4_behaviour_from_rows")
 def q_s4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = FL.read_rows_text(spark, _cleaned_csv_folder(spark, sf_dir))
+    rows = FL.read_rows_text(spark, _cleaned_folder(spark, _raw_source_files(spark, sf_dir)), glob="*")
     return B.behaviour_by_plate(FL.text_measures(rows))
 
 
@@ -204,8 +262,7 @@ def q_s4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_s5(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "telemetry-table")
     FL.write_telemetry_table(load_telemetry(spark, sf_dir), path)
-    table = spark.read.parquet(path)
-    return S.speed_slice(table, BOARD_START, BOARD_SECONDS)
+    return spark.read.parquet(path).select(*FIELD_NAMES)
 
 
 @register("s6_matrix_round_trip")
@@ -233,20 +290,11 @@ def q_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("u1_union_files")
 def q_u1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _cleaned_csv_folder(spark, sf_dir)
-    frames = [FL.read_clean_csv(spark, f"{folder}/source_file={name}")
-              for name in _source_names(spark, folder)]
-    return FL.union_frames(frames).select(*FIELD_NAMES)
-
-
-def _source_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the per-source folders of a cleaned CSV folder (file listing)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = p.getFileSystem(conf)
-    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith("source_file="))
+    """One frame per source, united."""
+    clean = FL.read_clean_cells(spark, _cleaned_folder(spark, _raw_source_files(spark, sf_dir)))
+    clean = clean.withColumn("source", F.regexp_extract("input", r"source(?:=|%3D|%253D)(\d)", 1))
+    frames = [FL.typed_records(clean.filter(F.col("source") == str(k))) for k in range(10)]
+    return FL.union_frames(frames).select(*[F.col(n).cast("int") if n == "Speed" else F.col(n) for n in FIELD_NAMES])
 
 
 @register("m1_driver_clusters")
@@ -339,7 +387,7 @@ def q_t5s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("t7_stream_ingest")
 def q_t7s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw_source_files(spark, sf_dir)
+    raw = _messy_source_files(spark, sf_dir)
     table, ckpt = scratch_path(spark, "ingest-table"), scratch_path(spark, "ingest-ckpt")
     SB.ingest_raw(spark, f"{raw}/*", table, ckpt)
     return spark.read.parquet(table).select(*FIELD_NAMES)
@@ -363,11 +411,11 @@ def q_t2s(spark: SparkSession, sf_dir: str) -> DataFrame:
     tel = load_telemetry(spark, sf_dir)
     src = scratch_path(spark, "replay-late")
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    runs = SB.replay_dates(tel, src, lambda: SB.run_update_sink(
+    SB.replay_dates(tel, src, lambda: SB.run_update_sink(
         SB.speed_windows(SB.telemetry_stream(spark, src, tel.schema), delay="1 minute"),
         sink, ckpt), newest_first=True)
     kept = SB.read_latest(spark, sink, ["window_start", "window_end", "carPlateNumber"])
-    return kept.withColumn("dropped_rows_in_run", F.lit(SB.dropped_by_watermark(runs)))
+    return kept.crossJoin(SB.dropped_by_watermark(spark.read.parquet(src), kept))  # one row on the right
 
 
 @register("t5_stream_distance_batches")

@@ -32,7 +32,7 @@ _TYPES = {
     "carPlateNumber": T.StringType(),
     "Latitude": T.DoubleType(),
     "Longitude": T.DoubleType(),
-    "Speed": T.IntegerType(),
+    "Speed": T.DoubleType(),
     "Direction": T.IntegerType(),
     "siteName": T.StringType(),
     "Time": T.TimestampNTZType(),
@@ -73,7 +73,7 @@ REGRESSION_FEATURES = [
 REGRESSION_LABEL = "average_speed"
 
 # Fixed value: the board's overspeed warning text (plate, count, speed in km/h).
-WARNING_FORMAT = "Warning: Driver %s is speeding (%d times) (%d km/h)"
+WARNING_FORMAT = "Warning: Driver %s is speeding (%d times) (%s km/h)"
 
 # Default replay start and slice length of the live board.
 DEFAULT_START = "2017-01-01 08:00:05"

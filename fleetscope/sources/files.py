@@ -3,13 +3,18 @@
 All scans are single multi-file scans with an explicit schema: no per-file
 DataFrames, no schema inference pass. Sinks write under a caller-given path
 (on a cluster: a shared filesystem).
+
+Raw files are read as text cells: cleaning changes the plate and nothing else, so
+fractional speeds, times in odd formats, ragged rows and quoted line breaks all
+come out as they went in. Types are made only for the telemetry table, with
+``try_cast``; cells that do not parse are listed by ``rejected_cells``.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,11 +27,88 @@ CSV_OPTIONS = {"encoding": "UTF-8", "quote": '"', "escape": '"',
 TEXT_TELEMETRY = T.StructType([T.StructField(n, T.StringType(), True) for n in FIELD_NAMES])
 
 
-def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """S1 + P1: headerless raw telemetry, every file of a folder, 19 positional
-    fields typed by the fixed schema. Unparsable cells become null."""
-    return (spark.read.schema(TELEMETRY).options(**CSV_OPTIONS)
-            .option("header", False).option("mode", "PERMISSIVE").csv(path))
+# A record ends at a line break outside quotes; a cell at a comma outside quotes.
+# The quantifiers are possessive: no backtracking, whatever a quoted cell holds.
+_QUOTED = '"(?:[^"]++|"")*+"'
+_RECORD = f'(?:[^"\\r\\n]++|{_QUOTED}|"[^\\r\\n]*+)++'
+_CELL = f'(?:^|,)((?:[^",]++|{_QUOTED}|")*+)'
+
+
+def cell_text(raw: Column) -> Column:
+    """The value of a cell: quotes around it removed, doubled ones inside halved."""
+    inner = F.regexp_replace(F.regexp_extract(raw, '(?s)^"(.*)"$', 1), '""', '"')
+    return F.when(raw.rlike('(?s)^".*"$'), inner).otherwise(raw)
+
+
+def record_cells(files_text: DataFrame, root: str) -> DataFrame:
+    """``(input, record, cells)`` of whole-file texts (``value``): the input's path
+    below ``root``, the record's number in it, and its cells as written."""
+    base = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
+    name = F.substring_index(F.col("_metadata.file_path"), base, -1)
+    records = F.regexp_extract_all("value", F.lit(_RECORD), F.lit(0))
+    return (files_text.select(name.alias("input"), F.posexplode(records).alias("record", "line"))
+            .select("input", "record", F.regexp_extract_all("line", F.lit(_CELL), F.lit(1)).alias("cells")))
+
+
+def read_cells(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """The cells of every file below ``path``, nothing typed, padded or dropped.
+
+    A file is one task's, as with any reader of quoted line breaks."""
+    texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
+    return record_cells(texts, path)
+
+
+def clean_cells(cells: DataFrame) -> DataFrame:
+    """P2 on field 1 of each record; every other cell, and the number of cells, unchanged."""
+    plate = clean_plate(cell_text(F.get("cells", F.lit(1))))
+    return cells.withColumn("cells", F.transform("cells", lambda c, i: F.when(i == 1, plate).otherwise(c)))
+
+
+def write_cells(cells: DataFrame, path: str) -> None:
+    """One output per input, in its own folder ``output=output_<input>``, with the
+    header line first and the records in their order; ragged records stay ragged."""
+    lines = cells.select("input", "record", F.array_join("cells", ",").alias("value"))
+    header = lines.select("input").distinct().select("input", F.lit(-1).alias("record"), F.lit(",".join(FIELD_NAMES)).alias("value"))
+    # sorted by the folder first, as the writer wants it, so that it keeps the order of records
+    named = lines.unionByName(header).select(F.concat(F.lit("output_"), F.col("input")).alias("output"), "record", "value")
+    (named.repartition("output").sortWithinPartitions("output", "record").drop("record")
+     .write.mode("overwrite").partitionBy("output").text(path))
+
+
+def read_clean_cells(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """S2 on the outputs of ``write_cells``: the header line left out."""
+    return read_cells(spark, path, glob).filter(F.col("record") > 0)
+
+
+def _typed_cell(i: int, f: T.StructField) -> Column:
+    text = F.nullif(F.trim(cell_text(F.get("cells", F.lit(i)))), F.lit(""))
+    if isinstance(f.dataType, T.StringType):
+        return F.nullif(cell_text(F.get("cells", F.lit(i))), F.lit(""))
+    if isinstance(f.dataType, T.TimestampNTZType):
+        return F.try_to_timestamp(text, F.lit(TIME_FORMAT)).cast("timestamp_ntz")
+    return text.try_cast(f.dataType)
+
+
+def typed_records(cells: DataFrame) -> DataFrame:
+    """The 19 positional fields typed by the fixed schema; blank or unparsable cells
+    are null, missing ones too, extra ones are left out (see ``rejected_cells``)."""
+    return cells.select(*[_typed_cell(i, f).alias(f.name) for i, f in enumerate(TELEMETRY.fields)])
+
+
+def rejected_cells(cells: DataFrame) -> DataFrame:
+    """``(input, record, field, text)`` of cells that the typed table cannot hold: those
+    that do not parse, and those beyond the 19th."""
+    bad = F.array_compact(F.array(*[
+        F.when((F.trim(cell_text(F.get("cells", F.lit(i)))) != "") & _typed_cell(i, f).isNull(), F.struct(F.lit(i).alias("field"), F.get("cells", F.lit(i)).alias("text")))
+        for i, f in enumerate(TELEMETRY.fields) if not isinstance(f.dataType, T.StringType)]))
+    extra = F.transform(F.slice("cells", F.lit(len(FIELD_NAMES) + 1), F.greatest(F.lit(0), F.size("cells") - len(FIELD_NAMES))),
+                        lambda c, i: F.struct((i + len(FIELD_NAMES)).alias("field"), c.alias("text")))
+    return cells.select("input", "record", F.inline(F.concat(bad, extra)))
+
+
+def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+    """S1 + P1: headerless raw telemetry, every file below a folder, typed."""
+    return typed_records(read_cells(spark, path))
 
 
 def read_clean_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -37,7 +119,7 @@ def read_clean_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
             .option("pathGlobFilter", "*.csv").csv(path))
 
 
-def read_rows_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_rows_text(spark: SparkSession, path: str | list[str], glob: str = "*.csv") -> DataFrame:
     """S4 + P4: header CSVs read row-wise as text cells, ragged rows kept.
 
     Each line is read whole (quoting off, a separator that never occurs), so
@@ -49,7 +131,7 @@ def read_rows_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     lines = (spark.read.schema("line string").option("header", True)
              .option("sep", "\u0001").option("quote", "").option("encoding", "UTF-8")
-             .option("pathGlobFilter", "*.csv").csv(path))
+             .option("pathGlobFilter", glob).csv(path))
     lines = lines.filter(F.col("line").isNotNull() & (F.col("line") != ""))
     cells = F.from_csv(F.col("line"), TEXT_TELEMETRY.simpleString(),
                        {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
@@ -103,21 +185,9 @@ def write_raw_csv(df: DataFrame, path: str, partition_by: str | None = None) ->
     w.csv(path)
 
 
-def write_clean_csv(df: DataFrame, path: str, source_col: str | None = None) -> None:
-    """Header CSV, one output folder per input source (``source_col``).
-
-    ``source_col`` may be derived from the scan with ``_metadata.file_name``.
-    """
-    cols = FIELD_NAMES + ([source_col] if source_col else [])
-    w = df.select(*cols).write.mode("overwrite").options(**CSV_OPTIONS).option("header", True)
-    if source_col:
-        w = w.partitionBy(source_col)
-    w.csv(path)
-
-
-def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
-    """The input file's name as a column (for one-output-per-input sinks)."""
-    return df.withColumn(name, F.col("_metadata.file_name"))
+def write_clean_csv(df: DataFrame, path: str) -> None:
+    """Typed records as header CSV (one output per input: ``write_cells``)."""
+    df.select(*FIELD_NAMES).write.mode("overwrite").options(**CSV_OPTIONS).option("header", True).csv(path)
 
 
 def write_telemetry_table(df: DataFrame, path: str) -> None:

@@ -35,8 +35,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from fleetscope.session import ship_package
 from fleetscope.functions.expr import epoch_seconds, format_time
 from fleetscope.operators.behaviour import behaviour_by_plate
-from fleetscope.schema import FIELD_NAMES, TELEMETRY
-from fleetscope.sources.files import CSV_OPTIONS, clean_records
+from fleetscope.sources.files import clean_cells, record_cells, typed_records
 
 EVENT_TIME = "event_time"
 _EPOCH = "1970-01-01 00:00:00"
@@ -222,20 +221,20 @@ def telemetry_stream(spark: SparkSession, path: str, schema: T.StructType,
     return reader.parquet(path)
 
 
-def raw_csv_stream(spark: SparkSession, path: str,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """T7 source: headerless raw CSV files as they arrive (fixed schema)."""
-    reader = spark.readStream.schema(TELEMETRY).options(**CSV_OPTIONS).option("header", False)
+def raw_cells_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """T7 source: headerless raw files as they arrive, as text cells (see ``files.read_cells``)."""
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.csv(path)
+    return record_cells(reader.text(path, wholetext=True), path.split("*", 1)[0])
 
 
 def ingest_raw(spark: SparkSession, raw_dir: str, table: str, checkpoint: str,
                max_files_per_trigger: int | None = None):
-    """Clean new raw files (P2) into a parquet table; restart-safe."""
-    cleaned = clean_records(raw_csv_stream(spark, raw_dir, max_files_per_trigger))
-    return run_append_sink(cleaned.select(*FIELD_NAMES), table, checkpoint)
+    """Clean new raw files (P2) into a typed parquet table; restart-safe. The
+    cells that do not parse are null there; ``files.rejected_cells`` lists them."""
+    cells = clean_cells(raw_cells_stream(spark, raw_dir, max_files_per_trigger))
+    return run_append_sink(typed_records(cells), table, checkpoint)
 
 
 def replay_dates(telemetry: DataFrame, path: str, run_once, newest_first: bool = False) -> list:
@@ -257,12 +256,13 @@ def replay_dates(telemetry: DataFrame, path: str, run_once, newest_first: bool =
     return results
 
 
-def dropped_by_watermark(queries) -> int:
-    """Rows the watermark dropped, summed over the progress reports of one
-    query or of several runs of it."""
-    qs = queries if isinstance(queries, (list, tuple)) else [queries]
-    return sum(op.get("numRowsDroppedByWatermark", 0)
-               for q in qs for p in q.recentProgress for op in p.get("stateOperators", []))
+def dropped_by_watermark(arrived: DataFrame, kept: DataFrame, n_records: str = "n_records") -> DataFrame:
+    """One row ``dropped_rows``: records that arrived at the source less those in
+    the windows kept. (Spark's own counter is of groups after partial aggregation,
+    and its progress reports are only retained for the last batches.)"""
+    total = arrived.agg(F.count(F.lit(1)).alias("arrived"))
+    held = kept.agg(F.coalesce(F.sum(n_records), F.lit(0)).alias("kept"))
+    return total.crossJoin(held).select((F.col("arrived") - F.col("kept")).alias("dropped_rows"))  # one row each
 
 
 # ------------------------------------------------ T5, skew-safe micro-batch form

@@ -15,7 +15,7 @@ def ts(s: str) -> datetime:
 
 def record(event_id, driver="d1", plate="AZ1", speed=50, time="2017-01-01 08:00:05", **kw):
     base = {n: None for n in FIELD_NAMES}
-    base.update(driverID=driver, carPlateNumber=plate, Speed=speed, Time=ts(time),
+    base.update(driverID=driver, carPlateNumber=plate, Speed=float(speed), Time=ts(time),
                 Latitude=30.0, Longitude=110.0, Direction=0, siteName="s")
     base.update(kw)
     return (event_id, *[base[n] for n in FIELD_NAMES])

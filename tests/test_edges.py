@@ -200,6 +200,7 @@ def test_date_prefixes_become_ranges(spark):
     assert ids("2017-12") == [3]
     assert ids("2016-12-31") == [1]
     assert ids("2017-01-01 00") == [2]   # other prefixes: text test
+    assert ids("2017-1") == [3] and ids("2016-12-3") == [1] and ids("9999") == ids("9999-12-31") == ids("2017-13") == []
     plan = S.date_filter(df.select("event_id", "Time"), "2017-12")._jdf.queryExecution() \
         .optimizedPlan().toString()
     assert "2017-12-01" in plan and "StartsWith" not in plan
@@ -216,14 +217,12 @@ def test_time_range_prunes_date_partitions(spark, tmp_dir):
     assert [r["event_id"] for r in q.collect()] == [1]
 
 
-def test_lookup_broadcast_only_below_count(spark):
+def test_lookup_is_joined_without_a_hint(spark):
     from fleetscope.operators.joins import join_lookup
     facts = spark.range(100).withColumnRenamed("id", "k")
     small = spark.range(10).withColumnRenamed("id", "k")
-    hinted = join_lookup(facts, small, "k")._jdf.queryExecution().logical().toString()
-    unhinted = join_lookup(facts, small, "k", max_rows=5)._jdf.queryExecution().logical() \
-        .toString()
-    assert "broadcast" in hinted.lower() and "broadcast" not in unhinted.lower()
+    plan = join_lookup(facts, small, "k")._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan.lower() and join_lookup(facts, small, "k").count() == 10
 
 
 def test_plateless_rows_rejected_and_empty_plate_kept(spark, tmp_dir):
@@ -251,3 +250,12 @@ def test_schema_text_lists_fields(spark):
     df = frame(spark, [record(1)])
     text = FL.schema_text(df)
     assert text.startswith("root") and "|-- Time: timestamp_ntz" in text
+
+
+def test_numbers_print_in_plain_decimals(spark):
+    from pyspark.sql import types as ST
+    from fleetscope.functions.expr import text_of
+    values = [12345678.9, 0.0005, 45.5, 3.0, 1e15, 0.1234567890123456, -0.00012, 1e16, 1e-5, 123456789012345.6]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(text_of("v", ST.DoubleType())).collect()]
+    assert got[:7] == [str(v) for v in values[:7]] and got[9] == str(values[9])

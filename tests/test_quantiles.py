@@ -32,3 +32,11 @@ def test_matches_spark_percentile(spark):
     df = spark.range(0, 20001).select((F.col("id") * 7 % 1013 / 3.0).alias("v"))
     want = df.agg(F.percentile("v", [0.25, 0.5, 0.75])).first()[0]
     assert column_quantiles(df, "v", [0.25, 0.5, 0.75]) == pytest.approx(want, rel=1e-12)
+
+
+def test_infinities_and_many_groups(spark):
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, 4.0, float("inf"))], "v double")
+    assert column_quantiles(df, "v", [0.5, 1.0]) == [3.0, float("inf")]
+    many = spark.range(6000).select((F.col("id") % 2000).alias("k"), F.col("id").cast("double").alias("v"))
+    got = exact_quantiles(many, "k", "v", [0.5])
+    assert len(got) == 2000 and all(got[(k, 0.5)] == k + 2000.0 for k in range(2000))

@@ -1,5 +1,5 @@
-"""The range-partitioned predecessor scan equals a plain window, whatever the
-partition count and key skew (hot keys, null keys, null times, ties)."""
+"""The bucketed predecessor equals a plain window, whatever the bucket
+width and key skew (hot keys, null keys, null times, ties)."""
 
 import pytest
 from pyspark.sql import Window
@@ -30,7 +30,7 @@ def _reference(df):
                                                   F.col("Time")).alias("ref"))
 
 
-@pytest.mark.parametrize("n", [1, 3, 16, 97])
+@pytest.mark.parametrize("n", [1, 30, 3600, 86_400, 10**9])
 def test_predecessor_matches_window(skewed, n):
     got = with_previous_time(skewed, "driverID", "Time", "event_id", n)
     got = got.select("event_id", (F.col("_ts") - F.col(PREV_TS)).alias("dt"))
@@ -39,25 +39,25 @@ def test_predecessor_matches_window(skewed, n):
     assert got.count() == skewed.count()
 
 
-@pytest.mark.parametrize("n", [1, 5, 64])
+@pytest.mark.parametrize("n", [7, 3600, 10**9])
 def test_step_sum_matches_window(skewed, n):
     w = Window.partitionBy("driverID").orderBy(F.col("Time").asc_nulls_first(), "event_id")
     ref = (skewed.withColumn("dt", F.timestamp_diff("SECOND", F.lag("Time").over(w), F.col("Time")))
            .groupBy("driverID").agg((F.sum(F.col("Speed") * F.col("dt")) / 3600.0).alias("ref")))
-    got = TR.driver_distance(skewed, num_partitions=n)
+    got = TR.driver_distance(skewed, bucket_seconds=n)
     bad = got.join(ref, got["driverID"].eqNullSafe(ref["driverID"]), "full") \
         .filter(~F.col("total_distance").eqNullSafe(F.col("ref")))
     assert bad.count() == 0
     assert got.count() == ref.count()
 
 
-def test_hot_key_spreads_over_partitions(skewed):
-    from fleetscope.operators.sequence import TS, _range_sorted
-    from fleetscope.functions.expr import epoch_seconds
-    prepared = skewed.withColumn(TS, epoch_seconds("Time"))
-    parts = (_range_sorted(prepared, "driverID", "event_id", 16)
-             .filter(F.col("driverID") == "HOT").select("_pid").distinct().count())
-    assert parts >= 4
+def test_hot_key_spreads_over_buckets_in_one_scan_and_shuffle(skewed):
+    from fleetscope.operators.sequence import BUCKET, _in_buckets
+    hot = _in_buckets(skewed, "driverID", "Time", "event_id", 86_400).filter(F.col("driverID") == "HOT")
+    assert hot.select(BUCKET).distinct().count() >= 4
+    plan = TR.driver_summary(load_telemetry(skewed.sparkSession, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Pandas" not in plan and "Arrow" not in plan
+    assert plan.count("hashpartitioning(driverID") == 2  # the facts by (driver, bucket), then the buckets by driver
 
 
 def test_summary_keeps_null_driver_distance(skewed):
@@ -88,22 +88,3 @@ def test_session_partitions_with_aqe_coalescing(spark, skewed):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-
-
-def test_carry_across_arrow_batches(spark, skewed):
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    try:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-        got = with_previous_time(skewed, "driverID", "Time", "event_id", 3)
-        got = got.select("event_id", (F.col("_ts") - F.col(PREV_TS)).alias("dt"))
-        bad = got.join(_reference(skewed), "event_id").filter(~F.col("dt").eqNullSafe(F.col("ref")))
-        assert bad.count() == 0
-        w = Window.partitionBy("driverID").orderBy(F.col("Time").asc_nulls_first(), "event_id")
-        ref = (skewed.withColumn("dt", F.timestamp_diff("SECOND", F.lag("Time").over(w), F.col("Time")))
-               .groupBy("driverID").agg((F.sum(F.col("Speed") * F.col("dt")) / 3600.0).alias("ref")))
-        dist = TR.driver_distance(skewed, num_partitions=3)
-        bad = dist.join(ref, dist["driverID"].eqNullSafe(ref["driverID"]), "full") \
-            .filter(~F.col("total_distance").eqNullSafe(F.col("ref")))
-        assert bad.count() == 0
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
