@@ -9,7 +9,8 @@ r"""Exact Jaccard join of documents on word shingles, by size-banded tiles with
 3. In a tile, sorted by size, a class meets only those in its size band (the
    smaller at least t times the larger). The bits in which two bitmaps differ are at most the
    shingles in which the sets do, which bounds the overlap from above; position does the same.
-4. What passes is a candidate; the sorted shingle arrays are intersected.
+4. What passes is a candidate. Its bitmaps are compared once more at a width that
+   follows the set size, and the sorted shingle arrays of what is left are intersected.
 
 Tiles of more than ``HOT`` classes emit only each class's likeliest partners at
 first. When those are verified and the components known, the hot tiles are split
@@ -42,6 +43,8 @@ HOT = 32
 #: Members of a hot tile that one block holds, about.
 BLOCK = 2048
 MIN_LONG = -(1 << 63)
+#: Bits of the map that tells tasks which documents to read again; always a megabyte.
+MARK_BITS = 1 << 23
 
 
 def least_overlap(a, b, percent: int):
@@ -126,7 +129,8 @@ class _Tiles:
 def _bound(i: np.ndarray, j: np.ndarray, n: np.ndarray, at: np.ndarray, b0: np.ndarray, b1: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(pairs that may be linked, bits in which they differ)."""
     need = least_overlap(n[i], n[j], percent)
-    differ = np.bitwise_count(b0[i] ^ b0[j]).astype(np.int64) + np.bitwise_count(b1[i] ^ b1[j])
+    ones = lambda x: np.bitwise_count(x.view(np.uint64)).astype(np.int64)  # noqa: E731  (of signed numbers it would take the absolute value)
+    differ = ones(b0[i] ^ b0[j]) + ones(b1[i] ^ b1[j])
     ok = (differ <= n[i] + n[j] - 2 * need) & (np.minimum(n[i] - at[i], n[j] - at[j]) >= need) & (100 * n[i] >= percent * n[j])
     return ok, differ
 
@@ -206,32 +210,83 @@ def _second_round(percent: int):
     return run
 
 
-def _sets(docs: DataFrame, shingle: int, wanted: DataFrame) -> DataFrame:
-    """(c, shingles as bytes) of the wanted classes (doc_id, c), read again from one document each."""
+class _Marked:
+    """A fixed-size bitmap of document ids: few others pass, none of the marked fails."""
+
+    def __init__(self, ids: DataFrame) -> None:
+        slot = F.pmod(F.xxhash64("doc_id"), F.lit(MARK_BITS))
+        rows = ids.groupBy(F.floor(slot / 64).alias("k")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {MARK_BITS}) % 64 as int))")).alias("v")).collect()
+        words = np.zeros(MARK_BITS // 64, np.int64)
+        for r in rows:  # MARK_BITS / 64 at most
+            words[r["k"]] = r["v"]
+        self.words = words
+
+    def of(self, slots: np.ndarray) -> np.ndarray:
+        return (self.words[slots >> 6] >> (slots & 63) & 1).astype(bool)
+
+
+def _of_marked(docs: DataFrame, shingle: int, wanted: DataFrame, make, kind: str, name: str) -> DataFrame:
+    """(c, s): ``make`` of the shingle sets of the wanted classes, each read again from one document.
+
+    A task looks up its documents in a bitmap of the wanted ids, so the texts of
+    all others are neither cut into words nor moved."""
+    spark = docs.sparkSession
+    marked = spark.sparkContext.broadcast(_Marked(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, j, data, offsets in text_chunks(b.column(1)):
+            b = b.filter(pa.array(marked.value.of(b.column(0).to_numpy())))
+            for _, _, data, offsets in text_chunks(b.column(1)):
                 sets, sizes = shingle_sets(data, offsets, shingle)
-                for k, x, c in zip(range(i, j), np.split(sets, np.cumsum(sizes)[:-1]), b.column(0).slice(i, j - i).to_pylist(), strict=True):
-                    if digest64(x) == c:  # else another document of the same id
-                        yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([x.tobytes()], pa.binary())], names=["c", "s"])
+                parts = [x for x in np.split(sets, np.cumsum(sizes)[:-1]) if len(x)]
+                yield pa.RecordBatch.from_arrays([pa.array([digest64(x) for x in parts], pa.int64()), pa.array([make(x) for x in parts], pa.binary())], names=["c", "s"])
+
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(MARK_BITS)).alias("slot")
+    found = docs.select(slot, "text").mapInArrow(run, "c long, s binary")
+    return held(found.join(wanted.select("c"), "c", "left_semi"), name, kind)
+
+
+def bitmap(values: np.ndarray) -> bytes:
+    """Parity of the values that fall on each bit; four bits or more per value, so that it
+    tells sets apart that differ in a fifth of them. A power of two of bytes."""
+    bits = 1 << max(9, (4 * len(values) - 1).bit_length())
+    odd = np.bincount((values % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
-    near = docs.join(wanted, "doc_id").select("c", "text")
-    return held(near.mapInArrow(run, "c long, s binary").dropDuplicates(["c"]), "jaccard-sets", "none")
+
+def bitmap_distance(x: bytes, y: bytes) -> int:
+    """Bits in which two bitmaps differ; the wider one is folded to the width of the other."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _joined(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    x, y = sets.select(F.col("c").alias("a"), F.col("s").alias("x")), sets.select(F.col("c").alias("b"), F.col("s").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", *[c for c in pairs.columns if c not in ("a", "b")], "x", "y")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
+    """The pairs (a, b) whose sets reach the similarity: wide bitmaps first, then the sorted arrays of what they leave."""
     pairs = held(pairs.select("a", "b").distinct(), "jaccard-pairs")
     if pairs.isEmpty():
         return pairs
-    need = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    wanted = held(classes.join(need, "c").groupBy("c").agg(F.min("doc_id").alias("doc_id")), "jaccard-wanted")
-    sets = _sets(docs, shingle, wanted)
-    both = pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("c").alias("b"), F.col("s").alias("y")), "b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def wanted(p: DataFrame) -> DataFrame:
+        need = p.select(F.col("a").alias("c")).union(p.select("b")).distinct()
+        return held(classes.join(need, "c").groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "jaccard-wanted")
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, m = b.column(2).to_numpy().astype(np.int64), b.column(3).to_numpy().astype(np.int64)
+            most = n + m - 2 * least_overlap(n, m, percent)
+            ok = [bitmap_distance(x, y) <= d for x, y, d in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), most.tolist(), strict=True)]
+            yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = []
             for x, y in zip(b.column(2), b.column(3), strict=True):
@@ -243,7 +298,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: in
                 ok.append(100 * common >= percent * (len(p) + len(q) - common))
             yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    return held(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "jaccard-links")
+    first = wanted(pairs)
+    sized = pairs.join(first.select(F.col("c").alias("a"), F.col("n").alias("na")), "a").join(first.select(F.col("c").alias("b"), F.col("n").alias("nb")), "b")
+    maps = _of_marked(docs, shingle, first, bitmap, "none", "jaccard-bitmaps")
+    pairs = held(_joined(sized, maps).mapInArrow(likely, "a long, b long").distinct(), "jaccard-likely")
+    if pairs.isEmpty():
+        return pairs
+    sets = _of_marked(docs, shingle, wanted(pairs), lambda x: x.tobytes(), "none", "jaccard-sets")
+    return held(_joined(pairs, sets).mapInArrow(linked, "a long, b long").distinct(), "jaccard-links")
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
