@@ -31,7 +31,7 @@ from .deobfuscate import Decoder, char_counts, costs, token_words, spaced_words,
 FIT_ROWS = 20_000
 FEATURES = 4096
 #: Toxic texts of the fit that a feature must occur in, at least.
-LEAST = 5
+LEAST = 6
 FOLDS = 5
 #: Tokens whose features a worker remembers; beyond, it starts anew.
 MEMORY = 400_000
@@ -126,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     counts = train.mapInArrow(count, "f string, pos long, neg long").groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     rate = (F.col("pos") + 0.5) / (pos + 1)
     other = (F.col("neg") + 0.5) / (n - pos + 1)
-    useful = counts.filter((F.col("pos") >= LEAST) & (rate > 8 * other)).orderBy(F.desc(F.col("pos") * F.log(rate / other)), "f").limit(FEATURES)
+    useful = counts.filter((F.col("pos") >= LEAST) & (rate > 20 * other)).orderBy(F.desc(F.col("pos") * F.log(rate / other)), "f").limit(FEATURES)
     names = [r["f"] for r in useful.select("f").collect()]
     model = Model(cost, {f: i for i, f in enumerate(names)}, np.zeros(len(names)), 0.0)
     sent = spark.sparkContext.broadcast(model)
