@@ -25,44 +25,47 @@ TOKENIZER = "byte_bpe_50k.json"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a key of its own per row, stored so that it stays the same when read again."""
-    return held(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+    """(row, doc): the rows of ``docs`` as structs, whatever their columns are called, each with a key of its
+    own; stored, so that the keys stay the same when read again."""
+    return held(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "pipeline-rows")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5."""
     ship_package(spark)
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return score(docs, model).filter("score < 0.5").select(*docs.columns)
+    packed = docs.select(F.struct("*").alias("doc")).select("doc", F.col("doc.text").alias("text"))
+    return score(packed, model).filter("score < 0.5").select("doc.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that an earlier line of the corpus matches. A document all of whose lines
     with words are gone is a copy of others and goes; n_chars is counted anew."""
     out = dedup_lines(docs)
-    left = (F.col("_n_removed") == 0) | F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return (out.filter(left).withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-            .select(*docs.columns))
+    left = (F.col("n_removed") == 0) | F.coalesce(F.col("doc.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    counted = F.when(F.col("n_removed") > 0, F.col("doc").withField("n_chars", F.length("doc.text").cast("long"))).otherwise(F.col("doc"))
+    return out.filter(left).select(counted.alias("doc")).select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by 0.8 of their five-word shingles: the one with the smallest doc_id.
-    Documents without words link with nothing and stay."""
+    """One document of each group linked by 0.8 of their five-word shingles: the one with the smallest doc_id
+    (then the first row). Documents without words link with nothing and stay."""
     ship_package(spark)
     keyed = _keyed(docs)
-    groups = jaccard_components(keyed, shingle=5, percent=80, doc_id="_row")
-    named = groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")).join(keyed.select("_row", F.col("doc_id").alias("_id")), "_row")
-    best = named.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNotNull().alias("known"), "_id", "_row")).alias("m")).select(F.col("m._row").alias("_row"))
-    return keyed.join(best, "_row", "left_semi").select(*docs.columns)
+    rows = keyed.select("row", F.col("doc.doc_id").alias("doc_id"), F.col("doc.text").alias("text"))
+    groups = jaccard_components(rows.select("row", "text"), shingle=5, percent=80, doc_id="row").select(F.col("doc_id").alias("row"), "component_id")
+    named = groups.join(rows.select("row", "doc_id"), "row")
+    best = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "row")).alias("m")).select("m.row")
+    return keyed.join(best, "row", "left_semi").select("doc.*")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes its words, rounded: 0 to 3 rows."""
     ship_package(spark)
     keyed = _keyed(docs)
-    takes = mix(keyed.select("_row", "text", "source"), doc_id="_row").filter("size > 0")
-    copies = takes.select(F.col("doc_id").alias("_row"), F.least(F.lit(3), F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("_n")).filter("_n > 0")
-    return keyed.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    takes = mix(keyed.select("row", F.col("doc.text").alias("text"), F.col("doc.source").alias("source")), doc_id="row").filter("size > 0")
+    copies = takes.select(F.col("doc_id").alias("row"), F.least(F.lit(3), F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("n")).filter("n > 0")
+    return keyed.join(copies, "row").select("doc", F.explode(F.sequence(F.lit(1), F.col("n")))).select("doc.*")
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,8 @@ from .common import SPACE_PATTERN, held
 PERCENT = 80
 BUCKET_BITS = 18
 HOT = 64
+#: Bits of the map of lines whose words are needed again; the same for any table.
+MARK_BITS = 1 << 21
 LEADERS = 4
 MIN_LONG = -(1 << 63)
 #: Line numbers of a repeated doc_id's k-th row begin at k times this.
@@ -120,15 +122,26 @@ def _pairs(joined: DataFrame, either: bool = False) -> DataFrame:
     return joined.select(F.col("x.doc_id").alias("d1"), F.col("x.line").alias("l1"), F.col("y.doc_id").alias("d2"), F.col("y.line").alias("l2"))
 
 
+def _marked(places: DataFrame):
+    """Test of a hash against a bitmap of the hashes of ``places``; none of those fails it."""
+    slot = f"pmod(xxhash64(doc_id, line), {MARK_BITS})"
+    rows = places.groupBy(F.expr(f"cast(floor({slot} / 32) as int)").alias("k")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({slot} % 32 as int))")).alias("v")).collect()
+    out = [0] * (MARK_BITS // 32)
+    for r in rows:  # MARK_BITS / 32 at most
+        out[r["k"]] = r["v"]
+    table = F.expr("cast(split('" + ",".join(map(str, out)) + "', ',') as array<bigint>)")
+    at = lambda h: F.pmod(h, F.lit(MARK_BITS))
+    bit = lambda h: F.call_function("shiftright", F.get(table, F.floor(at(h) / 32).cast("int")), (at(h) % 32).cast("int"))
+    return lambda h: bit(h).bitwiseAND(F.lit(1)) == 1
+
+
 def _verified(pairs: DataFrame, numbered: DataFrame, percent: int) -> DataFrame:
     """Positions (doc_id, line) of the later lines of the pairs whose words reach the similarity."""
     pairs = held(pairs.distinct(), "lines-pairs")
-    need = pairs.select(F.col("d1").alias("doc_id"), F.col("l1").alias("line")).union(pairs.select("d2", "l2")).distinct()
-    need = held(need.groupBy("doc_id").agg(F.collect_set("line").alias("lines")), "lines-needed")
-    sets = (numbered.join(need, "doc_id").select("doc_id", "base", "lines", F.posexplode(F.split("text", "\n")).alias("at", "t"))
-            .withColumn("line", F.col("base") + F.col("at")).filter(F.array_contains("lines", F.col("line")))
-            .select("doc_id", "line", words(F.col("t")).alias("w")))
-    sets = held(sets, "lines-sets")
+    need = held(pairs.select(F.col("d1").alias("doc_id"), F.col("l1").alias("line")).union(pairs.select("d2", "l2")).distinct(), "lines-needed")
+    # a fixed-size bitmap keeps most lines that no pair needs from the shuffle
+    near = _lines(numbered).filter(_marked(need)(F.xxhash64("doc_id", "line")))
+    sets = held(near.join(need, ["doc_id", "line"], "left_semi").select("doc_id", "line", words(F.col("line_text")).alias("w")), "lines-sets")
     one = sets.select(F.col("doc_id").alias("d1"), F.col("line").alias("l1"), F.col("w").alias("w1"))
     two = sets.select(F.col("doc_id").alias("d2"), F.col("line").alias("l2"), F.col("w").alias("w2"))
     both = F.size(F.array_intersect("w1", "w2"))
@@ -191,20 +204,17 @@ def line_report(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id",
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the removed lines gone from ``text``, and the columns ``_n_lines`` and ``_n_removed`` added."""
+    """(doc, n_lines, n_removed): the rows of ``docs`` as structs whose ``text`` has lost the removed lines."""
     gone, _ = removed_lines(docs, percent, doc_id, text)
-    per = gone.groupBy("doc_id").agg(F.collect_list("line").alias("_gone")).withColumnRenamed("doc_id", "_key")
-    d = docs.withColumn("_key", F.coalesce(F.col(doc_id).cast("long"), F.lit(MIN_LONG)))
-    again = held(d.groupBy("_key").count().filter("count > 1").select("_key"), "lines-repeated")
-    if again.isEmpty():
-        d = d.withColumn("_base", F.lit(0).cast("long"))
-    else:
-        w = Window.partitionBy("_key").orderBy(text)
-        d = d.join(again, "_key", "left_anti").withColumn("_base", F.lit(0).cast("long")).unionByName(
-            d.join(again, "_key").withColumn("_base", (F.row_number().over(w) - 1) * F.lit(ROW_STEP)))
-    d = d.join(per, "_key", "left").withColumn("_all", F.split(text, "\n"))
-    mine = F.filter(F.coalesce("_gone", F.array().cast("array<bigint>")), lambda x: (x >= F.col("_base")) & (x < F.col("_base") + ROW_STEP))
-    d = d.withColumn("_gone", F.transform(mine, lambda x: (x - F.col("_base")).cast("int")))
-    keep = F.filter("_all", lambda x, i: ~F.array_contains("_gone", i))
-    return d.withColumn("_n_lines", F.coalesce(F.size("_all"), F.lit(0))).withColumn("_n_removed", F.size("_gone")).withColumn(
-        text, F.when(F.col("_n_removed") > 0, F.array_join(keep, "\n")).otherwise(F.col(text))).select(*docs.columns, "_n_lines", "_n_removed")
+    per = gone.groupBy("doc_id").agg(F.collect_list("line").alias("gone")).withColumnRenamed("doc_id", "key")
+    d = docs.select(F.struct("*").alias("doc"), F.coalesce(F.col(doc_id).cast("long"), F.lit(MIN_LONG)).alias("key"), F.lit(0).cast("long").alias("base"))
+    again = held(d.groupBy("key").count().filter("count > 1").select("key"), "lines-repeated")
+    if not again.isEmpty():
+        w = Window.partitionBy("key").orderBy(f"doc.{text}")
+        d = d.join(again, "key", "left_anti").unionByName(d.join(again, "key").withColumn("base", (F.row_number().over(w) - 1) * F.lit(ROW_STEP)))
+    every = F.split(f"doc.{text}", "\n")
+    mine = F.filter(F.coalesce("gone", F.array().cast("array<bigint>")), lambda x: (x >= F.col("base")) & (x < F.col("base") + ROW_STEP))
+    d = d.join(per, "key", "left").withColumn("gone", F.transform(mine, lambda x: (x - F.col("base")).cast("int")))
+    kept = F.array_join(F.filter(every, lambda x, i: ~F.array_contains("gone", i)), "\n")
+    doc = F.when(F.size("gone") > 0, F.col("doc").withField(text, kept)).otherwise(F.col("doc"))
+    return d.select(doc.alias("doc"), F.coalesce(F.size(every), F.lit(0)).alias("n_lines"), F.size("gone").alias("n_removed"))
