@@ -45,6 +45,9 @@ def page(table: DataFrame, start: int, length: int, order: list[str] | None = No
     """
     cols = order or table.columns
     ordered = table.orderBy(*cols)
+    if start > 0 and (length is None or length < 0):
+        # all rows but the first few: offset() alone would gather the sorted table in one task
+        return table.exceptAll(ordered.limit(start)).orderBy(*cols)
     if start > 0:
         ordered = ordered.offset(start)
     if length is not None and length >= 0:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from fleetscope.sources.sinks import materialize
 from fleetscope.schema import MEASURES, REGRESSION_FEATURES, REGRESSION_LABEL
 
 
@@ -59,9 +60,11 @@ def driver_clusters(summary: DataFrame, k: int = 3, n_init: int = 10, seed: int
 
 def split_flag(summary: DataFrame, test_fraction: float = 0.2, seed: int = 0,
                key: str = "driverID") -> DataFrame:
-    """M3: deterministic train/test split by a seeded hash of the key
-    (about ``test_fraction`` of the rows in the test set, stable across runs)."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000))
+    """M3: deterministic train/test split by an MD5 of key and seed
+    (about ``test_fraction`` of the rows in the test set, stable across runs and
+    engines). A null key counts as the empty text."""
+    digest = F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(str(seed))).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10_000
     return summary.withColumn("is_test", bucket < F.lit(int(round(test_fraction * 10_000))))
 
 
@@ -89,10 +92,21 @@ def regression_coefficients(summary: DataFrame, test_fraction: float = 0.2,
     return spark.createDataFrame(rows, "feature string, coefficient double")
 
 
+def regression_predictions(summary: DataFrame, test_fraction: float = 0.2, seed: int = 0,
+                           key: str = "driverID") -> DataFrame:
+    """M5: ``(key, label, prediction)`` of the test part, materialised so that the
+    training data can be released."""
+    model, data = fit_speed_regression(summary, test_fraction, seed, key)
+    try:
+        return materialize(model.transform(data.filter(F.col("is_test")))
+                           .select(key, REGRESSION_LABEL, "prediction"), "regression-predictions")
+    finally:
+        data.unpersist()
+
+
 def regression_score(summary: DataFrame, test_fraction: float = 0.2, seed: int = 0) -> DataFrame:
-    """M5: predictions on the test part and R-squared ``1 - SSres/SStot``."""
-    model, data = fit_speed_regression(summary, test_fraction, seed)
-    pred = model.transform(data.filter(F.col("is_test")))
+    """M5: R-squared ``1 - SSres/SStot`` of the predictions on the test part."""
+    pred = regression_predictions(summary, test_fraction, seed)
     y = F.col(REGRESSION_LABEL)
     # One pass: SStot = n * population variance (Spark's stable online form).
     n = F.count(F.lit(1))
