@@ -277,7 +277,7 @@ SQL["a3_fractional_speed"] = with_telemetry("""
 SELECT driverID, round(avg(v), 6) AS average_speed, round(sum(v * dt) / 3600.0, 2) AS total_distance, round(sum(v * (dt / 3600.0)), 2) AS record_distance
 FROM (SELECT driverID, least(e.value, 160.0::DOUBLE) AS v, epoch(Time)::BIGINT - epoch(lag(Time) OVER (PARTITION BY driverID ORDER BY Time, t.event_id))::BIGINT AS dt
       FROM telemetry t JOIN events e ON e.event_id = t.event_id) GROUP BY driverID""")
-SQL["t4_stream_replay_cursor"] = SQL["t1_stream_speed_windows"]
+SQL["t4_stream_replay_cursor"] = SQL["t4_replay_slices"]
 SQL["t5_stream_distance_batches"] = SQL["w1_record_travel"]
 
 SQL["s7_chart_payload"] = with_telemetry("""

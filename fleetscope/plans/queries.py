@@ -411,13 +411,14 @@ def q_t7s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("t4_stream_replay_cursor")
 def q_t4s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4 as a stream: the cursor advances one date per micro-batch."""
-    tel = load_telemetry(spark, sf_dir)
-    src = scratch_path(spark, "replay-by-date")
+    """T4 as a stream: every record falls into its own date's slices, counted from that
+    date's earliest record (a small static table); slices are updated as files arrive."""
+    path, schema = _replay_source(spark, sf_dir)
+    anchors = materialize(S.date_anchors(spark.read.parquet(path)), "date-anchors")
+    stream = SB.telemetry_stream(spark, path, schema, max_files_per_trigger=4)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    SB.replay_dates(tel, src, lambda: SB.run_update_sink(
-        SB.speed_windows(SB.telemetry_stream(spark, src, tel.schema)), sink, ckpt))
-    return SB.read_latest(spark, sink, ["window_start", "window_end", "carPlateNumber"])
+    SB.run_update_sink(S.replay_slices(stream, BOARD_SECONDS, anchors), sink, ckpt)
+    return SB.read_latest(spark, sink, ["date", "slice_no", "carPlateNumber"])
 
 
 @register("t2_watermark_late_rows")
