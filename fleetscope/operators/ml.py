@@ -58,7 +58,11 @@ def driver_clusters(summary: DataFrame, k: int = 3, n_init: int = 10, seed: int
     return out
 
 
-def split_flag(summary: DataFrame, test_fraction: float = 0.2, seed: int = 0,
+#: Seed of the train/test split.
+SPLIT_SEED = 42
+
+
+def split_flag(summary: DataFrame, test_fraction: float = 0.2, seed: int = SPLIT_SEED,
                key: str = "driverID") -> DataFrame:
     """M3: deterministic train/test split by an MD5 of key and seed
     (about ``test_fraction`` of the rows in the test set, stable across runs and
@@ -68,7 +72,7 @@ def split_flag(summary: DataFrame, test_fraction: float = 0.2, seed: int = 0,
     return summary.withColumn("is_test", bucket < F.lit(int(round(test_fraction * 10_000))))
 
 
-def fit_speed_regression(summary: DataFrame, test_fraction: float = 0.2, seed: int = 0,
+def fit_speed_regression(summary: DataFrame, test_fraction: float = 0.2, seed: int = SPLIT_SEED,
                          key: str = "driverID"):
     """M4: ordinary least squares ``average_speed ~ seven behaviour totals``
     on the training part. Returns (model, assembled data with ``is_test``)."""
@@ -82,7 +86,7 @@ def fit_speed_regression(summary: DataFrame, test_fraction: float = 0.2, seed: i
 
 
 def regression_coefficients(summary: DataFrame, test_fraction: float = 0.2,
-                            seed: int = 0) -> DataFrame:
+                            seed: int = SPLIT_SEED) -> DataFrame:
     """M4 output: one row per feature (plus the intercept)."""
     model, data = fit_speed_regression(summary, test_fraction, seed)
     data.unpersist()
@@ -92,7 +96,7 @@ def regression_coefficients(summary: DataFrame, test_fraction: float = 0.2,
     return spark.createDataFrame(rows, "feature string, coefficient double")
 
 
-def regression_predictions(summary: DataFrame, test_fraction: float = 0.2, seed: int = 0,
+def regression_predictions(summary: DataFrame, test_fraction: float = 0.2, seed: int = SPLIT_SEED,
                            key: str = "driverID") -> DataFrame:
     """M5: ``(key, label, prediction)`` of the test part, materialised so that the
     training data can be released."""
@@ -104,7 +108,7 @@ def regression_predictions(summary: DataFrame, test_fraction: float = 0.2, seed:
         data.unpersist()
 
 
-def regression_score(summary: DataFrame, test_fraction: float = 0.2, seed: int = 0) -> DataFrame:
+def regression_score(summary: DataFrame, test_fraction: float = 0.2, seed: int = SPLIT_SEED) -> DataFrame:
     """M5: R-squared ``1 - SSres/SStot`` of the predictions on the test part."""
     pred = regression_predictions(summary, test_fraction, seed)
     y = F.col(REGRESSION_LABEL)

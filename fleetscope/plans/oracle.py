@@ -287,4 +287,4 @@ FROM a2 JOIN records r ON r.car_plate_number = a2.carPlateNumber""",
                                          SLICE_CTE, A2_CTE, RECORDS_CTE)
 
 SQL["m3_train_test_split"] = with_telemetry("""
-SELECT driverID, ('0x' || substr(md5(driverID || ':0'), 1, 8))::BIGINT % 10000 < 2000 AS is_test FROM summary""", TRAVEL_CTE, SUMMARY_CTE)
+SELECT driverID, ('0x' || substr(md5(driverID || ':42'), 1, 8))::BIGINT % 10000 < 2000 AS is_test FROM summary""", TRAVEL_CTE, SUMMARY_CTE)
