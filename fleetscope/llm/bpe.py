@@ -29,7 +29,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks
+from .common import settled, text_chunks
 from .pretokens import distinct, library, ragged, special_strings, split, texts_of
 from .transducer import Transducer, compile_words
 from .vocabulary import frequent, vocabulary
@@ -157,7 +157,10 @@ def decimal_table(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def lexicon(docs: DataFrame, tokenizer: str, size: int = LEXICON, text: str = "text") -> tuple[str, dict]:
     """Compile the frequent pre-tokens of ``docs``; (name of the shared file, its layout)."""
-    words = frequent(vocabulary(docs, tokenizer, text), size)
+    spark = docs.sparkSession
+    found: list[bytes] = []
+    settled(lambda: (found.extend(frequent(vocabulary(docs, tokenizer, text), size)), spark.range(0))[1], "lexicon")
+    words = found
     name = f"lexicon-{uuid.uuid4().hex[:12]}.npy"
     path = os.path.join(tempfile.mkdtemp(prefix="fleetscope-lexicon-"), name)
     info = compile_words(words, merges(tokenizer).merge(words), path)

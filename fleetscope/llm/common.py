@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetscope.session import scratch_path, ship_package
 
-__all__ = ["CHUNK_BYTES", "SPACE_PATTERN", "WORD_PATTERN", "held", "rows_of", "scratch_path",
+__all__ = ["CHUNK_BYTES", "SPACE_PATTERN", "WORD_PATTERN", "held", "rows_of", "settled", "scratch_path",
            "ship_package", "table", "text_chunks", "words_in"]
 
 #: A word is a run of bytes outside \x20 and \x09-\x0D.
@@ -35,9 +35,25 @@ def held(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", compression).parquet(path)
+    _HELD.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_HELD: list[str] = []
+
+
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The result of ``make()``, held; the scratch tables it made on the way are emptied."""
+    first = len(_HELD)
+    out = held(make(), name)
+    spark = out.sparkSession
+    for path in _HELD[first:-1]:
+        # overwriting removes the files on any file system
+        spark.createDataFrame([], "gone int").write.mode("overwrite").parquet(path)
+    del _HELD[first:]
+    return out
+
+
 def words_in(text: Column) -> Column:
     """Number of words of a text; null and empty give 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

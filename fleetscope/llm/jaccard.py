@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, text_chunks
+from .common import held, settled, text_chunks
 from .components import components
 from .wordhash import digest64, shingle_sets
 
@@ -314,6 +314,10 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90, doc
     component_id is the smallest doc_id reachable over links of similarity
     ``percent`` / 100; n_links counts the verified links of the document's class
     (in hot tiles not all links are tested, only as many as the components need)."""
+    return settled(lambda: _components(docs, shingle, percent, doc_id, text), "jaccard-components")
+
+
+def _components(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str) -> DataFrame:
     d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(MIN_LONG)).alias("doc_id"), F.col(text).alias("text"))
     profile = _profile(d, shingle)
     counts = np.zeros(BUCKETS, np.int64)

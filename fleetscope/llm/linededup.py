@@ -31,11 +31,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_PATTERN, held
+from .common import SPACE_PATTERN, held, settled
 
 PERCENT = 80
-BUCKET_BITS = 18
-HOT = 64
+BUCKET_BITS = 20
+HOT = 256
 #: Bits of the map of lines whose words are needed again; the same for any table.
 MARK_BITS = 1 << 21
 LEADERS = 4
@@ -62,12 +62,15 @@ def _bucket(h: Column) -> Column:
 
 
 def word_levels(docs: DataFrame, text: str) -> Column:
-    """Level of every bucket, an array: 4 times the binary logarithm of its words' occurrences."""
+    """Level of every bucket, one byte each: 4 times the binary logarithm of its words' occurrences."""
     counts = docs.select(F.explode(tokens(F.col(text))).alias("w")).groupBy(_bucket(F.xxhash64("w")).alias("b")).count()
-    out = [0] * (1 << BUCKET_BITS)
-    for r in counts.select("b", F.least(F.lit(127), F.floor(4 * F.log2(F.col("count") + 1))).alias("level")).collect():  # one row per bucket at most
-        out[r["b"]] = r["level"]
-    return F.expr("cast(split('" + ",".join(map(str, out)) + "', ',') as array<int>)")
+    every = counts.union(docs.sparkSession.range(1 << BUCKET_BITS).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("long").alias("count")))
+    level = F.least(F.lit(127), F.floor(4 * F.log2(F.sum("count") + 1)))
+    levels = every.groupBy("b").agg(F.char(level).alias("c"))
+    # a thousand strings of a thousand buckets each, whatever the corpus
+    parts = levels.groupBy(F.shiftright("b", 10).alias("k")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "c"))), lambda x: x.c), "").alias("s"))
+    return F.lit("".join(r["s"] for r in parts.orderBy("k").collect()).encode("ascii"))
 
 
 def _least_shared(n: Column, percent: int) -> Column:
@@ -154,10 +157,12 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id
     """((doc_id, line) of every removed line, the numbered documents)."""
     numbered = _numbered(docs, doc_id, text)
     levels = word_levels(docs, text)
-    rank = lambda h: F.shiftleft(F.get(levels, _bucket(h)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-    # words are told apart by their hash from here to the verification
-    hashes = F.array_remove(F.array_distinct(F.transform(tokens(F.col("line_text")), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
-    keyed = _lines(numbered).select("doc_id", "line", F.sort_array(F.transform(hashes, rank)).alias("keys"))
+    level = lambda h: F.ascii(F.substring(levels, _bucket(h) + 1, F.lit(1)).cast("string"))
+    ranked = lambda h: F.shiftleft(level(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    rank = lambda w: ranked(F.xxhash64(w))
+    # words are told apart by 56 bits of their hash from here to the verification
+    keyed = _lines(numbered).select("doc_id", "line", F.sort_array(F.array_remove(F.array_distinct(
+        F.transform(tokens(F.col("line_text")), rank)), rank(F.lit("")))).alias("keys"))
     n = F.size("keys")
     head = n - _least_shared(n, percent) + 1
     parity = F.aggregate("keys", F.lit(0).cast("long"), lambda s, k: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
@@ -173,9 +178,11 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id
         "doc_id", "line", "n", "sig", F.posexplode("prefix").alias("at", "w"))
     hot = held(postings.groupBy("w").count().filter(F.col("count") > HOT).select("w"), "lines-hot")
     cold = postings.join(hot, "w", "left_anti")
-    # of two sets the smaller one shares a word among still fewer: only those are built into the hash table
-    pairs = _pairs(cold.alias("y").join(cold.filter(F.col("at") < _index_prefix(F.col("n"), percent)).alias("x").hint("shuffle_hash"),
-                                        (F.col("x.w") == F.col("y.w")) & (F.col("x.n") <= F.col("y.n")) & _apart("x", "y") & _passes("x", "y", percent)), True)
+    # of two sets the smaller one shares a word among still fewer; said as a condition on both
+    # sides, so that it is not pushed down and both sides read one shuffle
+    few = (F.col("x.n") <= F.col("y.n")) & (F.col("x.at") + F.col("x.n") < _index_prefix(F.col("x.n"), percent) + F.least("x.n", "y.n"))
+    pairs = _pairs(cold.alias("y").join(cold.alias("x").hint("shuffle_hash"),
+                                        (F.col("x.w") == F.col("y.w")) & few & _apart("x", "y") & _passes("x", "y", percent)), True)
     if hot.isEmpty():
         matched = _verified(pairs, numbered, percent)
     else:
@@ -196,6 +203,10 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id
 
 def line_report(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_lines, n_removed, removed: the numbers of the removed lines, joined by commas (for distinct doc_ids)."""
+    return settled(lambda: _report(docs, percent, doc_id, text), "lines-report")
+
+
+def _report(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
     gone, numbered = removed_lines(docs, percent, doc_id, text)
     per = gone.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_removed"), F.array_join(F.sort_array(F.collect_list("line")), ",").alias("removed"))
     mine = numbered.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
@@ -205,8 +216,8 @@ def line_report(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id",
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, n_lines, n_removed): the rows of ``docs`` as structs whose ``text`` has lost the removed lines."""
-    gone, _ = removed_lines(docs, percent, doc_id, text)
-    per = gone.groupBy("doc_id").agg(F.collect_list("line").alias("gone")).withColumnRenamed("doc_id", "key")
+    per = settled(lambda: removed_lines(docs, percent, doc_id, text)[0].groupBy("doc_id").agg(F.collect_list("line").alias("gone")), "lines-gone")
+    per = per.withColumnRenamed("doc_id", "key")
     d = docs.select(F.struct("*").alias("doc"), F.coalesce(F.col(doc_id).cast("long"), F.lit(MIN_LONG)).alias("key"), F.lit(0).cast("long").alias("base"))
     again = held(d.groupBy("key").count().filter("count > 1").select("key"), "lines-repeated")
     if not again.isEmpty():

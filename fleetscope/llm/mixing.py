@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held, words_in
+from .common import held, settled, words_in
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEAT = 3
@@ -104,6 +104,10 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int = M
     ``block_words`` is by default 1,024, or less for small tables, so that a source
     has some 200 slots on average.
     The driver holds one total per source."""
+    return settled(lambda: _mix(docs, weights, max_repeat, block_words, doc_id, text, source), "mix")
+
+
+def _mix(docs: DataFrame, weights: Sequence[float], max_repeat: int, block_words: int | None, doc_id: str, text: str, source: str) -> DataFrame:
     spark = docs.sparkSession
     d = held(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words_in(F.col(text)).alias("size"),
                          F.xxhash64(F.col(doc_id).cast("string"), F.lit("mix")).alias("place")), "mix-docs")
