@@ -1,10 +1,11 @@
 """Connected components of a table of links, by contraction.
 
-Each round every node points to its smallest neighbour (or itself); links are
-rewritten to what their ends point to. Nodes that are not smaller than all
-their neighbours vanish, so the links shrink at least by half of their nodes
-each round. A hot node costs no more than its links: neighbours are only
-reduced to a minimum, never gathered.
+Each round every node points to its smallest neighbour (or itself), then one step
+further; links are rewritten to what their ends point to, until none is left. Ids
+are meant to be digests, whose order has nothing to do with the links: a constant
+share of the nodes then vanishes each round. (A chain of ascending ids would lose
+two nodes a round only; the result is right all the same.) A hot node costs no
+more than its links: neighbours are only reduced to a minimum, never gathered.
 """
 
 from __future__ import annotations
