@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import SPACE_PATTERN, held, settled
 
 PERCENT = 80
-BUCKET_BITS = 20
+BUCKET_BITS = 18
 HOT = 256
 #: Bits of the map of lines whose words are needed again; the same for any table.
 MARK_BITS = 1 << 21
