@@ -6,8 +6,10 @@ texts are kept, at most ``FEATURES``; a logistic regression on their presence
 gives the score.
 
 The classifier is fitted on at most ``FIT_ROWS`` labelled rows whose
-crc32(doc_id as text) mod 5 is not 0, the smallest hashes of their ids. The character
-model behind the restoration is counted over all texts.
+crc32(doc_id as text) mod 5 is not 0, the smallest hashes of their ids: of toxic rows all,
+up to half the sample, of clean rows as many as are left. Where a class has more rows, its
+sample counts for all of them. The character model behind the restoration is counted over
+all texts.
 
 Defined results: null and empty texts are scored like a text without any known
 feature; rows that repeat a doc_id are scored each; labels that contradict each
@@ -30,8 +32,8 @@ from .deobfuscate import Decoder, char_counts, costs, token_words, spaced_words,
 
 FIT_ROWS = 20_000
 FEATURES = 4096
-#: Toxic texts of the fit that a feature must occur in, at least.
-LEAST = 6
+#: Toxic texts of the fit that a feature must occur in, at least: one in a hundred, and 6 where there are so many.
+LEAST, LEAST_SHARE = 6, 100
 FOLDS = 5
 #: Tokens whose features a worker remembers; beyond, it starts anew.
 MEMORY = 400_000
@@ -82,17 +84,23 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(x, -30, 30))))
 
 
-def logistic(rows: list[list[int]], y: np.ndarray, size: int, l2: float = 0.5, rounds: int = 600) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the log loss plus ``l2 / 2`` times the squared weights (Adam on all rows)."""
+def logistic(rows: list[list[int]], y: np.ndarray, size: int, l2: float | np.ndarray = 0.5, rounds: int = 600, counts: np.ndarray | float = 1.0) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise the log loss plus ``l2 / 2`` times the squared weights (Adam on all rows).
+
+    A row counts as ``counts`` rows. The rarer a class, the further the weights must carry a text from the bias:
+    beyond one in eight, ``l2`` falls as the square of the log odds."""
+    counts = np.broadcast_to(counts, len(y))
+    odds = np.log(((counts * y).sum() + 1) / ((counts * (1 - y)).sum() + 1))
+    l2 = l2 * min(1.0, (np.log(7) / max(abs(odds), 1e-9)) ** 2)
     lens = np.array([len(r) for r in rows], np.int64)
     at = np.repeat(np.arange(len(rows)), lens)
     col = np.array([i for r in rows for i in r], np.int64)
     w = np.zeros(size + 1)
-    w[size] = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+    w[size] = odds
     m, s = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(at, weights=w[col], minlength=len(rows)) + w[size], -30, 30)))
-        d = p - y
+        d = counts * (p - y)
         g = np.append(np.bincount(col, weights=d[at], minlength=size) + l2 * w[:size], d.sum())
         m, s = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
         w -= 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-8) * min(1.0, 2 * (1 - t / (rounds + 1)))
@@ -104,8 +112,12 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     cost = costs(char_counts(docs, text))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
     known = known.filter(fold(F.col("doc_id")) != 0)
-    picked = held(known.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(fit_rows), "toxic-labels")  # the bounded sample
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    known = held(known.join(own.select("doc_id").distinct(), "doc_id", "left_semi"), "toxic-known")
+    total = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    toxic = min(total.get(1, 0), max(fit_rows // 2, fit_rows - total.get(0, 0)))
+    sample = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(k) for y, k in ((1, toxic), (0, fit_rows - toxic))]
+    picked = held(sample[0].unionByName(sample[1]), "toxic-labels")  # the bounded sample
     train = held(own.join(picked, "doc_id").select("text", "y"), "toxic-train")
     sums = train.agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n")).first()
     pos, n = sums["pos"] or 0, sums["n"]
@@ -126,8 +138,12 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     counts = train.mapInArrow(count, "f string, pos long, neg long").groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     rate = (F.col("pos") + 0.5) / (pos + 1)
     other = (F.col("neg") + 0.5) / (n - pos + 1)
-    useful = counts.filter((F.col("pos") >= LEAST) & (rate > 20 * other)).orderBy(F.desc(F.col("pos") * F.log(rate / other)), "f").limit(FEATURES)
-    names = [r["f"] for r in useful.select("f").collect()]
+    useful = counts.filter((F.col("pos") >= max(1, min(LEAST, pos // LEAST_SHARE))) & (rate > 20 * other)).orderBy(F.desc(F.col("pos") * F.log(rate / other)), "f").limit(FEATURES)
+    kept = useful.select("f", "pos").collect()
+    names = [r["f"] for r in kept]
+    # what occurs in a few toxic texts only may do so by chance: it is weighted the less
+    enough = min(LEAST, -(-pos // 4))
+    doubt = np.array([(enough / min(enough, r["pos"])) ** 2 for r in kept])
     model = Model(cost, {f: i for i, f in enumerate(names)}, np.zeros(len(names)), 0.0)
     sent = spark.sparkContext.broadcast(model)
 
@@ -137,7 +153,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([pa.array([sorted(scorer.found(t)) for t in b.column(0).to_pylist()], pa.list_(pa.int32())), b.column(1)], names=["x", "y"])
 
     rows = train.mapInArrow(present, "x array<int>, y int").collect()  # as many as the sample has
-    weights, bias = logistic([r["x"] for r in rows], np.array([r["y"] for r in rows], float), len(names))
+    y = np.array([r["y"] for r in rows], float)
+    stands_for = {1: total[1] / toxic, 0: total[0] / min(total[0], fit_rows - toxic)}  # labelled rows for each of the sample
+    weights, bias = logistic([r["x"] for r in rows], y, len(names), l2=0.5 * doubt, counts=np.where(y == 1, stands_for[1], stands_for[0]))
     return Model(cost, model.index, weights, bias)
 
 
