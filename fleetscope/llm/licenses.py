@@ -11,6 +11,12 @@ of them. A window is aligned only if the words it has in common with the
 template, counted with repeats, could reach the coverage; that bound skips no
 window that would. Whole texts are scanned, each in one pass.
 
+Names: with ``named`` (as the query has it) a hit counts only if the words that
+tell its license from its neighbours (``IDENTITY``) are all matched, side by side and
+without a foreign word before, among or after them up to the next matched words; other
+hits are kept as not identified. A hit whose place meets that of a better one (an
+identified one first, then the longer template) gives way to it.
+
 Defined results: null and empty texts have no license; rows that repeat a doc_id
 are scanned each; of equal coverages the longer template wins, then the smaller
 name, then the earlier place.
@@ -56,6 +62,39 @@ TEMPLATES: dict[str, str] = {
         "substantial portions of the Software."),
     "mit-notice": "Released under the MIT License.",
 }
+_CC_KINDS = {"by-sa": "ShareAlike", "by-nc": "NonCommercial", "by-nd": "NoDerivatives", "by-nc-sa": "NonCommercial-ShareAlike", "by-nc-nd": "NonCommercial-NoDerivatives"}
+_GNU = {"gpl": "GNU General", "lgpl": "GNU Lesser General", "agpl": "GNU Affero General"}
+_GNU_KNOWN = [("gpl", "2", "2.0"), ("gpl", "3", "3.0"), ("lgpl", "2.1", "2.1"), ("lgpl", "3", "3.0"), ("agpl", "3", "3.0")]
+_BSD_3 = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+          "software without specific prior written permission.")
+#: Neighbours of the templates, whose texts would otherwise pass for them.
+RELATED: dict[str, str] = {
+    **{f"{k}-{n}-notice": f"This work is licensed under the {_GNU[k]} Public License, version {v}." for k, v, n in _GNU_KNOWN},
+    **{f"{k}-{n}-header": TEMPLATES["gpl-3.0-header"].replace("GNU General", _GNU[k]).replace("version 3", f"version {v}") for k, v, n in _GNU_KNOWN},
+    **{f"cc-{k}-{v}-notice": f"Licensed under CC {k.upper()} {v}." for k in ("by-nc", "by-sa", "by-nd", "by-nc-sa", "by-nc-nd") for v in ("3.0", "4.0")},
+    **{f"cc-by-{v}-short-notice": f"Licensed under CC BY {v}." for v in ("3.0", "4.0")},
+    **{f"cc-{k}-4.0-long-notice": f"This work is licensed under a Creative Commons Attribution-{x} 4.0 International License." for k, x in _CC_KINDS.items()},
+    **{f"cc-{k}-3.0-long-notice": f"This work is licensed under a Creative Commons Attribution-{x} 3.0 Unported License." for k, x in _CC_KINDS.items()},
+    "cc-by-3.0-long-notice": "This work is licensed under a Creative Commons Attribution 3.0 Unported License.",
+    "bsd-3-clause": TEMPLATES["bsd-2-clause"] + " 3. " + _BSD_3,
+    "bsd-4-clause": (
+        TEMPLATES["bsd-2-clause"] + " 3. All advertising materials mentioning features or use of this software must display the following "
+        "acknowledgement: This product includes software developed by the organization. 4. " + _BSD_3),
+    "bsd-notice": "Released under the BSD License.",
+    "isc-notice": "Released under the ISC License.",
+}
+RELATED = {n: t for n, t in RELATED.items() if n not in TEMPLATES}
+#: Words, in order, that tell a template's license from others; templates without them need none.
+IDENTITY: dict[str, list[str]] = {
+    **{n: ["apache license version 2 0"] for n in ("apache-2.0-notice", "apache-2.0-header")},
+    **{f"{k}-{n}-notice": [f"{_GNU[k]} Public License version {v}"] for k, v, n in _GNU_KNOWN},
+    **{f"{k}-{n}-header": [f"{_GNU[k]} Public License", f"version {v} of the License"] for k, v, n in _GNU_KNOWN},
+    **{n: [t.split("under ")[1].removeprefix("a ").removesuffix(" License.")] for n, t in (TEMPLATES | RELATED).items() if n.startswith("cc-")},
+    **{f"{n}-notice": [f"{n} License"] for n in ("mit", "bsd", "isc")},
+    "bsd-3-clause": ["neither the name"],
+    "bsd-4-clause": ["all advertising materials"],
+    "mit": ["this permission notice shall be included in all copies"],
+}
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -108,40 +147,90 @@ class Template:
     name: str
     words: list[str]
     counts: Counter
+    identity: list[list[str]]
 
-    def best(self, words: list[str], least: int) -> tuple[int, int, int] | None:
-        """(matched, first word, last word) of the best window with at least ``least`` matches."""
+    def places(self, words: list[str], least: int) -> list[tuple[int, int, int, list[tuple[int, int]]]]:
+        """(matched, first word, last word, alignment) of all places with at least ``least`` matches that do not overlap.
+
+        Of overlapping places the one with the most matches less foreign words stays. Within each window, shorter
+        ones are aligned too: copies that follow each other closely have no word that occurs once in the longer."""
         m = len(self.words)
         mine = [k for k, w in enumerate(words) if w in self.counts]
         if len(mine) < least:
-            return None
-        found, done = None, -1
+            return []
+        found, done, tried = [], -1, set()
         for k in mine:
             start = max(0, (k // m - 1) * m)  # windows that begin up to one length before the word
             for s in (start, start + m):
                 if s <= done or s >= len(words):
                     continue
                 done = s
-                window = words[s:s + 3 * m]
-                have = Counter(w for w in window if w in self.counts)
-                if sum(min(c, self.counts[w]) for w, c in have.items()) < least:
+                if not self._could(words[s:s + 3 * m], least):
                     continue
-                got = align(self.words, window)
-                if len(got) >= least and (found is None or len(got) > found[0]):
-                    found = len(got), s + got[0][1], s + got[-1][1]
-        return found
+                step = max(1, m // 4)
+                for a, b in [(s, s + 3 * m), *((x, x + m + step) for x in range(s, min(s + 2 * m, len(words)), step))]:
+                    if (a, b) in tried or not self._could(words[a:b], least):
+                        continue
+                    tried.add((a, b))
+                    got = [(i, a + j) for i, j in align(self.words, words[a:b])]
+                    if len(got) >= least:
+                        found.append((len(got), got[0][1], got[-1][1], got))
+        out: list[tuple[int, int, int, list[tuple[int, int]]]] = []
+        ends: list[tuple[int, int]] = []
+        for x in sorted(found, key=lambda x: (x[2] - x[1] - 2 * x[0], x[1])):
+            at = bisect_left(ends, (x[1], x[2]))
+            if (at == 0 or ends[at - 1][1] < x[1]) and (at == len(ends) or x[2] < ends[at][0]):
+                ends.insert(at, (x[1], x[2]))
+                out.append(x)
+        return sorted(out, key=lambda x: x[1])
+
+    def _could(self, window: list[str], least: int) -> bool:
+        have = Counter(w for w in window if w in self.counts)
+        return sum(min(c, self.counts[w]) for w, c in have.items()) >= least
+
+    def identified(self, got: list[tuple[int, int]]) -> bool:
+        """Whether each phrase of the license's identity is matched, with no foreign word in its gaps."""
+        place = dict(got)
+        inner = {i: k for k, (i, _) in enumerate(got)}
+        for phrase in self.identity:
+            n = len(phrase)
+            p = next(i for i in range(len(self.words)) if self.words[i:i + n] == phrase)
+            if any(i not in place for i in range(p, p + n)):
+                return False
+            k = inner[p]
+            run = got[max(0, k - 1):k + n + 1]
+            if any(y[1] != x[1] + 1 for x, y in zip(run, run[1:])):
+                return False
+        return True
+
+
+Hit = tuple[float, int, str, int, int, bool]  # coverage, template's words, name, first word, last word, identified
+
+
+def settle(hits: list[Hit]) -> list[Hit]:
+    """Hits that stay where places meet: an identified one first, then the longer template, the better covered, the smaller name."""
+    out: list[Hit] = []
+    for h in sorted(hits, key=lambda h: (not h[5], -h[1], -h[0], h[2], h[3])):
+        if all(h[4] < o[3] or o[4] < h[3] for o in out):
+            out.append(h)
+    return out
 
 
 def templates(texts: Mapping[str, str]) -> list[Template]:
-    return [Template(n, w, Counter(w)) for n, t in sorted(texts.items()) if (w := scan_words(t))]
+    return [Template(n, w, Counter(w), [scan_words(x) for x in IDENTITY.get(n, [])]) for n, t in sorted(texts.items()) if (w := scan_words(t))]
 
 
-def scan_licenses(docs: DataFrame, texts: Mapping[str, str] | None = None, coverage: float = COVERAGE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, license, coverage, first_word, last_word, n_found: one row per row of ``docs``.
+def scan_licenses(docs: DataFrame, texts: Mapping[str, str] | None = None, coverage: float = COVERAGE, doc_id: str = "doc_id", text: str = "text", named: bool = False) -> DataFrame:
+    """doc_id, license, coverage, first_word, last_word, n_found, hits: one row per row of ``docs``.
 
     The best covered template of at least ``coverage``, with its place among the
-    text's words, and the number of templates that reach it; nulls where none does."""
-    texts = dict(TEMPLATES if texts is None else texts)
+    text's words, and the number of templates that reach it; nulls where none does.
+    ``hits`` has every place of every template that reaches it, by place, and whether its
+    license is identified. With ``named``, the neighbouring licenses are templates too, hits
+    are settled by ``settle``, and the other columns take identified ones only."""
+    texts = dict((TEMPLATES | RELATED if named else TEMPLATES) if texts is None else texts)
+
+    place = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("identified", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [(t, -int(-coverage * len(t.words) // 1)) for t in templates(texts)]
@@ -156,19 +245,24 @@ def scan_licenses(docs: DataFrame, texts: Mapping[str, str] | None = None, cover
                     break
             distinct.append(k)
         for b in batches:
-            cols: list[list] = [[], [], [], [], []]
+            cols: list[list] = [[], [], [], [], [], []]
             for x in b.column(1).to_pylist():
                 words = scan_words(x or "")
                 here = vocabulary.intersection(words)
                 hits = []
                 for (t, least), k in zip(known, distinct, strict=True):
-                    if len(here) >= k and len(here & t.counts.keys()) >= k and (got := t.best(words, least)):
-                        hits.append((-got[0] / len(t.words), -len(t.words), t.name, got))
-                row = (None, None, None, None) if not hits else (min(hits)[2], -min(hits)[0], min(hits)[3][1], min(hits)[3][2])
-                for c, v in zip(cols, (*row, len(hits)), strict=True):
+                    if len(here) >= k and len(here & t.counts.keys()) >= k:
+                        hits.extend((n / len(t.words), len(t.words), t.name, first, last, t.identified(got)) for n, first, last, got in t.places(words, least))
+                if named:
+                    hits = settle(hits)
+                best = min((h for h in hits if h[5] or not named), key=lambda h: (-h[0], -h[1], h[2], h[3]), default=None)
+                row = (None, None, None, None) if best is None else (best[2], best[0], best[3], best[4])
+                every = [{"license": h[2], "coverage": h[0], "first_word": h[3], "last_word": h[4], "identified": h[5]} for h in sorted(hits, key=lambda h: (h[3], h[4], h[2]))]
+                for c, v in zip(cols, (*row, len({h[2] for h in hits if h[5] or not named}), every), strict=True):
                     c.append(v)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int32()), strict=True))],
-                                             names=["doc_id", "license", "coverage", "first_word", "last_word", "n_found"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int32(), place), strict=True))],
+                                             names=["doc_id", "license", "coverage", "first_word", "last_word", "n_found", "hits"])
 
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return own.mapInArrow(run, "doc_id long, license string, coverage double, first_word long, last_word long, n_found int")
+    return own.mapInArrow(run, "doc_id long, license string, coverage double, first_word long, last_word long, n_found int, "
+                               "hits array<struct<license string, coverage double, first_word long, last_word long, identified boolean>>")
