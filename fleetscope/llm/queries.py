@@ -83,7 +83,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(table(spark, sf_dir, "documents"))
+    return scan_licenses(table(spark, sf_dir, "documents"), named=True)
 
 
 @query
