@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,6 +34,8 @@ LOOKALIKE_COST, REPEAT_COST, SINGLE_COST, SKIP_COST, MASK_COST = 0.5, 0.3, 8.0,
 MASKS = "*#?"
 SEPARATORS = ".-_·'~ "
 BEAM = 40
+#: Characters on each side of a border in a spaced run, and what a border may cost.
+NEAR, BORDER_COST = 12, 4.0
 _INDEX = {c: i + 1 for i, c in enumerate(LETTERS)}
 
 
@@ -108,48 +110,95 @@ class Decoder:
 
     def decode(self, token: str) -> str:
         """The cheapest letters for a lower-case token, by Viterbi search over (last two letters)."""
-        if (got := self.known.get(token)) is not None:
-            return got
-        cost = self.cost
+        return self._remembered(token, lambda: self._search(lattice(token))[1])
+
+    def undoubled(self, token: str) -> str:
+        """A token of letters, read as written or as by a writer who doubles letters, whichever is cheaper.
+
+        Doubling as a habit costs ``SINGLE_COST`` once, each doubled letter then ``REPEAT_COST``."""
+
+        def best() -> str:
+            plain = [[(c, 0.0)] for c in token]
+            habit = [[(o[0][0], 0.0), (o[0][0][0], REPEAT_COST)] if len(o[0][0]) == 2 else o for o in lattice(token)]
+            written, restored = self._search(plain), self._search(habit)
+            return restored[1] if restored[0] + SINGLE_COST < written[0] else token
+
+        return self._remembered("=" + token, best)
+
+    def decode_run(self, run: list[str]) -> set[str]:
+        """Words of a run of single characters, where a word may end after any of them.
+
+        A border is taken where the reading with it costs at most ``BORDER_COST`` more than the one without it,
+        by the ``NEAR`` characters on each side; every stretch of up to ``NEAR`` between borders is a word."""
+
+        def read(a: int, b: int) -> tuple[float, str]:
+            token = "".join(run[a:b])
+            if token not in seen:
+                seen[token] = self._search(lattice(token), self.any_word)
+            return seen[token]
+
+        n, seen = len(run), {}
+        cuts = [0, *(i for i in range(1, n) if read(max(0, i - NEAR), i)[0] + read(i, min(n, i + NEAR))[0]
+                     <= read(max(0, i - NEAR), min(n, i + NEAR))[0] + BORDER_COST), n]
+        out = set()
+        for k, i in enumerate(cuts[:-1]):
+            out.update(read(i, j)[1] for j in cuts[k + 1:k + 1 + NEAR] if j <= i + NEAR)
+            out.add(read(i, min(n, i + NEAR))[1])  # for its beginnings
+        return out
+
+    @functools.cached_property
+    def any_word(self) -> np.ndarray:
+        """The costs, with a word's first letter priced whatever the word before ends in."""
+        first = np.exp(-self.cost[:, 0, :]).mean(axis=0)
+        out = self.cost.copy()
+        out[0, 0] = -np.log(first / first.sum())
+        return out
+
+    def _remembered(self, key: str, make: Callable[[], str]) -> str:
+        if (got := self.known.get(key)) is None:
+            if len(self.known) > 200_000:
+                self.known.clear()
+            got = self.known[key] = make()
+        return got
+
+    def _search(self, places: list[list[tuple[str, float]]], cost: np.ndarray | None = None) -> tuple[float, str]:
+        cost = self.cost if cost is None else cost
         states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-        for options in lattice(token):
+        for options in places:
             new: dict[tuple[int, int], tuple[float, tuple]] = {}
             for (a, b), (c, path) in states.items():
                 for letters, price in options:
                     x, y, total = a, b, c + price
                     for ch in letters:
-                        z = _INDEX.get(ch, SIZE - 1)
+                        z = 0 if ch == " " else _INDEX.get(ch, SIZE - 1)
                         total += float(cost[x, y, z])
-                        x, y = y, z
+                        x, y = (y, z) if z else (0, 0)
                     if (x, y) not in new or total < new[x, y][0]:
                         new[x, y] = (total, (path, letters) if letters else path)
             if len(new) > BEAM:
                 new = dict(sorted(new.items(), key=lambda kv: kv[1][0])[:BEAM])
             states = new
-        _, path = min(((c + float(cost[a, b, 0]), p) for (a, b), (c, p) in states.items()), key=lambda x: x[0])
+        total, path = min(((c + float(cost[a, b, 0]), p) for (a, b), (c, p) in states.items()), key=lambda x: x[0])
         parts = []
         while path:
             path, letters = path
             parts.append(letters)
-        out = "".join(reversed(parts))
-        if len(self.known) > 200_000:
-            self.known.clear()
-        self.known[token] = out
-        return out
+        return total, "".join(reversed(parts))
 
 
 _ENDS = ".,;:!?\"'()[]{}<>%&#*-_=/\\~^`|+…»«“”„’"
 _PARTS = re.compile(r"[^\W\d_]+")
 _REPEAT = re.compile(r"([^\W\d_])\1\1")
+_DOUBLE = re.compile(r"([^\W\d_])\1")
 
 
 def token_words(token: str, decoder: Decoder) -> list[str]:
     """Words of one lower-case token: as written, and restored where it looks disguised."""
     if token.isalpha() and not _REPEAT.search(token):
-        return [token]
+        return _written(token, decoder)
     core = token.strip(_ENDS)
     if core.isalpha() and not _REPEAT.search(core):
-        return [core] if core == token.rstrip(_ENDS) else [core, *_edge(token, decoder)]
+        return [*_written(core, decoder), *([] if core == token.rstrip(_ENDS) else _edge(token, decoder))]
     core = re.sub(r"[$@€£¢§]{3,}$", "", core).rstrip(_ENDS)
     words = _PARTS.findall(core)
     if not words:
@@ -160,6 +209,13 @@ def token_words(token: str, decoder: Decoder) -> list[str]:
     return [*words, decoder.decode(core), *_edge(token, decoder)]
 
 
+def _written(word: str, decoder: Decoder) -> list[str]:
+    """A word of letters, and what it may be with doubled letters taken back."""
+    if _DOUBLE.search(word) and (single := decoder.undoubled(word)) != word:
+        return [word, single]
+    return [word]
+
+
 def _edge(token: str, decoder: Decoder) -> list[str]:
     """A look-alike that begins the token, as in |diot, is cut off with the punctuation; try it as a letter."""
     return [decoder.decode(token.rstrip(_ENDS))] if token[0] in LOOKALIKES and len(token) > 1 and token[1].isalnum() else []
@@ -176,6 +232,7 @@ def spaced_words(tokens: list[str], decoder: Decoder) -> list[str]:
         if len(run) >= 3 and any(c.isalpha() for c in run):
             # a one-letter word may stand before or after
             out.extend(decoder.decode("".join(x)) for x in (run, run[1:], run[:-1]))
+            out.extend(decoder.decode_run(run))  # or several words
         run = []
     return out
 
