@@ -14,6 +14,9 @@ from .jaccard import jaccard_components
 from .licenses import scan_licenses
 from .linededup import line_report
 from .mixing import mix
+from .orchard import clusters
+from .ranking import rank_documents
+from .spm import encode_pieces
 from .tokencount import token_counts
 from .topk import top_k
 from .toxicity import toxicity
@@ -152,3 +155,67 @@ SELECT page_id, strlen(p) AS payload_bytes,
 FROM (SELECT page_id, p, sha1(p) AS h, max(page_id) OVER (PARTITION BY p) AS top
       FROM (SELECT page_id, coalesce(html, '') AS p FROM pages))
 """
+
+
+@query
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"),
+                         outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"""list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+SQL["op12_ranked_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+total AS (SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d WHERE len(t) > 0),
+tf AS (SELECT r, doc_id, len(t) AS n, term, count(*) AS tf FROM (SELECT r, doc_id, t, unnest(t) AS term FROM d) GROUP BY r, doc_id, len(t), term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+i AS (SELECT item_id, unnest(list_distinct({_TERMS})) AS term FROM benchmark),
+s AS (
+  SELECT item_id, doc_id, r, sum(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT
+                                 * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM i JOIN tf USING (term) JOIN df USING (term) CROSS JOIN total GROUP BY item_id, doc_id, r),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
+@query
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(table(spark, sf_dir, "embeddings"))
+
+
+def _clusters_sql(rounds: int = 3) -> str:
+    """Whole numbers below 2^53 stay exact in doubles."""
+    parts = ["""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, e FROM v QUALIFY c < 16)"""]
+    for k in range(rounds + 1):
+        parts.append(f"""
+a{k} AS MATERIALIZED (
+  SELECT r, vec_id, v.e, c, list_inner_product(v.e, v.e) - 2 * list_inner_product(v.e, c{k}.e) + list_inner_product(c{k}.e, c{k}.e) AS d
+  FROM v CROSS JOIN c{k} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)""")
+        if k < rounds:
+            parts.append(f"""
+c{k + 1} AS MATERIALIZED (
+  SELECT c{k}.c, coalesce(m.e, c{k}.e) AS e FROM c{k} LEFT JOIN (
+    SELECT c, list(x ORDER BY p) AS e FROM (
+      SELECT c, p, floor(sum(x) / count(*)) AS x FROM (SELECT c, unnest(e) AS x, generate_subscripts(e, 1) AS p FROM a{k}) GROUP BY c, p) GROUP BY c) m
+  ON m.c = c{k}.c)""")
+    return ",".join(parts) + f"""
+SELECT vec_id, c::INTEGER AS cluster, d::BIGINT AS distance, sum(d) OVER (PARTITION BY a{rounds}.c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(c{rounds}.e, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (c)
+"""
+
+
+SQL["op13_clusters"] = _clusters_sql()
