@@ -148,14 +148,15 @@ def _last(doc_id: int | None) -> int:
     return (1 << 63) - 1 if doc_id is None else doc_id
 
 
-def score_classes(classes: DataFrame, of_term: tuple[np.ndarray, np.ndarray], weight: np.ndarray, items: int, k: int) -> DataFrame:
+def score_classes(classes: DataFrame, of_term: tuple[np.ndarray, np.ndarray], weight: np.ndarray, items: np.ndarray, k: int) -> DataFrame:
     """(item, score, doc_id): per task and item the best documents of the task's classes.
 
-    ``of_term``: the items of each term of the vocabulary, one term after the other, and where each term's begin."""
-    sent = classes.sparkSession.sparkContext.broadcast((*of_term, weight))
+    ``of_term``: the places in ``items`` of the items of each term of the vocabulary, one term after the other, and where each term's begin."""
+    sent = classes.sparkSession.sparkContext.broadcast((*of_term, weight, items))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item_of, starts, w = sent.value
+        item_of, starts, w, names = sent.value
+        items = len(names)
         best = Best(items, k)
         for batch in batches:
             m = batch.column("m").to_numpy()
@@ -184,7 +185,7 @@ def score_classes(classes: DataFrame, of_term: tuple[np.ndarray, np.ndarray], we
                 i = j
         rows = list(best.lists())
         item, score, doc = zip(*rows, strict=True) if rows else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(item, pa.int64()), pa.array(score, pa.int64()), pa.array(doc, pa.int64())], names=["item", "score", "doc_id"])
+        yield pa.RecordBatch.from_arrays([pa.array(names[list(item)], pa.int64()), pa.array(score, pa.int64()), pa.array(doc, pa.int64())], names=["item", "score", "doc_id"])
 
     return classes.mapInArrow(run, "item long, score long, doc_id long")
 
@@ -209,10 +210,7 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 50, doc_id: str =
         weight = np.floor(1000 * np.log((2 * size["N"] + 2) / (2 * here + 1))).astype(np.int64)
         norm = F.expr(f"50 + (50 * n * {size['N']}L) div {max(1, size['L'])}L").alias("m")
         classes = bag_classes(bag.filter(F.size("terms") > 0).select("doc_id", norm, "terms", "counts"), k)
-        scored = score_classes(classes, (pairs[:, 1].copy(), starts), weight, len(rows), k)
-        names = np.array([r["item"] for r in rows], np.int64)
-        of = docs.sparkSession.createDataFrame([(i, int(x)) for i, x in enumerate(names)], "place long, item long")
-        scored = scored.withColumnRenamed("item", "place").join(of, "place").drop("place")
+        scored = score_classes(classes, (pairs[:, 1].copy(), starts), weight, np.array([r["item"] for r in rows], np.int64), k)
         found = scored if found is None else found.unionByName(scored)
     w = Window.partitionBy("item").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
     top = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
