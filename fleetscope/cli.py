@@ -2,7 +2,8 @@
 
 * ``clean``   raw headerless CSV folder -> cleaned header CSV, one output per
               input file (S1, P2, S5), plus the date-partitioned parquet table.
-* ``analyze`` cleaned CSV folder (or parquet table) -> per-driver summary and
+* ``analyze`` the ``csv`` folder of ``clean``, any folder of header CSVs, or a
+              parquet table (S2, S3, U1) -> per-driver summary and
               everything derived from it (A3, A5, A6, A11, A12, M1-M7), each
               written as a parquet table under the output folder.
 * ``ingest``  streaming form of ``clean`` (T7): new raw files are cleaned into
@@ -35,10 +36,14 @@ def _session(args) -> SparkSession:
 def _read_input(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     if fmt == "parquet":
         return spark.read.parquet(path)
-    return files.read_clean_csv(spark, path)
+    clean = files.read_clean_cells(spark, path)
+    if clean.isEmpty():
+        raise SystemExit(f"no .csv output below {path}")
+    return files.typed_records(files.aligned_cells(clean))
 
 
 def clean(spark: SparkSession, raw: str, out: str) -> None:
+    # the records are stored once; outputs, table and rejects read them there
     cells = files.clean_cells(files.read_cells(spark, raw))
     files.write_cells(cells, f"{out}/csv")
     files.write_telemetry_table(files.typed_records(cells), f"{out}/table")

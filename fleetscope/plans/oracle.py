@@ -250,6 +250,27 @@ SELECT array_to_string(cells, '|') AS record, len(cells) AS n_fields FROM (
   FROM (SELECT *, [{", ".join(_CELLS)}] AS all_cells FROM messy))""", MESSY_CTE)
 SQL["s1_rejected_cells"] = with_telemetry("""
 SELECT 7 AS field, time_text AS text FROM messy WHERE event_id % 7 = 0 UNION ALL SELECT 19, 'extra' FROM messy WHERE long""", MESSY_CTE)
+_STRAY = ["driverID", "carPlateNumber", "Latitude::VARCHAR", "Longitude::VARCHAR", "Speed::VARCHAR", "Direction::VARCHAR",
+          """siteName || CASE WHEN event_id % 5 = 0 THEN ' "east" 7"' WHEN event_id % 7 = 0 THEN ', "old"x"y'
+             WHEN event_id % 11 = 0 THEN chr(10) || chr(10) || '"gate", 2' ELSE '' END""",
+          "strftime(Time, '%Y-%m-%d %H:%M:%S')", *[f"coalesce({n}::VARCHAR, '')" for n in FIELD_NAMES[8:]]]
+SQL["s1_stray_quotes"] = with_telemetry(f"SELECT array_to_string([{', '.join(_STRAY)}], '|') AS record, 19 AS n_fields FROM telemetry")
+SQL["s9_clean_then_analyze"] = with_telemetry("SELECT * EXCLUDE (total_distance) FROM summary", TRAVEL_CTE, SUMMARY_CTE)
+_NULLED = {"Direction": "event_id % 4 = 2", "siteName": "event_id % 4 = 2", "isOilLeak": "event_id % 4 = 3", "Speed": "event_id % 40 = 3"}
+SQL["s2_header_columns"] = with_telemetry("SELECT " + ", ".join(
+    f"CASE WHEN NOT ({_NULLED[n]}) THEN {n} END::{'DOUBLE' if n == 'Speed' else 'VARCHAR' if n == 'siteName' else 'INT'} AS {n}" if n in _NULLED else n
+    for n in FIELD_NAMES) + " FROM telemetry")
+SQL["s2_rejected_cells"] = with_telemetry("""
+SELECT 4 AS field, 'n/a' AS text, count(*) AS n FROM telemetry WHERE event_id % 40 = 3 HAVING count(*) > 0
+UNION ALL SELECT 19, 'x', count(*) FROM telemetry WHERE event_id % 4 = 2 HAVING count(*) > 0""")
+SQL["s3_csv_names"] = with_telemetry("""
+SELECT ['in-order', 'reversed', 'fewer', 'blank'][event_id % 4 + 1] AS folder, count(*) AS n_rows FROM telemetry GROUP BY 1""")
+SQL["p4_ragged_rows"] = with_telemetry("""
+SELECT carPlateNumber, CAST(sum(CASE WHEN short THEN 0 ELSE coalesce(isOverspeedFinished, 0) END) AS BIGINT) AS overspeed_count,
+  CAST(sum(CASE WHEN short THEN 0 ELSE coalesce(isFatigueDriving, 0) END) AS BIGINT) AS fatigue_driving_count,
+  sum(CASE WHEN short THEN 0 ELSE coalesce(overspeedTime, 0.0) END) AS overspeed_time,
+  sum(CASE WHEN short THEN 0 ELSE coalesce(neutralSlideTime, 0.0) END) AS neutral_slide_time
+FROM messy GROUP BY carPlateNumber""", MESSY_CTE)
 SQL["s5_outputs"] = with_telemetry("SELECT right(driverID, 1) AS source, count(*) AS n_rows, TRUE AS one_each FROM telemetry GROUP BY 1")
 SQL["t7_stream_ingest"] = with_telemetry(f"""
 SELECT driverID, carPlateNumber, Latitude, Longitude, speed_text::DOUBLE AS Speed, Direction, site_text AS siteName,

@@ -242,8 +242,8 @@ def _cleaned_folder(spark: SparkSession, raw: str) -> str:
 @register("s1_raw_csv_round_trip")
 def q_s1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cells of every cleaned record as text, in order."""
-    clean = FL.read_clean_cells(spark, _cleaned_folder(spark, _messy_source_files(spark, sf_dir)))
-    return clean.select(F.array_join(F.transform("cells", FL.cell_text), "|").alias("record"), F.size("cells").cast("long").alias("n_fields"))
+    clean = FL.data_cells(FL.read_clean_cells(spark, _cleaned_folder(spark, _messy_source_files(spark, sf_dir))))
+    return clean.select(F.array_join("cells", "|").alias("record"), F.size("cells").cast("long").alias("n_fields"))
 
 
 @register("s5_outputs")
@@ -251,8 +251,8 @@ def q_s5o(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per source folder, its records and whether every input has an output of its own."""
     raw = _messy_source_files(spark, sf_dir)
     source = F.regexp_extract("input", r"source(?:=|%3D|%253D)(\d)", 1).alias("source")
-    inputs = FL.read_cells(spark, raw).groupBy(source).agg(F.countDistinct("input").alias("n_inputs"))
-    outputs = FL.read_clean_cells(spark, _cleaned_folder(spark, raw)).groupBy(source).agg(
+    inputs = FL.input_files(spark, raw).groupBy(source).agg(F.countDistinct("input").alias("n_inputs"))
+    outputs = FL.data_cells(FL.read_clean_cells(spark, _cleaned_folder(spark, raw))).groupBy(source).agg(
         F.countDistinct("input").alias("n_outputs"), F.count(F.lit(1)).alias("n_rows"))
     return inputs.join(outputs, "source", "full").select("source", "n_rows", (F.col("n_inputs") == F.col("n_outputs")).alias("one_each"))
 
@@ -264,9 +264,88 @@ def q_s1r(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FL.rejected_cells(cells).select(F.col("field").cast("long").alias("field"), "text")
 
 
+def _stray_quote_files(spark: SparkSession, sf_dir: str) -> str:
+    """Raw files with \\r\\n line ends and quotes where they open nothing: inside cells, behind a closed section, doubled;
+    and quoted line breaks that cross them."""
+    raw = load_telemetry(spark, sf_dir, clean=False)
+    e = F.col("event_id")
+    cells = {n: F.coalesce(F.col(n).cast("string"), F.lit("")) for n in FIELD_NAMES}
+    cells["Time"] = S.format_time("Time")
+    cells["carPlateNumber"] = F.when(e % 3 == 0, F.concat(cells["carPlateNumber"], F.lit('"'))).otherwise(cells["carPlateNumber"])
+    cells["siteName"] = (F.when(e % 5 == 0, F.concat(cells["siteName"], F.lit(' "east" 7"')))
+                         .when(e % 7 == 0, F.concat(F.lit('"'), cells["siteName"], F.lit(', ""old"""x"y')))
+                         .when(e % 11 == 0, F.concat(F.lit('"'), cells["siteName"], F.lit('\r\n\r\n""gate"", 2"')))
+                         .otherwise(cells["siteName"]))
+    path = scratch_path(spark, "stray-quotes")
+    raw.select(F.array_join(F.array(*[cells[n] for n in FIELD_NAMES]), ",").alias("value")).write.option("lineSep", "\r\n").text(path)
+    return path
+
+
+@register("s1_stray_quotes")
+def q_s1s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 -> P2 -> S5 -> S2 on stray quotes: the cells of every record."""
+    clean = FL.data_cells(FL.read_clean_cells(spark, _cleaned_folder(spark, _stray_quote_files(spark, sf_dir))))
+    return clean.select(F.array_join("cells", "|").alias("record"), F.size("cells").cast("long").alias("n_fields"))
+
+
+@register("s9_clean_then_analyze")
+def q_s9c(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two jobs in a row: raw files to outputs, outputs to the per-driver summary."""
+    clean = FL.read_clean_csv(spark, _cleaned_folder(spark, _raw_source_files(spark, sf_dir)))
+    # the outputs have no event_id; a driver's records of the same time are alike for the sums but for Speed
+    ordered = clean.withColumn("event_id", F.lit(0).cast("long"))
+    return T.driver_summary(ordered).drop("total_distance")
+
+
+def _header_files(spark: SparkSession, sf_dir: str) -> str:
+    """Header CSVs as they come: fields in order, in reverse, without two of them and with a foreign one, with a column that
+    is blank throughout and a cell that is no number; and a file of another name."""
+    tel = load_telemetry(spark, sf_dir)
+    kind = (F.col("event_id") % 4).cast("int")
+    some = [n for n in FIELD_NAMES if n not in ("Direction", "siteName")]
+    speed = F.when(F.col("event_id") % 40 == 3, F.lit("n/a")).otherwise(F.col("Speed").cast("string"))
+    parts = {
+        "in-order": tel.filter(kind == 0).select(*FIELD_NAMES),
+        "reversed": tel.filter(kind == 1).select(*reversed(FIELD_NAMES)),
+        "fewer": tel.filter(kind == 2).select(*some[:5], F.lit("x").alias("colour"), *some[5:]),
+        "blank": tel.filter(kind == 3).withColumn("Speed", speed).withColumn("isOilLeak", F.lit(None).cast("int")).select(*FIELD_NAMES),
+    }
+    root = scratch_path(spark, "header-files")
+    for name, frame in parts.items():
+        frame.write.options(**FL.CSV_OPTIONS).option("header", True).csv(f"{root}/{name}")
+    tel.select(F.concat_ws(",", "driverID", "carPlateNumber").alias("value")).write.text(f"{root}/notes")
+    return root
+
+
+@register("s2_header_columns")
+def q_s2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + U1: all files in one scan, each by its own header."""
+    return FL.read_clean_csv(spark, _header_files(spark, sf_dir))
+
+
+@register("s2_rejected_cells")
+def q_s2r(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of header files that the typed table cannot hold, foreign columns among them."""
+    cells = FL.aligned_cells(FL.read_clean_cells(spark, _header_files(spark, sf_dir)))
+    return FL.rejected_cells(cells).groupBy(F.col("field").cast("long").alias("field"), "text").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("s3_csv_names")
+def q_s3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: records per folder; the folder whose files end otherwise gives none."""
+    rows = FL.data_cells(FL.read_clean_cells(spark, _header_files(spark, sf_dir)))
+    return rows.groupBy(F.regexp_extract("input", "/([^/]+)/[^/]+$", 1).alias("folder")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("p4_ragged_rows")
+def q_p4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Behaviour totals from the messy rows, some of them short."""
+    return B.behaviour_by_plate(FL.text_measures(FL.read_rows_text(spark, _cleaned_folder(spark, _messy_source_files(spark, sf_dir)))))
+
+
 @register("s4_behaviour_from_rows")
 def q_s4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = FL.read_rows_text(spark, _cleaned_folder(spark, _raw_source_files(spark, sf_dir)), glob="*")
+    rows = FL.read_rows_text(spark, _cleaned_folder(spark, _raw_source_files(spark, sf_dir)))
     return B.behaviour_by_plate(FL.text_measures(rows))
 
 
@@ -302,11 +381,9 @@ def q_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("u1_union_files")
 def q_u1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One frame per source, united."""
-    clean = FL.read_clean_cells(spark, _cleaned_folder(spark, _raw_source_files(spark, sf_dir)))
-    clean = clean.withColumn("source", F.regexp_extract("input", r"source(?:=|%3D|%253D)(\d)", 1))
-    frames = [FL.typed_records(clean.filter(F.col("source") == str(k))) for k in range(10)]
-    return FL.union_frames(frames).select(*[F.col(n).cast("int") if n == "Speed" else F.col(n) for n in FIELD_NAMES])
+    """The outputs of all sources, united by position in one scan."""
+    united = FL.read_clean_csv(spark, _cleaned_folder(spark, _raw_source_files(spark, sf_dir)))
+    return united.select(*[F.col(n).cast("int") if n == "Speed" else F.col(n) for n in FIELD_NAMES])
 
 
 @register("m1_driver_clusters")

@@ -4,10 +4,10 @@ All scans are single multi-file scans with an explicit schema: no per-file
 DataFrames, no schema inference pass. Sinks write under a caller-given path
 (on a cluster: a shared filesystem).
 
-Raw files are read as text cells: cleaning changes the plate and nothing else, so
-fractional speeds, times in odd formats, ragged rows and quoted line breaks all
-come out as they went in. Types are made only for the telemetry table, with
-``try_cast``; cells that do not parse are listed by ``rejected_cells``.
+CSV files are read as records of text cells (``records``), in splits: cleaning changes
+the plate and nothing else, so fractional speeds, times in odd formats, ragged rows and
+quoted line breaks all come out as they went in. Types are made only for the telemetry
+table, with ``try_cast``; cells that do not parse are listed by ``rejected_cells``.
 """
 
 from __future__ import annotations
@@ -20,70 +20,102 @@ from pyspark.sql import types as T
 
 from fleetscope.functions.expr import clean_plate, text_blank_to_zero
 from fleetscope.schema import FIELD_NAMES, TELEMETRY, TIME_FORMAT
+from fleetscope.sources.records import read_records
 
 # Python's csv module quotes with '"' and doubles quotes inside a field.
 CSV_OPTIONS = {"encoding": "UTF-8", "quote": '"', "escape": '"',
                "timestampNTZFormat": TIME_FORMAT, "timestampFormat": TIME_FORMAT}
-TEXT_TELEMETRY = T.StructType([T.StructField(n, T.StringType(), True) for n in FIELD_NAMES])
+#: Where ``write_cells`` puts one shard of an output: a folder named as the output, with shards named by the
+#: byte of the input at which they begin.
+_SHARD = r"/output=([^/]+)/shard=(\d+)/[^/]*$"
 
 
-# A record ends at a line break outside quotes; a cell at a comma outside quotes.
-# The quantifiers are possessive: no backtracking, whatever a quoted cell holds.
-_QUOTED = '"(?:[^"]++|"")*+"'
-_RECORD = f'(?:[^"\\r\\n]++|{_QUOTED}|"[^\\r\\n]*+)++'
-_CELL = f'(?:^|,)((?:[^",]++|{_QUOTED}|")*+)'
-
-
-def cell_text(raw: Column) -> Column:
-    """The value of a cell: quotes around it removed, doubled ones inside halved."""
-    inner = F.regexp_replace(F.regexp_extract(raw, '(?s)^"(.*)"$', 1), '""', '"')
-    return F.when(raw.rlike('(?s)^".*"$'), inner).otherwise(raw)
-
-
-def record_cells(files_text: DataFrame, root: str) -> DataFrame:
-    """``(input, record, cells)`` of whole-file texts (``value``): the input's path
-    below ``root``, the record's number in it, and its cells as written."""
+def input_name(file: Column, root: str) -> Column:
+    """A file's path below ``root``."""
     base = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
-    name = F.substring_index(F.col("_metadata.file_path"), base, -1)
-    records = F.regexp_extract_all("value", F.lit(_RECORD), F.lit(0))
-    return (files_text.select(name.alias("input"), F.posexplode(records).alias("record", "line"))
-            .select("input", "record", F.regexp_extract_all("line", F.lit(_CELL), F.lit(1)).alias("cells")))
+    return F.substring_index(file, base, -1)
 
 
 def read_cells(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """The cells of every file below ``path``, nothing typed, padded or dropped.
+    """``(input, block, record, cells)``, the cells of every file below ``path`` as ``csv.reader`` gives them;
+    nothing typed, padded or dropped. Files are read in splits; (block, record) is the order in a file."""
+    return read_records(spark, path, glob).select(input_name(F.col("file"), path).alias("input"), "block", "record", "cells")
+
 
-    A file is one task's, as with any reader of quoted line breaks."""
-    texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
-    return record_cells(texts, path)
+def input_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """``(input)``: every file below ``path`` that holds anything; no contents are read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return found.select(input_name(F.col("path"), path).alias("input"))
 
 
 def clean_cells(cells: DataFrame) -> DataFrame:
     """P2 on field 1 of each record; every other cell, and the number of cells, unchanged."""
-    plate = clean_plate(cell_text(F.get("cells", F.lit(1))))
-    return cells.withColumn("cells", F.transform("cells", lambda c, i: F.when(i == 1, plate).otherwise(c)))
+    return cells.withColumn("cells", F.transform("cells", lambda c, i: F.when(i == 1, clean_plate(c)).otherwise(c)))
+
+
+def record_text(cells: Column) -> Column:
+    """A record as ``csv.writer`` writes it: quotes only where a cell needs them."""
+    quoted = F.transform(cells, lambda c: F.when(c.rlike('[,"\r\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c))
+    return F.when((F.size(cells) == 1) & (F.get(cells, F.lit(0)) == ""), F.lit('""')).otherwise(F.array_join(quoted, ","))
 
 
 def write_cells(cells: DataFrame, path: str) -> None:
-    """One output per input, in its own folder ``output=output_<input>``, with the
-    header line first and the records in their order; ragged records stay ragged."""
-    lines = cells.select("input", "record", F.array_join("cells", ",").alias("value"))
-    header = lines.select("input").distinct().select("input", F.lit(-1).alias("record"), F.lit(",".join(FIELD_NAMES)).alias("value"))
-    # sorted by the folder first, as the writer wants it, so that it keeps the order of records
-    named = lines.unionByName(header).select(F.concat(F.lit("output_"), F.col("input")).alias("output"), "record", "value")
-    (named.repartition("output").sortWithinPartitions("output", "record").drop("record")
-     .write.mode("overwrite").partitionBy("output").text(path))
+    """One output per input, a folder ``output=output_<input>.csv`` of shards, each from one block of the input.
+
+    The shards' names sort as the blocks do, so that one after the other they are the whole output: the header line
+    once, then the records in their order, ragged ones ragged. A task holds a block, never an input. A file of no bytes
+    has no output, as Spark does not list it."""
+    lines = cells.select("input", "block", "record", record_text(F.col("cells")).alias("value"))
+    header = cells.select("input").distinct().select("input", F.lit(0).cast("long").alias("block"), F.lit(-1).cast("long").alias("record"), F.lit(",".join(FIELD_NAMES)).alias("value"))
+    named = lines.unionByName(header).select(F.concat(F.lit("output_"), "input", F.lit(".csv")).alias("output"),
+                                             F.lpad(F.col("block").cast("string"), 15, "0").alias("shard"), "record", "value")
+    # sorted by the folders first, as the writer wants it, so that it keeps the order of records
+    (named.repartition("output", "shard").sortWithinPartitions("output", "shard", "record").drop("record")
+     .write.mode("overwrite").partitionBy("output", "shard").text(path))
+
+
+def read_clean_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """S3: ``(input, shard, block, record, cells)`` of every output named ``*.csv`` below ``path``: single files and the
+    sharded folders of ``write_cells``; the header is record 0 of block 0 of shard 0."""
+    file = F.col("_metadata.file_path")
+    found = read_records(spark, path, which=file.endswith(".csv") | (F.regexp_extract(file, _SHARD, 1).endswith(".csv")))
+    folder = F.regexp_extract("file", _SHARD, 1)
+    return found.select(F.when(folder == "", F.col("file")).otherwise(F.regexp_replace("file", _SHARD, "/output=$1")).alias("input"),
+                        F.when(folder == "", F.lit(0)).otherwise(F.regexp_extract("file", _SHARD, 2).cast("long")).alias("shard"), "block", "record", "cells")
 
 
-def read_clean_cells(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """S2 on the outputs of ``write_cells``: the header line left out."""
-    return read_cells(spark, path, glob).filter(F.col("record") > 0)
+_HEADER = "shard = 0 AND block = 0 AND record = 0"
+
+
+def data_cells(clean: DataFrame) -> DataFrame:
+    """The records of ``read_clean_cells`` without the headers, by position."""
+    return clean.filter(f"NOT ({_HEADER})")
+
+
+def header_places(clean: DataFrame) -> DataFrame:
+    """``(input, places)``, one row per input: where each of the 19 fields stands in its records (null: nowhere), then
+    the places of its other columns. A header that names none of the fields counts as the fields in their order."""
+    names = F.transform("cells", lambda c: F.trim(c))
+    at = F.array(*[F.nullif(F.array_position(names, n), F.lit(0)).cast("int") - 1 for n in FIELD_NAMES])
+    other = F.filter(F.sequence(F.lit(0), F.size(names) - 1), lambda i: ~F.array_contains(F.array(*[F.lit(n) for n in FIELD_NAMES]), F.get(names, i)))
+    own = F.sequence(F.lit(0), F.greatest(F.size(names), F.lit(len(FIELD_NAMES))) - 1)
+    known = F.arrays_overlap(names, F.array(*[F.lit(n) for n in FIELD_NAMES]))
+    return clean.filter(_HEADER).select("input", F.size(names).alias("width"), F.when(known, F.concat(at, F.when(F.size(names) > 0, other).otherwise(F.array().cast("array<int>")))).otherwise(own).alias("places"))
+
+
+def aligned_cells(clean: DataFrame) -> DataFrame:
+    """S2 + U1: ``(input, shard, block, record, cells)`` of all outputs in one scan, every record's cells in the order of the
+    19 fields whatever its file's header says (a missing column is null); other columns, and cells beyond the header,
+    stand behind them. Empty lines are left out."""
+    rows = data_cells(clean).filter(F.size("cells") > 0).join(header_places(clean), "input", "left")
+    beyond = F.slice("cells", F.col("width") + 1, F.greatest(F.lit(0), F.size("cells") - F.col("width")))
+    return rows.select("input", "shard", "block", "record", F.concat(F.transform("places", lambda i: F.get("cells", i)), beyond).alias("cells"))
 
 
 def _typed_cell(i: int, f: T.StructField) -> Column:
-    text = F.nullif(F.trim(cell_text(F.get("cells", F.lit(i)))), F.lit(""))
+    text = F.nullif(F.trim(F.get("cells", F.lit(i))), F.lit(""))
     if isinstance(f.dataType, T.StringType):
-        return F.nullif(cell_text(F.get("cells", F.lit(i))), F.lit(""))
+        return F.nullif(F.get("cells", F.lit(i)), F.lit(""))
     if isinstance(f.dataType, T.TimestampNTZType):
         return F.try_to_timestamp(text, F.lit(TIME_FORMAT)).cast("timestamp_ntz")
     return text.try_cast(f.dataType)
@@ -96,14 +128,14 @@ def typed_records(cells: DataFrame) -> DataFrame:
 
 
 def rejected_cells(cells: DataFrame) -> DataFrame:
-    """``(input, record, field, text)`` of cells that the typed table cannot hold: those
+    """``(input, block, record, field, text)`` of cells that the typed table cannot hold: those
     that do not parse, and those beyond the 19th."""
     bad = F.array_compact(F.array(*[
-        F.when((F.trim(cell_text(F.get("cells", F.lit(i)))) != "") & _typed_cell(i, f).isNull(), F.struct(F.lit(i).alias("field"), F.get("cells", F.lit(i)).alias("text")))
+        F.when((F.trim(F.get("cells", F.lit(i))) != "") & _typed_cell(i, f).isNull(), F.struct(F.lit(i).alias("field"), F.get("cells", F.lit(i)).alias("text")))
         for i, f in enumerate(TELEMETRY.fields) if not isinstance(f.dataType, T.StringType)]))
     extra = F.transform(F.slice("cells", F.lit(len(FIELD_NAMES) + 1), F.greatest(F.lit(0), F.size("cells") - len(FIELD_NAMES))),
                         lambda c, i: F.struct((i + len(FIELD_NAMES)).alias("field"), c.alias("text")))
-    return cells.select("input", "record", F.inline(F.concat(bad, extra)))
+    return cells.select("input", "block", "record", F.inline(F.concat(bad, extra)))
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -112,33 +144,16 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_clean_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """S2 + S3 + U1: header CSVs of a folder (only ``*.csv`` names), one scan,
-    united by position under the fixed schema (no inference pass)."""
-    return (spark.read.schema(TELEMETRY).options(**CSV_OPTIONS)
-            .option("header", True).option("enforceSchema", True)
-            .option("pathGlobFilter", "*.csv").csv(path))
-
-
-def read_rows_text(spark: SparkSession, path: str | list[str], glob: str = "*.csv") -> DataFrame:
-    """S4 + P4: header CSVs read row-wise as text cells, ragged rows kept.
-
-    Each line is read whole (quoting off, a separator that never occurs), so
-    the reader still skips every file's header line; the cells are then
-    parsed with ``from_csv`` and ``n_fields`` counts the fields the line
-    really has (commas outside quoted sections). The corrupt-record column
-    cannot be used for this: with CSV column pruning, short rows are not
-    flagged.
-    """
-    lines = (spark.read.schema("line string").option("header", True)
-             .option("sep", "\u0001").option("quote", "").option("encoding", "UTF-8")
-             .option("pathGlobFilter", glob).csv(path))
-    lines = lines.filter(F.col("line").isNotNull() & (F.col("line") != ""))
-    cells = F.from_csv(F.col("line"), TEXT_TELEMETRY.simpleString(),
-                       {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-    unquoted = F.regexp_replace(F.col("line"), '"([^"]|"")*"', "")
-    n = F.size(F.split(unquoted, ",", -1))
-    parsed = lines.select(cells.alias("c"), n.alias("n_fields"))
-    return parsed.select(*[F.col(f"c.{f}").alias(f) for f in FIELD_NAMES], "n_fields")
+    """S2 + S3 + U1: all outputs named ``*.csv`` below a folder, typed by the fixed schema (no inference pass), each
+    by its own header. No such output gives an empty table."""
+    return typed_records(aligned_cells(read_clean_cells(spark, path)))
+
+
+def read_rows_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """S4 + P4: header CSVs read row-wise as text cells by position, each file's first record left out, ragged rows kept;
+    ``n_fields`` counts the cells a row really has."""
+    rows = data_cells(read_clean_cells(spark, path))
+    return rows.select(*[F.nullif(F.get("cells", F.lit(i)), F.lit("")).alias(f) for i, f in enumerate(FIELD_NAMES)], F.size("cells").alias("n_fields"))
 
 
 def text_measures(rows: DataFrame) -> DataFrame:

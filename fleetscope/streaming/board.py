@@ -24,6 +24,7 @@ UTC wall-clock and back at egress (independent of the session time zone).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -35,7 +36,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from fleetscope.session import ship_package
 from fleetscope.functions.expr import epoch_seconds, format_time
 from fleetscope.operators.behaviour import behaviour_by_plate
-from fleetscope.sources.files import clean_cells, record_cells, typed_records
+from fleetscope.sources.files import clean_cells, typed_records
+from fleetscope.sources.records import read_records
 
 EVENT_TIME = "event_time"
 _EPOCH = "1970-01-01 00:00:00"
@@ -221,20 +223,44 @@ def telemetry_stream(spark: SparkSession, path: str, schema: T.StructType,
     return reader.parquet(path)
 
 
-def raw_cells_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """T7 source: headerless raw files as they arrive, as text cells (see ``files.read_cells``)."""
-    reader = spark.readStream
+def raw_files_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """T7 source: ``(path)`` of the raw files as they arrive; their contents are not read here."""
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return record_cells(reader.text(path, wholetext=True), path.split("*", 1)[0])
+    return reader.load(path).select("path")
+
+
+CELLS_SCHEMA = "file string, block long, record long, cells array<string>"
+
+
+def stage_raw(spark: SparkSession, raw_dir: str, staged: str, checkpoint: str, max_files_per_trigger: int | None = None) -> None:
+    """First half of T7: the cleaned cells of every new raw file in ``staged/batch=<id>``, read in splits like any
+    raw folder (S1). A batch that is run again replaces its own cells."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # the names of one trigger's files; the source holds them on the driver as well
+        paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r["path"]) for r in batch.collect()]
+        if paths:
+            clean_cells(read_records(spark, paths)).write.mode("overwrite").parquet(f"{staged}/batch={batch_id}")
+
+    (raw_files_stream(spark, raw_dir, max_files_per_trigger).writeStream.foreachBatch(write)
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
 
 
 def ingest_raw(spark: SparkSession, raw_dir: str, table: str, checkpoint: str,
                max_files_per_trigger: int | None = None):
     """Clean new raw files (P2) into a typed parquet table; restart-safe. The
-    cells that do not parse are null there; ``files.rejected_cells`` lists them."""
-    cells = clean_cells(raw_cells_stream(spark, raw_dir, max_files_per_trigger))
-    return run_append_sink(typed_records(cells), table, checkpoint)
+    cells that do not parse are null there; ``files.rejected_cells`` lists them.
+
+    Two streams, one after the other: raw files to staged cells (``checkpoint/cells``), and
+    staged cells to the table through the exactly-once file sink. The second starts when
+    the batches of the first are complete."""
+    staged = f"{checkpoint.rstrip('/')}/cells"
+    stage_raw(spark, raw_dir, staged, f"{checkpoint.rstrip('/')}/raw", max_files_per_trigger)
+    spark.createDataFrame([], CELLS_SCHEMA).write.mode("append").parquet(f"{staged}/batch=-1")
+    cells = spark.readStream.schema(CELLS_SCHEMA).parquet(f"{staged}/batch=*")
+    return run_append_sink(typed_records(cells), table, f"{checkpoint.rstrip('/')}/table")
 
 
 def replay_dates(telemetry: DataFrame, path: str, run_once, newest_first: bool = False) -> list:
