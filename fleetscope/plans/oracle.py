@@ -291,6 +291,9 @@ SQL["t5_stream_distance"] = SQL["w1_record_travel"]
 SQL["t2_watermark_late_rows"] = with_telemetry("""
 SELECT w.*, (SELECT count(*) FROM telemetry) - (SELECT sum(n_records) FROM kept) AS dropped_rows FROM kept w""", WINDOWS_CTE, """kept AS (
   SELECT * FROM windows WHERE window_start >= (SELECT strftime(max(Time), '%Y-%m-%d') FROM telemetry))""")
+SQL["t2_late_rows"] = with_telemetry(f"""
+SELECT driverID, event_id, carPlateNumber, strftime(Time, {FMT}) AS Time FROM telemetry
+WHERE Time::DATE < (SELECT max(Time)::DATE FROM telemetry)""")
 SQL["f2_prefix_partial_day"] = with_telemetry("""
 SELECT strftime(min(Time), '%Y-%m-%d %H:%M:%S') AS timestamp FROM telemetry WHERE starts_with(strftime(Time, '%Y-%m-%d %H:%M:%S'), '2017-01-1')""")
 SQL["f2_prefix_partial_month"] = SQL["f2_prefix_partial_day"].replace("2017-01-1", "2017-1")

@@ -22,7 +22,7 @@ from fleetscope.sources.sinks import materialize
 from fleetscope.schema import FIELD_NAMES, MEASURES
 from fleetscope.session import scratch_path
 from fleetscope.sources import files as FL
-from fleetscope.sources.telemetry import load_telemetry
+from fleetscope.sources.telemetry import DAYS, load_telemetry
 from fleetscope.streaming import board as SB
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -468,14 +468,28 @@ def q_t6s(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replay(spark, sf_dir, SB.running_totals, ["carPlateNumber"])
 
 
+#: No record of the adapter's days is more than this behind another.
+SPAN = f"{DAYS + 1} days"
+CLOSING_TIME = "2100-01-01 00:00:00"
+
+
+def _shuffled_source(spark: SparkSession, sf_dir: str) -> tuple[str, object]:
+    """The telemetry in files that hold records of all days, in no order."""
+    tel = load_telemetry(spark, sf_dir)
+    path = scratch_path(spark, "replay-shuffled")
+    tel.repartition(16, F.xxhash64("event_id")).write.parquet(path)
+    return path, tel.schema
+
+
 @register("t5_stream_distance")
 def q_t5s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, schema = _replay_source(spark, sf_dir)
-    stream = SB.telemetry_stream(spark, path, schema)
+    """T5 with shuffled arrival: every record waits for the watermark; none is late."""
+    path, schema = _shuffled_source(spark, sf_dir)
+    SB.heartbeat(spark, path, schema, CLOSING_TIME)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    SB.run_append_sink(SB.record_distance(stream), sink, ckpt)
-    out = spark.read.schema(SB.TRAVEL_SCHEMA).parquet(sink)
-    return out.filter(~F.col("late")).drop("late")
+    stream = SB.telemetry_stream(spark, path, schema, max_files_per_trigger=6)
+    SB.run_append_sink(SB.record_distance(stream, SPAN), sink, ckpt, ordered=True)
+    return spark.read.schema(SB.TRAVEL_SCHEMA).parquet(sink).drop("late")
 
 
 @register("t7_stream_ingest")
@@ -488,42 +502,65 @@ def q_t7s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("t4_stream_replay_cursor")
 def q_t4s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4 as a stream: every record falls into its own date's slices, counted from that
-    date's earliest record (a small static table); slices are updated as files arrive."""
-    path, schema = _replay_source(spark, sf_dir)
-    anchors = materialize(S.date_anchors(spark.read.parquet(path)), "date-anchors")
-    stream = SB.telemetry_stream(spark, path, schema, max_files_per_trigger=4)
-    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    SB.run_update_sink(S.replay_slices(stream, BOARD_SECONDS, anchors), sink, ckpt)
-    return SB.read_latest(spark, sink, ["date", "slice_no", "carPlateNumber"])
+    """T4 as streams: sums per second and the dates' earliest records, both as files arrive in no order; the slices
+    follow from the two."""
+    path, schema = _shuffled_source(spark, sf_dir)
+    held = {}
+    for name, build, keys in (("seconds", SB.replay_seconds, ["date", "carPlateNumber", "second"]), ("anchors", SB.replay_anchors, ["date"])):
+        sink, ckpt = scratch_path(spark, f"replay-{name}"), scratch_path(spark, "stream-ckpt")
+        SB.run_update_sink(build(SB.telemetry_stream(spark, path, schema, max_files_per_trigger=6)), sink, ckpt)
+        held[name] = SB.read_latest(spark, sink, keys)
+    return SB.slices_of_seconds(held["seconds"], held["anchors"], BOARD_SECONDS)
+
+
+def _arrive(spark: SparkSession, sf_dir: str, first, build, run) -> str:
+    """Two arrivals at one source, each drained by a restart from the same checkpoint: the records that ``first`` selects,
+    then the others. Returns the sink."""
+    tel = load_telemetry(spark, sf_dir)
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("replay-late", "stream-sink", "stream-ckpt"))
+    for part in (first, ~first):
+        tel.filter(part).write.mode("append").parquet(src)
+        run(build(SB.telemetry_stream(spark, src, tel.schema)), sink, ckpt)
+    return sink
+
+
+def _newest_date(spark: SparkSession, sf_dir: str):
+    newest = load_telemetry(spark, sf_dir).agg(F.max(F.to_date("Time"))).first()[0]
+    return F.coalesce(F.to_date("Time") == F.lit(newest), F.lit(False))
+
+
+def _late_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sink = _arrive(spark, sf_dir, _newest_date(spark, sf_dir), SB.late_rows, lambda *a: SB.run_append_sink(*a, ordered=True))
+    return spark.read.schema(SB.LATE_SCHEMA).parquet(sink)
+
+
+@register("t2_late_rows")
+def q_t2l(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest date arrives first; the rows behind the watermark, from the side table."""
+    return _late_table(spark, sf_dir)
 
 
 @register("t2_watermark_late_rows")
 def q_t2s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dates arrive newest first; rows behind the watermark are dropped.
-    Returns the windows kept and the number of rows the watermark dropped."""
-    tel = load_telemetry(spark, sf_dir)
-    src = scratch_path(spark, "replay-late")
-    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    SB.replay_dates(tel, src, lambda: SB.run_update_sink(
-        SB.speed_windows(SB.telemetry_stream(spark, src, tel.schema), delay="1 minute"),
-        sink, ckpt), newest_first=True)
+    """The newest date arrives first. The windows kept, and the number of rows in the side table."""
+    sink = _arrive(spark, sf_dir, _newest_date(spark, sf_dir), SB.speed_windows, SB.run_update_sink)
     kept = SB.read_latest(spark, sink, ["window_start", "window_end", "carPlateNumber"])
-    return kept.crossJoin(SB.dropped_by_watermark(spark.read.parquet(src), kept))  # one row on the right
+    return kept.crossJoin(_late_table(spark, sf_dir).agg(F.count(F.lit(1)).alias("dropped_rows")))  # one row on the right
 
 
 @register("t5_stream_distance_batches")
 def q_t5b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5, skew-safe form: one date per micro-batch; each micro-batch runs the
-    range-partitioned predecessor scan seeded with the per-driver state."""
+    """T5 with a short delay, in two arrivals and a heartbeat: records leave batch by batch, and the steps go on across them."""
     tel = load_telemetry(spark, sf_dir)
-    src = scratch_path(spark, "replay-by-date")
-    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    state = scratch_path(spark, "stream-state")
-    SB.replay_dates(tel, src, lambda: SB.run_distance_batches(
-        SB.telemetry_stream(spark, src, tel.schema), sink, ckpt, state))
-    out = spark.read.schema(SB.TRAVEL_SCHEMA).parquet(sink)
-    return out.filter(~F.col("late")).drop("late", "batch")
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("replay-halves", "stream-sink", "stream-ckpt"))
+    early = F.col("Time") < F.lit("2017-01-06 00:00:00").cast("timestamp_ntz")
+    for arrival in (tel.filter(early), tel.filter(~early), None):
+        if arrival is None:
+            SB.heartbeat(spark, src, tel.schema, CLOSING_TIME)
+        else:
+            arrival.write.mode("append").parquet(src)
+        SB.run_append_sink(SB.record_distance(SB.telemetry_stream(spark, src, tel.schema), "1 minute"), sink, ckpt, ordered=True)
+    return spark.read.schema(SB.TRAVEL_SCHEMA).parquet(sink).drop("late")
 
 
 @register("s7_chart_payload")

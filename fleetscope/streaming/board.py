@@ -4,12 +4,13 @@ The reference's "live" board replays stored records in 30-second slices. A
 Spark user builds that as streaming queries over a file source:
 
 * T1  tumbling 30 s windows per plate, watermarked, update mode;
-* T2  the watermark: records older than it are dropped (and counted in the
-      query progress), so window state stays bounded;
+* T2  the watermark: windows older than it are closed, so their state stays
+      bounded; the records behind it go to a side table as they come;
 * T3  overspeed alerts: T1 filtered to windows with an overspeed record,
       emitted as JSON lines;
-* T5  per-record distance: ``lag`` is not allowed on streams, so the last
-      time of each driver is kept in ``applyInPandasWithState``;
+* T4  slices counted from each date's earliest record, learned in the stream;
+* T5  per-record distance: ``lag`` is not allowed on streams, so records wait in
+      ``transformWithState`` until the watermark has passed and leave in order;
 * T6  running per-plate behaviour totals (A1), update mode;
 * T7  raw-file ingest: new CSV files are cleaned (P2) into a parquet table
       by the exactly-once file sink.
@@ -31,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fleetscope.session import ship_package
 from fleetscope.functions.expr import epoch_seconds, format_time
@@ -92,63 +93,160 @@ TRAVEL_SCHEMA = T.StructType([
     T.StructField("distance", T.DoubleType(), True),
     T.StructField("late", T.BooleanType(), False),
 ])
-_STATE_SCHEMA = "last_ts LONG, last_id LONG"
 
 
-def _travel_step(key: tuple, batches: Iterator[pd.DataFrame],
-                 state: GroupState) -> Iterator[pd.DataFrame]:
-    """One driver's records of one micro-batch, continuing from its state."""
-    pdf = pd.concat(list(batches), ignore_index=True)
-    if state.exists:
-        last_ts, last_id = state.get
-    else:
-        last_ts, last_id = None, None
-    pdf = pdf.sort_values(["_ts", "event_id"], kind="stable", na_position="first")
-    ts = pdf["_ts"].astype("Float64")
-    # A record ordered at or before the state's last record arrived late.
-    if last_ts is not None:
-        late = (ts < last_ts) | ((ts == last_ts) & (pdf["event_id"] <= last_id))
-    else:
-        late = pd.Series(False, index=pdf.index)
-    late = late.fillna(False).astype(bool)
-    on_time = pdf[~late.to_numpy()]
-    ts_ok = ts[~late.to_numpy()]
-    prev_ok = ts_ok.shift(1)
-    if last_ts is not None and len(prev_ok):
-        prev_ok.iloc[0] = last_ts
-    hours = (ts_ok - prev_ok) / 3600.0
-    out_on = pd.DataFrame({
-        "driverID": on_time["driverID"], "event_id": on_time["event_id"],
-        "Time": on_time["Time"], "Speed": on_time["Speed"].astype("Int32"),
-        "time_difference": hours.astype("Float64"),
-        "distance": (on_time["Speed"].astype("Float64") * hours).astype("Float64"),
-        "late": False})
-    late_rows = pdf[late.to_numpy()]
-    out_late = pd.DataFrame({
-        "driverID": late_rows["driverID"], "event_id": late_rows["event_id"],
-        "Time": late_rows["Time"], "Speed": late_rows["Speed"].astype("Int32"),
-        "time_difference": pd.array([None] * len(late_rows), dtype="Float64"),
-        "distance": pd.array([None] * len(late_rows), dtype="Float64"),
-        "late": True})
-    if len(on_time):
-        last = on_time.iloc[-1]
-        if pd.notna(last["_ts"]):
-            state.update((int(last["_ts"]), int(last["event_id"])))
-    yield pd.concat([out_on, out_late], ignore_index=True)
-
-
-def record_distance(stream: DataFrame) -> DataFrame:
-    """T5: per record, hours since the driver's previous record and distance,
-    carried across micro-batches in per-driver state (last time, last id).
-
-    A driver's rows of one micro-batch form one group, so a group is bounded
-    by the trigger size; state is two numbers per driver.
-    """
+#: Stands for the time of a record without one.
+TIMELESS = -(1 << 63)
+
+
+class OrderedTravel(StatefulProcessor):
+    """T5: a driver's records wait until the watermark has passed them, then leave in the order of time.
+
+    State per driver: the records that wait (those of the last ``delay``, whatever came before), the time of the last
+    one that left, and one timer at the earliest that waits. A record behind the watermark leaves at once, flagged
+    late and without a step; so does one without a time, not flagged."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "us long, event_id long, Time string, Speed int")
+        self.last = handle.getValueState("last", "second long")
+        self.timer = handle.getValueState("timer", "ms long")
+
+    def _frame(self, driver, rows: list[tuple], late: bool = False) -> pd.DataFrame:
+        last = self.last.get() if self.last.exists() and not late else None
+        before = last[0] if last is not None else None
+        out = []
+        for us, event_id, time, speed in rows:
+            second = None if us is None else us // 1_000_000
+            hours = (second - before) / 3600.0 if not late and second is not None and before is not None else None
+            out.append((driver, event_id, time, speed, hours, None if hours is None or speed is None else speed * hours, late))
+            before = before if second is None else second
+        if rows and not late and before is not None:
+            self.last.update((before,))
+        frame = pd.DataFrame(out, columns=[f.name for f in TRAVEL_SCHEMA])
+        return frame.astype({"event_id": "Int64", "Speed": "Int32", "time_difference": "Float64", "distance": "Float64", "late": bool})
+
+    def _watch(self, us: int) -> None:
+        """One timer, at the earliest time that waits."""
+        ms = -(-us // 1000)
+        if self.timer.exists():
+            if self.timer.get()[0] <= ms:
+                return
+            self.handle.deleteTimer(self.timer.get()[0])
+        self.timer.update((ms,))
+        self.handle.registerTimer(ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        behind = timerValues.getCurrentWatermarkInMs() * 1000
+        for part in rows:
+            found = [(None if us == TIMELESS else int(us), None if pd.isna(e) else int(e), None if pd.isna(t) else t, None if pd.isna(v) else int(v))
+                     for us, e, t, v in zip(part["us"], part["event_id"], part["Time"], part["Speed"], strict=True)]
+            wait = [r for r in found if r[0] is not None and r[0] > behind]
+            late = [r for r in found if r[0] is not None and r[0] <= behind]
+            timeless = [r for r in found if r[0] is None]
+            if wait:
+                self.waiting.appendList(wait)
+                self._watch(min(r[0] for r in wait))
+            if late:
+                yield self._frame(key[0], late, late=True)
+            if timeless:
+                yield self._frame(key[0], timeless)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = list(self.waiting.get())
+        ready = sorted((r for r in rows if r[0] <= passed), key=lambda r: (r[0], r[1] is not None, r[1] or 0))
+        rest = [r for r in rows if r[0] > passed]
+        self.timer.clear()
+        if rest:
+            self.waiting.put(rest)
+            self._watch(min(r[0] for r in rest))
+        else:
+            self.waiting.clear()
+        if ready:
+            yield self._frame(key[0], ready)
+
+    def close(self) -> None:
+        pass
+
+
+def _with_watermark(stream: DataFrame, delay: str) -> DataFrame:
+    """Rows with ``us`` (microseconds), the watermark tracked but not applied: the event-time column itself is left out, so
+    no operator behind drops anything. Heartbeats (a ``Time`` and nothing else) move the watermark and end here; the
+    condition names the event time so that it is not applied before the watermark sees them."""
+    rows = with_event_time(stream).withWatermark(EVENT_TIME, delay)
+    real = (F.col("event_id").isNotNull() | F.col("driverID").isNotNull() | F.col(EVENT_TIME).isNull())
+    return rows.filter(real).withColumn("us", F.coalesce(F.unix_micros(EVENT_TIME), F.lit(TIMELESS))).drop(EVENT_TIME)
+
+
+def record_distance(stream: DataFrame, delay: str = "1 minute") -> DataFrame:
+    """T5: per record, hours since the driver's previous record and distance, in the order of event time whatever the
+    order of arrival within ``delay``. State is what waits for the watermark, not a driver's history.
+
+    Needs ``run_append_sink(..., ordered=True)``; a heartbeat lets the last records out (``heartbeat``)."""
+    ship_package(stream.sparkSession)
+    # ids as text: whole numbers with nulls among them would reach Python as floating point
+    rows = _with_watermark(stream, delay).select("driverID", F.col("event_id").cast("string").alias("event_id"), format_time("Time").alias("Time"), "Speed", "us")
+    return rows.groupBy("driverID").transformWithStateInPandas(OrderedTravel(), TRAVEL_SCHEMA, "Append", "EventTime")
+
+
+class LateRows(StatefulProcessor):
+    """Passes on the rows behind the watermark; holds nothing."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        behind = timerValues.getCurrentWatermarkInMs() * 1000
+        for part in rows:
+            late = part[(part["us"] <= behind) & (part["us"] != TIMELESS)]
+            yield late[["driverID", "event_id", "carPlateNumber", "Time"]].assign(event_id=late["event_id"].astype("Int64"))
+
+    def close(self) -> None:
+        pass
+
+
+LATE_SCHEMA = "driverID string, event_id long, carPlateNumber string, Time string"
+
+
+def late_rows(stream: DataFrame, delay: str = "1 minute", salts: int = 64) -> DataFrame:
+    """The rows that arrive behind the watermark, as they come (``run_append_sink(..., ordered=True)``). They are dealt
+    by a hash of their event, so no plate or driver is hot. (Spark's own windows drop by the watermark of one batch before:
+    they may still take rows of the first batch that is behind.)"""
     ship_package(stream.sparkSession)
-    rows = stream.select("driverID", "event_id", format_time("Time").alias("Time"), "Speed",
-                         epoch_seconds("Time").alias("_ts"))
-    return rows.groupBy("driverID").applyInPandasWithState(
-        _travel_step, TRAVEL_SCHEMA, _STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    rows = _with_watermark(stream, delay).select("driverID", F.col("event_id").cast("string").alias("event_id"), "carPlateNumber", format_time("Time").alias("Time"), "us",
+                                                 F.pmod(F.xxhash64("event_id", "Time"), F.lit(salts)).alias("salt"))
+    return rows.groupBy("salt").transformWithStateInPandas(LateRows(), LATE_SCHEMA, "Append", "EventTime")
+
+
+def heartbeat(spark: SparkSession, path: str, schema: T.StructType, time: str) -> None:
+    """A row with nothing but ``Time`` in the source folder of T5 or T2: moves the watermark without being a record there."""
+    row = spark.range(1).select(*[F.lit(time).cast(f.dataType).alias(f.name) if f.name == "Time" else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+    row.write.mode("append").parquet(path)
+
+
+def replay_seconds(stream: DataFrame) -> DataFrame:
+    """T4: sums per date, plate and second. Slices counted from whatever anchor are sums of whole seconds, so nothing has to
+    be taken back when a date's earliest record arrives late."""
+    rows = stream.filter(F.col("Time").isNotNull()).fillna({"isOverspeed": 0})
+    return rows.groupBy(F.to_date("Time").alias("date"), "carPlateNumber", epoch_seconds("Time").alias("second")).agg(
+        F.sum("Speed").alias("speed"), F.count("Speed").alias("n_speed"), F.count(F.lit(1)).alias("n_records"), F.sum("isOverspeed").alias("overspeed"))
+
+
+def replay_anchors(stream: DataFrame) -> DataFrame:
+    """T4: the earliest record of each date so far, learned from the stream."""
+    return stream.filter(F.col("Time").isNotNull()).groupBy(F.to_date("Time").alias("date")).agg(F.min(epoch_seconds("Time")).alias("anchor"))
+
+
+def slices_of_seconds(seconds: DataFrame, anchors: DataFrame, length: int = 30) -> DataFrame:
+    """T4: every date's slices from its anchor as known now; a date whose anchor has moved is keyed anew."""
+    placed = seconds.join(anchors, "date").withColumn("slice_no", F.floor((F.col("second") - F.col("anchor")) / F.lit(length)).cast("long"))
+    start = F.timestamp_add("SECOND", F.col("anchor") + F.col("slice_no") * length, F.lit(_EPOCH).cast(T.TimestampNTZType()))
+    return placed.groupBy("date", "anchor", "slice_no", "carPlateNumber").agg(
+        (F.sum("speed") / F.nullif(F.sum("n_speed"), F.lit(0))).alias("avg_speed"), F.sum("n_records").alias("n_records"),
+        F.sum("overspeed").cast("long").alias("overspeed_count")).select(
+        F.date_format("date", "yyyy-MM-dd").alias("date"), "slice_no", format_time(start).alias("slice_start"), "carPlateNumber",
+        "avg_speed", "n_records", "overspeed_count")
 
 
 # --------------------------------------------------------------------------- sinks
@@ -193,14 +291,25 @@ def read_latest(spark: SparkSession, sink: str, keys: list[str],
     return latest.select(*keys, *[F.col(f"v.{c}").alias(c) for c in values])
 
 
+#: State with lists and timers is kept in RocksDB.
+_PROVIDER = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def run_append_sink(stream: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
-                    available_now: bool = True, processing_time: str | None = None):
-    """Run an append-mode query into a file sink (exactly-once via its log)."""
+                    available_now: bool = True, processing_time: str | None = None, ordered: bool = False):
+    """Run an append-mode query into a file sink (exactly-once via its log); ``ordered`` for queries whose
+    state has lists and timers."""
     writer = (stream.writeStream.outputMode("append").format(fmt)
               .option("path", sink).option("checkpointLocation", checkpoint))
     writer = writer.trigger(processingTime=processing_time) if processing_time \
         else writer.trigger(availableNow=available_now)
-    query = writer.start()
+    conf, old = stream.sparkSession.conf, stream.sparkSession.conf.get(_PROVIDER[0])
+    if ordered:
+        conf.set(*_PROVIDER)
+    try:
+        query = writer.start()  # the query takes its settings here
+    finally:
+        conf.set(_PROVIDER[0], old)
     if not processing_time:
         query.awaitTermination()
     return query
@@ -261,120 +370,3 @@ def ingest_raw(spark: SparkSession, raw_dir: str, table: str, checkpoint: str,
     spark.createDataFrame([], CELLS_SCHEMA).write.mode("append").parquet(f"{staged}/batch=-1")
     cells = spark.readStream.schema(CELLS_SCHEMA).parquet(f"{staged}/batch=*")
     return run_append_sink(typed_records(cells), table, f"{checkpoint.rstrip('/')}/table")
-
-
-def replay_dates(telemetry: DataFrame, path: str, run_once, newest_first: bool = False) -> list:
-    """T4 replay cursor: append one date's records to the source folder, then
-    drain it with ``run_once()`` (an ``availableNow`` run restarting from the
-    same checkpoint), date after date. Each date is one micro-batch however
-    many files it has, and the stream restarts from its checkpoint at every
-    step. ``newest_first`` replays backwards to exercise late data.
-
-    One distributed write and one short streaming run per date; the number of
-    dates is bounded by the replayed span. Returns what each run returned.
-    """
-    dates = sorted(r[0] for r in telemetry.select(F.to_date("Time").alias("d"))
-                   .filter(F.col("d").isNotNull()).distinct().collect())
-    results = []
-    for d in (reversed(dates) if newest_first else dates):
-        telemetry.filter(F.to_date("Time") == F.lit(d)).write.mode("append").parquet(path)
-        results.append(run_once())
-    return results
-
-
-def dropped_by_watermark(arrived: DataFrame, kept: DataFrame, n_records: str = "n_records") -> DataFrame:
-    """One row ``dropped_rows``: records that arrived at the source less those in
-    the windows kept. (Spark's own counter is of groups after partial aggregation,
-    and its progress reports are only retained for the last batches.)"""
-    total = arrived.agg(F.count(F.lit(1)).alias("arrived"))
-    held = kept.agg(F.coalesce(F.sum(n_records), F.lit(0)).alias("kept"))
-    return total.crossJoin(held).select((F.col("arrived") - F.col("kept")).alias("dropped_rows"))  # one row each
-
-
-# ------------------------------------------------ T5, skew-safe micro-batch form
-
-
-def _latest_state(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame | None:
-    """The per-driver last-record table written by the newest earlier batch."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(state_dir)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return None
-    ids = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch=") and \
-                fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            bid = int(name.split("=", 1)[1])
-            if bid < batch_id:
-                ids.append(bid)
-    if not ids:
-        return None
-    return spark.read.parquet(f"{state_dir}/batch={max(ids)}")
-
-
-def distance_batch(batch: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """One micro-batch of T5 with the skew-safe predecessor scan.
-
-    ``state`` holds each driver's last record so far (``driverID, Time,
-    event_id``). Rows ordered at or before it arrived late: they are flagged
-    and get no step. The others are scanned together with the state rows as
-    seeds (range-partitioned, so a hot driver spreads over many tasks).
-    Returns (records out, new state).
-    """
-    from fleetscope.operators.sequence import PREV_TS, TS, with_previous_time
-
-    rows = batch.select("driverID", "event_id", "Time", "Speed")
-    if state is not None:
-        st = state.select(F.col("driverID").alias("_sd"), F.col("Time").alias("_st"),
-                          F.col("event_id").alias("_sid"))
-        j = rows.join(st, rows["driverID"].eqNullSafe(st["_sd"]), "left")
-        late = F.coalesce((F.col("Time") < F.col("_st")) |
-                          ((F.col("Time") == F.col("_st")) & (F.col("event_id") <= F.col("_sid"))),
-                          F.lit(False))
-        rows = j.select("driverID", "event_id", "Time", "Speed", late.alias("late"))
-        seeds = state.select("driverID", "event_id", "Time", F.lit(None).cast("int").alias("Speed"),
-                             F.lit(True).alias("_seed"))
-    else:
-        rows = rows.withColumn("late", F.lit(False))
-        seeds = None
-    on_time = rows.filter(~F.col("late")).drop("late").withColumn("_seed", F.lit(False))
-    combined = on_time.unionByName(seeds) if seeds is not None else on_time
-    seq = with_previous_time(combined, "driverID", "Time", "event_id")
-    hours = (F.col(TS) - F.col(PREV_TS)) / F.lit(3600.0)
-    out = seq.filter(~F.col("_seed")).select(
-        "driverID", "event_id", format_time("Time").alias("Time"), "Speed",
-        hours.alias("time_difference"), (F.col("Speed") * hours).alias("distance"),
-        F.lit(False).alias("late"))
-    late_out = rows.filter(F.col("late")).select(
-        "driverID", "event_id", format_time("Time").alias("Time"), "Speed",
-        F.lit(None).cast("double").alias("time_difference"),
-        F.lit(None).cast("double").alias("distance"), F.lit(True).alias("late"))
-    last = F.max_by(F.struct("Time", "event_id"), F.struct("Time", "event_id"))
-    new_state = (combined.filter(F.col("Time").isNotNull()).groupBy("driverID")
-                 .agg(last.alias("s")).select("driverID", "s.Time", "s.event_id"))
-    return out.unionByName(late_out), new_state
-
-
-def run_distance_batches(stream: DataFrame, sink: str, checkpoint: str, state_dir: str,
-                         available_now: bool = True, processing_time: str | None = None):
-    """T5 through ``foreachBatch``: each micro-batch writes its records to
-    ``sink/batch=<id>`` and the per-driver last-record table to
-    ``state_dir/batch=<id>`` (both overwritten on a retry, so idempotent)."""
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = _latest_state(spark, state_dir, batch_id)
-        out, new_state = distance_batch(batch, state)
-        out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-        new_state.write.mode("overwrite").parquet(f"{state_dir}/batch={batch_id}")
-
-    writer = (stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint))
-    writer = writer.trigger(processingTime=processing_time) if processing_time \
-        else writer.trigger(availableNow=available_now)
-    query = writer.start()
-    if not processing_time:
-        query.awaitTermination()
-    return query
