@@ -7,7 +7,7 @@ semantics directly, independent of the Spark implementation.
 
 from __future__ import annotations
 
-from fleetscope.schema import FIELD_NAMES, MEASURES
+from fleetscope.schema import FIELD_NAMES, MEASURES, REGRESSION_FEATURES, REGRESSION_LABEL
 
 TELEMETRY_CTE = """
 ev AS (
@@ -312,3 +312,47 @@ FROM a2 JOIN records r ON r.car_plate_number = a2.carPlateNumber""",
 
 SQL["m3_train_test_split"] = with_telemetry("""
 SELECT driverID, ('0x' || substr(md5(driverID || ':42'), 1, 8))::BIGINT % 10000 < 2000 AS is_test FROM summary""", TRAVEL_CTE, SUMMARY_CTE)
+
+_TEXTS = "event_id, driverID, carPlateNumber, siteName, strftime(Time, '%Y-%m-%d %H:%M:%S') AS Time"
+SQL["f3_indexed_search"] = with_telemetry(f"""
+SELECT * FROM (SELECT {_TEXTS} FROM telemetry)
+WHERE contains(lower(concat_ws(chr(1), event_id, driverID, carPlateNumber, siteName, Time)), '03 08:')""")
+SQL["l1_deep_page"] = with_telemetry(f"""
+SELECT event_id, driverID, strftime(Time, {FMT}) AS Time, Speed FROM telemetry
+ORDER BY Time, event_id LIMIT 25 OFFSET (SELECT count(*) * 3 // 4 FROM telemetry)""")
+
+
+def _least_squares() -> list[str]:
+    """Normal equations of the centred training rows, solved by elimination, one table per column; (i, v) are the coefficients."""
+    p = len(REGRESSION_FEATURES)
+    values = ", ".join(f"coalesce({f}, 0)::DOUBLE" for f in REGRESSION_FEATURES)
+    ctes = [f"""flagged AS (
+  SELECT *, ('0x' || substr(md5(driverID || ':42'), 1, 8))::BIGINT % 10000 < 2000 AS is_test, [{values}, {REGRESSION_LABEL}::DOUBLE] AS x FROM summary)""",
+            f"""train AS (
+  SELECT driverID, unnest(range({p + 1})) AS i, unnest(x) AS v FROM flagged WHERE NOT is_test AND {REGRESSION_LABEL} IS NOT NULL)""",
+            "means AS (SELECT i, avg(v) AS mean FROM train GROUP BY i)",
+            "centred AS (SELECT driverID, i, v - mean AS v FROM train JOIN means USING (i))",
+            f"""m0 AS MATERIALIZED (
+  SELECT a.i, b.i AS j, sum(a.v * b.v) AS v FROM centred a JOIN centred b USING (driverID) WHERE a.i < {p} GROUP BY a.i, b.i)"""]
+    for k in range(p):
+        ctes.append(f"""m{k + 1} AS MATERIALIZED (
+  SELECT a.i, a.j, CASE WHEN a.i = {k} THEN a.v / d.v ELSE a.v - c.v * q.v / d.v END AS v
+  FROM m{k} a JOIN m{k} q ON q.i = {k} AND q.j = a.j JOIN m{k} c ON c.i = a.i AND c.j = {k} JOIN m{k} d ON d.i = {k} AND d.j = {k})""")
+    ctes.append(f"coefficients AS (SELECT i, v FROM m{p} WHERE j = {p})")
+    ctes.append(f"""intercept AS (
+  SELECT (SELECT mean FROM means WHERE i = {p}) - (SELECT sum(v * mean) FROM coefficients JOIN means USING (i)) AS v)""")
+    return ctes
+
+
+_NAMES = "[" + ", ".join(f"'{f}'" for f in REGRESSION_FEATURES) + "]"
+SQL["m4_regression_coefficients"] = with_telemetry(f"""
+SELECT {_NAMES}[i + 1] AS feature, round(v, 6) AS coefficient FROM coefficients
+UNION ALL SELECT 'intercept', round(v, 6) FROM intercept""", TRAVEL_CTE, SUMMARY_CTE, *_least_squares())
+_PREDICTED = f"""predicted AS (
+  SELECT driverID, {REGRESSION_LABEL}, (SELECT v FROM intercept) + list_inner_product(x[1:{len(REGRESSION_FEATURES)}], (SELECT list(v ORDER BY i) FROM coefficients)) AS prediction
+  FROM flagged WHERE is_test)"""
+SQL["m5_regression_predictions"] = with_telemetry(f"""
+SELECT driverID, {REGRESSION_LABEL}, round(prediction, 6) AS prediction FROM predicted""", TRAVEL_CTE, SUMMARY_CTE, *_least_squares(), _PREDICTED)
+SQL["m5_regression_score"] = with_telemetry(f"""
+SELECT count(*) AS n_test, round(1 - sum(({REGRESSION_LABEL} - prediction) ** 2) / nullif(var_pop({REGRESSION_LABEL}) * count(*), 0), 6) AS r2
+FROM predicted""", TRAVEL_CTE, SUMMARY_CTE, *_least_squares(), _PREDICTED)

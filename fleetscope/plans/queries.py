@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetscope.operators import behaviour as B
 from fleetscope.operators import iforest as IF
+from fleetscope.operators import indexes as IX
 from fleetscope.operators import ml as ML
 from fleetscope.operators import slices as S
 from fleetscope.operators import stats as ST
@@ -164,6 +165,21 @@ def q_a10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.search_totals(behaviour_table(spark, sf_dir), SEARCH_TERM)
 
 
+@register("f3_indexed_search")
+def q_f3i(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 by the trigram index: records whose text holds a site and a day's hour."""
+    tel = load_telemetry(spark, sf_dir).select("event_id", "driverID", "carPlateNumber", "siteName", S.format_time("Time").alias("Time"))
+    return IX.search_index(IX.build_text_index(tel), "03 08:")
+
+
+@register("l1_deep_page")
+def q_l1d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 by the range index: a page far behind the first."""
+    tel = load_telemetry(spark, sf_dir).select("event_id", "driverID", S.format_time("Time").alias("Time"), "Speed")
+    index = IX.build_page_index(tel, ["Time", "event_id"], rows_per_range=2000)
+    return IX.indexed_page(index, sum(index.counts) * 3 // 4, PAGE_LENGTH)
+
+
 def driver_summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The per-driver summary, materialised once for the analysis steps."""
     return materialize(T.driver_summary(load_telemetry(spark, sf_dir)), "driver-summary")
@@ -403,17 +419,17 @@ def q_m3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("m5_regression_predictions")
 def q_m5p(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ML.regression_predictions(driver_summary_table(spark, sf_dir))
+    return ML.regression_predictions(driver_summary_table(spark, sf_dir)).withColumn("prediction", F.round("prediction", 6))
 
 
 @register("m4_regression_coefficients")
 def q_m4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ML.regression_coefficients(driver_summary_table(spark, sf_dir))
+    return ML.regression_coefficients(driver_summary_table(spark, sf_dir)).withColumn("coefficient", F.round("coefficient", 6))
 
 
 @register("m5_regression_score")
 def q_m5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ML.regression_score(driver_summary_table(spark, sf_dir))
+    return ML.regression_score(driver_summary_table(spark, sf_dir)).withColumn("r2", F.round("r2", 6))
 
 
 @register("m6_driver_anomalies")

@@ -111,18 +111,99 @@ def test_clusters_labels_and_cost(spark, summary):
 
 
 def test_regression_equals_numpy_least_squares(summary):
-    model, data = ML.fit_speed_regression(summary)
-    train = data.filter(~F.col("is_test")).toPandas()
-    x = np.column_stack([np.stack(train["features"].map(lambda v: v.toArray())),
-                         np.ones(len(train))])
+    coefficients, intercept = ML.fit_speed_regression(summary)
+    train = ML.split_flag(summary).filter(~F.col("is_test")).toPandas()
+    x = np.column_stack([train[REGRESSION_FEATURES].astype(float).fillna(0.0).to_numpy(), np.ones(len(train))])
     coef, *_ = np.linalg.lstsq(x, train["average_speed"].to_numpy(), rcond=None)
-    assert list(model.coefficients.toArray()) == pytest.approx(list(coef[:-1]), rel=1e-6, abs=1e-8)
-    assert model.intercept == pytest.approx(coef[-1], rel=1e-6)
+    assert list(coefficients) == pytest.approx(list(coef[:-1]), rel=1e-6, abs=1e-8)
+    assert intercept == pytest.approx(coef[-1], rel=1e-6)
     r2 = ML.regression_score(summary).first()
     assert r2["r2"] <= 1.0 and r2["n_test"] > 0
     assert len(REGRESSION_FEATURES) == 7
 
 
+def test_least_squares_of_dependent_columns_has_the_smallest_coefficients(spark):
+    rng = np.random.default_rng(8)
+    a, b = rng.normal(1e4, 1, 400), rng.normal(size=400)
+    x = np.column_stack([a, b, a, np.full(400, 0.1), 2 * b - a])
+    y = 3 * a - b + rng.normal(size=400) * 0.1 + 50
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y, strict=True)], "c0 double, c1 double, c2 double, c3 double, c4 double, y double")
+    got, intercept = ML.least_squares(df.repartition(7), [f"c{i}" for i in range(5)], "y")
+    centred = x - x.mean(axis=0)
+    centred[:, 3] = 0
+    want = np.linalg.lstsq(centred, y - y.mean(), rcond=1e-10)[0]
+    assert list(got) == pytest.approx(list(want), rel=1e-6, abs=1e-8) and got[3] == 0
+    assert intercept == pytest.approx(y.mean() - x.mean(axis=0) @ want, rel=1e-6)
+    one = ML.least_squares(df.limit(1), ["c0", "c1"], "y")
+    assert list(one[0]) == [0, 0] and one[1] == pytest.approx(df.limit(1).first()["y"])
+    assert ML.least_squares(df.limit(0), ["c0"], "y") is None
+
+
+def test_restarts_in_one_pass_cost_what_the_best_of_single_fits_does(spark):
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(c, 1, size=(60, 2)) for c in ((0, 0), (9, 0), (0, 9), (30, 30))])
+    df = spark.createDataFrame([(i, [float(a) for a in r]) for i, r in enumerate(x)], "key long, x array<double>")
+    centres, cost = ML.fit_centres(df.repartition(5), 4, 10, 0)
+    d = ((x[:, None] - centres[None]) ** 2).sum(axis=2)
+    assert cost == pytest.approx(d.min(axis=1).sum()) and np.bincount(d.argmin(axis=1)).tolist() == [60] * 4
+    singles = [ML.fit_centres(df, 4, 1, s)[1] for s in range(3)]
+    assert cost <= min(singles) * (1 + 1e-9)
+    assert ML.fit_centres(df.limit(0), 3, 2, 0)[0].size == 0
+    few = ML.fit_centres(spark.createDataFrame([(1, [1.0]), (2, [1.0])], df.schema), 3, 2, 0)
+    assert few[0].tolist() == [[1.0]] and few[1] == 0
+
+
+def test_comoments_are_pairwise_complete_and_stable(spark):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(300, 4)) + [1e9, 0, -5, 1e-6]
+    x[:, 3] = x[:, 0] - 1e9 + 0.1 * rng.normal(size=300)
+    x[rng.random(x.shape) < 0.2] = np.nan
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) + (0.1, None) for r in x]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double")
+    got = {(r.row_measure, r.col_measure): r["corr"] for r in ST.correlation_matrix(df.repartition(9), list("abcdef")).collect()}
+    import pandas as pd
+
+    want = pd.DataFrame(x, columns=list("abcd")).corr()
+    for i in "abcd":
+        for j in "abcd":
+            assert got[i, j] == pytest.approx(want.loc[i, j], abs=2e-6)
+    assert all(got[i, j] is None for i in "ef" for j in "abcdef") and len(got) == 36
+    plan = ST.correlation_matrix(df, list("abcdef"))._jdf.queryExecution().toString()
+    assert plan.count("MapInArrow") >= 1
+
+
+def test_text_index_equals_the_scan(spark, tel):
+    from fleetscope.operators import indexes as IX
+
+    table = B.behaviour_by_plate(tel)
+    index = IX.build_text_index(table, buckets=4)
+    for term in ("az0", "AZ000", "z00001", "00", "1", "", None, ".0", "100.0", "nothing", "a_0", "0000100"):
+        want = sorted(map(str, B.search(table, term).collect()))
+        assert sorted(map(str, IX.search_index(index, term).collect())) == want, term
+    odd = spark.createDataFrame([("ÄB%c", 1.5), (None, None), ("", 2.0), ("aa", 3.0), ("ÄB%c", 1.5)], "t string, v double")
+    index = IX.build_text_index(odd, buckets=2)
+    for term in ("äb%", "Äb%c", "1.5", "aaa", "aa", "zz"):
+        assert sorted(map(str, IX.search_index(index, term).collect())) == sorted(map(str, B.search(odd, term).collect())), term
+    assert "PushedFilters: [In(gram" in index.postings.filter(F.col("gram").isin(["az0", "z00"])).groupBy("_row").count()._jdf.queryExecution().toString()
+
+
+def test_deep_pages_read_the_ranges_they_lie_in(spark):
+    from fleetscope.operators import indexes as IX
+
+    df = spark.range(5000).select((F.col("id") % 700).alias("k"), F.col("id").alias("v"), (F.col("id") % 3).cast("string").alias("t"))
+    index = IX.build_page_index(df.union(df.limit(20)), ["k"], rows_per_range=400)
+    assert sum(index.counts) == 5020 and len(index.counts) > 8
+    every = [tuple(r) for r in df.union(df.limit(20)).orderBy("k", "v", "t").collect()]
+    for start, length in ((0, 25), (4000, 25), (395, 30), (5010, 25), (6000, 5), (10, 0)):
+        assert [tuple(r) for r in IX.indexed_page(index, start, length).collect()] == every[start:start + length]
+    found, _ = IX.ranges_of(index, 4000, 25)
+    assert 1 <= len(found) <= 2
+    plan = IX.indexed_page(index, 4000, 25)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [range_no" in plan or "PartitionFilters: [isnotnull(range_no" in plan
+    empty = IX.build_page_index(df.limit(0), ["k"])
+    assert IX.indexed_page(empty, 0, 10).collect() == []
+
+
 def test_isolation_forest_share_and_repeatability(summary):
     a = IF.driver_anomalies(summary, n_trees=30, seed=7).cache()
     n = a.count()
