@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fleetscope.session import scratch_path, ship_package
 
-__all__ = ["CHUNK_BYTES", "SPACE_PATTERN", "WORD_PATTERN", "held", "rows_of", "settled", "scratch_path",
+__all__ = ["CHUNK_BYTES", "SPACE_PATTERN", "WORD_PATTERN", "emptied", "held", "rows_of", "scratch_tables", "settled", "scratch_path",
            "ship_package", "table", "text_chunks", "words_in"]
 
 #: A word is a run of bytes outside \x20 and \x09-\x0D.
@@ -27,6 +29,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Paths of the scratch tables written since the innermost ``scratch_tables`` of this thread began.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch_tables() -> Iterator[list[str]]:
+    """The paths of the tables that ``held`` writes inside."""
+    made: list[str] = []
+    before = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(before)
+
+
+def emptied(spark: SparkSession, paths: list[str]) -> None:
+    """Remove the files of tables that are read no more; overwriting does so on any file system."""
+    for path in paths:
+        spark.createDataFrame([], "gone int").write.mode("overwrite").parquet(path)
+
+
 def held(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """``df`` written once as Parquet in the shared scratch folder and read back.
 
@@ -35,22 +58,22 @@ def held(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", compression).parquet(path)
-    _HELD.append(path)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_HELD: list[str] = []
-
-
 def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
-    """The result of ``make()``, held; the scratch tables it made on the way are emptied."""
-    first = len(_HELD)
-    out = held(make(), name)
-    spark = out.sparkSession
-    for path in _HELD[first:-1]:
-        # overwriting removes the files on any file system
-        spark.createDataFrame([], "gone int").write.mode("overwrite").parquet(path)
-    del _HELD[first:]
+    """The result of ``make()``, held; the scratch tables it made on the way are emptied, also if it fails."""
+    spark, kept = SparkSession.getActiveSession(), None
+    with scratch_tables() as made:
+        try:
+            out = held(make(), name)
+            spark, kept = out.sparkSession, made[-1]
+        finally:
+            emptied(spark, [p for p in made if p != kept])
+    if (outer := _MADE.get()) is not None:
+        outer.append(kept)
     return out
 
 

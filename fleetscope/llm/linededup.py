@@ -202,15 +202,16 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id
 
 
 def line_report(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_lines, n_removed, removed: the numbers of the removed lines, joined by commas (for distinct doc_ids)."""
+    """doc_id, n_lines, n_removed, removed: the numbers of the removed lines, joined by commas; a row for each row of ``docs``."""
     return settled(lambda: _report(docs, percent, doc_id, text), "lines-report")
 
 
 def _report(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
     gone, numbered = removed_lines(docs, percent, doc_id, text)
-    per = gone.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_removed"), F.array_join(F.sort_array(F.collect_list("line")), ",").alias("removed"))
-    mine = numbered.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
-    return mine.join(per, "doc_id", "left").select("doc_id", "n_lines", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+    per = gone.groupBy("doc_id", (F.col("line") - F.col("line") % ROW_STEP).alias("base")).agg(
+        F.count(F.lit(1)).alias("n_removed"), F.array_join(F.sort_array(F.collect_list(F.col("line") % ROW_STEP)), ",").alias("removed"))
+    mine = numbered.select("doc_id", "base", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
+    return mine.join(per, ["doc_id", "base"], "left").select(F.nullif("doc_id", F.lit(MIN_LONG)).alias("doc_id"), "n_lines", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
                                                    F.coalesce("removed", F.lit("")).alias("removed"))
 
 

@@ -9,7 +9,8 @@ Defined results: vectors that are null, empty, or hold a null or non-finite
 component take no part; rows that repeat a vec_id count each, and only a query's
 own row is left out of its candidates; vectors of different lengths do not meet.
 Ties go to the smaller vec_id. Products are made in doubles while they are exact
-there, else in whole numbers.
+there, else in whole numbers; components end at 2^62 either way, a score beyond a long ends at its bounds, and candidates
+are ranked by their whole scores.
 """
 
 from __future__ import annotations
@@ -21,6 +22,11 @@ from pyspark.sql import functions as F
 from .vectors import QUERY_ROWS, SHARD_ROWS, clean, merge_top, tile_top
 
 
+#: Components end here, so that they are whole numbers in doubles.
+WIDEST = 2.0**62
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
+
+
 def _top(k: int):
     def run(q: np.ndarray, x: np.ndarray, quid: np.ndarray, uid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         n = len(x)
@@ -28,8 +34,8 @@ def _top(k: int):
         if worst * n < 2.0**52:
             scores = (q @ x.T).astype(np.int64)
         else:
-            whole = [[int(v) for v in row] for row in x]
-            scores = np.array([[sum(int(a) * b for a, b in zip(row, other, strict=True)) for other in whole] for row in q], dtype=object)
+            whole = np.array([[int(v) for v in row] for row in x], dtype=object)
+            scores = np.array([[int(v) for v in row] for row in q], dtype=object) @ whole.T
         # one number holds score and place, so no two candidates tie
         key = scores * n + (n - 1 - np.arange(n))
         low = key.min() - 1 if key.size else 0
@@ -43,7 +49,7 @@ def _top(k: int):
         qi, ri = np.repeat(np.arange(len(q)), m), at.ravel()
         ok = key[qi, ri] != low
         qi, ri = qi[ok], ri[ok]
-        return qi, ri, np.array(scores[qi, ri].tolist(), np.int64)
+        return qi, ri, np.array([min(max(s, LEAST), MOST) for s in scores[qi, ri].tolist()], np.int64)
 
     return run
 
@@ -55,7 +61,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
     Components count as floor(scale * x). ``is_query`` selects the queries by
     ``vec_id``; every row but a query's own is its candidate."""
     v = clean(vectors.withColumnRenamed(vec_id, "vec_id"), "vec_id", vector, zero=True)
-    v = v.withColumn("v", F.transform("v", lambda x: F.floor(F.lit(scale) * x).cast("double")))
+    v = v.withColumn("v", F.transform("v", lambda x: F.floor(F.greatest(F.lit(-WIDEST), F.least(F.lit(WIDEST), F.lit(scale) * x))).cast("double")))
     q = v.filter(is_query)
     n, n_queries = v.count(), q.count()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-n_queries // query_rows))

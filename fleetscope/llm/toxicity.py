@@ -175,7 +175,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, held_out, score, predicted: one row per row of ``docs``."""
+    """doc_id, held_out, score, predicted: one row per row of ``docs``. A row without a doc_id is not held out."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     out = score(own, fit(own, labels), "text")
-    return out.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -1,7 +1,9 @@
 r"""Hashes of words and word shingles of many texts at once, in numpy.
 
 Words are runs of bytes outside \x20 and \x09-\x0D with A-Z in lower case. A
-word's hash is a polynomial in its bytes, mixed with its length; a shingle's
+word's hash is the sum of a number for each of its bytes at its place, drawn by
+mixing byte and place (no polynomial: words that are built to meet under one, as a
+Thue-Morse word and its complement, stay apart), mixed with its length; a shingle's
 hash combines its words' hashes in order. Shingles are told apart by 56 bits.
 """
 
@@ -27,9 +29,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _drawn(letter: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A number for a byte at a place of a word."""
+    return mix(mix(place.astype(np.uint64) * _BASE + np.uint64(1)) + letter.astype(np.uint64) * _M1)
+
+
+#: Places whose numbers are kept in a table.
+_SHORT = 64
+
+
 @functools.cache
-def _powers(n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, _BASE)]), dtype=np.uint64)
+def _table() -> np.ndarray:
+    return _drawn(np.tile(np.arange(256), _SHORT), np.repeat(np.arange(_SHORT), 256))
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -47,8 +58,11 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     first = np.cumsum(inside)[at] - 1  # place of each word among the letters
     sizes = np.diff(np.append(first, len(letters)))
     place = np.arange(len(letters)) - np.repeat(first, sizes)
-    power = _powers(1 << int(sizes.max()).bit_length())
-    h = np.add.reduceat((letters.astype(np.uint64) + np.uint64(1)) * power[place], first)
+    near = np.minimum(place, _SHORT - 1)
+    drawn = _table()[near * 256 + letters]
+    far = np.flatnonzero(place >= _SHORT)
+    drawn[far] = _drawn(letters[far], place[far])
+    h = np.add.reduceat(drawn, first)
     return mix(h + sizes.astype(np.uint64) * _M2), per
 
 

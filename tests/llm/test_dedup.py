@@ -54,6 +54,10 @@ def test_lines_of_repeated_and_null_ids(spark):
     docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "a b c"), (2, "d e")], "doc_id long, text string")
     out = sorted((r.doc.doc_id or 0, r.doc.text) for r in linededup.dedup_lines(docs).collect())
     assert out == [(0, "a b c"), (1, ""), (1, ""), (2, "d e")]
+    report = sorted((r.doc_id or 0, r.n_lines, r.n_removed, r.removed) for r in linededup.line_report(docs).collect())
+    assert report == [(0, 1, 0, ""), (1, 1, 1, "0"), (1, 1, 1, "0"), (2, 1, 0, "")]
+    twice = spark.createDataFrame([(1, "a b c"), (1, "a b c\nx y\nx y")], "doc_id long, text string")
+    assert sorted((r.n_lines, r.n_removed, r.removed) for r in linededup.line_report(twice).collect()) == [(1, 0, ""), (3, 2, "0,2")]
     assert linededup.line_report(docs.limit(0)).collect() == []
 
 
@@ -92,6 +96,32 @@ def test_jaccard_against_brute_force(shipped, corpus, monkeypatch, hot, block, k
     assert got == components_brute(texts, k, percent)
 
 
+def test_words_that_meet_under_a_polynomial_stay_apart(shipped):
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    docs = documents(shipped, [word, word.translate(str.maketrans("ab", "ba")), "x" * 70 + "y", "x" * 71, word])
+    assert {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_scratch_tables_are_emptied_also_after_a_failure(spark):
+    import os
+
+    from fleetscope.llm.common import held, scratch_tables, settled
+
+    def fails():
+        held(spark.range(5).toDF("x"), "fails")
+        raise ValueError
+
+    with scratch_tables() as outer:
+        kept = settled(lambda: held(spark.range(5).toDF("x"), "step").filter("x > 1"), "kept")
+        with scratch_tables() as inner, pytest.raises(ValueError):
+            settled(fails, "never")
+    assert len(outer) == 1 and inner == [] and kept.count() == 3
+    left = os.path.dirname(outer[0].removeprefix("file:"))
+    assert all(spark.read.parquet(f"file:{left}/{n}").count() == 0 for n in os.listdir(left) if n.startswith(("fails-", "step-")))
+
+
 def test_jaccard_of_repeated_null_and_no_rows(shipped):
     docs = shipped.createDataFrame([(1, "a b c d"), (1, "x y z"), (None, "x y z"), (2, "a b c d"), (3, None), (None, "")], "doc_id long, text string")
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs).collect()), key=repr)

@@ -47,6 +47,8 @@ def test_top_k_of_large_numbers_few_rows_and_repeated_ids(shipped):
     twice = top_k(table(shipped, [[1.0], [1.0], [2.0]], ids=[0, 0, 1]), F.col("vec_id") == 0, k=5).collect()
     assert sorted((r.query_id, r.rank, r.vec_id) for r in twice) == [(0, 1, 1), (0, 1, 1), (0, 2, 0), (0, 2, 0)]
     assert top_k(table(shipped, v).limit(0), F.col("vec_id") == 0).collect() == []
+    vast = top_k(table(shipped, [[1e12, 1.0], [1e30, 1.0], [-1e30, 0.0], [2e12, 0.0]]), F.col("vec_id") == 0, k=5).collect()
+    assert [(r.vec_id, r.score) for r in sorted(vast, key=lambda r: r.rank)] == [(1, 2**63 - 1), (3, 2**63 - 1), (2, -(2**63))]
 
 
 def test_small_tables_are_searched_exactly(shipped, odd):

@@ -47,6 +47,9 @@ def test_without_labels_everything_scores_zero(shipped, labelled):
     some = docs.limit(5)
     assert all(r.score < 1e-9 for r in toxicity(some, labels.limit(0)).collect())
     assert toxicity(docs.limit(0), labels).collect() == []
+    odd = docs.limit(20).selectExpr("nullif(doc_id, 1) AS doc_id", "text").union(docs.limit(2).select("doc_id", "text"))
+    out = toxicity(odd, labels).collect()
+    assert len(out) == 22 and all(r.held_out in (True, False) for r in out) and [r.held_out for r in out if r.doc_id is None] == [False]
 
 
 def test_fold_is_the_checksum_of_the_decimal_id(shipped):
