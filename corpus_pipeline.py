@@ -10,11 +10,12 @@ a doc_id are separate documents; an empty table stays empty.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.llm.bpe import encode_decode
-from fleetscope.llm.common import held, ship_package, table
+from fleetscope.llm.common import emptied, held, scratch_tables, ship_package, table
 from fleetscope.llm.jaccard import jaccard_components
 from fleetscope.llm.linededup import dedup_lines
 from fleetscope.llm.mixing import mix
@@ -24,10 +25,23 @@ from fleetscope.llm.toxicity import fit, score
 TOKENIZER = "byte_bpe_50k.json"
 
 
+#: Rows of one file, at most.
+FILE_ROWS = 1 << 40
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(row, doc): the rows of ``docs`` as structs, whatever their columns are called, each with a key of its
-    own; stored, so that the keys stay the same when read again."""
-    return held(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "pipeline-rows")
+    """(row, doc): the rows of ``docs`` as structs, whatever their columns are called, each with a key of its own that
+    stays the same when read again.
+
+    Rows of Parquet files have one: their file and their place in it. Other rows are stored with a number."""
+    spark, packed = docs.sparkSession, F.struct("*").alias("doc")
+    try:
+        placed = docs.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"), packed)
+    except AnalysisException:
+        return held(docs.select(F.monotonically_increasing_id().alias("row"), packed), "pipeline-rows")
+    files = sorted(r["file"] for r in placed.select("file").distinct().collect())  # Spark's driver lists them to read them
+    numbers = spark.createDataFrame(list(enumerate(files)), "number long, file string")
+    return placed.join(numbers, "file").select((F.col("number") * FILE_ROWS + F.col("at")).alias("row"), "doc")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,9 +95,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, read = table(spark, sf_dir, "documents"), []
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        with scratch_tables() as made:
+            docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = held(docs, f"pipeline-{name}")
+            with scratch_tables() as kept:
+                docs = held(docs, f"pipeline-{name}")
+            emptied(spark, [*read, *made])  # nothing reads them any more
+            read = kept
     return docs
