@@ -8,8 +8,7 @@ unseen ones exactly, by merge rank, all at a time. No shuffle is needed but for
 the counts of pre-tokens.
 
 Defined results: null is the empty text, with no ids; rows that repeat a doc_id
-are encoded each; texts with special strings or characters of unsettled class
-are encoded whole by the tokenizers library; a vocabulary whose merges are not
+are encoded each; texts with special strings are encoded whole by the tokenizers library; a vocabulary whose merges are not
 in the order of their making goes to the library altogether.
 """
 
@@ -186,7 +185,7 @@ class Encoder:
         n_docs = len(offsets) - 1
         if not self.merges.ordered:
             return np.zeros(0, np.int32), np.zeros(n_docs, np.int64), np.arange(n_docs)
-        p = split(data, offsets, self.specials)
+        p = split(data, offsets, self.specials, self.tokenizer)
         rep, code = distinct(data, p)
         if not len(rep):
             return np.zeros(0, np.int32), np.zeros(n_docs, np.int64), p.odd

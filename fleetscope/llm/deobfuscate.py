@@ -33,7 +33,6 @@ LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 LOOKALIKE_COST, REPEAT_COST, SINGLE_COST, SKIP_COST, MASK_COST = 0.5, 0.3, 8.0, 12.0, 3.0
 MASKS = "*#?"
 SEPARATORS = ".-_·'~ "
-BEAM = 40
 #: Characters on each side of a border in a spaced run, and what a border may cost.
 NEAR, BORDER_COST = 12, 4.0
 _INDEX = {c: i + 1 for i, c in enumerate(LETTERS)}
@@ -162,6 +161,8 @@ class Decoder:
         return got
 
     def _search(self, places: list[list[tuple[str, float]]], cost: np.ndarray | None = None) -> tuple[float, str]:
+        """(cost, letters) of the cheapest path: of all that end in the same two letters the cheapest goes on, and no other
+        is lost, as nothing behind depends on more than those two."""
         cost = self.cost if cost is None else cost
         states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
         for options in places:
@@ -175,8 +176,6 @@ class Decoder:
                         x, y = (y, z) if z else (0, 0)
                     if (x, y) not in new or total < new[x, y][0]:
                         new[x, y] = (total, (path, letters) if letters else path)
-            if len(new) > BEAM:
-                new = dict(sorted(new.items(), key=lambda kv: kv[1][0])[:BEAM])
             states = new
         total, path = min(((c + float(cost[a, b, 0]), p) for (a, b), (c, p) in states.items()), key=lambda x: x[0])
         parts = []

@@ -145,7 +145,7 @@ def _mix(docs: DataFrame, weights: Sequence[float], max_repeat: int, block_words
     takes = slots.groupBy("rank_id", "block").agg(F.sum(whole.cast("int")).alias("whole"), F.max(F.when(~whole, F.col("left"))).alias("part"))
 
     # Documents on their source's line, cut at block borders.
-    chunks = max(1, sum(r["n"] for r in per) // CHUNK_ROWS)
+    chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(r["n"] for r in per) // CHUNK_ROWS)
     placed = _running(base.withColumn("row", F.monotonically_increasing_id()), ["rank_id"], F.pmod(F.shiftright("place", 20), F.lit(chunks)),
                       ["place", "doc_id", "size", "row"], F.col("size"), "start")
     placed = held(placed, "mix-placed")

@@ -4,9 +4,10 @@ The split is the one of byte-level BPE vocabularies, whose pattern is
 ``'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+``.
 All alternatives but the contractions depend on the classes of neighbouring
 characters alone, so token starts come from comparing a class array with itself
-shifted by one. Texts that hold characters whose class may differ between
-Unicode versions, or the vocabulary's special strings, are reported as odd; the
-callers give those whole to the tokenizers library.
+shifted by one. The class of a character that may differ between Unicode versions is
+asked of the tokenizer's own pre-tokenizer, once per worker. Texts that hold the
+vocabulary's special strings are reported as odd; the callers give those whole to the
+tokenizers library.
 """
 
 from __future__ import annotations
@@ -40,6 +41,22 @@ def classes() -> np.ndarray:
     return out
 
 
+@functools.cache
+def classes_of(path: str) -> np.ndarray:
+    """The classes as a tokenizer sees them; ``asked`` fills in what is UNSURE when a text holds it."""
+    return classes().copy()
+
+
+def asked(path: str, cps: np.ndarray) -> np.ndarray:
+    """The classes of code points by the tokenizer's pre-tokenizer: a character goes on with a letter, a digit or a sign
+    before it if it is one itself, and white space with none of them."""
+    probe = "".join(f"a{c}\n1{c}\n!{c}\n" for c in map(chr, cps.tolist()))
+    begins = np.zeros(len(probe), bool)
+    begins[[a for _, (a, _) in library(path).pre_tokenizer.pre_tokenize_str(probe)]] = True
+    joined = ~begins.reshape(-1, 9)[:, [1, 4, 7]]
+    return np.where(joined.any(axis=1), np.array([LETTER, NUMBER, OTHER], np.uint8)[joined.argmax(axis=1)], SPACE).astype(np.uint8)
+
+
 @functools.cache
 def special_strings(path: str) -> tuple[bytes, ...]:
     with open(path, encoding="utf-8") as f:
@@ -70,7 +87,8 @@ class Pieces:
     odd: np.ndarray  # indexes of the texts that are to go to the library; they have no tokens here
 
 
-def split(data: np.ndarray, offsets: np.ndarray, specials: tuple[bytes, ...] = ()) -> Pieces:
+def split(data: np.ndarray, offsets: np.ndarray, specials: tuple[bytes, ...] = (), tokenizer: str | None = None) -> Pieces:
+    """Tokens of a chunk of texts. Without a ``tokenizer`` to ask, texts with characters of unsure class are odd too."""
     n_docs = len(offsets) - 1
     odd = np.zeros(n_docs, bool)
     raw = data.tobytes()
@@ -90,7 +108,11 @@ def split(data: np.ndarray, offsets: np.ndarray, specials: tuple[bytes, ...] = (
     if n == 0:
         e = np.zeros(0, np.int64)
         return Pieces(e, e, e, np.flatnonzero(odd))
-    cls = classes()[cps]
+    cls = (classes() if tokenizer is None else classes_of(tokenizer))[cps]
+    if tokenizer is not None and (cls == UNSURE).any():
+        new = np.unique(cps[cls == UNSURE])
+        classes_of(tokenizer)[new] = asked(tokenizer, new)
+        cls = classes_of(tokenizer)[cps]
     if (cls == UNSURE).any():
         odd[np.unique(np.searchsorted(marks, np.flatnonzero(cls == UNSURE), side="right") - 1)] = True
     first = np.zeros(n + 1, bool)

@@ -10,8 +10,8 @@ the rest is joined by a shuffle on the pre-token, with frequencies instead of
 occurrences. A frequent pre-token thus never makes a hot key.
 
 Defined results: null counts as the empty text, with 0 bytes and 0 tokens; rows
-that repeat a doc_id are counted each; texts with special strings or characters
-of unsettled class are encoded whole by the library. An empty table gives an
+that repeat a doc_id are counted each; texts with special strings are encoded whole by
+the library. An empty table gives an
 empty result.
 """
 
@@ -67,7 +67,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT, head: int
         for batch in batches:
             rows, ids, texts = batch.column("row"), batch.column("doc_id"), batch.column("text")
             for i, j, data, offsets in text_chunks(texts):
-                p = split(data, offsets, specials)
+                p = split(data, offsets, specials, tokenizer)
                 rep, code = distinct(data, p)
                 found = texts_of(data, p, rep)
                 pieces = np.array([get(t, 0) for t in found], np.int64)
@@ -87,6 +87,8 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT, head: int
     src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = src.mapInArrow(frequencies, "token binary, row long, doc_id long, n_bytes long, n long")
     # the rows that carry a document's own sum find no pre-token and keep their value
-    joined = rows.join(counted, "token", "left").withColumn("tokens", F.col("n") * F.coalesce("pieces", F.lit(1)))
+    own = F.substring("token", 1, 1) == F.lit(OWN)
+    joined = rows.join(counted, "token", "left").withColumn("tokens", F.when(own, F.col("n")).otherwise(
+        F.col("n") * F.coalesce("pieces", F.raise_error(F.lit("a pre-token was not counted")).cast("int"))))
     return (joined.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("tokens").alias("n_tokens"))
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))

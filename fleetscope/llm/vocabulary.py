@@ -33,7 +33,7 @@ def vocabulary(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame
 
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column(0)):
-                p = split(data, offsets, specials)
+                p = split(data, offsets, specials, tokenizer)
                 rep, code = distinct(data, p)
                 for t, n in zip(texts_of(data, p, rep), np.bincount(code, minlength=len(rep)).tolist(), strict=True):
                     total[t] = total.get(t, 0) + n

@@ -112,3 +112,28 @@ def test_scan_against_brute_force(shipped):
         assert rows[i].n_found == len(want)
     assert rows[4].first_word == 50_001 and rows[4].last_word == 50_005 and rows[4].coverage == 1.0
     assert scan_licenses(documents(shipped, texts).limit(0)).collect() == []
+
+
+def test_the_cheapest_reading_is_found(shipped, labelled):
+    """Viterbi search against every path through the lattice."""
+    import itertools
+    import random
+
+    from fleetscope.llm.deobfuscate import _INDEX, SIZE, lattice
+
+    decoder = Decoder(costs(char_counts(labelled[0])))
+    rng = random.Random(4)
+    signs = [*"aeioustnr", *"01345@$!", "*", "oo", "tt", "."]
+    for _ in range(60):
+        token = "".join(rng.choices(signs, k=rng.randint(1, 6)))
+        if token.count("*") > 2:
+            continue
+        places = lattice(token)
+        least = np.inf
+        for path in itertools.product(*places):
+            total, x, y = sum(p for _, p in path), 0, 0
+            for ch in "".join(letters for letters, _ in path):
+                z = _INDEX.get(ch, SIZE - 1)
+                total, x, y = total + float(decoder.cost[x, y, z]), y, z
+            least = min(least, total + float(decoder.cost[x, y, 0]))
+        assert decoder._search(places)[0] == pytest.approx(least, rel=1e-6), token

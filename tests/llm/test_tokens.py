@@ -2,10 +2,13 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from fleetscope.llm.bpe import encode_decode, merges
+from fleetscope.llm.common import text_chunks
+from fleetscope.llm.pretokens import special_strings, split
 from fleetscope.llm.queries import tokenizer_path
 from fleetscope.llm.tokencount import token_counts
 from fleetscope.llm.transducer import Transducer, compile_words
@@ -38,6 +41,21 @@ def test_encoding_decoding_and_counts_are_the_librarys(shipped, texts):
         assert (cnt[i].n_tokens, cnt[i].n_bytes, cnt[i].over_limit) == (len(ids), len((t or "").encode()), len(ids) > 20)
 
 
+def test_only_special_strings_are_left_to_the_library():
+    rng = random.Random(6)
+    new = [*map(chr, [0x1F600, 0x1F389, 0x1F680, 0x20B9, 0x0221, 0x1E900, 0x1D7CE, 0x20000, 0x2EBF0, 0x30000, 0x31350, 0x180E, 0x200B, 0x0378, 0x10FFFF, 0xE000, 0x0660, 0x1171E])]
+    made = ["".join(rng.choice([*PARTS, *new, *new]).replace("<|endoftext|>", "") for _ in range(rng.randint(1, 30))) for _ in range(500)]
+    lib = Tokenizer.from_file(PATH)
+    for limit in (1 << 20, 200):
+        for i, j, data, offsets in text_chunks(pa.array([*made, "a<|endoftext|>b"]), limit):
+            p = split(data, offsets, special_strings(PATH), PATH)
+            assert p.odd.tolist() == ([len(made) - i] if j > len(made) else [])
+            raw = data.tobytes()
+            for k in range(i, min(j, len(made))):
+                mine = np.flatnonzero(p.doc == k - i)
+                assert [raw[p.start[m]:p.end[m]].decode() for m in mine] == [made[k][a:b] for _, (a, b) in lib.pre_tokenizer.pre_tokenize_str(made[k])]
+
+
 def test_empty_table_and_repeated_rows(shipped):
     docs = documents(shipped, ["a b", "a b"])
     assert encode_decode(docs.limit(0), PATH).collect() == [] and token_counts(docs.limit(0), PATH).collect() == []
