@@ -105,6 +105,32 @@ def slice_records(telemetry: DataFrame, start: str | datetime | None = None,
                        F.col("carPlateNumber").alias("car_plate_number"))
 
 
+#: Names of the flat records in the board's live message.
+LIVE_RECORD = "Time string, Speed float, isOverspeed int, car_plate_number string"
+LIVE_WARNING = "car_plate_number string, overspeed_count long"
+
+
+def live_records(telemetry: DataFrame, start: str | datetime | None = None, seconds: int = SLICE_SECONDS) -> DataFrame:
+    """S7 + P9: the slice's records as the live message has them, one JSON object each with the plate on it."""
+    return slice_records(telemetry, start, seconds).select(F.to_json(F.struct("Time", "Speed", "isOverspeed", "car_plate_number")).alias("value"))
+
+
+def live_warnings(telemetry: DataFrame, start: str | datetime | None = None, seconds: int = SLICE_SECONDS) -> DataFrame:
+    """S7 + F4: the warnings message of the slice, one JSON object per plate."""
+    warned = overspeed_warnings(speed_slice(telemetry, start, seconds))
+    return warned.select(F.to_json(F.struct("car_plate_number", "overspeed_count")).alias("value"))
+
+
+def day_steps(telemetry: DataFrame) -> DataFrame:
+    """F8: per driver, steps from one record to the next that stay in a calendar day, and those that do not."""
+    from fleetscope.operators.sequence import PREV_TS, with_previous_time
+
+    seq = with_previous_time(telemetry.select("driverID", "event_id", "Time"), "driverID", "Time", "event_id").filter(F.col(PREV_TS).isNotNull())
+    before = F.timestamp_add("SECOND", F.col(PREV_TS), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    stays = same_day(before, F.col("Time"))
+    return seq.groupBy("driverID").agg(F.count_if(stays).alias("same_day"), F.count_if(~stays).alias("other_day"))
+
+
 def plate_speed(records: DataFrame) -> DataFrame:
     """A8 + A13: mean speed and number of points per plate of emitted records."""
     return records.groupBy("car_plate_number").agg(

@@ -356,3 +356,14 @@ SELECT driverID, {REGRESSION_LABEL}, round(prediction, 6) AS prediction FROM pre
 SQL["m5_regression_score"] = with_telemetry(f"""
 SELECT count(*) AS n_test, round(1 - sum(({REGRESSION_LABEL} - prediction) ** 2) / nullif(var_pop({REGRESSION_LABEL}) * count(*), 0), 6) AS r2
 FROM predicted""", TRAVEL_CTE, SUMMARY_CTE, *_least_squares(), _PREDICTED)
+
+SQL["s7_live_records"] = with_telemetry(f"""
+SELECT strftime(Time, {FMT}) AS Time, Speed::FLOAT AS Speed, coalesce(isOverspeed, 0)::INT AS isOverspeed, carPlateNumber AS car_plate_number FROM telemetry
+WHERE Time >= TIMESTAMP '2017-01-01 08:00:05' AND Time < TIMESTAMP '2017-01-01 08:00:35'""")
+SQL["s7_live_warnings"] = with_telemetry("""
+SELECT carPlateNumber AS car_plate_number, sum(isOverspeed)::BIGINT AS overspeed_count FROM telemetry
+WHERE Time >= TIMESTAMP '2017-01-01 08:00:05' AND Time < TIMESTAMP '2017-01-01 09:00:05' GROUP BY 1 HAVING sum(isOverspeed) > 0""")
+SQL["f8_day_steps"] = with_telemetry("""
+SELECT driverID, count(*) FILTER (WHERE Time::DATE = before::DATE) AS same_day, count(*) FILTER (WHERE Time::DATE <> before::DATE) AS other_day
+FROM (SELECT driverID, Time, lag(Time) OVER (PARTITION BY driverID ORDER BY Time, event_id) AS before FROM telemetry)
+WHERE before IS NOT NULL GROUP BY driverID""")

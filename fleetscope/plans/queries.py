@@ -21,7 +21,7 @@ from fleetscope.operators import stats as ST
 from fleetscope.operators import trips as T
 from fleetscope.sources.sinks import materialize
 from fleetscope.schema import FIELD_NAMES, MEASURES
-from fleetscope.session import scratch_path
+from fleetscope.session import scratch_path, table_path
 from fleetscope.sources import files as FL
 from fleetscope.sources.telemetry import DAYS, load_telemetry
 from fleetscope.streaming import board as SB
@@ -142,16 +142,18 @@ PAGE_START = 25
 PAGE_LENGTH = 25
 
 
-_BEHAVIOUR: dict[tuple[str, str], DataFrame] = {}
+_BEHAVIOUR: dict[tuple[str, str], tuple[object, DataFrame]] = {}
 
 
 def behaviour_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1 kept between requests: stored once per application and data folder, so that
-    searches, pages and totals read one row per plate and not the facts."""
+    """A1 kept between requests: stored once per application and state of the data folder, so that
+    searches, pages and totals read one row per plate and not the facts. New or changed files make it anew."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _BEHAVIOUR:
-        _BEHAVIOUR[key] = materialize(B.behaviour_by_plate(load_telemetry(spark, sf_dir)), "behaviour")
-    return _BEHAVIOUR[key]
+    listed = spark.read.format("binaryFile").load(table_path(sf_dir, "events"))  # names and times only
+    state = tuple(listed.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+    if _BEHAVIOUR.get(key, (None,))[0] != state:
+        _BEHAVIOUR[key] = (state, materialize(B.behaviour_by_plate(load_telemetry(spark, sf_dir)), "behaviour"))
+    return _BEHAVIOUR[key][1]
 
 
 @register("f3_search_page")
@@ -387,6 +389,27 @@ def q_s7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(alerts.schema).json(path)
 
 
+@register("s7_live_records")
+def q_s7l(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + F7: the live message's flat records of the default slice (no start given), written and read back."""
+    path = scratch_path(spark, "live-records")
+    FL.write_json_lines(S.live_records(load_telemetry(spark, sf_dir), None, BOARD_SECONDS), path)
+    return spark.read.schema(S.LIVE_RECORD).json(path)
+
+
+@register("s7_live_warnings")
+def q_s7w(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + F7: the warnings message of an hour from the default start, written and read back."""
+    path = scratch_path(spark, "live-warnings")
+    FL.write_json_lines(S.live_warnings(load_telemetry(spark, sf_dir), "", 3600), path)
+    return spark.read.schema(S.LIVE_WARNING).json(path)
+
+
+@register("f8_day_steps")
+def q_f8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.day_steps(load_telemetry(spark, sf_dir))
+
+
 @register("l2_preview")
 def q_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
     tel = load_telemetry(spark, sf_dir)
