@@ -18,7 +18,9 @@ earlier line is itself removed.
 4. A prefix word of more than ``HOT`` classes is a hot list. There every class
    first meets the list's ``LEADERS`` first classes only; the classes that this does not
    settle meet all earlier ones.
-5. The Jaccard of what is left is verified on the words themselves.
+5. The Jaccard is verified on the words themselves: first of each line with its
+   likeliest earlier line, then, for the lines that this does not settle, of all pairs
+   left. A group of near copies thus moves as many words as it has lines.
 
 Defined results: lines without a word are always kept; null text has no lines
 and stays null; rows that repeat a doc_id count as documents that follow each
@@ -118,11 +120,15 @@ def _apart(a: str, b: str) -> Column:
 
 
 def _pairs(joined: DataFrame, either: bool = False) -> DataFrame:
-    """Places of the earlier and the later line; ``either``: the sides x and y come in any order."""
+    """Places of the earlier and the later line, and how far apart their signatures and sizes are; ``either``: the sides x
+    and y come in any order."""
+    far = (F.bit_count(F.col("x.sig").bitwiseXOR(F.col("y.sig"))) + F.abs(F.col("x.n") - F.col("y.n"))).alias("far")
     if either:
         x, y = F.struct("x.doc_id", "x.line"), F.struct("y.doc_id", "y.line")
-        joined = joined.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
-    return joined.select(F.col("x.doc_id").alias("d1"), F.col("x.line").alias("l1"), F.col("y.doc_id").alias("d2"), F.col("y.line").alias("l2"))
+        joined = joined.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"), far)
+    else:
+        joined = joined.select(F.struct("x.doc_id", "x.line").alias("x"), F.struct("y.doc_id", "y.line").alias("y"), far)
+    return joined.select(F.col("x.doc_id").alias("d1"), F.col("x.line").alias("l1"), F.col("y.doc_id").alias("d2"), F.col("y.line").alias("l2"), "far")
 
 
 def _marked(places: DataFrame):
@@ -140,7 +146,9 @@ def _marked(places: DataFrame):
 
 def _verified(pairs: DataFrame, numbered: DataFrame, percent: int) -> DataFrame:
     """Positions (doc_id, line) of the later lines of the pairs whose words reach the similarity."""
-    pairs = held(pairs.distinct(), "lines-pairs")
+    pairs = held(pairs.select("d1", "l1", "d2", "l2").distinct(), "lines-tested")
+    if pairs.isEmpty():
+        return pairs.select(F.col("d2").alias("doc_id"), F.col("l2").alias("line"))
     need = held(pairs.select(F.col("d1").alias("doc_id"), F.col("l1").alias("line")).union(pairs.select("d2", "l2")).distinct(), "lines-needed")
     # a fixed-size bitmap keeps most lines that no pair needs from the shuffle
     near = _lines(numbered).filter(_marked(need)(F.xxhash64("doc_id", "line")))
@@ -183,17 +191,20 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id
     few = (F.col("x.n") <= F.col("y.n")) & (F.col("x.at") + F.col("x.n") < _index_prefix(F.col("x.n"), percent) + F.least("x.n", "y.n"))
     pairs = _pairs(cold.alias("y").join(cold.alias("x").hint("shuffle_hash"),
                                         (F.col("x.w") == F.col("y.w")) & few & _apart("x", "y") & _passes("x", "y", percent)), True)
-    if hot.isEmpty():
-        matched = _verified(pairs, numbered, percent)
-    else:
-        warm = held(postings.join(hot, "w"), "lines-warm")
+    warm = None if hot.isEmpty() else held(postings.join(hot, "w"), "lines-warm")
+    if warm is not None:
         order = Window.partitionBy("w").orderBy("doc_id", "line")
         first = warm.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= LEADERS)
         pairs = pairs.union(_pairs(first.alias("x").join(warm.alias("y"), (F.col("x.w") == F.col("y.w")) & _earlier("x", "y") & _passes("x", "y", percent))))
-        settled = held(_verified(pairs, numbered, percent), "lines-settled")
+    # one match is enough for a line, so its likeliest earlier line is tested first and the others only if that is none
+    pairs = held(pairs.distinct(), "lines-pairs")
+    likely = pairs.groupBy("d2", "l2").agg(F.min(F.struct("far", "d1", "l1")).alias("x")).select("x.d1", "x.l1", "d2", "l2")
+    settled = held(_verified(likely, numbered, percent), "lines-settled")
+    rest = pairs.join(settled.select(F.col("doc_id").alias("d2"), F.col("line").alias("l2")), ["d2", "l2"], "left_anti").select(pairs.columns)
+    if warm is not None:
         open_ = warm.join(settled, ["doc_id", "line"], "left_anti")
-        late = _pairs(warm.alias("x").join(open_.alias("y"), (F.col("x.w") == F.col("y.w")) & _earlier("x", "y") & _passes("x", "y", percent)))
-        matched = settled.union(_verified(late, numbered, percent))
+        rest = rest.union(_pairs(warm.alias("x").join(open_.alias("y"), (F.col("x.w") == F.col("y.w")) & _earlier("x", "y") & _passes("x", "y", percent))))
+    matched = settled.union(_verified(rest.join(likely, ["d1", "l1", "d2", "l2"], "left_anti"), numbered, percent))
     # later lines of a class go, and the first if an earlier line matches it
     first = classes.select("c1", "c2", F.col("doc_id").alias("d"), F.col("line").alias("l"))
     copies = (lines.select("doc_id", "line", "c1", "c2").join(first, ["c1", "c2"])
