@@ -6,8 +6,7 @@ r"""Exact Jaccard join of documents on word shingles, by size-banded tiles with
    (bucket count, then hash). Linked sets share one of those, so all classes of a
    shingle form a tile. A row carries set size, position and a 128-bit parity
    bitmap of the whole set.
-3. In a tile, sorted by size and then by class, so that a group's members stand in the same
-   order in each of their tiles, a class meets only those in its size band (the
+3. In a tile, sorted by size and position, a class meets only those in its size band (the
    smaller at least t times the larger). The bits in which two bitmaps differ are at most the
    shingles in which the sets do, which bounds the overlap from above; position does the same.
 4. What passes is a candidate. Its bitmaps are compared once more at a width that
@@ -329,7 +328,7 @@ def _components(docs: DataFrame, shingle: int, percent: int, doc_id: str, text:
     classes = members.filter("n > 0").groupBy("c", "n").agg(F.min("doc_id").alias("doc_id"))
 
     postings = _postings(d, shingle, percent, levels)
-    tiles = postings.repartition(F.col("w")).sortWithinPartitions("w", F.shiftright("place", 32), "c")
+    tiles = postings.repartition(F.col("w")).sortWithinPartitions("w", "place", "c")
     first = held(tiles.mapInArrow(_first_round(percent), "hot boolean, a long, b long, place long, b0 long, b1 long"), "jaccard-tiles")
     links = _verified(first.filter("not hot"), d, classes, shingle, percent)
     hot = first.filter("hot").select(F.col("a").alias("w"), F.col("b").alias("c"), "place", "b0", "b1")
