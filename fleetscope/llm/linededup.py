@@ -152,12 +152,14 @@ def _verified(pairs: DataFrame, numbered: DataFrame, percent: int) -> DataFrame:
     need = held(pairs.select(F.col("d1").alias("doc_id"), F.col("l1").alias("line")).union(pairs.select("d2", "l2")).distinct(), "lines-needed")
     # a fixed-size bitmap keeps most lines that no pair needs from the shuffle
     near = _lines(numbered).filter(_marked(need)(F.xxhash64("doc_id", "line")))
-    sets = held(near.join(need, ["doc_id", "line"], "left_semi").select("doc_id", "line", words(F.col("line_text")).alias("w")), "lines-sets")
-    one = sets.select(F.col("doc_id").alias("d1"), F.col("line").alias("l1"), F.col("w").alias("w1"))
-    two = sets.select(F.col("doc_id").alias("d2"), F.col("line").alias("l2"), F.col("w").alias("w2"))
-    both = F.size(F.array_intersect("w1", "w2"))
+    # a set travels as one text: an array of words takes four times the room in a shuffle
+    found = words(F.col("line_text"))
+    sets = held(near.join(need, ["doc_id", "line"], "left_semi").select("doc_id", "line", F.size(found).alias("n"), F.array_join(found, " ").alias("w")), "lines-sets")
+    one = sets.select(F.col("doc_id").alias("d1"), F.col("line").alias("l1"), F.col("n").alias("n1"), F.col("w").alias("w1"))
+    two = sets.select(F.col("doc_id").alias("d2"), F.col("line").alias("l2"), F.col("n").alias("n2"), F.col("w").alias("w2"))
+    both = F.size(F.array_intersect(F.split("w1", " "), F.split("w2", " ")))
     return (pairs.join(one, ["d1", "l1"]).join(two, ["d2", "l2"])
-            .filter(100 * both >= percent * (F.size("w1") + F.size("w2") - both))
+            .filter(100 * both >= percent * (F.col("n1") + F.col("n2") - both))
             .select(F.col("d2").alias("doc_id"), F.col("l2").alias("line")).distinct())
 
 
