@@ -10,13 +10,14 @@ stored in shards of fixed size, so a part that holds a third of all rows is
 many tiles. Search: the network gives a query's most probable parts; ``probes``
 of them are searched whole, in double precision, and the top lists merged.
 ``probes`` is the least number that finds ``RECALL`` of the sample's own
-neighbours.
+neighbours; a query whose parts hold too few rows goes on to the next most
+probable ones until they hold k and itself.
 
 Defined results: vectors that are null, empty, zero, or hold a null or non-finite
 component take no part, nor do those of another length than the most frequent
 one (of equal counts the smaller); rows that repeat a vec_id count each; a query
-with fewer candidates than k in its probed parts returns what they hold, and a
-table of up to ``SMALL`` vectors is one part, so the search is exact there.
+returns k rows, or all candidates if the table has fewer. A table that fills fewer than
+two parts of ``PART_ROWS`` is one part, searched whole.
 """
 
 from __future__ import annotations
@@ -33,9 +34,8 @@ from .common import held
 from .vectors import QUERY_ROWS, SHARD_ROWS, clean, matrix, merge_top, tile_top
 
 SAMPLE = 4096
-SMALL = 1024
 #: Vectors of the sample for each part, and rows of the table, at least.
-PART_SAMPLE, PART_ROWS = 128, 512
+PART_SAMPLE, PART_ROWS = 128, 128
 NEIGHBOURS = 10
 RECALL = 0.97
 
@@ -161,14 +161,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "ve
     dim = dims[0]["dim"] if dims else 1
     n = dims[0]["count"] if dims else 0
     v = v.filter(F.col("dim") == dim)
-    parts = 1 if n <= SMALL else max(2, min(sample // PART_SAMPLE, n // PART_ROWS))
+    parts = max(1, min(sample // PART_SAMPLE, n // PART_ROWS))
     if parts > 1:
         picked = v.orderBy(F.xxhash64("vec_id", F.lit("sample")), "uid").limit(sample).select("v").collect()
         router, probes = fit(np.array([r["v"] for r in picked]), parts, recall)
     else:
         router, probes = None, 1
 
-    def route(places: int):
+    def route(places: int, counts: np.ndarray | None = None):
+        """Each vector's ``places`` most probable parts, and more until they hold k + 1 of the ``counts``."""
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if not b.num_rows:
@@ -176,22 +178,29 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "ve
                 if router is None:
                     best = np.zeros((b.num_rows, 1), np.int32)
                 else:
-                    best = np.argsort(-router.scores(matrix(b.column(2), dim)), axis=1, kind="stable")[:, :places].astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, best.size + 1, best.shape[1]).astype(np.int32)), pa.array(best.ravel()))
+                    best = np.argsort(-router.scores(matrix(b.column(2), dim)), axis=1, kind="stable").astype(np.int32)
+                wanted = np.full(b.num_rows, places)
+                if counts is not None:
+                    wanted = np.maximum(wanted, (np.cumsum(counts[best], axis=1) < k + 1).sum(axis=1) + 1)
+                taken = np.arange(best.shape[1]) < wanted[:, None]
+                ends = np.append(0, np.cumsum(taken.sum(axis=1)))
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(best[taken]))
                 yield pa.RecordBatch.from_arrays([*b.columns, lists], names=["uid", "vec_id", "v", "dim", "parts"])
 
         return run
 
     schema = "uid long, vec_id long, v array<double>, dim int, parts array<int>"
     index = held(v.mapInArrow(route(1), schema).select("uid", "vec_id", "v", "dim", F.col("parts")[0].alias("part")), "ann-index")
-    shards = {r["part"]: -(-r["count"] // shard_rows) for r in index.groupBy("part").count().collect()}  # one row per part
+    held_rows = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}  # one row per part
+    shards = {p: -(-c // shard_rows) for p, c in held_rows.items()}
+    counts = np.array([held_rows.get(p, 0) for p in range(parts)], np.int64)
     first, total = {}, 0
     for p in sorted(shards):
         first[p], total = total, total + shards[p]
     spark = v.sparkSession
     places = spark.createDataFrame([(p, first[p], shards[p]) for p in sorted(shards)], "part int, first long, n_shards long")
     rows = index.join(places, "part").withColumn("shard", F.col("first") + F.pmod(F.xxhash64("uid"), "n_shards"))
-    asks = v.filter(is_query).mapInArrow(route(probes), schema)
+    asks = v.filter(is_query).mapInArrow(route(probes, counts), schema)
     blocks = max(1, -(-v.filter(is_query).count() // QUERY_ROWS))
     asks = (asks.withColumn("block", F.pmod(F.xxhash64("uid"), F.lit(blocks))).select("uid", "vec_id", "v", "dim", "block", F.explode("parts").alias("part"))
             .join(places, "part").withColumn("shard", F.explode(F.sequence("first", F.col("first") + F.col("n_shards") - 1))))

@@ -79,6 +79,20 @@ def test_recall_and_scores_on_learned_partitions(shipped):
     assert hit / 300 >= 0.9
 
 
+def test_every_query_gets_k_rows_though_its_part_holds_fewer(shipped):
+    """Clusters of five, far apart, and some outliers: no part of a query's need hold ten rows."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(300, 8)) * 100
+    x = np.concatenate([(centres[np.repeat(np.arange(300), 5)] + rng.normal(size=(1500, 8)) * 0.01), rng.normal(size=(4, 8)) * 1e5]).astype(np.float32)
+    got = nearest(table(shipped, x.tolist()), F.col("vec_id") % 100 == 0, sample=1024).collect()
+    per = {}
+    for r in got:
+        per.setdefault(r.query_id, []).append(r.rank)
+    assert len(per) == 16 and all(sorted(v) == list(range(1, 11)) for v in per.values())
+    outliers = nearest(table(shipped, x.tolist()), F.col("vec_id") >= 1500, sample=1024).collect()
+    assert sorted((r.query_id, r.rank) for r in outliers) == [(1500 + i, k) for i in range(4) for k in range(1, 11)]
+
+
 def test_parts_are_balanced():
     x = np.random.default_rng(1).normal(size=(600, 8))
     label = balanced_parts(x, neighbour_graph(x, 8), 6)
