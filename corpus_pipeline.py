@@ -25,8 +25,8 @@ from fleetscope.llm.toxicity import fit, score
 TOKENIZER = "byte_bpe_50k.json"
 
 
-#: Rows of one file, at most.
-FILE_ROWS = 1 << 40
+#: Rows of one file, at most; and files whose names go to every task.
+FILE_ROWS, MOST_FILES = 1 << 40, 100_000
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -40,8 +40,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     except AnalysisException:
         return held(docs.select(F.monotonically_increasing_id().alias("row"), packed), "pipeline-rows")
     files = sorted(r["file"] for r in placed.select("file").distinct().collect())  # Spark's driver lists them to read them
+    if len(files) > MOST_FILES:
+        return held(docs.select(F.monotonically_increasing_id().alias("row"), packed), "pipeline-rows")
     numbers = spark.createDataFrame(list(enumerate(files)), "number long, file string")
-    return placed.join(numbers, "file").select((F.col("number") * FILE_ROWS + F.col("at")).alias("row"), "doc")
+    return placed.join(F.broadcast(numbers), "file").select((F.col("number") * FILE_ROWS + F.col("at")).alias("row"), "doc")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
