@@ -149,14 +149,17 @@ def _verified(pairs: DataFrame, numbered: DataFrame, percent: int) -> DataFrame:
     pairs = held(pairs.select("d1", "l1", "d2", "l2").distinct(), "lines-tested")
     if pairs.isEmpty():
         return pairs.select(F.col("d2").alias("doc_id"), F.col("l2").alias("line"))
-    need = held(pairs.select(F.col("d1").alias("doc_id"), F.col("l1").alias("line")).union(pairs.select("d2", "l2")).distinct(), "lines-needed")
+    # whether a line is the earlier or the later one of a pair, or both: each side of the joins moves its own lines only
+    place = lambda d, l, earlier: pairs.select(F.col(d).alias("doc_id"), F.col(l).alias("line"), F.lit(earlier).alias("earlier"))
+    need = held(place("d1", "l1", True).union(place("d2", "l2", False)).groupBy("doc_id", "line").agg(
+        F.bool_or("earlier").alias("earlier"), F.bool_or(~F.col("earlier")).alias("later")), "lines-needed")
     # a fixed-size bitmap keeps most lines that no pair needs from the shuffle
     near = _lines(numbered).filter(_marked(need)(F.xxhash64("doc_id", "line")))
     # a set travels as one text: an array of words takes four times the room in a shuffle
     found = words(F.col("line_text"))
-    sets = held(near.join(need, ["doc_id", "line"], "left_semi").select("doc_id", "line", F.size(found).alias("n"), F.array_join(found, " ").alias("w")), "lines-sets")
-    one = sets.select(F.col("doc_id").alias("d1"), F.col("line").alias("l1"), F.col("n").alias("n1"), F.col("w").alias("w1"))
-    two = sets.select(F.col("doc_id").alias("d2"), F.col("line").alias("l2"), F.col("n").alias("n2"), F.col("w").alias("w2"))
+    sets = held(near.join(need, ["doc_id", "line"]).select("doc_id", "line", "earlier", "later", F.size(found).alias("n"), F.array_join(found, " ").alias("w")), "lines-sets")
+    one = sets.filter("earlier").select(F.col("doc_id").alias("d1"), F.col("line").alias("l1"), F.col("n").alias("n1"), F.col("w").alias("w1"))
+    two = sets.filter("later").select(F.col("doc_id").alias("d2"), F.col("line").alias("l2"), F.col("n").alias("n2"), F.col("w").alias("w2"))
     both = F.size(F.array_intersect(F.split("w1", " "), F.split("w2", " ")))
     return (pairs.join(one, ["d1", "l1"]).join(two, ["d2", "l2"])
             .filter(100 * both >= percent * (F.col("n1") + F.col("n2") - both))
