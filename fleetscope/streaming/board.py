@@ -28,7 +28,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,32 +101,69 @@ TRAVEL_SCHEMA = T.StructType([
 TIMELESS = -(1 << 63)
 
 
+#: A bucket's records as they wait, and the last time of each of its drivers; state holds them packed.
+_WAITING = pa.schema([("driverID", pa.string()), ("us", pa.int64()), ("event_id", pa.int64()), ("Time", pa.string()), ("Speed", pa.int32())])
+_LAST = pa.schema([("driverID", pa.string()), ("second", pa.int64())])
+
+
+def _packed(rows: pa.Table) -> tuple[bytes]:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(rows)
+    return (out.getvalue().to_pybytes(),)
+
+
+def _unpacked(value: tuple) -> pa.Table:
+    return pa.ipc.open_stream(bytes(value[0])).read_all()
+
+
+def _maybe(values: np.ndarray, missing: np.ndarray) -> pd.api.extensions.ExtensionArray:
+    return pd.arrays.FloatingArray(np.where(missing, 0.0, values), missing)
+
+
 class OrderedTravel(StatefulProcessor):
-    """T5: a driver's records wait until the watermark has passed them, then leave in the order of time.
+    """T5: the records of a bucket of drivers wait until the watermark has passed them, then leave, each driver's in the
+    order of time.
 
-    State per driver: the records that wait (those of the last ``delay``, whatever came before), the time of the last
-    one that left, and one timer at the earliest that waits. A record behind the watermark leaves at once, flagged
-    late and without a step; so does one without a time, not flagged."""
+    State per bucket: the records that wait (those of the last ``delay``, whatever came before), packed by arrival, the time
+    of the last one of each driver that left, and one timer at the earliest that waits. A record behind the watermark leaves
+    at once, flagged late and without a step; so does one without a time, not flagged. A call handles a bucket's records as
+    columns: calls and their cost do not grow with the drivers."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "us long, event_id long, Time string, Speed int")
-        self.last = handle.getValueState("last", "second long")
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.last = handle.getValueState("last", "rows binary")
         self.timer = handle.getValueState("timer", "ms long")
 
-    def _frame(self, driver, rows: list[tuple], late: bool = False) -> pd.DataFrame:
-        last = self.last.get() if self.last.exists() and not late else None
-        before = last[0] if last is not None else None
-        out = []
-        for us, event_id, time, speed in rows:
-            second = None if us is None else us // 1_000_000
-            hours = (second - before) / 3600.0 if not late and second is not None and before is not None else None
-            out.append((driver, event_id, time, speed, hours, None if hours is None or speed is None else speed * hours, late))
-            before = before if second is None else second
-        if rows and not late and before is not None:
-            self.last.update((before,))
-        frame = pd.DataFrame(out, columns=[f.name for f in TRAVEL_SCHEMA])
-        return frame.astype({"event_id": "Int64", "Speed": "Int32", "time_difference": "Float64", "distance": "Float64", "late": bool})
+    def _frame(self, rows: pa.Table, hours: np.ndarray | None = None, late: bool = False) -> pd.DataFrame:
+        """The rows as they leave; ``hours``: nan where there is no step."""
+        hours = np.full(rows.num_rows, np.nan) if hours is None else hours
+        speed = rows["Speed"].to_pandas(types_mapper={pa.int32(): pd.Int32Dtype()}.get)
+        ids = rows["event_id"].to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+        stepless, unknown = np.isnan(hours), speed.isna().to_numpy()
+        return pd.DataFrame({
+            "driverID": rows["driverID"].to_pandas(), "event_id": ids, "Time": rows["Time"].to_pandas(), "Speed": speed,
+            "time_difference": _maybe(hours, stepless), "distance": _maybe(speed.fillna(0).to_numpy(np.float64) * hours, stepless | unknown), "late": late})
+
+    def _steps(self, rows: pa.Table) -> pd.DataFrame:
+        """The rows that leave, by driver and time, each with the hours since its driver's previous one."""
+        drivers = rows["driverID"].combine_chunks().dictionary_encode("encode")
+        code, names = drivers.indices.to_numpy(), drivers.dictionary.to_pylist()
+        ids = rows["event_id"].combine_chunks()
+        order = np.lexsort((ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False), rows["us"].to_numpy(), code))
+        code, second = code[order], rows["us"].to_numpy()[order] // 1_000_000
+        last = dict(zip(*_unpacked(self.last.get()).to_pydict().values(), strict=True)) if self.last.exists() else {}
+        first = np.ones(len(code), bool)
+        first[1:] = code[1:] != code[:-1]
+        seen = np.array([last.get(x) is not None for x in names])
+        since = np.array([last.get(x) or 0 for x in names], np.int64)
+        before = np.where(first, since[code], np.roll(second, 1))
+        hours = np.where(first & ~seen[code], np.nan, (second - before) / 3600.0)
+        ends = np.append(first[1:], True)
+        last.update(zip((names[c] for c in code[ends]), second[ends].tolist(), strict=True))
+        self.last.update(_packed(pa.table([list(last), list(last.values())], schema=_LAST)))
+        return self._frame(rows.take(order), hours)
 
     def _watch(self, us: int) -> None:
         """One timer, at the earliest time that waits."""
@@ -137,34 +176,39 @@ class OrderedTravel(StatefulProcessor):
         self.handle.registerTimer(ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        behind = timerValues.getCurrentWatermarkInMs() * 1000
+        behind, earliest = timerValues.getCurrentWatermarkInMs() * 1000, None
         for part in rows:
-            found = [(None if us == TIMELESS else int(us), None if pd.isna(e) else int(e), None if pd.isna(t) else t, None if pd.isna(v) else int(v))
-                     for us, e, t, v in zip(part["us"], part["event_id"], part["Time"], part["Speed"], strict=True)]
-            wait = [r for r in found if r[0] is not None and r[0] > behind]
-            late = [r for r in found if r[0] is not None and r[0] <= behind]
-            timeless = [r for r in found if r[0] is None]
-            if wait:
-                self.waiting.appendList(wait)
-                self._watch(min(r[0] for r in wait))
-            if late:
-                yield self._frame(key[0], late, late=True)
-            if timeless:
-                yield self._frame(key[0], timeless)
+            us = part["us"].to_numpy()
+            found = pa.table([pa.array(part["driverID"], pa.string(), from_pandas=True), us,
+                              pa.array(part["event_id"], pa.string(), from_pandas=True).cast(pa.int64()),
+                              pa.array(part["Time"], pa.string(), from_pandas=True),
+                              pa.array(part["Speed"], from_pandas=True).cast(pa.int32())], schema=_WAITING)
+            timed = us != TIMELESS
+            wait, late = timed & (us > behind), timed & (us <= behind)
+            if wait.any():
+                self.waiting.appendValue(_packed(found.filter(pa.array(wait))))
+                least = int(us[wait].min())
+                earliest = least if earliest is None else min(earliest, least)
+            if late.any():
+                yield self._frame(found.filter(pa.array(late)), late=True)
+            if not timed.all():
+                yield self._frame(found.filter(pa.array(~timed)))
+        if earliest is not None:
+            self._watch(earliest)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = list(self.waiting.get())
-        ready = sorted((r for r in rows if r[0] <= passed), key=lambda r: (r[0], r[1] is not None, r[1] or 0))
-        rest = [r for r in rows if r[0] > passed]
+        rows = pa.concat_tables([_WAITING.empty_table(), *map(_unpacked, self.waiting.get())])
+        due = rows["us"].to_numpy() <= passed
+        ready, rest = rows.filter(pa.array(due)), rows.filter(pa.array(~due))
         self.timer.clear()
-        if rest:
-            self.waiting.put(rest)
-            self._watch(min(r[0] for r in rest))
+        if rest.num_rows:
+            self.waiting.put([_packed(rest)])
+            self._watch(int(rest["us"].to_numpy().min()))
         else:
             self.waiting.clear()
-        if ready:
-            yield self._frame(key[0], ready)
+        if ready.num_rows:
+            yield self._steps(ready)
 
     def close(self) -> None:
         pass
@@ -179,15 +223,17 @@ def _with_watermark(stream: DataFrame, delay: str) -> DataFrame:
     return rows.filter(real).withColumn("us", F.coalesce(F.unix_micros(EVENT_TIME), F.lit(TIMELESS))).drop(EVENT_TIME)
 
 
-def record_distance(stream: DataFrame, delay: str = "1 minute") -> DataFrame:
+def record_distance(stream: DataFrame, delay: str = "1 minute", buckets: int = 512) -> DataFrame:
     """T5: per record, hours since the driver's previous record and distance, in the order of event time whatever the
-    order of arrival within ``delay``. State is what waits for the watermark, not a driver's history.
+    order of arrival within ``delay``. State is what waits for the watermark, not a driver's history; drivers share it in
+    ``buckets`` by a hash of their name.
 
     Needs ``run_append_sink(..., ordered=True)``; a heartbeat lets the last records out (``heartbeat``)."""
     ship_package(stream.sparkSession)
     # ids as text: whole numbers with nulls among them would reach Python as floating point
-    rows = _with_watermark(stream, delay).select("driverID", F.col("event_id").cast("string").alias("event_id"), format_time("Time").alias("Time"), "Speed", "us")
-    return rows.groupBy("driverID").transformWithStateInPandas(OrderedTravel(), TRAVEL_SCHEMA, "Append", "EventTime")
+    rows = _with_watermark(stream, delay).select("driverID", F.col("event_id").cast("string").alias("event_id"), format_time("Time").alias("Time"), "Speed", "us",
+                                                 F.pmod(F.xxhash64("driverID"), F.lit(buckets)).alias("bucket"))
+    return rows.groupBy("bucket").transformWithStateInPandas(OrderedTravel(), TRAVEL_SCHEMA, "Append", "EventTime")
 
 
 class LateRows(StatefulProcessor):

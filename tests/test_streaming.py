@@ -139,6 +139,22 @@ def test_null_times_ids_and_drivers_in_the_ordered_state(spark, tmp_dir):
                    ("a", 9007199254740993): (None, None, False), ("a", 4): (2.0, None, False)}
 
 
+def test_many_drivers_share_the_ordered_state(spark, tmp_dir):
+    """State and calls are counted by buckets: 600 drivers in 4 buckets hold no more than arrivals and two values each."""
+    rows = [(f"d{i % 600}", i, datetime(2017, 1, 1) + timedelta(seconds=7 * (i * 7919 % 1800)), None if i % 50 == 0 else i % 90) for i in range(1800)]
+    tel = spark.createDataFrame(rows, "driverID string, event_id long, Time timestamp_ntz, Speed int")
+    src = f"{tmp_dir}/src"
+    for k in range(3):
+        spark.createDataFrame(rows[k * 600:(k + 1) * 600], tel.schema).coalesce(1).write.mode("append").parquet(src)
+    SB.heartbeat(spark, src, tel.schema, "2100-01-01 00:00:00")
+    query = SB.run_append_sink(SB.record_distance(SB.telemetry_stream(spark, src, tel.schema, 1), "1 day", buckets=4),
+                               f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", ordered=True)
+    assert max(s.numRowsTotal for p in query.recentProgress for s in p.stateOperators) <= 4 * 8
+    got = spark.read.schema(SB.TRAVEL_SCHEMA).parquet(f"{tmp_dir}/sink")
+    want = TR.format_travel(TR.record_travel(tel, keep=["driverID", "event_id", "Time", "Speed"]))
+    assert got.filter("late").count() == 0 and canon(got.drop("late").toPandas()) == canon(want.toPandas())
+
+
 def test_slices_follow_an_anchor_that_moves(spark, tmp_dir):
     """The date's earliest record arrives last; its slices are keyed anew."""
     tel = load_telemetry(spark, SF_SMALL)
