@@ -46,6 +46,23 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return placed.join(F.broadcast(numbers), "file").select((F.col("number") * FILE_ROWS + F.col("at")).alias("row"), "doc")
 
 
+#: Rows whose numbers of copies are packed in one block; and blocks that go to every task.
+BLOCK_ROWS, MOST_BLOCKS = 32, 1 << 22
+
+
+def _copied(keyed: DataFrame, copies: DataFrame) -> DataFrame:
+    """(doc, n): the rows that ``copies`` names, once each with its n, 1 to 3.
+
+    Two bits a row go to every task, so documents are not shuffled; only if these were too many, a join moves them."""
+    block, shift = F.expr(f"row div {BLOCK_ROWS}"), (F.col("row") % BLOCK_ROWS * 2).cast("int")
+    mine = F.call_function("shiftleft", F.col("n").cast("long"), shift)
+    blocks = held(copies.groupBy(block.alias("block")).agg(F.bit_or(mine).alias("ns")), "pipeline-blocks")
+    if blocks.count() > MOST_BLOCKS:
+        return keyed.join(copies, "row").select("doc", "n")
+    n = F.call_function("shiftrightunsigned", F.col("ns"), shift).bitwiseAND(F.lit(3)).cast("int")
+    return keyed.withColumn("block", block).join(F.broadcast(blocks), "block").select("doc", n.alias("n")).filter("n > 0")
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5."""
     ship_package(spark)
@@ -72,7 +89,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = jaccard_components(rows.select("row", "text"), shingle=5, percent=80, doc_id="row").select(F.col("doc_id").alias("row"), "component_id")
     named = groups.join(rows.select("row", "doc_id"), "row")
     best = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "row")).alias("m")).select("m.row")
-    return keyed.join(best, "row", "left_semi").select("doc.*")
+    return _copied(keyed, best.withColumn("n", F.lit(1))).select("doc.*")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,7 +98,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = _keyed(docs)
     takes = mix(keyed.select("row", F.col("doc.text").alias("text"), F.col("doc.source").alias("source")), doc_id="row").filter("size > 0")
     copies = takes.select(F.col("doc_id").alias("row"), F.least(F.lit(3), F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("n")).filter("n > 0")
-    return keyed.join(copies, "row").select("doc", F.explode(F.sequence(F.lit(1), F.col("n")))).select("doc.*")
+    return _copied(keyed, copies).select("doc", F.explode(F.sequence(F.lit(1), F.col("n")))).select("doc.*")
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

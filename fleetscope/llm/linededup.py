@@ -12,7 +12,7 @@ earlier line is itself removed.
    class are removed at once, so a line that a third of all documents hold is one
    row from here on.
 3. Prefix filter: sets that reach the similarity share a word among their first
-   ``n - ceil(t n) + 1``. Position and length filters, and a 64-bit parity
+   ``n - ceil(t n) + 1``. Position and length filters, and a 128-bit parity
    signature (it differs in at most as many bits as the sets do in words), drop
    most pairs inside the join's condition.
 4. A prefix word of more than ``HOT`` classes is a hot list. There every class
@@ -30,17 +30,20 @@ through unchanged.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE_PATTERN, held, settled
 
 PERCENT = 80
-BUCKET_BITS = 18
+BUCKET_BITS = 21
 HOT = 256
 #: Bits of the map of lines whose words are needed again; the same for any table.
 MARK_BITS = 1 << 21
 LEADERS = 4
+#: Columns of a line's signature, 64 bits each. One alone stops telling sets of 100 words apart.
+SIGNATURE = ("sig", "sig2")
 MIN_LONG = -(1 << 63)
 #: Line numbers of a repeated doc_id's k-th row begin at k times this.
 ROW_STEP = 1 << 40
@@ -65,14 +68,17 @@ def _bucket(h: Column) -> Column:
 
 def word_levels(docs: DataFrame, text: str) -> Column:
     """Level of every bucket, one byte each: 4 times the binary logarithm of its words' occurrences."""
-    counts = docs.select(F.explode(tokens(F.col(text))).alias("w")).groupBy(_bucket(F.xxhash64("w")).alias("b")).count()
-    every = counts.union(docs.sparkSession.range(1 << BUCKET_BITS).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("long").alias("count")))
-    level = F.least(F.lit(127), F.floor(4 * F.log2(F.sum("count") + 1)))
-    levels = every.groupBy("b").agg(F.char(level).alias("c"))
-    # a thousand strings of a thousand buckets each, whatever the corpus
-    parts = levels.groupBy(F.shiftright("b", 10).alias("k")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "c"))), lambda x: x.c), "").alias("s"))
-    return F.lit("".join(r["s"] for r in parts.orderBy("k").collect()).encode("ascii"))
+    flat = F.replace(F.col(text), F.lit("\n"), F.lit(" "))  # not a reason for the regular expression
+    counts = docs.select(F.explode(tokens(flat)).alias("w")).groupBy(_bucket(F.xxhash64("w")).alias("b")).count()
+    # a thousand or two strings, whatever the corpus: of each bucket in use its place among 1,024, as two characters, and its level
+    level = F.least(F.lit(127), F.floor(4 * F.log2(F.col("count") + 1)))
+    entry = F.concat(F.char(F.shiftright("b", 5).bitwiseAND(F.lit(31)) + 64), F.char(F.col("b").bitwiseAND(F.lit(31)) + 64), F.char(level))
+    parts = counts.groupBy(F.shiftright("b", 10).alias("k")).agg(F.array_join(F.collect_list(entry), "").alias("s"))
+    out = np.zeros(1 << BUCKET_BITS, np.uint8)
+    for r in parts.collect():
+        found = np.frombuffer(r["s"].encode("ascii"), np.uint8).reshape(-1, 3).astype(np.int32)
+        out[(r["k"] << 10) + (found[:, 0] - 64) * 32 + found[:, 1] - 64] = found[:, 2]
+    return F.lit(out.tobytes())
 
 
 def _least_shared(n: Column, percent: int) -> Column:
@@ -80,6 +86,12 @@ def _least_shared(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100).cast("int")
 
 
+def _unlike(a: str, b: str) -> Column:
+    """Bits in which the signatures of two lines differ: no more than their sets do in words."""
+    return sum((F.bit_count(F.col(f"{a}.{sig}").bitwiseXOR(F.col(f"{b}.{sig}"))) for sig in SIGNATURE[1:]),
+               F.bit_count(F.col(f"{a}.{SIGNATURE[0]}").bitwiseXOR(F.col(f"{b}.{SIGNATURE[0]}"))))
+
+
 def _numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id (null: smallest long), text, base: where the row's line numbers begin."""
     d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(MIN_LONG)).alias("doc_id"), F.col(text).alias("text"))
@@ -103,7 +115,7 @@ def _passes(a: str, b: str, percent: int) -> Column:
     need = F.floor((percent * (na + nb) + 99 + percent) / (100 + percent))  # least overlap, rounded up
     rest = F.least(na - F.col(f"{a}.at"), nb - F.col(f"{b}.at"))  # words from this one on
     return ((F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (rest >= need)
-            & (F.bit_count(F.col(f"{a}.sig").bitwiseXOR(F.col(f"{b}.sig"))) <= na + nb - 2 * need))
+            & (_unlike(a, b) <= na + nb - 2 * need))
 
 
 def _earlier(a: str, b: str) -> Column:
@@ -122,7 +134,7 @@ def _apart(a: str, b: str) -> Column:
 def _pairs(joined: DataFrame, either: bool = False) -> DataFrame:
     """Places of the earlier and the later line, and how far apart their signatures and sizes are; ``either``: the sides x
     and y come in any order."""
-    far = (F.bit_count(F.col("x.sig").bitwiseXOR(F.col("y.sig"))) + F.abs(F.col("x.n") - F.col("y.n"))).alias("far")
+    far = (_unlike("x", "y") + F.abs(F.col("x.n") - F.col("y.n"))).alias("far")
     if either:
         x, y = F.struct("x.doc_id", "x.line"), F.struct("y.doc_id", "y.line")
         joined = joined.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"), far)
@@ -172,23 +184,25 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id
     levels = word_levels(docs, text)
     level = lambda h: F.ascii(F.substring(levels, _bucket(h) + 1, F.lit(1)).cast("string"))
     ranked = lambda h: F.shiftleft(level(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-    rank = lambda w: ranked(F.xxhash64(w))
     # words are told apart by 56 bits of their hash from here to the verification
-    keyed = _lines(numbered).select("doc_id", "line", F.sort_array(F.array_remove(F.array_distinct(
-        F.transform(tokens(F.col("line_text")), rank)), rank(F.lit("")))).alias("keys"))
+    # lines without a word are told by their text: a filter on the keys would be pushed below them and make them twice
+    keyed = _lines(numbered).filter(F.col("line_text").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "line", F.sort_array(F.array_distinct(F.transform(
+        F.array_remove(F.array_distinct(F.transform(tokens(F.col("line_text")), lambda w: F.xxhash64(w))), F.xxhash64(F.lit(""))), ranked))).alias("keys"))
     n = F.size("keys")
     head = n - _least_shared(n, percent) + 1
-    parity = F.aggregate("keys", F.lit(0).cast("long"), lambda s, k: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
-    lines = held(keyed.filter(n > 0).select(
-        "doc_id", "line", n.alias("n"), F.xxhash64("keys").alias("c1"), F.xxhash64(F.lit(1), F.col("keys")).alias("c2"), parity.alias("sig"),
-        # (words >> 6) leaves the bits that the signature does not use
-        F.transform(F.slice("keys", F.lit(1), head), lambda k: F.shiftright(k, 6).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("prefix")), "lines")
-
-    classes = held(lines.groupBy("c1", "c2").agg(F.min(F.struct("doc_id", "line")).alias("p"), F.first("n").alias("n"), F.first("sig").alias("sig"),
-                                                 F.first("prefix").alias("prefix")).select("p.doc_id", "p.line", "n", "sig", "prefix", "c1", "c2"), "lines-classes")
+    # the bit above the lowest six says which of the signature's columns a word belongs to
+    bit = lambda k, i: F.call_function("shiftleft", F.shiftright(k, 6).bitwiseAND(F.lit(1)).bitwiseXOR(F.lit(1 - i)), k.bitwiseAND(F.lit(63)).cast("int"))
+    parity = lambda i: F.aggregate("keys", F.lit(0).cast("long"), lambda s, k: s.bitwiseXOR(bit(k, i)))
+    lines = held(keyed.select(
+        "doc_id", "line", n.alias("n"), F.xxhash64("keys").alias("c1"), F.xxhash64(F.lit(1), F.col("keys")).alias("c2"), *[parity(i).alias(c) for i, c in enumerate(SIGNATURE)],
+        # (words >> 7) leaves the bits that the signature does not use
+        F.transform(F.slice("keys", F.lit(1), head), lambda k: F.shiftright(k, 7).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("prefix")), "lines")
+
+    classes = held(lines.groupBy("c1", "c2").agg(F.min(F.struct("doc_id", "line")).alias("p"), F.first("n").alias("n"), *[F.first(c).alias(c) for c in SIGNATURE],
+                                                 F.first("prefix").alias("prefix")).select("p.doc_id", "p.line", "n", *SIGNATURE, "prefix", "c1", "c2"), "lines-classes")
     # sets so small that only an equal one matches need no partner
     postings = classes.filter((F.floor(F.col("n") * 100 / percent) > F.col("n")) | (_least_shared(F.col("n"), percent) < F.col("n"))).select(
-        "doc_id", "line", "n", "sig", F.posexplode("prefix").alias("at", "w"))
+        "doc_id", "line", "n", *SIGNATURE, F.posexplode("prefix").alias("at", "w"))
     hot = held(postings.groupBy("w").count().filter(F.col("count") > HOT).select("w"), "lines-hot")
     cold = postings.join(hot, "w", "left_anti")
     # of two sets the smaller one shares a word among still fewer; said as a condition on both

@@ -61,6 +61,23 @@ def test_lines_of_repeated_and_null_ids(spark):
     assert linededup.line_report(docs.limit(0)).collect() == []
 
 
+def test_signatures_tell_long_lines_apart(spark, monkeypatch):
+    """Lines of 150 words that share half of them are no candidates; their texts are not moved."""
+    rng = random.Random(5)
+    vocab = [f"w{i}" for i in range(300)]
+    docs = documents(spark, ["\n".join(" ".join(rng.sample(vocab, 150)) for _ in range(5)) for _ in range(8)])
+    rows, held = {}, linededup.held
+
+    def counted(df, name, *a):
+        out = held(df, name, *a)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(linededup, "held", counted)
+    assert {r.n_removed for r in linededup.line_report(docs).collect()} == {0}
+    assert rows["lines-classes"] == 40 and rows["lines-pairs"] <= 3
+
+
 def shingles(text, k):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     w = [x for x in lower.encode().split()]

@@ -59,6 +59,33 @@ def test_mix_repeats_at_most_three_times(shipped, odd):
     assert rows and max(r["count"] for r in rows) <= 3
 
 
+def test_documents_stay_where_they_are_read(shipped, tmp_path):
+    """The rows kept and their copies come to the documents, also when no table is small enough to be broadcast by itself."""
+    texts = [" ".join(f"w{i * k % 97}" for k in range(3, 20)) for i in range(90)]
+    documents(shipped, texts, source=["a", "b"]).write.parquet(path := str(tmp_path / "docs"))
+    docs = shipped.read.parquet(path)
+    old = shipped.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    shipped.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for stage in (cp.near_duplicates, cp.source_mix):
+            out = stage(shipped, docs, SF_SMALL)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    finally:
+        shipped.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("most", [1 << 22, 0])
+def test_rows_by_their_copies(shipped, monkeypatch, most):
+    monkeypatch.setattr(cp, "MOST_BLOCKS", most)
+    want = {r: r % 4 for r in [*range(200), *range(5 << 40, (5 << 40) + 70)]}
+    keyed = shipped.createDataFrame([(r, (r, "t")) for r in want], "row long, doc struct<doc_id: long, text: string>")
+    copies = shipped.createDataFrame([(r, n) for r, n in want.items() if n], "row long, n int")
+    got = cp._copied(keyed, copies).collect()
+    assert len(got) == sum(n > 0 for n in want.values()) and {r.doc.doc_id: r.n for r in got} == {r: n for r, n in want.items() if n}
+    assert cp._copied(keyed, copies.limit(0)).collect() == []
+
+
 def test_toxicity_keeps_clean_documents(shipped):
     docs = shipped.read.parquet(f"{SF_MID}/documents.parquet")
     labels = shipped.read.parquet(f"{SF_MID}/labels.parquet")
