@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from .common import settled, text_chunks
 from .pretokens import distinct, library, ragged, special_strings, split, texts_of
 from .transducer import Transducer, compile_words
-from .vocabulary import frequent, vocabulary
+from .vocabulary import PIECE_BYTES, frequent, vocabulary
 
 LEXICON = 32_768
-#: Ids of unseen pre-tokens that a worker remembers; beyond, it starts anew.
-MEMORY = 300_000
+#: Unseen pre-tokens whose ids a worker remembers; beyond, it starts anew.
+MEMORY = 100_000
 OUTPUTS = {"ids": "array<int>", "n_tokens": "bigint", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
 _NONE = np.iinfo(np.int32).max
 
@@ -178,7 +178,7 @@ class Encoder:
     def __init__(self, tokenizer: str, transducer: Transducer | None) -> None:
         self.tokenizer, self.words = tokenizer, transducer
         self.specials, self.merges = special_strings(tokenizer), merges(tokenizer)
-        self.seen: dict[bytes, np.ndarray] = {}
+        self.seen: dict[bytes, bytes] = {}  # ids as bytes: an array each would take three times the room
 
     def chunk(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts, count per text, indexes of texts left to the library)."""
@@ -197,7 +197,7 @@ class Encoder:
             self.seen.clear()
         new = [t for t in tokens if t not in self.seen]
         if new:
-            self.seen.update(zip(new, self.merges.merge(new), strict=True))
+            self.seen.update((t, x.tobytes()) for t, x in zip(new, self.merges.merge(new), strict=True))
         more = [self.seen[t] for t in tokens]
         sizes, starts = np.zeros(len(rep), np.int64), np.zeros(len(rep), np.int64)
         known = np.flatnonzero(number >= 0)
@@ -206,9 +206,9 @@ class Encoder:
             sizes[known], starts[known] = self.words.sizes[number[known]], self.words.starts[number[known]]
             table = np.asarray(self.words.ids)
         if more:
-            n = np.array([len(x) for x in more], np.int64)
+            n = np.array([len(x) for x in more], np.int64) // 4
             sizes[unseen], starts[unseen] = n, len(table) + np.cumsum(n) - n
-            table = np.concatenate([table, *more])
+            table = np.concatenate([table, np.frombuffer(b"".join(more), np.int32)])
         ids = ragged(table, starts[code], sizes[code])
         per = np.bincount(p.doc, weights=sizes[code], minlength=n_docs).astype(np.int64)
         return ids, per, p.odd
@@ -230,7 +230,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, outputs: Sequence[str] = ("id
         enc = Encoder(tokenizer, _mapped(name, layout))
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            for i, j, data, offsets in text_chunks(texts):
+            for i, j, data, offsets in text_chunks(texts, PIECE_BYTES):
                 ids, per, odd = enc.chunk(data, offsets)
                 if len(odd):
                     parts = np.split(ids, np.cumsum(per)[:-1])

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from .common import held, text_chunks
 from .pretokens import distinct, special_strings, split, texts_of
 
-#: A task hands on its counts when so many distinct pre-tokens are held.
-TASK_ENTRIES = 400_000
+#: A task hands on its counts when so many distinct pre-tokens are held; Spark adds them up before the shuffle.
+TASK_ENTRIES = 50_000
+#: Texts are cut into pre-tokens in chunks of about so many bytes; the arrays of a chunk take some fifty times the room.
+PIECE_BYTES = 1 << 19
 
 
 def vocabulary(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
@@ -32,7 +34,7 @@ def vocabulary(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame
             return b
 
         for batch in batches:
-            for _, _, data, offsets in text_chunks(batch.column(0)):
+            for _, _, data, offsets in text_chunks(batch.column(0), PIECE_BYTES):
                 p = split(data, offsets, specials, tokenizer)
                 rep, code = distinct(data, p)
                 for t, n in zip(texts_of(data, p, rep), np.bincount(code, minlength=len(rep)).tolist(), strict=True):

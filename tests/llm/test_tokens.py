@@ -1,12 +1,13 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from fleetscope.llm.bpe import encode_decode, merges
+from fleetscope.llm.bpe import Encoder, encode_decode, merges
 from fleetscope.llm.common import text_chunks
 from fleetscope.llm.pretokens import special_strings, split
 from fleetscope.llm.queries import tokenizer_path
@@ -80,3 +81,18 @@ def test_transducer_shares_suffixes_and_numbers_words(tmp_path):
     number = t.numbers(data, np.cumsum(sizes) - sizes, sizes)
     assert (number[len(words):] == -1).all()
     assert [t.ids[t.starts[n]] for n in number[:len(words)]] == list(range(len(words)))
+
+
+def test_a_worker_remembers_unseen_words_in_little_memory():
+    enc = Encoder(PATH, None)
+    enc.chunk(np.frombuffer(b"warm up", np.uint8), np.array([0, 7]))
+    rng = np.random.default_rng(7)
+    tracemalloc.start()
+    for _ in range(5):
+        words = rng.integers(97, 123, (40_000, 9), np.uint8)
+        words[:, 0] = 32
+        ids, per, odd = enc.chunk(words.ravel(), np.array([0, words.size]))
+        assert not len(odd) and per[0] == len(ids) > 40_000
+    taken, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert taken < 32 << 20
