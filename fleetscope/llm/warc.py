@@ -8,11 +8,12 @@ archive.
 
 Reading. Splitting an archive at every occurrence of the version line finds
 all record starts, and also such lines inside payloads. Each task therefore
-only emits *candidates*: offset of the version line and offset of the successor
-that the record's own Content-Length implies. Starting with offset 0 of each
-file, pointer jumping (each round doubles the jump length) keeps the candidates
-that the chain of successors reaches; all others lie inside a payload. The
-pieces of a payload that held a version line are joined again.
+only notes *candidates*: sizes of the segment and its header, and the
+Content-Length, which implies the offset of the successor. Starting with offset 0
+of each file, one pass over its candidates in order, without their text, keeps
+those that the chain of successors reaches; all others lie inside a payload. The
+pass holds one offset and hands on the exceptions only. The pieces of a payload
+that held a version line are joined again.
 
 Defined results: a null payload is an empty one; a null page id is written as
 ``null`` and read back as null; rows that repeat a page id and payload are all
@@ -23,10 +24,13 @@ file), yields the records up to the break.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held, scratch_path
+from .common import held, scratch_path, ship_package
 
 #: Fixed values of the WARC 1.1 format.
 VERSION_LINE = "WARC/1.1\r\n"
@@ -36,6 +40,10 @@ BASE32_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 #: Digits of conv() in base 32.
 CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
+#: A table of more rows is not sent through the driver to every task. Catalyst takes the size of
+#: compressed files for the size in memory; ascending numbers and repeated digests take 100 times that.
+SENT_ROWS = 1 << 18
+
 
 def sha1_base32(data: Column) -> Column:
     """Upper-case base32 of the SHA-1; 160 bits are four groups of 40 bits."""
@@ -44,6 +52,11 @@ def sha1_base32(data: Column) -> Column:
     return F.translate(F.upper(F.concat(*groups)), CONV_DIGITS, BASE32_DIGITS)
 
 
+def _unsent(table: DataFrame) -> DataFrame:
+    """The held ``table``, to be joined by a merge if it has more than ``SENT_ROWS`` rows."""
+    return table.hint("merge") if table.count() > SENT_ROWS else table
+
+
 def with_revisits(pages: DataFrame, page_id: str, payload: str, min_bytes: int = 0) -> DataFrame:
     """``pages`` as (page_id, uri-less) keys with digest, record type and the page referred to."""
     keyed = held(pages.select(
@@ -63,12 +76,12 @@ def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", uri: str =
 
     Which pages are revisits is found on (id, digest) alone; that table is
     written first, so the join with the payloads is a broadcast only where its
-    size on disk is below Spark's broadcast threshold."""
+    size on disk is below Spark's broadcast threshold and it has few rows."""
     revisits = with_revisits(pages, page_id, payload, min_revisit_bytes)
     p = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(uri).cast("string").alias("uri"),
                      F.coalesce(F.col(payload), F.lit("")).alias("payload"))
     p = p.withColumn("payload_digest", sha1_base32(F.col("payload").cast("binary")))
-    r = revisits.withColumnRenamed("page_id", "r_id").withColumnRenamed("payload_digest", "r_digest")
+    r = _unsent(revisits.withColumnRenamed("page_id", "r_id").withColumnRenamed("payload_digest", "r_digest"))
     p = p.join(r, p.page_id.eqNullSafe(r.r_id) & (p.payload_digest == r.r_digest), "left")
     is_revisit = F.col("r_digest").isNotNull()
     block = F.when(is_revisit, F.lit("")).otherwise(F.concat(F.lit(HTTP_HEAD), F.col("payload")))
@@ -101,48 +114,46 @@ def _segments(spark: SparkSession, path: str) -> DataFrame:
                 .withColumn("content_length", field("Content-Length").try_cast("long")), "warc-segments")
 
 
-def _chain(segments: DataFrame) -> DataFrame:
-    """(file, offset) of the records reached from offset 0 of each file, by pointer jumping."""
-    candidates = segments.filter("offset is not null and content_length >= 0").select("file", "offset", "succ")
-    ends = candidates.select("file", F.col("offset").alias("succ"), F.lit(True).alias("there"))
-    t = (candidates.join(ends, ["file", "succ"], "left")
-         .select("file", "offset", F.when(F.col("there"), F.col("succ")).alias("jump"), (F.col("offset") == 0).alias("reached"))
-         .checkpoint())
-    while not t.filter("reached and jump is not null").isEmpty():
-        hit = t.filter("reached and jump is not null").select("file", F.col("jump").alias("offset"), F.lit(True).alias("hit"))
-        onward = t.filter("jump is not null").select("file", F.col("offset").alias("jump"), F.col("jump").alias("onward"))
-        t = (t.join(hit, ["file", "offset"], "left").join(onward, ["file", "jump"], "left")
-             .select("file", "offset", F.col("onward").alias("jump"), (F.col("reached") | F.coalesce("hit", F.lit(False))).alias("reached"))
-             .checkpoint())
-    return t.filter("reached").select("file", "offset")
+def _exceptions(segments: DataFrame) -> DataFrame:
+    """(row, record, k) of the segments that are not one whole true record: ``record`` is the offset of the true
+    record whose payload was torn there and ``k`` the segment's place in its file; null and in no record else."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, k, n, ahead, record, end = None, 0, len(VERSION_LINE), None, None, 0
+        for batch in batches:
+            rows, records, places = [], [], []
+            for name, row, size, head, length in zip(*(batch.column(c).to_pylist() for c in ("file", "row", "size", "head_size", "content_length")), strict=True):
+                if name != file:
+                    file, k, ahead, record, end = name, 0, None, None, 0
+                k += 1
+                offset = ahead  # of the version line before the segment; the first has none
+                ahead = size if offset is None else offset + n + size
+                begins = offset is not None and offset == end and length is not None and length >= 0
+                if begins:
+                    record, end = offset, offset + n + head + length + len(RECORD_END)
+                if not (begins and ahead >= end):
+                    rows.append(row)
+                    # after a break in the chain, what follows the last record belongs to nothing
+                    records.append(record if record is not None and offset < end else None)
+                    places.append(k)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (rows, records, places)], names=["row", "record", "k"])
+
+    # the text itself does not move
+    placed = segments.select("file", "block", "row", "size", "head_size", "content_length")
+    return held(placed.repartition(F.col("file")).sortWithinPartitions("file", "block", "row")
+                .mapInArrow(run, "row long, record long, k long"), "warc-exceptions")
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """All true records under ``path``: file, record_type, record_id, refers_to, uri,
     payload_digest (as the header states it), block (bytes) and payload (bytes after the HTTP head)."""
+    ship_package(spark)
     segments = _segments(spark, path)
-    order = Window.partitionBy("file").orderBy("block", "row")
-    # a file's segments are only counted here; the text itself does not move
-    placed = segments.select("file", "block", "row", "size", "head_size", "content_length",
-                             F.row_number().over(order).alias("k"), F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
-    n = len(VERSION_LINE)
-    start = F.when(F.col("k") > 1, F.col("before") + (F.col("k") - 2) * n)
-    placed = placed.withColumn("offset", start)
-    placed = placed.withColumn("succ", F.col("offset") + n + F.col("head_size") + F.col("content_length") + len(RECORD_END))
-    placed = held(placed, "warc-places")
-    true = _chain(placed).withColumn("begins", F.lit(True))
-    named = placed.join(true, ["file", "offset"], "left")
-    named = named.withColumn("record", F.last(F.when(F.col("begins"), F.col("offset")), True).over(order)).filter("record is not null")
-    # after a break in the chain, what follows the last record belongs to nothing
-    ends = named.withColumn("end", F.last(F.when(F.col("begins"), F.col("succ")), True).over(order)).filter(F.col("offset") < F.col("end"))
-    # nearly every segment is one whole record, so the text moves only where a payload was torn:
-    # the exceptions are a small table of places, broadcast only where its size on disk allows
-    ends = ends.withColumn("whole", F.coalesce(F.col("begins") & (F.col("offset") + n + F.col("size") >= F.col("end")), F.lit(False)))
-    kept = held(ends.select("file", "block", "row", "record", "k", "whole"), "warc-kept")
-    texts = segments.select("file", "block", "row", "value")
-    odd = held(placed.select("file", "block", "row").join(kept.filter("whole"), ["file", "block", "row"], "left_anti"), "warc-odd")
-    whole = texts.join(odd, ["file", "block", "row"], "left_anti").select("file", "value")
-    torn = (texts.join(held(kept.filter("not whole"), "warc-torn"), ["file", "block", "row"]).groupBy("file", "record")
+    # nearly every segment is one whole record, so the text moves only where a payload was torn
+    odd = _exceptions(segments)
+    texts = segments.select("file", "row", "value")
+    whole = texts.join(_unsent(odd.select("row")), "row", "left_anti").select("file", "value")
+    torn = (texts.join(_unsent(odd.filter("record is not null")), "row").groupBy("file", "record")
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "value"))), lambda x: x.value), VERSION_LINE).alias("value"))
             .drop("record"))
     # records are whole only if their bytes are there up to the end that the header states

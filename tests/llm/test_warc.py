@@ -3,6 +3,8 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+from fleetscope.llm import warc
+from fleetscope.llm.common import held
 from fleetscope.llm.warc import VERSION_LINE, read_warc, warc_round_trip, write_warc
 from fleetscope.session import scratch_path
 
@@ -56,3 +58,31 @@ def test_payload_bytes_survive_and_broken_files_end_at_the_break(spark):
     whole = spark.read.text(path, wholetext=True)
     whole.select(F.expr("substring(value, 1, length(value) - 20)")).coalesce(1).write.text(cut, lineSep="!")
     assert [r.record_id for r in read_warc(spark, cut).collect()] == ["<urn:page:1>"]
+
+
+def test_longer_archives_take_no_more_jobs(spark):
+    def jobs(n):
+        path, group = scratch_path(spark, "t-long"), f"warc-of-{n}"
+        write_warc(frame(spark, [(i, "u", f"page {i}") for i in range(n)]).coalesce(1), path)
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            assert read_warc(spark, path).count() == n
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(2000) == jobs(20)
+
+
+def test_a_chain_goes_on_over_more_segments_than_a_batch_holds(spark):
+    decoy = f"{VERSION_LINE}Content-Length: 5\r\n\r\n"
+    rows = [(1, "u", "first"), (2, "u", f"{VERSION_LINE}x" * 25_000 + decoy), (3, "u", INNER), (4, "u", "last")]
+    assert got(warc_round_trip(frame(spark, rows).coalesce(1))) == expected(rows)
+
+
+def test_tables_of_many_rows_are_merged(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SENT_ROWS", 1)
+    assert got(warc_round_trip(frame(spark, ROWS).repartition(2))) == expected(ROWS)
+    joined = spark.range(9).join(warc._unsent(held(spark.range(3), "t-many")), "id")
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 3
